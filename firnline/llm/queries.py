@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm import bpe, packing, quality_classifier, quality_rules
+from firnline.llm import bpe, near_dup, packing, quality_classifier, quality_rules
 from firnline.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), k=3, numerator=85, denominator=100)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -39,6 +43,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_minhash": op2_minhash,
     "op3_packing": op3_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
