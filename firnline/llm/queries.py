@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm import bpe, near_dup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup
+from firnline.llm import bpe, line_dedup, near_dup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup
 from firnline.llm.common import read_table
 
 
@@ -51,6 +51,11 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_array": op9_suffix_array,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {}
