@@ -27,19 +27,31 @@ NUMERATOR, DENOMINATOR = 4, 5
 MIN_WORDS = 5
 
 
+def _spaced(text: Column, also: str = "") -> Column:
+    """The text with a space for each other blank; translate() looks at every character, so only where there is one."""
+    rare = "\t\x0b\x0c\r"
+    some = F.lit(False)
+    for blank in rare:
+        some = some | F.contains(text, F.lit(blank))
+    plain = text
+    for blank in also:
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
+    return F.when(some, F.translate(text, rare + also, " " * len(rare + also))).otherwise(plain)
+
+
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(text, "\t\x0b\x0c\r", "    "), " "), "")
+    return F.array_remove(F.split(_spaced(text), " "), "")
 
 
 def _ranks(docs: DataFrame) -> Column:
-    """Array literal: the rank of each hash bucket by its count over all documents."""
-    flat = F.array_remove(F.split(F.translate("text", "\n\t\x0b\x0c\r", "     "), " "), "")
-    counted = docs.select(F.explode(flat).alias("word")).select((F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1))).cast("int").alias("bucket")).groupBy("bucket").count()
+    """Array literal: each hash bucket's rank by its count over all documents, in a token's upper bits."""
+    word = F.explode(F.split(_spaced(F.col("text"), "\n"), " ")).alias("word")
+    counted = docs.select(word).select(F.hash("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).groupBy("bucket").count()
     rows = sorted((r["count"], r["bucket"]) for r in counted.collect())  # at most BUCKETS rows
     rank = [0] * BUCKETS
     for place, (_, bucket) in enumerate(rows):
         rank[bucket] = place
-    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")  # folded into one literal
+    return F.split(F.lit(",".join(str(r << 47) for r in rank)), ",").cast("array<bigint>")  # folded into one literal
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -55,9 +67,11 @@ def similar_lines(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS,
     """(id, line) of each line to remove; ``docs`` has id and text."""
     spark = docs.sparkSession
     ranks = _ranks(docs)
-    token = lambda w: F.element_at(ranks, F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1).cast("long") * F.lit(1 << 47) + F.shiftrightunsigned(F.xxhash64(w), 17)
-    tokens = _lines(docs).select("id", "line", F.array_distinct(_words(F.col("content"))).alias("words")).where(F.size("words") >= min_words)
-    tokens = tokens.select("id", "line", F.sort_array(F.transform("words", token)).alias("tokens"))
+    token = lambda w: F.get(ranks, F.hash(w).bitwiseAND(F.lit(BUCKETS - 1))).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 17))
+    words = F.split(_spaced(F.col("content")), " ")
+    blank = F.array(F.get(ranks, F.hash(F.lit("")).bitwiseAND(F.lit(BUCKETS - 1))).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit("")), 17)))
+    tokens = _lines(docs).select("id", "line", F.array_except(F.transform(words, token), blank).alias("tokens")).where(F.size("tokens") >= min_words)
+    tokens = tokens.select("id", "line", F.sort_array("tokens").alias("tokens"))
     own = F.expr(f"slice(tokens, 1, {_prefix('size(tokens)', numerator, denominator)})")
     lines = scratch.save(tokens.select("id", "line", F.xxhash64("tokens").alias("class"), F.size("tokens").alias("n"), own.alias("prefix")), "lines")
 
