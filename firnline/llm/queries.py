@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm import bpe, line_dedup, near_dup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup
+from firnline.llm import bpe, line_dedup, near_dup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, topk, toxicity
 from firnline.llm.common import read_table
 
 
@@ -32,11 +32,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_passages(read_table(spark, sf_dir, "documents"), window=50)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.apply_rules(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -60,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_topk": op6_topk,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_array": op9_suffix_array,
