@@ -144,16 +144,32 @@ class RunQueue:
 
 
 _REF = np.dtype([("doc", "<i8"), ("start", "<i4")])
+_SEGMENT = np.dtype([("doc", "<i8"), ("start", "<i4"), ("count", "<i4")])
+#: Regions of one gram beyond which its windows are dealt by name as well.
+HOT_REGIONS = 2000
+_RANGES = "id long, low int, high int"
 
 
 def find_repeats(docs: DataFrame, units: Units, across: bool, scratch: Scratch) -> DataFrame:
-    """(id, low array, high array, starts array of binary): windows that repeat, per document with any.
+    """(id, low array, high array): ranges of first units of the windows that repeat, per document with any.
 
-    ``low``/``high`` bound ranges of repeating windows, ``starts`` hold further ones as little-endian int32. ``docs``
-    has id and text. With ``across`` a window repeats if a document with a smaller id has it too; otherwise if it
-    starts anywhere else.
+    ``docs`` has id and text. With ``across`` a window repeats if a document with a smaller id has it too; otherwise if
+    it starts anywhere else.
     """
     spark = docs.sparkSession
+    settled, asking, total = _undecided(docs, units, across, scratch)
+    release_shuffles(spark)
+    shares = max(2 * default_partitions(spark), -(-total // SHARE_WINDOWS))
+    judged = _judged(docs, asking, units, across, shares, scratch)
+    release_shuffles(spark)
+    marks = settled.union(judged).groupBy("id").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
+    out = scratch.save(marks, "marks")
+    scratch.free("found", "open", "asking", "judged")
+    return out
+
+
+def _undecided(docs: DataFrame, units: Units, across: bool, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """Levels 1 and 2: ranges that repeat for certain, and per document the ranges whose windows must be compared."""
 
     def samples(columns):
         ids = np.asarray(columns["id"].to_numpy(zero_copy_only=False), np.int64)
@@ -166,7 +182,7 @@ def find_repeats(docs: DataFrame, units: Units, across: bool, scratch: Scratch)
         out = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
         return {"id": out["doc"], "low": out["low"].astype(np.int32), "high": out["high"].astype(np.int32), "gram": out["gram"], "region": out["region"]}
 
-    sampled = scratch.save(map_rows(docs, samples, "id long, low int, high int, gram long, region long"), "samples")
+    sampled = scratch.save(map_rows(docs, samples, f"{_RANGES}, gram long, region long"), "samples")
     same = F.min("region") == F.max("region")
     repeated = F.min("id") < F.max("id") if across else F.count("*") > 1
     groups = scratch.save(sampled.groupBy("gram").agg(F.min("id").alias("least"), same.alias("uniform"), repeated.alias("repeated")).where("repeated").select(F.col("gram").alias("_gram"), "least", "uniform"), "groups")
@@ -175,6 +191,7 @@ def find_repeats(docs: DataFrame, units: Units, across: bool, scratch: Scratch)
 
     single = F.struct("id", "low")
     regions = scratch.save(found.where("not uniform").groupBy("gram", "region").agg(F.count("*").alias("copies"), F.min(single).alias("first")).select(F.col("gram").alias("_gram"), F.col("region").alias("_region"), "copies", "first"), "regions")
+    hot = scratch.save(regions.groupBy(F.col("_gram").alias("_hot")).agg(F.ceil(F.count("*") / HOT_REGIONS).cast("int").alias("salts")).where("salts > 1"), "hot")
     open_ = found.where("not uniform").join(regions, (F.col("gram") == F.col("_gram")) & (F.col("region") == F.col("_region")))
     if across:
         settled, asked = F.col("id") > F.col("first.id"), F.col("id") == F.col("first.id")
@@ -182,99 +199,97 @@ def find_repeats(docs: DataFrame, units: Units, across: bool, scratch: Scratch)
     else:
         settled, asked = F.col("copies") > 1, single == F.col("first")
         uniform = found.where("uniform")
-    open_ = scratch.save(open_.select("id", "low", "high", settled.alias("settled"), asked.alias("asked")), "open")
+    open_ = scratch.save(open_.select("id", "low", "high", "gram", settled.alias("settled"), asked.alias("asked")), "open")
     ranges = uniform.select("id", "low", "high").union(open_.where("settled").select("id", "low", "high"))
-    release_shuffles(spark)
-
+    salted = open_.where("asked").join(hot, F.col("gram") == F.col("_hot"), "left")
+    asking = salted.groupBy("id").agg(F.collect_list(F.struct("low", "high", "gram", F.coalesce("salts", F.lit(1)).alias("salts"))).alias("spans")).select(F.col("id").alias("_id"), "spans")
+    asking = scratch.save(asking, "asking")
+    scratch.free("regions", "hot")
     total = open_.where("asked").agg(F.sum(F.expr("high - low + 1"))).first()[0] or 0
-    shares = max(2 * default_partitions(spark), -(-total // SHARE_WINDOWS))
-    asking = open_.where("asked").groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("spans")).select(F.col("id").alias("_id"), "spans")
-    texts = docs.join(scratch.save(asking, "asking"), F.col("id") == F.col("_id")).select("id", "text", "spans")
-    scratch.free("regions")
+    return ranges, asking, total
+
+
+def _judged(docs: DataFrame, asking: DataFrame, units: Units, across: bool, shares: int, scratch: Scratch) -> DataFrame:
+    """Level 3: ranges of windows that repeat among those asked for."""
+    texts = docs.join(asking, F.col("id") == F.col("_id")).select("id", "text", "spans")
 
     def windows(columns):
-        ids = columns["id"].to_pylist()
+        ids = np.asarray(columns["id"].to_numpy(zero_copy_only=False), np.int64)
         spans = columns["spans"].to_pylist()
         texts = columns["text"].to_pylist()
-        names, refs = [], []
+        names, segments = [np.zeros(0, np.uint64)], [np.zeros(0, _SEGMENT)]
+        share_of = [np.zeros(0, np.int64)]
         for a, b in _bounded(texts):
             codes, first = units.cut(texts[a:b])
-            sums = window_sums(codes)
-            low = np.array([s["low"] for i in range(a, b) for s in spans[i]], np.int64)
-            high = np.array([s["high"] for i in range(a, b) for s in spans[i]], np.int64)
+            flat = [s for i in range(a, b) for s in spans[i]]
+            low, high, salts = (np.array([s[c] for s in flat], np.int64) for c in ("low", "high", "salts"))
+            gram = np.array([s["gram"] for s in flat], np.int64).view(np.uint64)
             owner = np.repeat(np.arange(a, b), [len(s) for s in spans[a:b]])
             count = high - low + 1
+            region = np.repeat(np.arange(len(count)), count)
             start = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-            owner = np.repeat(owner, count)
-            at = start + first[owner - a]
-            names.append(span_hash(sums, at, at + units.length))
-            ref = np.zeros(len(start), _REF)
-            ref["doc"], ref["start"] = np.asarray(ids, np.int64)[owner], start
-            refs.append(ref)
-        names, refs = np.concatenate(names), np.concatenate(refs)
-        share = (names % np.uint64(shares)).astype(np.int64)
-        order = np.argsort(share, kind="stable")
-        names, refs = names[order], refs[order]
-        cut = np.searchsorted(share[order], np.arange(shares + 1))
-        filled = np.flatnonzero(np.diff(cut))
-        return {"share": filled.astype(np.int32), "names": [names[cut[i] : cut[i + 1]].tobytes() for i in filled], "refs": [refs[cut[i] : cut[i + 1]].tobytes() for i in filled]}
+            at = start + first[owner[region] - a]
+            name = span_hash(window_sums(codes), at, at + units.length)
+            salt = (name >> np.uint64(20)) % salts[region].astype(np.uint64)
+            share = (mix(gram[region] + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shares)).astype(np.int64)
+            order = np.argsort(share, kind="stable")
+            name, share, region, start = name[order], share[order], region[order], start[order]
+            new = np.flatnonzero(np.concatenate([[True], (share[1:] != share[:-1]) | (region[1:] != region[:-1]) | (start[1:] != start[:-1] + 1)])) if len(name) else np.zeros(0, np.int64)
+            segment = np.zeros(len(new), _SEGMENT)
+            segment["doc"], segment["start"] = ids[owner[region[new]]], start[new]
+            segment["count"] = np.diff(np.append(new, len(name)))
+            names.append(name)
+            segments.append(segment)
+            share_of.append(share[new])
+        names, segments, share_of = np.concatenate(names), np.concatenate(segments), np.concatenate(share_of)
+        until = np.cumsum(segments["count"])
+        begin = until - segments["count"]
+        edges = np.flatnonzero(np.concatenate([[True], share_of[1:] != share_of[:-1]])) if len(share_of) else np.zeros(0, np.int64)
+        stops = np.append(edges[1:], len(share_of)) if len(edges) else edges
+        return {
+            "share": share_of[edges].astype(np.int32),
+            "names": [names[begin[i] : until[j - 1]].tobytes() for i, j in zip(edges, stops)],
+            "segments": [segments[i:j].tobytes() for i, j in zip(edges, stops)],
+        }
+
+    dealt = map_rows(texts, windows, "share int, names binary, segments binary")
+    from pyspark.sql.types import StructType
 
-    dealt = map_rows(texts, windows, "share int, names binary, refs binary")
-    out = arrow_schema(_starts_schema())
+    schema = StructType.fromDDL(_RANGES)
+    out = arrow_schema(schema)
 
-    def judge(key, batches):
+    def judge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queue = RunQueue()
         for batch in batches:
-            for names, refs in zip(batch.column("names").to_pylist(), batch.column("refs").to_pylist()):
-                queue.push(np.frombuffer(names, np.uint64), np.frombuffer(refs, _REF))
+            for names, segments in zip(batch.column("names").to_pylist(), batch.column("segments").to_pylist()):
+                segments = np.frombuffer(segments, _SEGMENT)
+                refs = np.zeros(int(segments["count"].sum()), _REF)
+                refs["doc"] = np.repeat(segments["doc"], segments["count"])
+                refs["start"] = np.repeat(segments["start"] - np.cumsum(segments["count"]) + segments["count"], segments["count"]) + np.arange(len(refs))
+                queue.push(np.frombuffer(names, np.uint64), refs)
+        hits = [np.zeros(0, _REF)]
         for names, refs in queue.blocks():
             run = np.cumsum(np.concatenate([[True], names[1:] != names[:-1]])) - 1
             if across:
                 least = np.minimum.reduceat(refs["doc"], np.flatnonzero(np.diff(run, prepend=-1)))
-                hit = refs["doc"] > least[run]
+                hits.append(refs[refs["doc"] > least[run]])
             else:
-                hit = np.bincount(run)[run] > 1
-            refs = refs[hit]
-            refs = refs[np.argsort(refs["doc"], kind="stable")]
-            docs_, begin = np.unique(refs["doc"], return_index=True)
-            ends = np.append(begin[1:], len(refs))
-            yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array([refs["start"][a:b].tobytes() for a, b in zip(begin, ends)], pa.binary())], schema=out)
-
-    starts = scratch.save(dealt.groupBy("share").applyInArrow(_as_iterator(judge), _starts_schema()), "starts")
-    scratch.free("asking")
-    release_shuffles(spark)
-    nothing = F.array().cast("array<int>")
-    marks = ranges.groupBy("id").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"), F.array().cast("array<binary>").alias("starts"))
-    more = starts.groupBy("id").agg(nothing.alias("low"), nothing.alias("high"), F.collect_list("starts").alias("starts"))
-    both = marks.union(more).groupBy("id").agg(F.flatten(F.collect_list("low")).alias("low"), F.flatten(F.collect_list("high")).alias("high"), F.flatten(F.collect_list("starts")).alias("starts"))
-    return scratch.save(both, "marks")
-
-
-def _starts_schema():
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL("id long, starts binary")
-
-
-def _as_iterator(function):
-    """applyInArrow's form that takes a group batch by batch (chosen by its annotations)."""
-
-    def judge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from function(key, batches)
-
+                hits.append(refs[np.bincount(run)[run] > 1])
+        hits = np.concatenate(hits)
+        hits = hits[np.lexsort((hits["start"], hits["doc"]))]
+        doc, start = hits["doc"], hits["start"]
+        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)])) if len(hits) else np.zeros(0, np.int64)
+        last = np.append(new[1:], len(hits)) - 1 if len(hits) else new
+        yield pa.RecordBatch.from_arrays([pa.array(doc[new], pa.int64()), pa.array(start[new], pa.int32()), pa.array(start[last], pa.int32())], schema=out)
+
+    # applyInArrow sees by these annotations that a group comes batch by batch
     judge.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
-    return judge
+    return scratch.save(dealt.groupBy("share").applyInArrow(judge, schema), "judged")
 
 
-def covered(n: int, mark: tuple, length: int) -> np.ndarray:
-    """Boolean per unit: inside a repeating window. ``mark`` is (low, high, starts) of the document or Nones."""
-    low, high, starts = mark
+def covered(n: int, low: list[int], high: list[int], length: int) -> np.ndarray:
+    """Boolean per unit: inside a window whose first unit lies in one of the ranges."""
     change = np.zeros(n + 1, np.int64)
-    if low:
-        np.add.at(change, np.asarray(low, np.int64), 1)
-        np.add.at(change, np.asarray(high, np.int64) + length, -1)
-    for blob in starts or ():
-        at = np.frombuffer(blob, "<i4").astype(np.int64)
-        np.add.at(change, at, 1)
-        np.add.at(change, at + length, -1)
+    np.add.at(change, np.asarray(low, np.int64), 1)
+    np.add.at(change, np.asarray(high, np.int64) + length, -1)
     return np.cumsum(change[:-1]) > 0

@@ -34,13 +34,13 @@ def remove_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
     scratch = Scratch(docs.sparkSession, "substring")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     marks = find_repeats(slim, Units(_cut, window, min(GRAM, window)), True, scratch)
-    marked = slim.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high", "starts")
+    marked = slim.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high")
 
     def cut(columns):
         counts, removed, kept = [], [], []
-        for text, *mark in zip(*(columns[c].to_pylist() for c in ("text", "low", "high", "starts"))):
+        for text, low, high in zip(*(columns[c].to_pylist() for c in ("text", "low", "high"))):
             own = to_bytes(text).split()
-            gone = covered(len(own), mark, window) if mark[0] is not None else None
+            gone = covered(len(own), low, high, window) if low else None
             left = own if gone is None else [w for w, g in zip(own, gone.tolist()) if not g]
             counts.append(len(own))
             removed.append(len(own) - len(left))

@@ -33,16 +33,16 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     scratch = Scratch(docs.sparkSession, "suffix")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     marks = find_repeats(slim, Units(_cut, length, min(GRAM, length)), False, scratch)
-    marked = slim.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high", "starts")
+    marked = slim.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high")
 
     def cut(columns):
         sizes, removed, spans, kept = [], [], [], []
-        for text, *mark in zip(*(columns[c].to_pylist() for c in ("text", "low", "high", "starts"))):
+        for text, low, high in zip(*(columns[c].to_pylist() for c in ("text", "low", "high"))):
             own = to_bytes(text)
             edges = np.zeros((0, 2), np.int64)
             left = own
-            if mark[0] is not None:
-                gone = covered(len(own), mark, length)
+            if low:
+                gone = covered(len(own), low, high, length)
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).view(np.int8))).reshape(-1, 2)
                 left = np.frombuffer(own, np.uint8)[~gone].tobytes()
             sizes.append(len(own))
