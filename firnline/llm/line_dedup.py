@@ -110,13 +110,13 @@ def similar_lines(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS,
     return lines.join(earliest, F.col("class") == F.col("_class")).where(F.struct("id", "line") > F.col("earliest")).select("id", "line")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
-    """(id, n_lines, n_removed, kept): ``kept`` is the text without the removed lines."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_lines, n_removed, kept): ``kept`` is the text without the removed lines. ``carry``: further columns to keep."""
     scratch = Scratch(docs.sparkSession, "lines")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     gone = similar_lines(slim, scratch, min_words, numerator, denominator)
     gone = scratch.save(gone.groupBy(F.col("id").alias("_id")).agg(F.collect_set("line").alias("gone")), "gone")
-    joined = slim.join(gone, F.col("id") == F.col("_id"), "left")
+    joined = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"_carried_{i}") for i, c in enumerate(carry)]).join(gone, F.col("id") == F.col("_id"), "left")
     everything = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(F.filter(everything, lambda x, i: ~F.array_contains("gone", i)), "\n"))
-    return joined.select(F.col("id").alias(id_col), F.size(everything).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"))
+    return joined.select(F.col("id").alias(id_col), F.size(everything).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"), *[F.col(f"_carried_{i}").alias(c) for i, c in enumerate(carry)])

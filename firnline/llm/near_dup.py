@@ -2,13 +2,14 @@
 
 A document's set is its distinct shingles of ``k`` words. Its sketch has REGISTERS buckets; each keeps, for the least
 hash that fell into it, the number of leading zeros and MANTISSA further bits. Empty buckets borrow from others (optimal
-densification), so short texts band as well as long ones. Bands of ROWS registers propose partners: documents that
-agree on a band belong to one candidate cluster. Inside clusters, sets larger than the sketch are first compared by the
+densification), so short texts band as well as long ones. Bands of registers propose partners: documents that agree on
+a band belong to one candidate cluster. Inside clusters, sets larger than the sketch are first compared by the
 collision-corrected estimate, and every link is confirmed on the full sets.
 
 Equal sets are one class from the start, so copies never meet one another. Clusters beyond BLOCK classes are dealt as
 pairs of blocks; a task gives only links that join parts not yet joined, so output follows documents, not pairs.
-A pair at the threshold escapes all BANDS bands with probability (1 - 0.85**8)**32, about 4e-5; above it, less.
+A pair at the threshold escapes all bands with probability MISS at most (4e-5 with the 32 bands of 8 rows that a
+threshold of 0.85 gets); above it, less.
 
 Defined cases: A-Z are lower-cased, words are runs of anything but ASCII blanks; a text with fewer words than ``k`` is
 one shingle, the whole sequence; null, empty or blank texts have the empty set and link with nothing; repeated rows
@@ -26,7 +27,8 @@ from firnline.llm.components import connected_components
 from firnline.llm.wordhash import mix, span_hash, to_bytes, window_sums, words
 
 REGISTERS, MANTISSA = 256, 10
-BANDS, ROWS = 32, 8
+#: Bands get as many rows as leave a pair at the threshold this chance to share none.
+MISS = 1e-4
 #: Documents in a block; a task holds two blocks of sets.
 BLOCK = 256
 #: Estimates within this of the threshold are verified; five standard deviations and more at 256 registers.
@@ -92,13 +94,19 @@ def _densified(table: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(table: np.ndarray) -> np.ndarray:
+def rows_per_band(threshold: float) -> int:
+    """The most rows with which a pair at the threshold is missed with probability MISS at most."""
+    return max(r for r in range(1, 33) if r == 1 or (1 - threshold**r) ** (REGISTERS // r) <= MISS)
+
+
+def bands(table: np.ndarray, rows: int) -> np.ndarray:
     """One 64-bit key per set and band."""
-    parts = table[:, : BANDS * ROWS].astype(np.uint64).reshape(len(table), BANDS, ROWS)
-    key = np.zeros((len(table), BANDS), np.uint64)
+    count = REGISTERS // rows
+    parts = table[:, : count * rows].astype(np.uint64).reshape(len(table), count, rows)
+    key = np.zeros((len(table), count), np.uint64)
     with np.errstate(over="ignore"):
-        for r in range(ROWS):
-            key = mix(key * np.uint64(0x100000001B3) + parts[:, :, r] + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(7919))
+        for r in range(rows):
+            key = mix(key * np.uint64(0x100000001B3) + parts[:, :, r] + np.arange(1, count + 1, dtype=np.uint64) * np.uint64(7919))
     return key.view(np.int64)
 
 
@@ -169,11 +177,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 4, denominator
     """(id, n_shingles, component_id, kept): linked where denominator * intersection >= numerator * union."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
+    rows = rows_per_band(numerator / denominator)
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
 
     def sketch(columns):
         sets = shingle_sets(columns["text"].to_pylist(), k)
-        keys = bands(registers(sets))
+        keys = bands(registers(sets), rows)
         with np.errstate(over="ignore"):
             sums = [np.int64(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets]
             xors = [np.int64(np.bitwise_xor.reduce(mix(s + np.uint64(1) << np.uint64(7))).view(np.int64)) if len(s) else 0 for s in sets]

@@ -14,15 +14,16 @@ scored; an empty table, or one whose votes agree throughout, keeps what the post
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firnline.llm.common import map_rows
+from firnline.llm.common import SLICE_ROWS, map_rows
 from firnline.llm.text_stats import FIELDS, stats
 
 TRAIN_ROWS = 6000
@@ -133,8 +134,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> np.nda
     return weights
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """(id, n_votes, posterior, score, kept): the weak label and the scorer's verdict on each document."""
+def _fitted(docs: DataFrame, id_col: str, text_col: str, train_rows: int) -> tuple[np.ndarray, dict[int, float]]:
+    """The scorer's weights (bounded by DIMS) and the posterior of each vote pattern."""
     kind = dict(docs.dtypes)[id_col]
     slim = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
 
@@ -146,36 +147,56 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tr
     patterns, counts = tally["pattern"].to_numpy(np.int64), tally["count"].to_numpy(float)
     posterior, _, _ = estimate(patterns, counts)
     label = dict(zip(patterns.tolist(), posterior.tolist()))
-
     total = counts.sum()
-    if total:
-        share = min(1.0, 1.5 * train_rows / total + 200 / total)
-        chosen = slim.where(F.pmod(F.xxhash64("_id", F.lit(8)), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("_id", F.lit(8)), F.col("_id")).limit(train_rows)
-
-        def sample(columns):
-            texts = columns["_text"].to_pylist()
-            made = [features(t, c) + (c,) for t in texts for c in [stats(t)]]
-            return {"_id": columns["_id"], "ids": [m[0].tolist() for m in made], "vals": [m[1].tolist() for m in made], "counts": [list(m[2]) for m in made]}
-
-        train = map_rows(chosen, sample, f"_id {kind}, ids array<int>, vals array<float>, counts array<long>").toPandas()
-    else:
-        train = pd.DataFrame({"ids": [], "vals": [], "counts": []})
-    targets = np.array([label[p] for p in _patterns_of(train["counts"])])
-    weights = fit([(np.asarray(i, np.int64), np.asarray(v, float)) for i, v in zip(train["ids"], train["vals"])], targets)
-    small = weights.astype(np.float32)
+    if not total:
+        return np.zeros(DIMS + 1, np.float32), label
+    share = min(1.0, 1.5 * train_rows / total + 200 / total)
+    chosen = slim.where(F.pmod(F.xxhash64("_id", F.lit(8)), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("_id", F.lit(8)), F.col("_id")).limit(train_rows)
+
+    def sample(columns):
+        made = [features(t, c) + (c,) for t in columns["_text"].to_pylist() for c in [stats(t)]]
+        return {"_id": columns["_id"], "ids": [m[0].tolist() for m in made], "vals": [m[1].tolist() for m in made], "counts": [list(m[2]) for m in made]}
+
+    train = map_rows(chosen, sample, f"_id {kind}, ids array<int>, vals array<float>, counts array<long>").toPandas()
+    targets = np.array([label[_votes(tuple(c))[1]] for c in train["counts"]])
+    return fit([(np.asarray(i, np.int64), np.asarray(v, float)) for i, v in zip(train["ids"], train["vals"])], targets).astype(np.float32), label
+
+
+def _score(text: str | None, weights: np.ndarray) -> tuple[float, tuple[int, ...]]:
+    counts = stats(text)
+    ids, values = features(text, counts)
+    margin = float(weights[ids].astype(float) @ values + weights[-1])
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, margin)))), counts
+
+
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """(id, n_votes, posterior, score, kept): the weak label and the scorer's verdict on each document."""
+    weights, label = _fitted(docs, id_col, text_col, train_rows)
 
     def score(columns):
         out = []
         for text in columns["_text"].to_pylist():
-            counts = stats(text)
-            ids, values = features(text, counts)
-            margin = float(small[ids].astype(float) @ values + small[-1])
-            votes, posterior = _votes(counts)
-            out.append((votes, label.get(posterior, 0.5), 1 / (1 + np.exp(-max(-30.0, min(30.0, margin))))))
-        columns_out = list(zip(*out)) or [[], [], []]
-        return {id_col: columns["_id"], "n_votes": columns_out[0], "posterior": columns_out[1], "score": columns_out[2], "kept": [s >= KEEP_FROM for s in columns_out[2]]}
+            value, counts = _score(text, weights)
+            votes, pattern = _votes(counts)
+            out.append((votes, label.get(pattern, 0.5), value, value >= KEEP_FROM))
+        return {id_col: columns["_id"]} | dict(zip(("n_votes", "posterior", "score", "kept"), map(list, zip(*out)) if out else [[]] * 4))
+
+    slim = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
+    return map_rows(slim, score, f"`{id_col}` {dict(docs.dtypes)[id_col]}, n_votes int, posterior double, score double, kept boolean")
 
-    return map_rows(slim, score, f"`{id_col}` {kind}, n_votes int, posterior double, score double, kept boolean")
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``classify`` keeps; nothing is shuffled for it."""
+    weights, _ = _fitted(docs, id_col, text_col, train_rows)
+
+    def good(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                yield part.filter(pa.array([_score(t, weights)[0] >= KEEP_FROM for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(good, docs.schema)
 
 
 _COMPILED = [(compile(bad, name, "eval"), compile(good, name, "eval")) for name, (bad, good) in LABELLERS.items()]
@@ -186,6 +207,3 @@ def _votes(counts) -> tuple[int, int]:
     digits = [1 if eval(bad, {}, scope) else 2 if eval(good, {}, scope) else 0 for bad, good in _COMPILED]  # noqa: S307  fixed expressions above
     return sum(d > 0 for d in digits), sum(d * w for d, w in zip(digits, _BASE3))
 
-
-def _patterns_of(counts) -> list[int]:
-    return [_votes(tuple(c))[1] for c in counts]

@@ -28,12 +28,19 @@ def _cut(texts):
     return _CODE[np.frombuffer(b"".join(raw), np.uint8)], np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, spans, kept): removed [start, end) runs and the remaining bytes."""
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", first_stays: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_bytes, n_removed, spans, kept): removed [start, end) runs and the remaining bytes.
+
+    With ``first_stays`` only bytes of strings that start in a document with a smaller id go. ``carry``: further columns
+    to keep.
+    """
     scratch = Scratch(docs.sparkSession, "suffix")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    marks = find_repeats(slim, Units(_cut, length, min(GRAM, length)), False, scratch)
-    marked = slim.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high")
+    marks = find_repeats(slim, Units(_cut, length, min(GRAM, length)), first_stays, scratch)
+    kinds = dict(docs.dtypes)
+    kept_too = [f"_carried_{i}" for i in range(len(carry))]
+    whole = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(n) for c, n in zip(carry, kept_too)])
+    marked = whole.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high", *kept_too)
 
     def cut(columns):
         sizes, removed, spans, kept = [], [], [], []
@@ -49,6 +56,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
             removed.append(len(own) - len(left))
             spans.append([{"start": a, "end": b} for a, b in edges.tolist()])
             kept.append(left)
-        return {id_col: columns["id"], "n_bytes": sizes, "n_removed": removed, "spans": spans, "kept": kept}
+        return {id_col: columns["id"], "n_bytes": sizes, "n_removed": removed, "spans": spans, "kept": kept} | {c: columns[n] for c, n in zip(carry, kept_too)}
 
-    return map_rows(marked, cut, f"`{id_col}` long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    schema = f"`{id_col}` long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+    return map_rows(marked, cut, ", ".join([schema, *(f"`{c}` {kinds[c]}" for c in carry)]))
