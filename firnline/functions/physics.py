@@ -115,10 +115,11 @@ def signed_distance(inside: Column, metres: Column) -> Column:
 def colour_fraction(value: Column, low: Column | float, high: Column | float) -> Column:
     """Where a value lies between the limits of a scale, 0 to 1."""
     low, high = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_divide(value - low, high - low)))
+    share = F.try_divide(value - low, high - low)  # least() and greatest() pass over a missing value
+    return F.when(share.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)))
 
 
 def log_fraction(value: Column, low: float, high: float, nodata: float = -32767.0) -> Column:
     """The same on a logarithmic scale; no-data and values that are not positive have none."""
     shown = F.when((value > 0) & (value != nodata), value)
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.log(shown) - math.log(low)) / (math.log(high) - math.log(low))))
+    return colour_fraction(F.log(shown), math.log(low), math.log(high))

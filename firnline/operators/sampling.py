@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,15 +16,16 @@ def stride(rows: DataFrame, most: int, order: list[str]) -> DataFrame:
     if n <= most:
         return rows
     placed = with_position(rows, order)
-    first = F.ceil(F.col("_row") * F.lit(most) / F.lit(n))
-    return placed.where((F.floor(first * F.lit(n) / F.lit(most)) == F.col("_row")) & (first < most)).drop("_row")
+    # row i is taken if some j has floor(j n / most) = i; the least j with j n / most >= i is the only candidate
+    return placed.where(F.expr(f"((_row * {most} + {n} - 1) div {n}) * {n} div {most} = _row and (_row * {most} + {n} - 1) div {n} < {most}")).drop("_row")
 
 
 def with_position(rows: DataFrame, order: list[str], name: str = "_row") -> DataFrame:
     """Global 0-based positions: a range-partitioned sort, then a window inside each partition on top of the counts before."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+    # kept on two disks: the range bounds are sampled, so a second evaluation could cut elsewhere
+    ranged = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY_2)
     sizes = {r["_part"]: r["count"] for r in ranged.groupBy("_part").count().collect()}  # one row per partition
     before, total = {}, 0
     for part in sorted(sizes):
