@@ -78,4 +78,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+#: The queries that SQL can express; the others are held against brute force in the tests.
+ORACLES: dict[str, str] = {
+    "op2_minhash": f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM w),
+t AS (SELECT doc_id, unnest(g) AS x, len(g) AS n FROM s), c AS (SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c, any_value(a.n) + any_value(b.n) AS m FROM t a JOIN t b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT i, j FROM c WHERE 100 * c >= 85 * (m - c)), e AS (SELECT i, j FROM l UNION ALL SELECT j, i FROM l), r(i, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.j, r.root FROM r JOIN e ON r.i = e.i)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, k.root AS component_id, s.doc_id = k.root AS kept FROM s JOIN (SELECT i, min(root) AS root FROM r GROUP BY i) k ON k.i = s.doc_id""",
+    "op5_substring_dedup": f"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents), i AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS s FROM w WHERE len(w) >= 50),
+h AS (SELECT doc_id, s, array_to_string(w[s : s + 49], ' ') AS k FROM i), f AS (SELECT k, min(doc_id) AS d FROM h GROUP BY k), r AS (SELECT DISTINCT doc_id, s + o AS p FROM h JOIN f USING (k) CROSS JOIN generate_series(0, 49) t(o) WHERE doc_id > d), g AS (SELECT doc_id, list(p) AS gone FROM r GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(array_to_string(list_filter(w, lambda x, n: NOT list_contains(coalesce(gone, []), n)), ' ')) AS kept_sha256 FROM w LEFT JOIN g USING (doc_id)""",
+    "op6_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(generate_series(1, len(a.e)), lambda i: a.e[i] * b.e[i]))::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s) WHERE rank <= 5""",
+    "op10_line_dedup": f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), l AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line, unnest(ls) AS t FROM d),
+k AS (SELECT doc_id, line, list_sort(list_distinct(regexp_extract_all(t, '{_WORD}'))) AS w FROM l), c AS (SELECT w, len(w) AS n, min({{'d': doc_id, 'l': line}}) AS first, row_number() OVER () AS id FROM k WHERE len(w) >= 5 GROUP BY w),
+t AS (SELECT id, n, unnest(w) AS x FROM c), f AS (SELECT x, count(*) AS f FROM t GROUP BY x), p AS (SELECT * FROM (SELECT id, n, t.x, row_number() OVER (PARTITION BY id ORDER BY f, t.x) AS i FROM t JOIN f USING (x)) WHERE i <= n - (n * 4 + 4) // 5 + 1),
+q AS (SELECT DISTINCT a.id AS a, b.id AS b FROM p a JOIN p b ON a.x = b.x AND a.id <> b.id WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)), o AS (SELECT a.id, len(list_intersect(a.w, b.w)) AS s, a.n + b.n AS m FROM q JOIN c a ON a.id = q.a JOIN c b ON b.id = q.b WHERE b.first < a.first),
+m AS (SELECT DISTINCT id FROM o WHERE 5 * s >= 4 * (m - s)), r AS (SELECT k.doc_id, list(line) AS gone FROM k JOIN c USING (w) WHERE c.id IN (SELECT id FROM m) OR {{'d': k.doc_id, 'l': k.line}} > c.first GROUP BY k.doc_id)
+SELECT d.doc_id, len(ls)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(array_to_string(list_filter(ls, lambda x, n: NOT list_contains(coalesce(gone, []), n - 1)), chr(10))) AS kept_sha256 FROM d LEFT JOIN r USING (doc_id)""",
+}
