@@ -635,3 +635,66 @@ def names_to_values(spark, sf_dir):
 def colour_fractions(spark, sf_dir):
     n = F.col("n_nationkey").cast("double")
     return _table(spark, sf_dir, "nation").select("n_nationkey", _r(physics.colour_fraction(n, 2.0, 20.0)).alias("fraction"), _r(physics.log_fraction(n, 1.0, 20.0)).alias("log_fraction"))
+
+
+# ---- reports --------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH f AS (SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS n FROM customer), s AS (SELECT o_custkey, avg((o_orderkey % 3 <> 0)::INT) AS b FROM orders GROUP BY o_custkey)
+SELECT c_mktsegment AS collection, count(*) AS n_probed, count(b) AS n_eligible, round(avg(b), 6) AS bed_share FROM f LEFT JOIN s ON c_custkey = o_custkey WHERE n <= 20 GROUP BY c_mktsegment""")
+def eligibility(spark, sf_dir):
+    """The first frames of each collection: how many gave rows, and with what share of beds."""
+    frames = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("frame_id"), F.col("c_mktsegment").alias("collection"))
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("frame_id"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("bed_power_dB"))
+    return analyses.eligibility(frames, rows, 20).withColumn("bed_share", _r("bed_share"))
+
+
+@query("""WITH e AS (SELECT event_id, value AS q, value + event_id % 100 AS p FROM events), l AS (SELECT 'q' AS variable, q AS a, q * 1.5 AS b FROM e WHERE event_id % 3 = 0 UNION ALL SELECT 'p', p, p - q FROM e WHERE event_id % 3 = 0)
+SELECT variable, count(*) AS n, round(median(a), 4) AS median_a, round(median(b), 4) AS median_b, round(stddev_pop(a), 4) AS std_a, round(stddev_pop(b), 4) AS std_b, round(median(a) - median(b), 4) AS median_difference FROM l GROUP BY variable""")
+def product_comparison(spark, sf_dir):
+    """Two products of the same traces."""
+    a = _table(spark, sf_dir, "events").select("event_id", F.col("value").alias("q"), (F.col("value") + F.col("event_id") % 100).alias("p"))
+    b = a.where("event_id % 3 = 0").select("event_id", (F.col("q") * 1.5).alias("q"), (F.col("p") - F.col("q")).alias("p"))
+    out = analyses.product_comparison(a, b, ["event_id"], ["q", "p"])
+    return out.select("variable", "n", *[_r(c, 4).alias(c) for c in ("median_a", "median_b", "std_a", "std_b", "median_difference")])
+
+
+@query("SELECT o_orderkey, o_totalprice AS a, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice * 1.01 WHEN o_orderkey % 5 > 0 THEN o_totalprice END AS b FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 5 = 0")
+def differing_rows(spark, sf_dir):
+    """Shared rows of two tables whose values are not the same."""
+    a = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("v"))
+    b = a.select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, F.col("v") * 1.01).when(F.col("o_orderkey") % 5 > 0, F.col("v")).alias("v"))
+    return analyses.differing_rows(a, b, ["o_orderkey"], "v", 1e-6)
+
+
+@query("""WITH c AS (SELECT l_suppkey, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS n_flagged FROM lineitem GROUP BY l_suppkey)
+SELECT l_suppkey, n, n_flagged, round(n_flagged / n::DOUBLE, 6) AS rate, percent_rank() OVER (ORDER BY n_flagged DESC, l_suppkey) < 0.1 AS in_top FROM c""")
+def offset_share(spark, sf_dir):
+    """The rate of flagged traces per frame, and the tenth of frames that holds most of them."""
+    return dist.top_share(_table(spark, sf_dir, "lineitem"), "l_suppkey", F.col("l_returnflag") == "R", 0.1).withColumn("rate", _r("rate"))
+
+
+@query("WITH b AS (SELECT least(floor(value / 10), 9)::INT AS bin FROM events WHERE value BETWEEN 0 AND 100) SELECT i::INT AS bin, round(count(bin) / (SELECT count(*) FROM b)::DOUBLE / 10, 8) AS density FROM generate_series(0, 9) s(i) LEFT JOIN b ON bin = i GROUP BY i")
+def histogram_density(spark, sf_dir):
+    """A marginal with unit area."""
+    return dist.histogram(_table(spark, sf_dir, "events"), "value", 0.0, 100.0, 10, density=True).select("bin", _r("density", 8).alias("density"))
+
+
+@query(f"""WITH {RADAR}, w AS (SELECT vec_id, p[si - 1 : si + 3] AS a, p[bi - 1 : bi + 3] AS b, bi FROM r), x AS (SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN 'PASIN' ELSE 'HiCARS' END AS instrument, 10 * log10(list_max(a)) AS s, 10 * log10(list_max(b)) AS d FROM w WHERE bi IS NOT NULL)
+SELECT instrument, count(*) AS n, round(median(s - d), 6) AS median, round(stddev_samp(s - d), 6) AS std, round(min(s - d), 6) AS low, round(max(s - d), 6) AS high FROM x GROUP BY instrument""")
+def instrument_spread(spark, sf_dir):
+    """Median, sample deviation and range of power ratios per instrument."""
+    d, t = F.col("data"), F.col("twtt")
+    rows = _radar(spark, sf_dir).where("bed is not null").withColumn("flight", F.when(F.col("vec_id") % 2 == 0, "b01").otherwise("DRP01"))
+    rows = rows.withColumn("v", arrays.window_max_db(d, t, F.col("surface"), 0.6) - arrays.window_max_db(d, t, F.col("bed"), 0.6))
+    out = dist.spread_statistics(rows.withColumn("instrument", values.instrument_of(F.col("flight"))), "v", ["instrument"])
+    return out.select("instrument", "n", _r("median").alias("median"), _r("std_samp").alias("std"), _r("min").alias("low"), _r("max").alias("high"))
+
+
+@query("SELECT user_id, count(*) AS n_traces, time_bucket(INTERVAL '1 hour', ts)::TIMESTAMP AS hour FROM events GROUP BY ALL")
+def traces_per_hour(spark, sf_dir):
+    """Traces per frame and tumbling window: the streaming aggregation, run as a batch."""
+    from firnline.streaming.ingest import windowed_counts
+
+    rows = _table(spark, sf_dir, "events").select(F.col("user_id").alias("frame_id"), F.col("ts").cast("timestamp").alias("slow_time"))
+    return windowed_counts(rows, width="1 hour").select(F.col("frame_id").alias("user_id"), "n_traces", F.col("window.start").cast("timestamp_ntz").alias("hour"))
