@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -60,11 +62,14 @@ class Scratch:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of plans that nothing refers to any more."""
-    import gc
+    """Let Spark's cleaner drop shuffle files of plans that nothing refers to any more.
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    It learns of them from the JVM's collector, in turns: a plan, its exchanges, their files.
+    """
+    for _ in range(4):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str, slice_rows: int = SLICE_ROWS) -> DataFrame:

@@ -2,26 +2,31 @@
 
 An exact set-similarity join. A line's tokens are its distinct words, ordered by rarity: the count of the hash bucket a
 word falls in, over all documents (a table of BUCKETS numbers whatever the corpus), then the word's hash. Any total
-order makes the join exact; rarity makes it small. Two lines with Jaccard similarity t or more share a token among the
-first n - ceil(t n) + 1 of either, and the shorter one needs only its first n - ceil(2 t / (1 + t) n) + 1. Length and
-positional filters remove most meetings, and the rest are verified on the words themselves.
+order makes the join exact; rarity makes it small. Lines of n and m tokens with Jaccard similarity t or more overlap in
+at least o = ceil((n + m) t / (1 + t)) tokens, so they share one among the first n - ceil(t n) + 1 of either (prefix
+filter), and one that lies at most n - o and m - o tokens from their starts (positional filter); n >= t m (length
+filter). The parities of the tokens' hashes bound the difference of two lines from below, which removes most other
+meetings, and what is left is verified on the words themselves.
 
 A line is removed if an earlier line, by (document, line number), has similarity t or more with it; lines are judged on
 the input. Equal word sets are one class from the start, so the most frequent line is one row.
 
 Defined cases: lines are cut at line breaks; lines of fewer than ``min_words`` distinct words are never compared nor
 removed; a null text is empty and stays so; repeated rows with one id count as the same document and repeat its line
-numbers, so they remove nothing of each other; an empty table gives an empty table; further columns are ignored.
+numbers, so they remove nothing of each other; rows without an id are compared with nothing and stay whole;
+an empty table gives an empty table; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firnline.llm.common import Scratch, release_shuffles
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
+#: Rarity is told in so many steps for each doubling of a bucket's count.
+STEPS = 6
 #: The similarity as a fraction, so that bounds are exact integers.
 NUMERATOR, DENOMINATOR = 4, 5
 MIN_WORDS = 5
@@ -43,78 +48,123 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(_spaced(text), " "), "")
 
 
-def _ranks(docs: DataFrame) -> Column:
-    """Array literal: each hash bucket's rank by its count over all documents, in a token's upper bits."""
+def _rarity(docs: DataFrame) -> Column:
+    """Array literal: a bucket's count over all documents on a logarithmic scale, 0 to 255."""
+    import numpy as np
+
     word = F.explode(F.split(_spaced(F.col("text"), "\n"), " ")).alias("word")
     counted = docs.select(word).select(F.hash("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).groupBy("bucket").count()
-    rows = sorted((r["count"], r["bucket"]) for r in counted.collect())  # at most BUCKETS rows
-    rank = [0] * BUCKETS
-    for place, (_, bucket) in enumerate(rows):
-        rank[bucket] = place
-    return F.split(F.lit(",".join(str(r << 47) for r in rank)), ",").cast("array<bigint>")  # folded into one literal
+    table = counted.toArrow()  # at most BUCKETS rows
+    scale = np.zeros(BUCKETS, np.int64)
+    scale[np.asarray(table.column("bucket"))] = np.minimum(255, np.log2(1 + np.asarray(table.column("count"))) * STEPS)
+    return F.split(F.lit(",".join(map(str, scale.tolist()))), ",").cast("array<bigint>")  # folded into one literal
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "content"))
 
 
-def _prefix(n: str, numerator: int, denominator: int) -> str:
-    """n - ceil(n * numerator / denominator) + 1, in whole numbers."""
-    return f"cast({n} - (({n} * {numerator} + {denominator} - 1) div {denominator}) + 1 as int)"
+def _token(rarity: Column, word: Column) -> Column:
+    """A word as a number that sorts by rarity, then by hash."""
+    return F.shiftleft(F.get(rarity, F.hash(word).bitwiseAND(F.lit(BUCKETS - 1))), 55).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 9))
 
 
-def similar_lines(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
-    """(id, line) of each line to remove; ``docs`` has id and text."""
-    spark = docs.sparkSession
-    ranks = _ranks(docs)
-    token = lambda w: F.get(ranks, F.hash(w).bitwiseAND(F.lit(BUCKETS - 1))).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 17))
+def _classes(docs: DataFrame, scratch: Scratch, min_words: int, numerator: int, denominator: int) -> tuple[DataFrame, DataFrame]:
+    """(id, line, class) of all lines that are compared, and a row per class: distinct token sets."""
+    rarity = _rarity(docs)
     words = F.split(_spaced(F.col("content")), " ")
-    blank = F.array(F.get(ranks, F.hash(F.lit("")).bitwiseAND(F.lit(BUCKETS - 1))).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit("")), 17)))
-    tokens = _lines(docs).select("id", "line", F.array_except(F.transform(words, token), blank).alias("tokens")).where(F.size("tokens") >= min_words)
+    made = F.transform(words, lambda w: _token(rarity, w))
+    tokens = _lines(docs).select("id", "line", F.array_except(made, F.array(_token(rarity, F.lit("")))).alias("tokens")).where(F.size("tokens") >= min_words)
     tokens = tokens.select("id", "line", F.sort_array("tokens").alias("tokens"))
-    own = F.expr(f"slice(tokens, 1, {_prefix('size(tokens)', numerator, denominator)})")
-    lines = scratch.save(tokens.select("id", "line", F.xxhash64("tokens").alias("class"), F.size("tokens").alias("n"), own.alias("prefix")), "lines")
-
-    classes = scratch.save(lines.groupBy("class").agg(F.min(F.struct("id", "line")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
+    n = "size(tokens)"
+    prefix = F.expr(f"slice(tokens, 1, cast({n} - (({n} * {numerator} + {denominator} - 1) div {denominator}) + 1 as int))")
+    parity = F.expr("aggregate(tokens, 0L, (bits, t) -> bits ^ shiftleft(1L, cast(t & 63 as int)))")
+    lines = scratch.save(tokens.select("id", "line", F.xxhash64("tokens").alias("class"), F.size("tokens").alias("n"), parity.alias("parity"), prefix.alias("prefix")), "lines")
+    grouped = lines.groupBy("class").agg(F.min(F.struct("id", "line")).alias("first"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
+    classes = scratch.save(grouped.select("class", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), "n", "parity", "prefix"), "classes")
     lines = scratch.save(lines.select("id", "line", "class"), "line-classes")
     scratch.free("lines")
-    release_shuffles(spark)
+    return lines, classes
+
 
-    # similarity a/b means an overlap of (n + m) * a / (a + b) at least
-    shorter = classes.select("class", "n", F.posexplode("prefix").alias("pos", "token")).where(f"pos < {_prefix('n', 2 * numerator, numerator + denominator)}").select("token", F.col("class").alias("c"), F.expr("n * 65536L * 16 + pos").alias("at"))
-    longer = classes.select("class", "n", F.posexplode("prefix").alias("pos", "token")).select(F.col("token").alias("_token"), F.col("class").alias("_c"), F.expr("n * 65536L * 16 + pos").alias("_at"))
-    n, m, i, j = "shiftright(at, 20)", "shiftright(_at, 20)", "(at & 1048575)", "(_at & 1048575)"
-    near = F.expr(
-        f"token = _token and ({n} < {m} or ({n} = {m} and c < _c)) and {n} * {denominator} >= {m} * {numerator}"
-        f" and least({n} - {i}, {m} - {j}) * {numerator + denominator} >= ({n} + {m}) * {numerator}"
+def _posted(classes: DataFrame) -> DataFrame:
+    """A flat row per class and prefix token: these rows are what the join moves."""
+    return classes.select("class", "first_id", "first_line", "n", "parity", F.posexplode("prefix").alias("pos", "token"))
+
+
+def _near(numerator: int, denominator: int) -> str:
+    """Whether no filter tells two postings of a token apart; the second one's columns start with an underscore."""
+    overlap = f"(((n + _n) * {numerator} + {numerator + denominator} - 1) div {numerator + denominator})"
+    return (
+        f"least(n, _n) * {denominator} >= greatest(n, _n) * {numerator} and pos <= n - {overlap} and _pos <= _n - {overlap}"
+        f" and bit_count(parity ^ _parity) <= n + _n - 2 * {overlap}"
     )
-    pairs = scratch.save(shorter.join(longer, near).select("c", "_c").distinct(), "pairs")
-    release_shuffles(spark)
 
-    wanted = scratch.save(pairs.select("c").union(pairs.select("_c")).distinct(), "wanted")
-    place = scratch.save(classes.select("class", "first").join(wanted, F.col("class") == F.col("c")).select("class", F.col("first.id").alias("_id"), F.col("first.line").alias("line")), "places")
-    asked = scratch.save(place.groupBy("_id").agg(F.collect_list(F.struct("line", "class")).alias("asked")), "asked")
+
+def _met_first(classes: DataFrame, near: str) -> DataFrame:
+    """(c, _c): each class with the earliest one that holds one of its prefix tokens: as many as postings at most."""
+    earliest = Window.partitionBy("token").orderBy("first_id", "first_line")
+    lead = F.first(F.struct("class", "n", "pos", "parity")).over(earliest)
+    met = _posted(classes).withColumn("lead", lead).withColumns({"_n": F.col("lead.n"), "_pos": F.col("lead.pos"), "_parity": F.col("lead.parity")})
+    return met.where(F.col("class") != F.col("lead.class")).where(near).select(F.col("class").alias("c"), F.col("lead.class").alias("_c")).distinct()
+
+
+def _met_any(classes: DataFrame, matched: DataFrame, near: str) -> DataFrame:
+    """(c, _c): classes that are not matched yet, with every earlier class they could resemble."""
+    left = _posted(classes.join(matched, "class", "left_anti"))
+    right = _posted(classes)
+    right = right.select(*[F.col(c).alias(f"_{c}") for c in right.columns])
+    return left.join(right, F.expr(f"token = _token and (_first_id < first_id or (_first_id = first_id and _first_line < first_line)) and {near}")).select(F.col("class").alias("c"), F.col("_class").alias("_c")).distinct()
+
+
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, numerator: int, denominator: int) -> DataFrame:
+    """(class): classes that the words of one of their pairs confirm."""
+    pairs = scratch.save(pairs, f"{name}-pairs")
+    release_shuffles(docs.sparkSession)
+    wanted = scratch.save(pairs.select("c").union(pairs.select("_c")).distinct(), f"{name}-wanted")
+    place = classes.select("class", "first_id", "first_line").join(wanted, F.col("class") == F.col("c")).select("class", F.col("first_id").alias("_id"), F.col("first_line").alias("line"))
+    asked = scratch.save(place.groupBy("_id").agg(F.collect_list(F.struct("line", "class")).alias("asked")), f"{name}-asked")
     content = docs.join(asked, F.col("id") == F.col("_id")).select(F.split("text", "\n").alias("all"), F.explode("asked").alias("one"))
-    content = scratch.save(content.select(F.col("one.class").alias("class"), F.array_distinct(_words(F.element_at("all", F.col("one.line") + 1))).alias("words")).dropDuplicates(["class"]), "content")
+    content = content.select(F.col("one.class").alias("class"), F.array_distinct(_words(F.get("all", F.col("one.line")))).alias("words"))
+    content = scratch.save(content.groupBy("class").agg(F.first("words").alias("words")), f"{name}-content")
     left, right = content.select(F.col("class").alias("c1"), F.col("words").alias("w1")), content.select(F.col("class").alias("c2"), F.col("words").alias("w2"))
     met = pairs.join(left, F.col("c") == F.col("c1")).join(right, F.col("_c") == F.col("c2"))
     shared = F.size(F.array_intersect("w1", "w2"))
-    links = scratch.save(met.where(shared * denominator >= (F.size("w1") + F.size("w2") - shared) * numerator).select("c", "_c"), "links")
-    scratch.free("pairs", "wanted", "places", "asked", "content")
-    release_shuffles(spark)
+    alike = met.where(shared * denominator >= (F.size("w1") + F.size("w2") - shared) * numerator)
+    out = scratch.save(alike.select(F.col("c").alias("class")).distinct(), f"{name}-matched")
+    scratch.free(*[f"{name}-{part}" for part in ("pairs", "wanted", "asked", "content")])
+    return out
+
 
-    both = links.union(links.select(F.col("_c"), F.col("c")))
-    firsts = classes.select("class", "first")
-    reach = both.join(firsts, F.col("_c") == F.col("class")).groupBy(F.col("c").alias("_class")).agg(F.min("first").alias("other"))
-    earliest = scratch.save(firsts.join(reach, F.col("class") == F.col("_class"), "left").select(F.col("class").alias("_class"), F.least("first", F.coalesce("other", "first")).alias("earliest")), "earliest")
-    return lines.join(earliest, F.col("class") == F.col("_class")).where(F.struct("id", "line") > F.col("earliest")).select("id", "line")
+def similar_lines(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """(id, line) of each line to remove; ``docs`` has id and text.
+
+    One earlier match is enough, so classes first meet the earliest holder of each of their prefix tokens, and only
+    those that this leaves unmatched meet all others: families of many variants don't meet pair by pair.
+    """
+    spark = docs.sparkSession
+    lines, classes = _classes(docs, scratch, min_words, numerator, denominator)
+    release_shuffles(spark)
+    near = _near(numerator, denominator)
+    matched = _confirmed(docs, classes, _met_first(classes, near), scratch, "first", numerator, denominator)
+    release_shuffles(spark)
+    more = _confirmed(docs, classes, _met_any(classes, matched, near), scratch, "any", numerator, denominator)
+    release_shuffles(spark)
+    later = matched.union(more).select(F.col("class").alias("_class"), F.lit(True).alias("matched"))
+    firsts = classes.select("class", "first_id", "first_line").join(later, F.col("class") == F.col("_class"), "left")
+    firsts = scratch.save(firsts.select(F.col("class").alias("_class"), "first_id", "first_line", F.coalesce("matched", F.lit(False)).alias("matched")), "firsts")
+    scratch.free("classes")
+    gone = lines.join(firsts, F.col("class") == F.col("_class")).where(F.col("matched") | (F.col("id") > F.col("first_id")) | ((F.col("id") == F.col("first_id")) & (F.col("line") > F.col("first_line"))))
+    gone = scratch.save(gone.select("id", "line"), "gone-lines")
+    scratch.free("firsts", "line-classes", "first-matched", "any-matched")
+    return gone
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_lines, n_removed, kept): ``kept`` is the text without the removed lines. ``carry``: further columns to keep."""
     scratch = Scratch(docs.sparkSession, "lines")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    gone = similar_lines(slim, scratch, min_words, numerator, denominator)
+    gone = similar_lines(slim.where("id is not null"), scratch, min_words, numerator, denominator)
     gone = scratch.save(gone.groupBy(F.col("id").alias("_id")).agg(F.collect_set("line").alias("gone")), "gone")
     joined = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"_carried_{i}") for i, c in enumerate(carry)]).join(gone, F.col("id") == F.col("_id"), "left")
     everything = F.split(F.coalesce("text", F.lit("")), "\n")
