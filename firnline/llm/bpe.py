@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,7 +24,7 @@ from firnline.llm.common import map_rows
 SPLIT_BYTES = 4096
 LEAF_BYTES = 1024
 #: Memo entries a worker keeps; beyond this it starts afresh, so memory stays bounded.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 
 #: Characters for which Python's lower() and splitting equal the library's normaliser: printable ASCII, line breaks,
 #: and Latin letters that are their own composed form. Any other text takes the library's own normaliser.
@@ -60,9 +60,9 @@ class PieceEncoder:
         spec = json.loads(open(path, encoding="utf-8").read())
         self.whole = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
-        bare = spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": [], "truncation": None, "padding": None}
-        self.final = Tokenizer.from_str(json.dumps(bare))  # the piece's last part carries the end-of-word mark
-        self.inner = Tokenizer.from_str(json.dumps(bare | {"model": spec["model"] | {"end_of_word_suffix": None}}))
+        bare = {k: v for k, v in spec.items() if k != "model"} | {"normalizer": None, "pre_tokenizer": None, "added_tokens": [], "truncation": None, "padding": None}
+        self.final = Tokenizer.from_str(json.dumps(bare | {"model": spec["model"]}))  # the piece's last part carries the end-of-word mark
+        self._inner = lambda: Tokenizer.from_str(json.dumps(bare | {"model": json.loads(open(path, encoding="utf-8").read())["model"] | {"end_of_word_suffix": None}}))
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.table = _byte_letters()
         self.token = {i: t for t, i in self.whole.get_vocab(with_added_tokens=True).items()}
@@ -70,6 +70,11 @@ class PieceEncoder:
         self.pieces = _Memo(self._piece)
         self.chunks = _Memo(self._chunk)
 
+    @cached_property
+    def inner(self):
+        """The model without end-of-word marks, for parts inside a piece; few texts need it."""
+        return self._inner()
+
     def letters(self, piece: str) -> str:
         return piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.table)
 

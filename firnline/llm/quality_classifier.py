@@ -38,7 +38,7 @@ PRIOR_GOOD = 0.8
 #: Most kinds of junk trip one or two labellers, so silence is common on both classes and a wrong vote rare.
 BELIEF = ((0.70, 0.25, 0.05), (0.60, 0.01, 0.39))
 BELIEF_WEIGHT = 0.1
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 100_000
 
 #: Labeller: (bad if, good if), over the counts of text_stats (fixed values). A labeller that knows one kind of junk
 #: only says nothing of other texts; the last two know ordinary prose.

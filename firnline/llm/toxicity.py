@@ -35,7 +35,7 @@ PRIOR = 0.1
 #: A term must occur in so many toxic examples, and such a share of them, have this chi-square, and be this much likelier there.
 MIN_TOXIC, MIN_SHARE, MIN_CHI, MIN_LIFT = 8, 0.012, 25.0, 6.0
 EVIDENCE = 5
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 100_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
