@@ -13,7 +13,7 @@ threshold of 0.85 gets); above it, less.
 
 Defined cases: A-Z are lower-cased, words are runs of anything but ASCII blanks; a text with fewer words than ``k`` is
 one shingle, the whole sequence; null, empty or blank texts have the empty set and link with nothing; repeated rows
-with one id count once; an empty table gives an empty table; further columns are ignored.
+with one id count once; rows without an id link with nothing and are kept; an empty table gives an empty table; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -190,7 +190,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 4, denominator
 
     sketched = scratch.save(map_rows(slim, sketch, "id long, n long, s1 long, s2 long, bands array<long>"), "sketches")
     same = ["n", "s1", "s2"]
-    classes = scratch.save(sketched.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = scratch.save(sketched.where("n > 0 and id is not null").groupBy(*same).agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
 
     banded = classes.select("rep", F.explode("bands").alias("key"))
     buckets = scratch.save(banded.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("size")).where("size > 1").select(F.col("key").alias("bucket"), "lead"), "buckets")
@@ -235,5 +235,5 @@ def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 4, denominator
     joined = connected_components(links, scratch, "links-cc")
     of_class = scratch.save(classes.select(*same, "rep").join(joined, F.col("rep") == F.col("node"), "left").select(*[F.col(c).alias(f"_{c}") for c in same], F.coalesce("component", "rep").alias("component")), "of-class")
     out = sketched.join(of_class, (F.col("n") == F.col("_n")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")), "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -7,7 +7,8 @@ is pruned at the window's depth, below which nothing changes the result, and nod
 
 Defined cases: words are runs of anything but ASCII blanks; a null or empty text has none and is kept empty; texts
 shorter than a window keep every word; repeated rows with one id are the same document and remove nothing of each
-other; an empty table gives an empty table; further columns are ignored.
+other; rows without an id are compared with nothing and stay whole; an empty table gives an empty
+table; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def remove_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
     """(id, n_words, n_removed, kept): ``kept`` is the remaining words joined by one space, as UTF-8 bytes."""
     scratch = Scratch(docs.sparkSession, "substring")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    marks = find_repeats(slim, Units(_cut, window, min(GRAM, window)), True, scratch)
+    marks = find_repeats(slim.where("id is not null"), Units(_cut, window, min(GRAM, window)), True, scratch)
     marked = slim.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high")
 
     def cut(columns):

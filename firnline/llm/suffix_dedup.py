@@ -6,8 +6,8 @@ hand. Tuples of name, document and place pass through a queue of sorted runs tha
 which neighbours with the same name share a prefix of the whole length. See ``repeats`` for what is compared where.
 
 Defined cases: a null text is empty; texts shorter than the length keep every byte; matches never cross documents;
-repeated rows with one id are occurrences of their own; an empty table gives an empty table; further columns are
-ignored. ``kept`` may split a character where a repeat begins inside it.
+repeated rows with one id are occurrences of their own; rows without an id are compared with nothing and stay
+whole; an empty table gives an empty table; further columns are ignored. ``kept`` may split a character where a repeat begins inside it.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     """
     scratch = Scratch(docs.sparkSession, "suffix")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    marks = find_repeats(slim, Units(_cut, length, min(GRAM, length)), first_stays, scratch)
+    marks = find_repeats(slim.where("id is not null"), Units(_cut, length, min(GRAM, length)), first_stays, scratch)
     kinds = dict(docs.dtypes)
     kept_too = [f"_carried_{i}" for i in range(len(carry))]
     whole = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(n) for c, n in zip(carry, kept_too)])

@@ -334,9 +334,20 @@ def test_top_k_of_large_numbers(spark):
     assert got == {(1, 256 * 256 * 10**10), (2, 256 * 256 * (10**11 + 2 * 10**5))}
 
 
+def test_rows_without_an_id_stay(spark, docs):
+    text = corpus()[0][1]
+    both = docs.union(spark.createDataFrame([(None, text, "en", "s0", -1, 7, "clash", "clash"), (None, None, None, None, None, None, None, None)], SCHEMA))
+    labels = spark.createDataFrame([(1, 0), (None, 1)], "doc_id long, toxic int")
+    for frame in (near_dup.near_duplicates(both), suffix_dedup.remove_repeats(both), substring_dedup.remove_passages(both), line_dedup.dedup_lines(both), quality_rules.apply_rules(both), quality_classifier.classify(both), toxicity.score_documents(both, labels), bpe.encode(both, tokenizer_path())):
+        lost = frame.where("doc_id is null")
+        assert frame.count() == len(corpus()) + 2 and lost.count() == 2
+        if "n_removed" in frame.columns:
+            assert lost.agg(F.sum("n_removed")).first()[0] == 0
+    assert packing.pack(both, tokenizer_path()).where("doc_id is null").agg(F.count_if(F.col("start") == 0)).first()[0] == 2
+
+
 def test_repeated_rows_do_no_harm(docs):
     twice = docs.union(docs)
     n = twice.count()
     for frame in (near_dup.near_duplicates(twice), suffix_dedup.remove_repeats(twice), substring_dedup.remove_passages(twice), line_dedup.dedup_lines(twice), quality_rules.apply_rules(twice)):
         assert frame.count() >= n / 2
-    _ = F
