@@ -79,17 +79,19 @@ def _classes(docs: DataFrame, scratch: Scratch, min_words: int, numerator: int,
     n = "size(tokens)"
     prefix = F.expr(f"slice(tokens, 1, cast({n} - (({n} * {numerator} + {denominator} - 1) div {denominator}) + 1 as int))")
     parity = F.expr("aggregate(tokens, 0L, (bits, t) -> bits ^ shiftleft(1L, cast(t & 63 as int)))")
-    lines = scratch.save(tokens.select("id", "line", F.xxhash64("tokens").alias("class"), F.size("tokens").alias("n"), parity.alias("parity"), prefix.alias("prefix")), "lines")
-    grouped = lines.groupBy("class").agg(F.min(F.struct("id", "line")).alias("first"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
-    classes = scratch.save(grouped.select("class", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), "n", "parity", "prefix"), "classes")
+    # 31 bits: bit_count() takes an int for a long, so a sign bit would count 33 times
+    parity2 = F.expr("aggregate(tokens, 0, (bits, t) -> bits ^ shiftleft(1, cast(shiftright(t, 6) % 31 as int)))")
+    lines = scratch.save(tokens.select("id", "line", F.xxhash64("tokens").alias("class"), F.size("tokens").alias("n"), parity.alias("parity"), parity2.alias("parity2"), prefix.alias("prefix")), "lines")
+    grouped = lines.groupBy("class").agg(F.min(F.struct("id", "line")).alias("first"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("parity2").alias("parity2"), F.first("prefix").alias("prefix"))
+    classes = scratch.save(grouped.select("class", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), "n", "parity", "parity2", "prefix"), "classes")
     lines = scratch.save(lines.select("id", "line", "class"), "line-classes")
     scratch.free("lines")
     return lines, classes
 
 
 def _posted(classes: DataFrame) -> DataFrame:
-    """A flat row per class and prefix token: these rows are what the join moves."""
-    return classes.select("class", "first_id", "first_line", "n", "parity", F.posexplode("prefix").alias("pos", "token"))
+    """A flat row per class and prefix token, the rows that the join moves; a class is known by its first line."""
+    return classes.select("first_id", "first_line", "n", "parity", "parity2", F.posexplode("prefix").alias("pos", "token"))
 
 
 def _near(numerator: int, denominator: int) -> str:
@@ -97,42 +99,48 @@ def _near(numerator: int, denominator: int) -> str:
     overlap = f"(((n + _n) * {numerator} + {numerator + denominator} - 1) div {numerator + denominator})"
     return (
         f"least(n, _n) * {denominator} >= greatest(n, _n) * {numerator} and pos <= n - {overlap} and _pos <= _n - {overlap}"
-        f" and bit_count(parity ^ _parity) <= n + _n - 2 * {overlap}"
+        f" and bit_count(parity ^ _parity) <= n + _n - 2 * {overlap} and bit_count(parity2 ^ _parity2) <= n + _n - 2 * {overlap}"
     )
 
 
+_EARLIER = "(_first_id < first_id or (_first_id = first_id and _first_line < first_line))"
+_PAIR = ["first_id", "first_line", "_first_id", "_first_line"]
+
+
 def _met_first(classes: DataFrame, near: str) -> DataFrame:
-    """(c, _c): each class with the earliest one that holds one of its prefix tokens: as many as postings at most."""
+    """Each class with the earliest one that holds one of its prefix tokens: as many pairs as postings at most."""
     earliest = Window.partitionBy("token").orderBy("first_id", "first_line")
-    lead = F.first(F.struct("class", "n", "pos", "parity")).over(earliest)
-    met = _posted(classes).withColumn("lead", lead).withColumns({"_n": F.col("lead.n"), "_pos": F.col("lead.pos"), "_parity": F.col("lead.parity")})
-    return met.where(F.col("class") != F.col("lead.class")).where(near).select(F.col("class").alias("c"), F.col("lead.class").alias("_c")).distinct()
+    posted = _posted(classes)
+    names = [c for c in posted.columns if c != "token"]
+    met = posted.withColumn("lead", F.first(F.struct(*names)).over(earliest)).select("*", *[F.col(f"lead.{c}").alias(f"_{c}") for c in names])
+    return met.where(_EARLIER).where(near).select(*_PAIR).distinct()
 
 
 def _met_any(classes: DataFrame, matched: DataFrame, near: str) -> DataFrame:
-    """(c, _c): classes that are not matched yet, with every earlier class they could resemble."""
-    left = _posted(classes.join(matched, "class", "left_anti"))
+    """Classes that are not matched yet, with every earlier class they could resemble."""
+    left = _posted(classes.join(matched, ["first_id", "first_line"], "left_anti"))
     right = _posted(classes)
     right = right.select(*[F.col(c).alias(f"_{c}") for c in right.columns])
-    return left.join(right, F.expr(f"token = _token and (_first_id < first_id or (_first_id = first_id and _first_line < first_line)) and {near}")).select(F.col("class").alias("c"), F.col("_class").alias("_c")).distinct()
+    return left.join(right, F.expr(f"token = _token and {_EARLIER} and {near}")).select(*_PAIR).distinct()
 
 
-def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, numerator: int, denominator: int) -> DataFrame:
-    """(class): classes that the words of one of their pairs confirm."""
+def _confirmed(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, numerator: int, denominator: int) -> DataFrame:
+    """(first_id, first_line): classes that the words of one of their pairs confirm. Words travel as one string."""
     pairs = scratch.save(pairs, f"{name}-pairs")
     release_shuffles(docs.sparkSession)
-    wanted = scratch.save(pairs.select("c").union(pairs.select("_c")).distinct(), f"{name}-wanted")
-    place = classes.select("class", "first_id", "first_line").join(wanted, F.col("class") == F.col("c")).select("class", F.col("first_id").alias("_id"), F.col("first_line").alias("line"))
-    asked = scratch.save(place.groupBy("_id").agg(F.collect_list(F.struct("line", "class")).alias("asked")), f"{name}-asked")
-    content = docs.join(asked, F.col("id") == F.col("_id")).select(F.split("text", "\n").alias("all"), F.explode("asked").alias("one"))
-    content = content.select(F.col("one.class").alias("class"), F.array_distinct(_words(F.get("all", F.col("one.line")))).alias("words"))
-    content = scratch.save(content.groupBy("class").agg(F.first("words").alias("words")), f"{name}-content")
-    left, right = content.select(F.col("class").alias("c1"), F.col("words").alias("w1")), content.select(F.col("class").alias("c2"), F.col("words").alias("w2"))
-    met = pairs.join(left, F.col("c") == F.col("c1")).join(right, F.col("_c") == F.col("c2"))
+    wanted = pairs.select("first_id", "first_line").union(pairs.select("_first_id", "_first_line")).distinct()
+    asked = scratch.save(wanted.groupBy(F.col("first_id").alias("_id")).agg(F.collect_list("first_line").alias("asked")), f"{name}-asked")
+    content = docs.join(asked, F.col("id") == F.col("_id")).select("id", F.split("text", "\n").alias("all"), F.explode("asked").alias("line"))
+    content = content.groupBy("id", "line").agg(F.first(F.array_join(F.array_distinct(_words(F.get("all", F.col("line")))), " ")).alias("words"))
+    content = scratch.save(content, f"{name}-content")
+    left, right = (content.select(F.col("id").alias(f"{s}id"), F.col("line").alias(f"{s}line"), F.col("words").alias(f"{s}words")) for s in ("l", "r"))
+    met = pairs.join(left, (F.col("first_id") == F.col("lid")) & (F.col("first_line") == F.col("lline")))
+    met = met.join(right, (F.col("_first_id") == F.col("rid")) & (F.col("_first_line") == F.col("rline")))
+    met = met.select("first_id", "first_line", F.split("lwords", " ").alias("w1"), F.split("rwords", " ").alias("w2"))
     shared = F.size(F.array_intersect("w1", "w2"))
     alike = met.where(shared * denominator >= (F.size("w1") + F.size("w2") - shared) * numerator)
-    out = scratch.save(alike.select(F.col("c").alias("class")).distinct(), f"{name}-matched")
-    scratch.free(*[f"{name}-{part}" for part in ("pairs", "wanted", "asked", "content")])
+    out = scratch.save(alike.select("first_id", "first_line").distinct(), f"{name}-matched")
+    scratch.free(*[f"{name}-{part}" for part in ("pairs", "asked", "content")])
     return out
 
 
@@ -146,12 +154,12 @@ def similar_lines(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS,
     lines, classes = _classes(docs, scratch, min_words, numerator, denominator)
     release_shuffles(spark)
     near = _near(numerator, denominator)
-    matched = _confirmed(docs, classes, _met_first(classes, near), scratch, "first", numerator, denominator)
+    matched = _confirmed(docs, _met_first(classes, near), scratch, "first", numerator, denominator)
     release_shuffles(spark)
-    more = _confirmed(docs, classes, _met_any(classes, matched, near), scratch, "any", numerator, denominator)
+    more = _confirmed(docs, _met_any(classes, matched, near), scratch, "any", numerator, denominator)
     release_shuffles(spark)
-    later = matched.union(more).select(F.col("class").alias("_class"), F.lit(True).alias("matched"))
-    firsts = classes.select("class", "first_id", "first_line").join(later, F.col("class") == F.col("_class"), "left")
+    later = matched.union(more).select(F.col("first_id").alias("_id"), F.col("first_line").alias("_line"), F.lit(True).alias("matched"))
+    firsts = classes.select("class", "first_id", "first_line").join(later, (F.col("first_id") == F.col("_id")) & (F.col("first_line") == F.col("_line")), "left")
     firsts = scratch.save(firsts.select(F.col("class").alias("_class"), "first_id", "first_line", F.coalesce("matched", F.lit(False)).alias("matched")), "firsts")
     scratch.free("classes")
     gone = lines.join(firsts, F.col("class") == F.col("_class")).where(F.col("matched") | (F.col("id") > F.col("first_id")) | ((F.col("id") == F.col("first_id")) & (F.col("line") > F.col("first_line"))))
