@@ -130,7 +130,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, n
     release_shuffles(docs.sparkSession)
     wanted = pairs.select("first_id", "first_line").union(pairs.select("_first_id", "_first_line")).distinct()
     asked = scratch.save(wanted.groupBy(F.col("first_id").alias("_id")).agg(F.collect_list("first_line").alias("asked")), f"{name}-asked")
-    content = docs.join(asked, F.col("id") == F.col("_id")).select("id", F.split("text", "\n").alias("all"), F.explode("asked").alias("line"))
+    content = docs.hint("merge").join(asked, F.col("id") == F.col("_id")).select("id", F.split("text", "\n").alias("all"), F.explode("asked").alias("line"))
     content = content.groupBy("id", "line").agg(F.first(F.array_join(F.array_distinct(_words(F.get("all", F.col("line")))), " ")).alias("words"))
     content = scratch.save(content, f"{name}-content")
     left, right = (content.select(F.col("id").alias(f"{s}id"), F.col("line").alias(f"{s}line"), F.col("words").alias(f"{s}words")) for s in ("l", "r"))
@@ -174,7 +174,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     gone = similar_lines(slim.where("id is not null"), scratch, min_words, numerator, denominator)
     gone = scratch.save(gone.groupBy(F.col("id").alias("_id")).agg(F.collect_set("line").alias("gone")), "gone")
-    joined = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"_carried_{i}") for i, c in enumerate(carry)]).join(gone, F.col("id") == F.col("_id"), "left")
+    joined = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"_carried_{i}") for i, c in enumerate(carry)]).hint("merge").join(gone, F.col("id") == F.col("_id"), "left")
     everything = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(F.filter(everything, lambda x, i: ~F.array_contains("gone", i)), "\n"))
     return joined.select(F.col("id").alias(id_col), F.size(everything).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"), *[F.col(f"_carried_{i}").alias(c) for i, c in enumerate(carry)])
