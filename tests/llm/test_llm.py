@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from firnline.llm import bpe, line_dedup, near_dup, packing, quality_classifier, quality_rules, repeats, substring_dedup, suffix_dedup, topk, toxicity
+from firnline.llm import bpe, components, line_dedup, near_dup, packing, quality_classifier, quality_rules, repeats, substring_dedup, suffix_dedup, topk, toxicity
+from firnline.llm.common import Scratch
 from firnline.llm.queries import tokenizer_path
 from firnline.llm.text_stats import FIELDS, stats
 
@@ -141,6 +142,15 @@ def test_near_duplicates(docs, empty, k, numerator, denominator):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_long_chains_become_one_component(spark):
+    order = list(range(1500))
+    random.Random(8).shuffle(order)
+    links = list(zip(order, order[1:])) + [(2000 + i, 2001 + i) for i in range(40)] + [(-5, -9), (-9, -7), (3000, 3000)]
+    got = components.connected_components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test")).collect()
+    expected = {i: 0 for i in order} | {i: 2000 for i in range(2000, 2041)} | {-5: -9, -9: -9, -7: -9, 3000: 3000}
+    assert len(got) == len(expected) and {r["node"]: r["component"] for r in got} == expected
+
+
 def test_blocks_link_what_pairs_do():
     rng = np.random.default_rng(0)
     base = rng.choice(1 << 40, 300, replace=False).astype(np.uint64)
