@@ -2,7 +2,7 @@
 
 Quality classifier (rejected documents go), line de-duplication (later similar lines go, and documents left without a
 word), near-duplicate documents (the one with the smallest id of each group stays), repeated passages (the first
-document keeps them) and packing. All but the last stage return the columns of ``documents``; ``n_chars`` follows the
+occurrence stays, later ones go, in the same document too) and packing. All but the last stage return the columns of ``documents``; ``n_chars`` follows the
 text. Null texts count as empty.
 """
 

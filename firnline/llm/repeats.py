@@ -33,6 +33,8 @@ from firnline.llm.wordhash import mix, span_hash, window_sums
 SHARE_WINDOWS = 1_500_000
 SLICE_UNITS = 4_000_000
 SPILL_BYTES = 64 << 20
+#: What stays of a window that repeats.
+NOTHING, DOCUMENT, OCCURRENCE = "nothing", "document", "occurrence"
 
 
 @dataclass(frozen=True)
@@ -144,23 +146,26 @@ class RunQueue:
 
 
 _REF = np.dtype([("doc", "<i8"), ("start", "<i4")])
+#: A window that repeats, and the first of its units that does.
+_HIT = np.dtype([("doc", "<i8"), ("start", "<i4"), ("begin", "<i4")])
 _SEGMENT = np.dtype([("doc", "<i8"), ("start", "<i4"), ("count", "<i4")])
 #: Regions of one gram beyond which its windows are dealt by name as well.
 HOT_REGIONS = 2000
 _RANGES = "id long, low int, high int"
 
 
-def find_repeats(docs: DataFrame, units: Units, across: bool, scratch: Scratch) -> DataFrame:
-    """(id, low array, high array): ranges of first units of the windows that repeat, per document with any.
+def find_repeats(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> DataFrame:
+    """(id, low array, high array): units from each low to its high + length - 1 repeat, per document with any.
 
-    ``docs`` has id and text. With ``across`` a window repeats if a document with a smaller id has it too; otherwise if
-    it starts anywhere else.
+    ``docs`` has id and text. What ``stays`` says which windows repeat: NOTHING, those that start anywhere else too;
+    DOCUMENT, those that a document with a smaller id has too; OCCURRENCE, those that start earlier too, by (id, start).
+    A later occurrence that overlaps the first one counts from the first one's end on, so the first stays whole.
     """
     spark = docs.sparkSession
-    settled, asking, total = _undecided(docs, units, across, scratch)
+    settled, asking, total = _undecided(docs, units, stays, scratch)
     release_shuffles(spark)
     shares = max(2 * default_partitions(spark), -(-total // SHARE_WINDOWS))
-    judged = _judged(docs, asking, units, across, shares, scratch)
+    judged = _judged(docs, asking, units, stays, shares, scratch)
     release_shuffles(spark)
     marks = settled.union(judged).groupBy("id").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
     out = scratch.save(marks, "marks")
@@ -168,7 +173,7 @@ def find_repeats(docs: DataFrame, units: Units, across: bool, scratch: Scratch)
     return out
 
 
-def _undecided(docs: DataFrame, units: Units, across: bool, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+def _undecided(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
     """Levels 1 and 2: ranges that repeat for certain, and per document the ranges whose windows must be compared."""
 
     def samples(columns):
@@ -184,23 +189,28 @@ def _undecided(docs: DataFrame, units: Units, across: bool, scratch: Scratch) ->
 
     sampled = scratch.save(map_rows(docs, samples, f"{_RANGES}, gram long, region long"), "samples")
     same = F.min("region") == F.max("region")
-    repeated = F.min("id") < F.max("id") if across else F.count("*") > 1
-    groups = scratch.save(sampled.groupBy("gram").agg(F.min("id").alias("least"), same.alias("uniform"), repeated.alias("repeated")).where("repeated").select(F.col("gram").alias("_gram"), "least", "uniform"), "groups")
+    repeated = F.min("id") < F.max("id") if stays == DOCUMENT else F.count("*") > 1
+    single = F.struct("id", "low")
+    groups = scratch.save(sampled.groupBy("gram").agg(F.min(single).alias("least"), same.alias("uniform"), repeated.alias("repeated")).where("repeated").select(F.col("gram").alias("_gram"), "least", "uniform"), "groups")
     found = scratch.save(sampled.join(groups, F.col("gram") == F.col("_gram")).drop("_gram"), "found")
     scratch.free("samples", "groups")
 
-    single = F.struct("id", "low")
     regions = scratch.save(found.where("not uniform").groupBy("gram", "region").agg(F.count("*").alias("copies"), F.min(single).alias("first")).select(F.col("gram").alias("_gram"), F.col("region").alias("_region"), "copies", "first"), "regions")
     hot = scratch.save(regions.groupBy(F.col("_gram").alias("_hot")).agg(F.ceil(F.count("*") / HOT_REGIONS).cast("int").alias("salts")).where("salts > 1"), "hot")
     open_ = found.where("not uniform").join(regions, (F.col("gram") == F.col("_gram")) & (F.col("region") == F.col("_region")))
-    if across:
+    ahead = lambda first: F.when(F.col("id") == F.col(f"{first}.id"), F.greatest("low", F.col(f"{first}.low") + units.length)).otherwise(F.col("low"))
+    begin = F.col("low")
+    if stays == DOCUMENT:
         settled, asked = F.col("id") > F.col("first.id"), F.col("id") == F.col("first.id")
-        uniform = found.where("uniform and id > least")
+        uniform = found.where("uniform and id > least.id")
+    elif stays == OCCURRENCE:
+        settled, asked, begin = single > F.col("first"), single == F.col("first"), ahead("first")
+        uniform = found.where(F.col("uniform") & (single > F.col("least"))).withColumn("low", ahead("least"))
     else:
         settled, asked = F.col("copies") > 1, single == F.col("first")
         uniform = found.where("uniform")
-    open_ = scratch.save(open_.select("id", "low", "high", "gram", settled.alias("settled"), asked.alias("asked")), "open")
-    ranges = uniform.select("id", "low", "high").union(open_.where("settled").select("id", "low", "high"))
+    open_ = scratch.save(open_.select("id", "low", "high", "gram", begin.alias("begin"), settled.alias("settled"), asked.alias("asked")), "open")
+    ranges = uniform.select("id", "low", "high").union(open_.where("settled").select("id", F.col("begin").alias("low"), "high"))
     salted = open_.where("asked").join(hot, F.col("gram") == F.col("_hot"), "left")
     asking = salted.groupBy("id").agg(F.collect_list(F.struct("low", "high", "gram", F.coalesce("salts", F.lit(1)).alias("salts"))).alias("spans")).select(F.col("id").alias("_id"), "spans")
     asking = scratch.save(asking, "asking")
@@ -209,7 +219,7 @@ def _undecided(docs: DataFrame, units: Units, across: bool, scratch: Scratch) ->
     return ranges, asking, total
 
 
-def _judged(docs: DataFrame, asking: DataFrame, units: Units, across: bool, shares: int, scratch: Scratch) -> DataFrame:
+def _judged(docs: DataFrame, asking: DataFrame, units: Units, stays: str, shares: int, scratch: Scratch) -> DataFrame:
     """Level 3: ranges of windows that repeat among those asked for."""
     texts = docs.join(asking, F.col("id") == F.col("_id")).select("id", "text", "spans")
 
@@ -267,20 +277,31 @@ def _judged(docs: DataFrame, asking: DataFrame, units: Units, across: bool, shar
                 refs["doc"] = np.repeat(segments["doc"], segments["count"])
                 refs["start"] = np.repeat(segments["start"] - np.cumsum(segments["count"]) + segments["count"], segments["count"]) + np.arange(len(refs))
                 queue.push(np.frombuffer(names, np.uint64), refs)
-        hits = [np.zeros(0, _REF)]
+        hits = [np.zeros(0, _HIT)]
         for names, refs in queue.blocks():
             run = np.cumsum(np.concatenate([[True], names[1:] != names[:-1]])) - 1
-            if across:
-                least = np.minimum.reduceat(refs["doc"], np.flatnonzero(np.diff(run, prepend=-1)))
-                hits.append(refs[refs["doc"] > least[run]])
+            hit = np.zeros(len(refs), _HIT)
+            hit["doc"], hit["start"], hit["begin"] = refs["doc"], refs["start"], refs["start"]
+            heads = np.flatnonzero(np.diff(run, prepend=-1))
+            if stays == NOTHING:
+                again = np.bincount(run)[run] > 1
             else:
-                hits.append(refs[np.bincount(run)[run] > 1])
+                least = np.minimum.reduceat(refs["doc"], heads)[run]
+                again = refs["doc"] > least
+            if stays == OCCURRENCE:
+                own = refs["doc"] == least
+                first = np.minimum.reduceat(np.where(own, refs["start"], np.iinfo(np.int32).max), heads)[run]
+                again |= own & (refs["start"] > first)
+                hit["begin"] = np.where(own, np.maximum(refs["start"], first + units.length), refs["start"])
+            hits.append(hit[again])
         hits = np.concatenate(hits)
         hits = hits[np.lexsort((hits["start"], hits["doc"]))]
         doc, start = hits["doc"], hits["start"]
         new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)])) if len(hits) else np.zeros(0, np.int64)
         last = np.append(new[1:], len(hits)) - 1 if len(hits) else new
-        yield pa.RecordBatch.from_arrays([pa.array(doc[new], pa.int64()), pa.array(start[new], pa.int32()), pa.array(start[last], pa.int32())], schema=out)
+        # adjacent windows' units are one run, from the first that any of them begins with
+        low = np.minimum.reduceat(hits["begin"], new) if len(hits) else start
+        yield pa.RecordBatch.from_arrays([pa.array(doc[new], pa.int64()), pa.array(low, pa.int32()), pa.array(start[last], pa.int32())], schema=out)
 
     # applyInArrow sees by these annotations that a group comes batch by batch
     judge.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
@@ -288,7 +309,7 @@ def _judged(docs: DataFrame, asking: DataFrame, units: Units, across: bool, shar
 
 
 def covered(n: int, low: list[int], high: list[int], length: int) -> np.ndarray:
-    """Boolean per unit: inside a window whose first unit lies in one of the ranges."""
+    """Boolean per unit: between one of the ranges' low and its high + length - 1."""
     change = np.zeros(n + 1, np.int64)
     np.add.at(change, np.asarray(low, np.int64), 1)
     np.add.at(change, np.asarray(high, np.int64) + length, -1)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firnline.llm.common import Scratch, map_rows
-from firnline.llm.repeats import Units, covered, find_repeats
+from firnline.llm.repeats import DOCUMENT, Units, covered, find_repeats
 from firnline.llm.wordhash import to_bytes, words
 
 GRAM = 8
@@ -34,7 +34,7 @@ def remove_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
     """(id, n_words, n_removed, kept): ``kept`` is the remaining words joined by one space, as UTF-8 bytes."""
     scratch = Scratch(docs.sparkSession, "substring")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    marks = find_repeats(slim.where("id is not null"), Units(_cut, window, min(GRAM, window)), True, scratch)
+    marks = find_repeats(slim.where("id is not null"), Units(_cut, window, min(GRAM, window)), DOCUMENT, scratch)
     marked = slim.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high")
 
     def cut(columns):

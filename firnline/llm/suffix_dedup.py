@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firnline.llm.common import Scratch, map_rows
-from firnline.llm.repeats import Units, covered, find_repeats
+from firnline.llm.repeats import NOTHING, OCCURRENCE, Units, covered, find_repeats
 from firnline.llm.wordhash import _CODE, to_bytes
 
 GRAM = 64
@@ -31,12 +31,13 @@ def _cut(texts):
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", first_stays: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept): removed [start, end) runs and the remaining bytes.
 
-    With ``first_stays`` only bytes of strings that start in a document with a smaller id go. ``carry``: further columns
-    to keep.
+    With ``first_stays`` the first occurrence of each string, by (id, start), keeps its place and all later ones go,
+    those in the same document included; of one that overlaps the first, the bytes after the first's end.
+    ``carry``: further columns to keep.
     """
     scratch = Scratch(docs.sparkSession, "suffix")
     slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    marks = find_repeats(slim.where("id is not null"), Units(_cut, length, min(GRAM, length)), first_stays, scratch)
+    marks = find_repeats(slim.where("id is not null"), Units(_cut, length, min(GRAM, length)), OCCURRENCE if first_stays else NOTHING, scratch)
     kinds = dict(docs.dtypes)
     kept_too = [f"_carried_{i}" for i in range(len(carry))]
     whole = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(n) for c, n in zip(carry, kept_too)])

@@ -204,6 +204,28 @@ def test_suffix_removal(docs, empty, length):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("length", [400, 80])
+def test_first_occurrence_stays(spark, docs, length):
+    """Every window against the first of its name by (id, start); a passage repeated inside one document too."""
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage, other = letters(400), letters(150)
+    more = [(2000, passage * 20), (2001, letters(30) + passage + letters(9) + passage[:300] + other), (2002, other * 7), (2003, letters(50) + other + passage + other), (2004, "y" * 700)]
+    everything = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string")).repartition(3)
+    texts = {i: (t or "").encode() for i, t in [r[:2] for r in corpus()] + more}
+    first, expected = {}, {}
+    for i, t in sorted(texts.items()):
+        gone = np.zeros(len(t), bool)
+        for s in range(len(t) - length + 1):
+            j, f = first.setdefault(t[s : s + length], (i, s))
+            if (j, f) != (i, s):
+                gone[max(s, f + length) if i == j else s : s + length] = True
+        expected[i] = np.frombuffer(t, np.uint8)[~gone].tobytes()
+    got = rows(suffix_dedup.remove_repeats(everything, length, first_stays=True))
+    assert {i: bytes(r["kept"]) for i, r in got.items()} == expected
+    assert len(expected[2004]) == length and (length < 400 or expected[2000] == passage.encode())
+
+
 def test_hot_passages_are_salted(spark, monkeypatch):
     monkeypatch.setattr(repeats, "HOT_REGIONS", 3)
     rng = random.Random(2)
