@@ -3,7 +3,7 @@
 Quality classifier (rejected documents go), line de-duplication (later similar lines go, and documents left without a
 word), near-duplicate documents (the one with the smallest id of each group stays), repeated passages (the first
 occurrence stays, later ones go, in the same document too) and packing. All but the last stage return the columns of ``documents``; ``n_chars`` follows the
-text. Null texts count as empty.
+text. Null texts count as empty; documents without an id are compared with none and stay.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = near_dup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").select(*COLUMNS)
+    with_id = docs.join(kept.where("_kept is not null"), F.col("doc_id") == F.col("_kept"), "left_semi")
+    return with_id.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))  # null equals no _kept
 
 
 def new_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

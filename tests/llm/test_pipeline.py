@@ -44,3 +44,12 @@ def test_stages(spark, pipeline, tmp_path):
     assert packed == {r["doc_id"] for r in kept.select("doc_id").collect()}
     assert {1, 2} <= packed and 5 not in packed and 3 not in packed  # prose stays; junk and the copy go
     assert pipeline.run(spark, str(folder)).count() == docs.count()
+
+
+def test_documents_without_an_id_stay(spark, pipeline, tmp_path):
+    good = [r[1] for r in corpus_rows()[6:9]]
+    table = spark.createDataFrame(corpus_rows() + [(None, t, "en", "s", -1) for t in good], "doc_id long, text string, lang string, source string, n_chars long")
+    for n, (_, stage) in enumerate(pipeline.STAGES[:-1]):
+        stage(spark, table, "").write.parquet(f"{tmp_path}/null-{n}")
+        table = spark.read.parquet(f"{tmp_path}/null-{n}")
+        assert sorted(r["text"] for r in table.where("doc_id is null").collect()) == sorted(good)
