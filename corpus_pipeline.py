@@ -27,7 +27,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(docs, carry=("lang", "source"))
+    out = line_dedup.dedup_lines(docs, min_words=1, carry=("lang", "source"))
     left = (F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]")
     return _documents(out.where(left).withColumn("text", F.col("kept")))
 

@@ -53,3 +53,11 @@ def test_documents_without_an_id_stay(spark, pipeline, tmp_path):
         stage(spark, table, "").write.parquet(f"{tmp_path}/null-{n}")
         table = spark.read.parquet(f"{tmp_path}/null-{n}")
         assert sorted(r["text"] for r in table.where("doc_id is null").collect()) == sorted(good)
+
+
+def test_lines_of_few_words_are_compared(spark, pipeline):
+    short, few = "all rights reserved", "la li lu " * 300
+    texts = [f"{short}\n{few}\nsome text", f"other text\n{short}\n\n{few}", "text other", "one\ntwo\none", "reserved rights all", short + " here"]
+    table = spark.createDataFrame([(i, t, "en", "s", -1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in pipeline.new_lines(spark, table, "").collect()}
+    assert got == {0: texts[0], 1: "other text\n", 3: "one\ntwo", 5: texts[5]}
