@@ -39,6 +39,8 @@ PRIOR_GOOD = 0.8
 BELIEF = ((0.70, 0.25, 0.05), (0.60, 0.01, 0.39))
 BELIEF_WEIGHT = 0.1
 MEMO_ENTRIES = 100_000
+#: Longer words are not remembered.
+MEMO_BYTES = 64
 
 #: Labeller: (bad if, good if), over the counts of text_stats (fixed values). A labeller that knows one kind of junk
 #: only says nothing of other texts; the last two know ordinary prose.
@@ -80,15 +82,17 @@ _RUNS = [(re.compile("[^\\W\\d_A-Z]+"), "a"), (re.compile("[A-Z]+"), "A"), (re.c
 
 
 class _Buckets(dict):
-    """Bytes of a word -> its two buckets, the word itself and its shape."""
+    """Bytes of a word -> its two buckets, the word itself and the whole word's shape."""
 
     def __missing__(self, word: bytes):
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        shape = word[:64].decode("utf-8", "replace")
+        shape = word.decode("utf-8", "replace")
         for pattern, mark in _RUNS:
             shape = pattern.sub(mark, shape)
-        value = self[word] = (zlib.crc32(b"w" + word) % DIMS, zlib.crc32(b"s" + shape.encode("utf-8", "replace")) % DIMS)
+        value = (zlib.crc32(b"w" + word) % DIMS, zlib.crc32(b"s" + shape.encode("utf-8", "replace")) % DIMS)
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_ENTRIES:
+                self.clear()
+            self[word] = value
         return value
 
 

@@ -289,6 +289,14 @@ def test_labellers_and_scorer(docs, empty):
     assert dict(zip(FIELDS, stats(None)))["n_words"] == 0
 
 
+def test_shapes_are_of_whole_words():
+    buckets = quality_classifier._Buckets()
+    start = "字" * 40
+    plain, longer, mixed = (buckets[w.encode()] for w in (start, start + "文" * 400, start + "文1A" * 400))
+    assert plain[1] == longer[1] != mixed[1] and plain[0] != longer[0]
+    assert buckets[(start + "文1A" * 400).encode()] == mixed and not buckets  # long words are not remembered
+
+
 def test_estimated_accuracies():
     """Votes drawn from known accuracies: the posterior orders documents by their true class."""
     rng = np.random.default_rng(0)
