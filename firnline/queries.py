@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from firnline.functions import arrays, geo, physics, values
@@ -459,12 +459,17 @@ def signed_distance(spark, sf_dir):
 _TRACKS = "SELECT l_suppkey AS frame_id, l_orderkey * 8 + l_linenumber AS k, ((l_suppkey * 977 % 5000) + (l_orderkey % 97) * 20 * (l_suppkey % 3 - 1))::DOUBLE AS x, ((l_suppkey * 733 % 5000) + (l_orderkey % 97) * 20 * (l_suppkey % 2))::DOUBLE AS y, l_quantity AS v FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 40 = 1"
 
 
+#: Side of the square that tracks begin in, and the distance of a track's traces.
+_SQUARE, _SPACING = 200_003, 100.0
+
+
 def _tracks(spark, sf_dir):
-    n, s, o = F.col, F.col("l_suppkey"), F.col("l_orderkey")
-    rows = _table(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_orderkey % 40 = 1")
-    x = (s * 977 % 5000 + (o % 97) * 20 * (s % 3 - 1)).cast("double")
-    y = (s * 733 % 5000 + (o % 97) * 20 * (s % 2)).cast("double")
-    return rows.select(s.alias("frame_id"), (o * 8 + n("l_linenumber")).alias("slow_time"), x.alias("x"), y.alias("y"), n("l_quantity").alias("v"))
+    """Every line is a trace; a supplier's are a straight track, begun somewhere in the square."""
+    s, o, n = F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber")
+    along = F.row_number().over(Window.partitionBy(s).orderBy(o, n)) * _SPACING
+    x = s * 48271 % _SQUARE + along * F.cos(F.radians(s * 37 % 360))
+    y = s * 69621 % _SQUARE + along * F.sin(F.radians(s * 37 % 360))
+    return _table(spark, sf_dir, "lineitem").select(s.alias("frame_id"), (o * 8 + n).alias("slow_time"), x.alias("x"), y.alias("y"), F.col("l_quantity").alias("v"))
 
 
 @query()

@@ -44,3 +44,30 @@ def test_query(spark, duck, name):
 
 def test_every_query_has_an_oracle_but_the_iterative_one():
     assert set(queries.QUERIES) - set(queries.ORACLES) == {"crossovers"}
+
+
+def test_crossovers_of_all_lines(spark):
+    """All pairs of all steps of all tracks, by numpy; tracks are straight, so steps that meet are one place."""
+    import numpy as np
+    import pandas as pd
+
+    lines = pd.read_parquet(f"{FOLDER}/lineitem.parquet").sort_values(["l_orderkey", "l_linenumber"])
+    tracks = {}
+    for s, rows in lines.groupby("l_suppkey"):
+        turn, along = math.radians(s * 37 % 360), 100.0 * np.arange(1, len(rows) + 1)
+        points = np.stack([s * 48271 % 200_003 + along * math.cos(turn), s * 69621 % 200_003 + along * math.sin(turn)], 1)
+        tracks[s] = points, rows["l_quantity"].to_numpy(float), turn
+
+    expected = set()
+    for a in tracks:
+        for b in tracks:
+            angle = math.degrees(tracks[a][2] - tracks[b][2]) % 180
+            if a < b and min(angle, 180 - angle) >= 20:
+                p, q = tracks[a][0], tracks[b][0]
+                distance = np.hypot(*(p[:, None] - q[None]).transpose(2, 0, 1))
+                i, j = np.unravel_index(distance.argmin(), distance.shape)
+                if distance[i, j] <= 100:
+                    expected.add((a, b, round(float(distance[i, j]), 3), float(tracks[a][1][i]), float(tracks[b][1][j])))
+    found = queries.QUERIES["crossovers"](spark, FOLDER).collect()
+    assert expected and {(r["frame_a"], r["frame_b"], round(r["distance_m"], 3), float(r["v_a"]), float(r["v_b"])) for r in found} == expected
+    assert len(found) == len(expected)
