@@ -1,9 +1,7 @@
 """Removal of word passages that a document with a smaller id has too (operator 5).
 
-Prefix-partitioned suffix trees: suffixes are split by prefixes of variable length into groups that fit a task, and
-deep internal nodes of a group's subtree are the repeats. Here a group's prefix is a sampled gram of GRAM words; where
-its suffixes differ, the prefix grows to the sample's region and then to the window itself, see ``repeats``. The tree
-is pruned at the window's depth, below which nothing changes the result, and nodes are named by fingerprints.
+No suffix trees are built. Content-defined samples, grams of GRAM words, are grouped by fingerprint; where a group's
+occurrences differ, they are told apart by the region around the sample and then window by window, see ``repeats``.
 
 Defined cases: words are runs of anything but ASCII blanks; a null or empty text has none and is kept empty; texts
 shorter than a window keep every word; repeated rows with one id are the same document and remove nothing of each

@@ -1,9 +1,8 @@
 """Removal of byte strings that occur more than once in the corpus (operator 9).
 
-External induced sorting, on sampled suffixes: samples are sorted first (their gram, then the region that follows from
-it), and the order of the windows between samples is induced from them, each window's name from the sums already at
-hand. Tuples of name, document and place pass through a queue of sorted runs that spills to disk (``RunQueue``), in
-which neighbours with the same name share a prefix of the whole length. See ``repeats`` for what is compared where.
+No suffix array is built. Content-defined samples are grouped by fingerprint of their gram, then of the region around it,
+and what is left window by window: names, documents and places pass through a queue of sorted runs that spills to disk
+(``RunQueue``), in which equal names are neighbours. See ``repeats`` for what is compared where.
 
 Defined cases: a null text is empty; texts shorter than the length keep every byte; matches never cross documents;
 repeated rows with one id are occurrences of their own; rows without an id are compared with nothing and stay
