@@ -1,7 +1,7 @@
 """Crossovers: places where two frames' lines meet, and the differences of their traces there.
 
-Frames meet through the cells of their traces' steps (consecutive traces joined by a line): steps of two frames that
-come within the threshold share a cell or lie in neighbouring ones. Steps that meet are grouped into places, runs of
+Frames meet through the cells along their traces' steps (consecutive traces joined by a line), as many as a step is
+long, not as its box is wide: steps of two frames that come within the threshold share a cell or lie in neighbouring ones. Steps that meet are grouped into places, runs of
 adjacent steps of both frames; each place gives its nearest pair of traces. Places are bounded by the steps' extents
 widened by half the threshold.
 """
@@ -47,34 +47,41 @@ def find_crossovers(traces: DataFrame, threshold: float, variables: Sequence[str
     w = Window.partitionBy(frame).orderBy(order)
     track = traces.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns({"_i": F.row_number().over(w), "_bearing": bearing(x, y, [frame], [order]), "_nx": F.lead(x).over(w), "_ny": F.lead(y).over(w)})
     steps = track.where(F.col("_nx").isNotNull())
-    low_x, low_y = F.floor(F.least(x, "_nx") / threshold), F.floor(F.least(y, "_ny") / threshold)
-    high_x, high_y = F.floor(F.greatest(x, "_nx") / threshold), F.floor(F.greatest(y, "_ny") / threshold)
-
-    def cells(grow: int) -> Column:
-        xs, ys = F.sequence(low_x - grow, high_x + grow), F.sequence(low_y - grow, high_y + grow)
-        return F.explode(F.flatten(F.transform(xs, lambda i: F.transform(ys, lambda j: F.struct(i.alias("i"), j.alias("j"))))))
-
-    a = steps.select(F.col(frame).alias("frame_a"), F.col("_i").alias("ia"), F.col(x).alias("ax0"), F.col(y).alias("ay0"), F.col("_nx").alias("ax1"), F.col("_ny").alias("ay1"), cells(0).alias("cell"))
-    b = steps.select(F.col(frame).alias("frame_b"), F.col("_i").alias("ib"), F.col(x).alias("bx0"), F.col(y).alias("by0"), F.col("_nx").alias("bx1"), F.col("_ny").alias("by1"), cells(1).alias("_cell"))
-    met = a.join(b, (F.col("cell.i") == F.col("_cell.i")) & (F.col("cell.j") == F.col("_cell.j")) & (F.col("frame_a") < F.col("frame_b")))
-    met = met.where(_step_distance() <= threshold).select("frame_a", "frame_b", "ia", "ib").distinct()
+    # Points along a step, half a threshold apart at most, stand for it: where two steps come within the threshold, two
+    # of their points lie within 1.5 of it, so in the same cell of that width or in neighbouring ones.
+    pieces = F.greatest(F.lit(1), F.ceil(distance(F.col(x), F.col(y), F.col("_nx"), F.col("_ny")) / (threshold / 2)).cast("int"))
+
+    def walked(grow: int) -> Column:
+        def near(k: Column) -> Column:
+            at = lambda low, high: F.floor((F.col(low) + (F.col(high) - F.col(low)) * k / pieces) / (1.5 * threshold))
+            around = [F.struct((at(x, "_nx") + i).alias("i"), (at(y, "_ny") + j).alias("j")) for i in range(-grow, grow + 1) for j in range(-grow, grow + 1)]
+            return F.array(*around)
+
+        return F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), pieces), near))))
+
+    steps = steps.withColumns({"_mx": midpoint(F.col(x), F.col("_nx")), "_my": midpoint(F.col(y), F.col("_ny")), "_half": distance(F.col(x), F.col(y), F.col("_nx"), F.col("_ny")) / 2})
+    a = steps.select(F.col(frame).alias("frame_a"), F.col("_i").alias("ia"), F.col(x).alias("ax0"), F.col(y).alias("ay0"), F.col("_nx").alias("ax1"), F.col("_ny").alias("ay1"), F.col("_mx").alias("amx"), F.col("_my").alias("amy"), F.col("_half").alias("ahalf"), walked(0).alias("cell"))
+    b = steps.select(F.col(frame).alias("frame_b"), F.col("_i").alias("ib"), F.col(x).alias("bx0"), F.col(y).alias("by0"), F.col("_nx").alias("bx1"), F.col("_ny").alias("by1"), F.col("_mx").alias("bmx"), F.col("_my").alias("bmy"), F.col("_half").alias("bhalf"), walked(1).alias("_cell"))
+    # steps whose middles are too far apart are told before the full distance, which is the dearest of the conditions
+    close = F.expr(f"(amx - bmx) * (amx - bmx) + (amy - bmy) * (amy - bmy) <= 1.000001D * (ahalf + bhalf + {threshold}D) * (ahalf + bhalf + {threshold}D)")
+    met = a.join(b, (F.col("cell.i") == F.col("_cell.i")) & (F.col("cell.j") == F.col("_cell.j")) & (F.col("frame_a") < F.col("frame_b")) & close & (_step_distance() <= threshold))
+    # traces within the threshold end steps that meet, so a place's nearest traces are ends of its own steps
+    ends = [F.struct(distance(*[F.col(f"{s}{c}{e}") for s, e in (("a", i), ("b", j)) for c in "xy"]).alias("distance_m"), (F.col("ia") + i).alias("ia"), (F.col("ib") + j).alias("ib")) for i in (0, 1) for j in (0, 1)]
+    met = met.select("frame_a", "frame_b", "ia", "ib", F.least(*ends).alias("nearest")).distinct()
 
     # a new place where either track jumps by more than GAP steps
     by_a = Window.partitionBy("frame_a", "frame_b").orderBy("ia", "ib")
     met = met.withColumn("_pa", F.sum(F.when(F.col("ia") - F.lag("ia").over(by_a) > GAP, 1).otherwise(0)).over(by_a))
     by_b = Window.partitionBy("frame_a", "frame_b", "_pa").orderBy("ib", "ia")
     met = met.withColumn("_pb", F.sum(F.when(F.col("ib") - F.lag("ib").over(by_b) > GAP, 1).otherwise(0)).over(by_b))
-    places = met.groupBy("frame_a", "frame_b", "_pa", "_pb").agg(F.min("ia").alias("a0"), (F.max("ia") + 1).alias("a1"), F.min("ib").alias("b0"), (F.max("ib") + 1).alias("b1"))
+    best = met.groupBy("frame_a", "frame_b", "_pa", "_pb").agg(F.min("nearest").alias("_best")).select("frame_a", "frame_b", "_best.*").where(F.col("distance_m") <= threshold)
 
     def side(name: str) -> DataFrame:
         return track.select(F.col(frame).alias(f"_frame_{name}"), F.col("_i").alias(f"_i{name}"), F.col(x).alias(f"x_{name}"), F.col(y).alias(f"y_{name}"), F.col("_bearing").alias(f"bearing_{name}"), *[F.col(v).alias(f"{v}_{name}") for v in variables])
 
-    pairs = places.join(side("a"), (F.col("frame_a") == F.col("_frame_a")) & F.col("_ia").between(F.col("a0"), F.col("a1")))
-    pairs = pairs.join(side("b"), (F.col("frame_b") == F.col("_frame_b")) & F.col("_ib").between(F.col("b0"), F.col("b1")))
-    pairs = pairs.withColumn("distance_m", distance(F.col("x_a"), F.col("y_a"), F.col("x_b"), F.col("y_b")))
-    wanted = ["distance_m", "_ia", "_ib", "x_a", "y_a", "x_b", "y_b", "bearing_a", "bearing_b", *[f"{v}_{s}" for v in variables for s in "ab"]]
-    best = pairs.groupBy("frame_a", "frame_b", "_pa", "_pb").agg(F.min_by(F.struct(*wanted), F.struct("distance_m", "_ia", "_ib")).alias("_best")).select("frame_a", "frame_b", "_best.*")
-    out = best.withColumn("angle_deg", acute_angle(F.col("bearing_a"), F.col("bearing_b"))).where((F.col("distance_m") <= threshold) & (F.col("angle_deg") >= min_angle))
+    best = best.join(side("a"), (F.col("frame_a") == F.col("_frame_a")) & (F.col("ia") == F.col("_ia")))
+    best = best.join(side("b"), (F.col("frame_b") == F.col("_frame_b")) & (F.col("ib") == F.col("_ib")))
+    out = best.withColumn("angle_deg", acute_angle(F.col("bearing_a"), F.col("bearing_b"))).where(F.col("angle_deg") >= min_angle)
     triples = [e for v in variables for e in (F.col(f"{v}_a"), F.col(f"{v}_b"), (F.col(f"{v}_a") - F.col(f"{v}_b")).alias(f"{v}_diff"))]
     return out.select("frame_a", "frame_b", "distance_m", "angle_deg", midpoint(F.col("x_a"), F.col("x_b")).alias("x_proj"), midpoint(F.col("y_a"), F.col("y_b")).alias("y_proj"), *triples)
 
