@@ -15,6 +15,8 @@ from firnline.llm import line_dedup, near_dup, packing, quality_classifier, suff
 from firnline.llm.common import Scratch, read_table
 from firnline.llm.queries import tokenizer_path
 
+#: Passages of 50 words and more are longer than this in every language at hand.
+PASSAGE_BYTES = 240
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -39,11 +41,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def new_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.remove_repeats(docs, first_stays=True, carry=("lang", "source"))
-    text = F.expr("try_validate_utf8(cast(kept as string))")
-    repaired = F.coalesce(text, F.expr("make_valid_utf8(cast(kept as string))"))  # a run may begin inside a character
-    left = (F.col("n_removed") == 0) | repaired.rlike(r"[^\x20\x09-\x0D]")
-    return _documents(out.withColumn("text", repaired).where(left))
+    out = suffix_dedup.remove_repeats(docs, PASSAGE_BYTES, first_stays=True, whole_characters=True, carry=("lang", "source"))
+    out = out.withColumn("text", F.col("kept").cast("string"))
+    return _documents(out.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

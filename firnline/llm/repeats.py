@@ -145,20 +145,31 @@ class RunQueue:
                 os.unlink(path)
 
 
-_REF = np.dtype([("doc", "<i8"), ("start", "<i4")])
+_REF = np.dtype([("doc", "<i8"), ("part", "<i8"), ("start", "<i4")])
 #: A window that repeats, and the first of its units that does.
-_HIT = np.dtype([("doc", "<i8"), ("start", "<i4"), ("begin", "<i4")])
-_SEGMENT = np.dtype([("doc", "<i8"), ("start", "<i4"), ("count", "<i4")])
+_HIT = np.dtype([("doc", "<i8"), ("part", "<i8"), ("start", "<i4"), ("begin", "<i4")])
+_SEGMENT = np.dtype([("doc", "<i8"), ("part", "<i8"), ("start", "<i4"), ("count", "<i4")])
 #: Regions of one gram beyond which its windows are dealt by name as well.
 HOT_REGIONS = 2000
-_RANGES = "id long, low int, high int"
+_RANGES = "id long, part long, low int, high int"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` (id, text) with ``part``, which tells rows of one id with different texts apart."""
+    return docs.withColumn("part", F.xxhash64("text"))
+
+
+def with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``docs``, keyed, with the ranges that ``find_repeats`` found in each."""
+    marks = marks.select(F.col("id").alias("_id"), F.col("part").alias("_part"), "low", "high")
+    return docs.join(marks, (F.col("id") == F.col("_id")) & (F.col("part") == F.col("_part")), "left").drop("_id", "_part")
 
 
 def find_repeats(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> DataFrame:
-    """(id, low array, high array): units from each low to its high + length - 1 repeat, per document with any.
+    """(id, part, low array, high array): units from each low to its high + length - 1 repeat, per text with any.
 
-    ``docs`` has id and text. What ``stays`` says which windows repeat: NOTHING, those that start anywhere else too;
-    DOCUMENT, those that a document with a smaller id has too; OCCURRENCE, those that start earlier too, by (id, start).
+    ``docs`` is ``keyed``. What ``stays`` says which windows repeat: NOTHING, those that start anywhere else too;
+    DOCUMENT, those that a document with a smaller id has too; OCCURRENCE, those that start earlier too, by (id, part, start).
     A later occurrence that overlaps the first one counts from the first one's end on, so the first stays whole.
     """
     spark = docs.sparkSession
@@ -167,7 +178,7 @@ def find_repeats(docs: DataFrame, units: Units, stays: str, scratch: Scratch) ->
     shares = max(2 * default_partitions(spark), -(-total // SHARE_WINDOWS))
     judged = _judged(docs, asking, units, stays, shares, scratch)
     release_shuffles(spark)
-    marks = settled.union(judged).groupBy("id").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
+    marks = settled.union(judged).groupBy("id", "part").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
     out = scratch.save(marks, "marks")
     scratch.free("found", "open", "asking", "judged")
     return out
@@ -177,20 +188,20 @@ def _undecided(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> t
     """Levels 1 and 2: ranges that repeat for certain, and per document the ranges whose windows must be compared."""
 
     def samples(columns):
-        ids = np.asarray(columns["id"].to_numpy(zero_copy_only=False), np.int64)
+        ids, part = (np.asarray(columns[c].to_numpy(zero_copy_only=False), np.int64) for c in ("id", "part"))
         texts = columns["text"].to_pylist()
         parts = []
         for a, b in _bounded(texts):
             found = sample(*units.cut(texts[a:b]), units)
-            found["doc"] = ids[a:b][found["doc"]]
+            found["part"], found["doc"] = part[a:b][found["doc"]], ids[a:b][found["doc"]]
             parts.append(found)
         out = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
-        return {"id": out["doc"], "low": out["low"].astype(np.int32), "high": out["high"].astype(np.int32), "gram": out["gram"], "region": out["region"]}
+        return {"id": out["doc"], "part": out["part"], "low": out["low"].astype(np.int32), "high": out["high"].astype(np.int32), "gram": out["gram"], "region": out["region"]}
 
     sampled = scratch.save(map_rows(docs, samples, f"{_RANGES}, gram long, region long"), "samples")
     same = F.min("region") == F.max("region")
     repeated = F.min("id") < F.max("id") if stays == DOCUMENT else F.count("*") > 1
-    single = F.struct("id", "low")
+    single = F.struct("id", "part", "low")
     groups = scratch.save(sampled.groupBy("gram").agg(F.min(single).alias("least"), same.alias("uniform"), repeated.alias("repeated")).where("repeated").select(F.col("gram").alias("_gram"), "least", "uniform"), "groups")
     found = scratch.save(sampled.join(groups, F.col("gram") == F.col("_gram")).drop("_gram"), "found")
     scratch.free("samples", "groups")
@@ -198,7 +209,7 @@ def _undecided(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> t
     regions = scratch.save(found.where("not uniform").groupBy("gram", "region").agg(F.count("*").alias("copies"), F.min(single).alias("first")).select(F.col("gram").alias("_gram"), F.col("region").alias("_region"), "copies", "first"), "regions")
     hot = scratch.save(regions.groupBy(F.col("_gram").alias("_hot")).agg(F.ceil(F.count("*") / HOT_REGIONS).cast("int").alias("salts")).where("salts > 1"), "hot")
     open_ = found.where("not uniform").join(regions, (F.col("gram") == F.col("_gram")) & (F.col("region") == F.col("_region")))
-    ahead = lambda first: F.when(F.col("id") == F.col(f"{first}.id"), F.greatest("low", F.col(f"{first}.low") + units.length)).otherwise(F.col("low"))
+    ahead = lambda first: F.when((F.col("id") == F.col(f"{first}.id")) & (F.col("part") == F.col(f"{first}.part")), F.greatest("low", F.col(f"{first}.low") + units.length)).otherwise(F.col("low"))
     begin = F.col("low")
     if stays == DOCUMENT:
         settled, asked = F.col("id") > F.col("first.id"), F.col("id") == F.col("first.id")
@@ -209,10 +220,10 @@ def _undecided(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> t
     else:
         settled, asked = F.col("copies") > 1, single == F.col("first")
         uniform = found.where("uniform")
-    open_ = scratch.save(open_.select("id", "low", "high", "gram", begin.alias("begin"), settled.alias("settled"), asked.alias("asked")), "open")
-    ranges = uniform.select("id", "low", "high").union(open_.where("settled").select("id", F.col("begin").alias("low"), "high"))
+    open_ = scratch.save(open_.select("id", "part", "low", "high", "gram", begin.alias("begin"), settled.alias("settled"), asked.alias("asked")), "open")
+    ranges = uniform.select("id", "part", "low", "high").union(open_.where("settled").select("id", "part", F.col("begin").alias("low"), "high"))
     salted = open_.where("asked").join(hot, F.col("gram") == F.col("_hot"), "left")
-    asking = salted.groupBy("id").agg(F.collect_list(F.struct("low", "high", "gram", F.coalesce("salts", F.lit(1)).alias("salts"))).alias("spans")).select(F.col("id").alias("_id"), "spans")
+    asking = salted.groupBy("id", "part").agg(F.collect_list(F.struct("low", "high", "gram", F.coalesce("salts", F.lit(1)).alias("salts"))).alias("spans")).select(F.col("id").alias("_id"), F.col("part").alias("_part"), "spans")
     asking = scratch.save(asking, "asking")
     scratch.free("regions", "hot")
     total = open_.where("asked").agg(F.sum(F.expr("high - low + 1"))).first()[0] or 0
@@ -221,10 +232,10 @@ def _undecided(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> t
 
 def _judged(docs: DataFrame, asking: DataFrame, units: Units, stays: str, shares: int, scratch: Scratch) -> DataFrame:
     """Level 3: ranges of windows that repeat among those asked for."""
-    texts = docs.join(asking, F.col("id") == F.col("_id")).select("id", "text", "spans")
+    texts = docs.join(asking, (F.col("id") == F.col("_id")) & (F.col("part") == F.col("_part"))).select("id", "part", "text", "spans")
 
     def windows(columns):
-        ids = np.asarray(columns["id"].to_numpy(zero_copy_only=False), np.int64)
+        ids, part = (np.asarray(columns[c].to_numpy(zero_copy_only=False), np.int64) for c in ("id", "part"))
         spans = columns["spans"].to_pylist()
         texts = columns["text"].to_pylist()
         names, segments = [np.zeros(0, np.uint64)], [np.zeros(0, _SEGMENT)]
@@ -246,7 +257,7 @@ def _judged(docs: DataFrame, asking: DataFrame, units: Units, stays: str, shares
             name, share, region, start = name[order], share[order], region[order], start[order]
             new = np.flatnonzero(np.concatenate([[True], (share[1:] != share[:-1]) | (region[1:] != region[:-1]) | (start[1:] != start[:-1] + 1)])) if len(name) else np.zeros(0, np.int64)
             segment = np.zeros(len(new), _SEGMENT)
-            segment["doc"], segment["start"] = ids[owner[region[new]]], start[new]
+            segment["doc"], segment["part"], segment["start"] = ids[owner[region[new]]], part[owner[region[new]]], start[new]
             segment["count"] = np.diff(np.append(new, len(name)))
             names.append(name)
             segments.append(segment)
@@ -274,34 +285,38 @@ def _judged(docs: DataFrame, asking: DataFrame, units: Units, stays: str, shares
             for names, segments in zip(batch.column("names").to_pylist(), batch.column("segments").to_pylist()):
                 segments = np.frombuffer(segments, _SEGMENT)
                 refs = np.zeros(int(segments["count"].sum()), _REF)
-                refs["doc"] = np.repeat(segments["doc"], segments["count"])
+                refs["doc"], refs["part"] = np.repeat(segments["doc"], segments["count"]), np.repeat(segments["part"], segments["count"])
                 refs["start"] = np.repeat(segments["start"] - np.cumsum(segments["count"]) + segments["count"], segments["count"]) + np.arange(len(refs))
                 queue.push(np.frombuffer(names, np.uint64), refs)
         hits = [np.zeros(0, _HIT)]
         for names, refs in queue.blocks():
             run = np.cumsum(np.concatenate([[True], names[1:] != names[:-1]])) - 1
+            if stays == OCCURRENCE:
+                refs = refs[np.lexsort((refs["start"], refs["part"], refs["doc"], run))]
             hit = np.zeros(len(refs), _HIT)
-            hit["doc"], hit["start"], hit["begin"] = refs["doc"], refs["start"], refs["start"]
+            for field in ("doc", "part", "start"):
+                hit[field] = refs[field]
+            hit["begin"] = refs["start"]
             heads = np.flatnonzero(np.diff(run, prepend=-1))
             if stays == NOTHING:
                 again = np.bincount(run)[run] > 1
+            elif stays == DOCUMENT:
+                again = refs["doc"] > np.minimum.reduceat(refs["doc"], heads)[run]
             else:
-                least = np.minimum.reduceat(refs["doc"], heads)[run]
-                again = refs["doc"] > least
-            if stays == OCCURRENCE:
-                own = refs["doc"] == least
-                first = np.minimum.reduceat(np.where(own, refs["start"], np.iinfo(np.int32).max), heads)[run]
-                again |= own & (refs["start"] > first)
-                hit["begin"] = np.where(own, np.maximum(refs["start"], first + units.length), refs["start"])
+                first = refs[heads][run]
+                again = np.ones(len(refs), bool)
+                again[heads] = False
+                own = (refs["doc"] == first["doc"]) & (refs["part"] == first["part"])
+                hit["begin"] = np.where(own, np.maximum(refs["start"], first["start"] + units.length), refs["start"])
             hits.append(hit[again])
         hits = np.concatenate(hits)
-        hits = hits[np.lexsort((hits["start"], hits["doc"]))]
-        doc, start = hits["doc"], hits["start"]
-        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)])) if len(hits) else np.zeros(0, np.int64)
+        hits = hits[np.lexsort((hits["start"], hits["part"], hits["doc"]))]
+        doc, part, start = hits["doc"], hits["part"], hits["start"]
+        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]) | (start[1:] > start[:-1] + 1)])) if len(hits) else np.zeros(0, np.int64)
         last = np.append(new[1:], len(hits)) - 1 if len(hits) else new
         # adjacent windows' units are one run, from the first that any of them begins with
         low = np.minimum.reduceat(hits["begin"], new) if len(hits) else start
-        yield pa.RecordBatch.from_arrays([pa.array(doc[new], pa.int64()), pa.array(low, pa.int32()), pa.array(start[last], pa.int32())], schema=out)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[new], pa.int64()), pa.array(part[new], pa.int64()), pa.array(low, pa.int32()), pa.array(start[last], pa.int32())], schema=out)
 
     # applyInArrow sees by these annotations that a group comes batch by batch
     judge.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}

@@ -4,8 +4,8 @@ No suffix trees are built. Content-defined samples, grams of GRAM words, are gro
 occurrences differ, they are told apart by the region around the sample and then window by window, see ``repeats``.
 
 Defined cases: words are runs of anything but ASCII blanks; a null or empty text has none and is kept empty; texts
-shorter than a window keep every word; repeated rows with one id are the same document and remove nothing of each
-other; rows without an id are compared with nothing and stay whole; an empty table gives an empty
+shorter than a window keep every word; rows with one id, of equal or different texts, are the same document and
+remove nothing of each other; rows without an id are compared with nothing and stay whole; an empty table gives an empty
 table; further columns are ignored.
 """
 
@@ -13,10 +13,9 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from firnline.llm.common import Scratch, map_rows
-from firnline.llm.repeats import DOCUMENT, Units, covered, find_repeats
+from firnline.llm.repeats import DOCUMENT, Units, covered, find_repeats, keyed, with_marks
 from firnline.llm.wordhash import to_bytes, words
 
 GRAM = 8
@@ -31,9 +30,9 @@ def _cut(texts):
 def remove_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept): ``kept`` is the remaining words joined by one space, as UTF-8 bytes."""
     scratch = Scratch(docs.sparkSession, "substring")
-    slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    slim = keyed(docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")))
     marks = find_repeats(slim.where("id is not null"), Units(_cut, window, min(GRAM, window)), DOCUMENT, scratch)
-    marked = slim.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high")
+    marked = with_marks(slim, marks).select("id", "text", "low", "high")
 
     def cut(columns):
         counts, removed, kept = [], [], []

@@ -5,18 +5,18 @@ and what is left window by window: names, documents and places pass through a qu
 (``RunQueue``), in which equal names are neighbours. See ``repeats`` for what is compared where.
 
 Defined cases: a null text is empty; texts shorter than the length keep every byte; matches never cross documents;
-repeated rows with one id are occurrences of their own; rows without an id are compared with nothing and stay
-whole; an empty table gives an empty table; further columns are ignored. ``kept`` may split a character where a repeat begins inside it.
+rows with one id, of equal or different texts, are occurrences of their own; rows without an id are compared with nothing and stay
+whole; an empty table gives an empty table; further columns are ignored. ``kept`` may split a character where a repeat begins inside
+it, unless ``whole_characters`` is set.
 """
 
 from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from firnline.llm.common import Scratch, map_rows
-from firnline.llm.repeats import NOTHING, OCCURRENCE, Units, covered, find_repeats
+from firnline.llm.repeats import NOTHING, OCCURRENCE, Units, covered, find_repeats, keyed, with_marks
 from firnline.llm.wordhash import _CODE, to_bytes
 
 GRAM = 64
@@ -27,20 +27,29 @@ def _cut(texts):
     return _CODE[np.frombuffer(b"".join(raw), np.uint8)], np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", first_stays: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+def _whole(own: bytes, gone: np.ndarray) -> np.ndarray:
+    """``gone`` without the bytes of characters that it holds in part."""
+    codes = np.frombuffer(own, np.uint8)
+    begin = np.flatnonzero((codes & 0xC0) != 0x80)
+    if len(begin) == len(codes):
+        return gone
+    return np.repeat(np.minimum.reduceat(gone, begin), np.diff(np.append(begin, len(codes))))
+
+
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", first_stays: bool = False, whole_characters: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept): removed [start, end) runs and the remaining bytes.
 
     With ``first_stays`` the first occurrence of each string, by (id, start), keeps its place and all later ones go,
     those in the same document included; of one that overlaps the first, the bytes after the first's end.
-    ``carry``: further columns to keep.
+    ``whole_characters`` leaves characters whole that a run holds in part. ``carry``: further columns to keep.
     """
     scratch = Scratch(docs.sparkSession, "suffix")
-    slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    slim = keyed(docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")))
     marks = find_repeats(slim.where("id is not null"), Units(_cut, length, min(GRAM, length)), OCCURRENCE if first_stays else NOTHING, scratch)
     kinds = dict(docs.dtypes)
     kept_too = [f"_carried_{i}" for i in range(len(carry))]
-    whole = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(n) for c, n in zip(carry, kept_too)])
-    marked = whole.join(marks.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("id", "text", "low", "high", *kept_too)
+    whole = keyed(docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(n) for c, n in zip(carry, kept_too)]))
+    marked = with_marks(whole, marks).select("id", "text", "low", "high", *kept_too)
 
     def cut(columns):
         sizes, removed, spans, kept = [], [], [], []
@@ -50,6 +59,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
             left = own
             if low:
                 gone = covered(len(own), low, high, length)
+                if whole_characters:
+                    gone = _whole(own, gone)
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).view(np.int8))).reshape(-1, 2)
                 left = np.frombuffer(own, np.uint8)[~gone].tobytes()
             sizes.append(len(own))

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from firnline.llm import quality_rules
+from firnline.llm import line_dedup, near_dup, quality_classifier, quality_rules, substring_dedup, suffix_dedup
 from firnline.llm.text_stats import FIELDS, stats
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -53,3 +53,51 @@ def test_small_groups_take_wider_sketches(spark):
     got = quality_rules.apply_rules(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len({r["high_word_length"] for r in got if r["lang"] == "en"}) == 1
     assert not next(r for r in got if r["doc_id"] == 99)["kept"]  # judged by the corpus's sketch
+
+
+def test_rows_of_one_id_keep_their_own_places(spark):
+    """Two texts under one id: each loses its own repeated bytes; words shared only within an id stay."""
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage, own = letters(500), [letters(900), letters(40), letters(2000)]
+    rows = [(7, own[0] + passage), (7, passage + own[1]), (9, own[2])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = sorted((r["n_bytes"], r["n_removed"], bytes(r["kept"]).decode()) for r in suffix_dedup.remove_repeats(table).collect())
+    assert got == sorted([(1400, 500, own[0]), (540, 500, own[1]), (2000, 0, own[2])])
+    assert {r["n_removed"] for r in substring_dedup.remove_passages(table).collect()} == {0}
+    stays = sorted(bytes(r["kept"]).decode() for r in suffix_dedup.remove_repeats(table, first_stays=True).collect())
+    assert stays in (sorted([own[0] + passage, own[1], own[2]]), sorted([own[0], passage + own[1], own[2]]))
+
+
+def test_characters_stay_whole(spark):
+    """Repeats that begin and end inside characters: the bytes differ from character borders by one or two."""
+    rng = random.Random(5)
+    shared = "".join(rng.choice("жщю") for _ in range(300))
+    rows = [(i, a + shared + b) for i, (a, b) in enumerate([("x" * 50 + "б", "ш" + "y" * 40), ("z" * 30 + "в", "ъ" + "w" * 60)])]  # last bytes of ш, ъ and first of б, в agree
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = rows_of(suffix_dedup.remove_repeats(table, 200))
+    whole = rows_of(suffix_dedup.remove_repeats(table, 200, whole_characters=True))
+    for i, text in rows:
+        assert plain[i]["n_removed"] >= 600 and whole[i]["n_removed"] == 600
+        assert bytes(whole[i]["kept"]).decode() == text.replace(shared, "")
+
+
+def test_long_texts(spark):
+    """A text of a megabyte in one line, beside its copy with a change."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    long = " ".join(rng.choice(words) for _ in range(180_000))
+    changed = long[:500_000] + "#" + long[500_000:]
+    rows = [(1, long), (2, changed), (3, "short"), (4, None)]
+    table = spark.createDataFrame([(*r, "en", "s") for r in rows], SCHEMA)
+    removed = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in suffix_dedup.remove_repeats(table).collect()}
+    assert removed[1] == (len(long), len(long)) and removed[2] == (len(changed), len(changed) - 1) and removed[3] == (5, 0)
+    found = rows_of(substring_dedup.remove_passages(table))
+    assert found[1]["n_removed"] == 0 and found[2]["n_removed"] >= found[2]["n_words"] - 2
+    assert rows_of(near_dup.near_duplicates(table))[2]["component_id"] == 1
+    assert rows_of(line_dedup.dedup_lines(table))[2]["n_removed"] == 1
+    assert quality_rules.apply_rules(table).count() == quality_classifier.classify(table).count() == 4
+
+
+def rows_of(frame):
+    return {r["doc_id"]: r for r in frame.collect()}
