@@ -9,11 +9,11 @@ filter). The parities of the tokens' hashes bound the difference of two lines fr
 meetings, and what is left is verified on the words themselves.
 
 A line is removed if an earlier line, by (document, line number), has similarity t or more with it; lines are judged on
-the input. Equal word sets are one class from the start, so the most frequent line is one row.
+the input. Equal word sets (told by 128 bits of hash) are one class from the start, so the most frequent line is one row.
 
 Defined cases: lines are cut at line breaks; lines of fewer than ``min_words`` distinct words are never compared nor
 removed; a null text is empty and stays so; repeated rows with one id count as the same document and repeat its line
-numbers, so they remove nothing of each other; rows without an id are compared with nothing and stay whole;
+numbers, so equal line numbers remove nothing of each other; rows without an id are compared with nothing and stay whole;
 an empty table gives an empty table; further columns are ignored.
 """
 
@@ -30,6 +30,8 @@ STEPS = 6
 #: The similarity as a fraction, so that bounds are exact integers.
 NUMERATOR, DENOMINATOR = 4, 5
 MIN_WORDS = 5
+#: Holders of one token that meet in one task at first, and how many before it each of them meets.
+PART, LAGS = 20_000, 2
 
 
 def _spaced(text: Column, also: str = "") -> Column:
@@ -61,7 +63,7 @@ def _rarity(docs: DataFrame) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select("id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "content"))
+    return docs.select("id", "part", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "content"))
 
 
 def _token(rarity: Column, word: Column) -> Column:
@@ -74,24 +76,32 @@ def _classes(docs: DataFrame, scratch: Scratch, min_words: int, numerator: int,
     rarity = _rarity(docs)
     words = F.split(_spaced(F.col("content")), " ")
     made = F.transform(words, lambda w: _token(rarity, w))
-    tokens = _lines(docs).select("id", "line", F.array_except(made, F.array(_token(rarity, F.lit("")))).alias("tokens")).where(F.size("tokens") >= min_words)
-    tokens = tokens.select("id", "line", F.sort_array("tokens").alias("tokens"))
+    tokens = _lines(docs).select(*_PLACE, F.array_except(made, F.array(_token(rarity, F.lit("")))).alias("tokens")).where(F.size("tokens") >= min_words)
+    tokens = tokens.select(*_PLACE, F.sort_array("tokens").alias("tokens"))
     n = "size(tokens)"
     prefix = F.expr(f"slice(tokens, 1, cast({n} - (({n} * {numerator} + {denominator} - 1) div {denominator}) + 1 as int))")
     parity = F.expr("aggregate(tokens, 0L, (bits, t) -> bits ^ shiftleft(1L, cast(t & 63 as int)))")
     # 31 bits: bit_count() takes an int for a long, so a sign bit would count 33 times
     parity2 = F.expr("aggregate(tokens, 0, (bits, t) -> bits ^ shiftleft(1, cast(shiftright(t, 6) % 31 as int)))")
-    lines = scratch.save(tokens.select("id", "line", F.xxhash64("tokens").alias("class"), F.size("tokens").alias("n"), parity.alias("parity"), parity2.alias("parity2"), prefix.alias("prefix")), "lines")
-    grouped = lines.groupBy("class").agg(F.min(F.struct("id", "line")).alias("first"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("parity2").alias("parity2"), F.first("prefix").alias("prefix"))
-    classes = scratch.save(grouped.select("class", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), "n", "parity", "parity2", "prefix"), "classes")
-    lines = scratch.save(lines.select("id", "line", "class"), "line-classes")
+    told = [F.xxhash64("tokens").alias("class"), F.xxhash64("tokens", F.lit(1)).alias("class2")]
+    lines = scratch.save(tokens.select(*_PLACE, *told, F.size("tokens").alias("n"), parity.alias("parity"), parity2.alias("parity2"), prefix.alias("prefix")), "lines")
+    grouped = lines.groupBy("class", "class2").agg(F.min(F.struct(*_PLACE)).alias("first"), *[F.first(c).alias(c) for c in ("n", "parity", "parity2", "prefix")])
+    classes = scratch.save(grouped.select("class", "class2", *[F.col(f"first.{c}").alias(f"first_{c}") for c in _PLACE], "n", "parity", "parity2", "prefix"), "classes")
+    lines = scratch.save(lines.select(*_PLACE, "class", "class2"), "line-classes")
     scratch.free("lines")
     return lines, classes
 
 
-def _posted(classes: DataFrame) -> DataFrame:
-    """A flat row per class and prefix token, the rows that the join moves; a class is known by its first line."""
-    return classes.select("first_id", "first_line", "n", "parity", "parity2", F.posexplode("prefix").alias("pos", "token"))
+def _postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """A flat row per class and prefix token that another class has too, the rows that later joins move.
+
+    Most words of a prefix are rare enough to stand in one class only; dropping these leaves a small table. ``salt``
+    cuts the holders of a frequent token into parts of about PART for the first meetings.
+    """
+    posted = classes.select(*_FIRST, "n", "parity", "parity2", F.posexplode("prefix").alias("pos", "token"))
+    held = posted.groupBy("token").count().where("count > 1").select(F.col("token").alias("_token"), F.ceil(F.col("count") / PART).cast("int").alias("parts"))
+    posted = posted.hint("merge").join(held, F.col("token") == F.col("_token"))
+    return scratch.save(posted.select(*_FIRST, "n", "parity", "parity2", "pos", "token", F.pmod(F.hash("first_id", "first_line"), "parts").alias("salt")), "postings")
 
 
 def _near(numerator: int, denominator: int) -> str:
@@ -103,78 +113,85 @@ def _near(numerator: int, denominator: int) -> str:
     )
 
 
+_PLACE = ["id", "part", "line"]
+_FIRST = [f"first_{c}" for c in _PLACE]
+_PAIR = [*_FIRST, *[f"_{c}" for c in _FIRST]]
 _EARLIER = "(_first_id < first_id or (_first_id = first_id and _first_line < first_line))"
-_PAIR = ["first_id", "first_line", "_first_id", "_first_line"]
 
 
-def _met_first(classes: DataFrame, near: str) -> DataFrame:
-    """Each class with the earliest one that holds one of its prefix tokens: as many pairs as postings at most."""
-    earliest = Window.partitionBy("token").orderBy("first_id", "first_line")
-    posted = _posted(classes)
-    names = [c for c in posted.columns if c != "token"]
-    met = posted.withColumn("lead", F.first(F.struct(*names)).over(earliest)).select("*", *[F.col(f"lead.{c}").alias(f"_{c}") for c in names])
+def _met_first(postings: DataFrame, near: str) -> DataFrame:
+    """Each class with the earliest holder of each of its prefix tokens and with the LAGS ones just before it."""
+    by_age = Window.partitionBy("token", "salt").orderBy("first_id", "first_line", "first_part")
+    names = [*_FIRST, "n", "parity", "parity2", "pos"]
+    one = F.struct(*names)
+    others = F.array(F.first(one).over(by_age), *[F.lag(one, i).over(by_age) for i in range(1, LAGS + 1)])
+    met = postings.withColumn("others", others).withColumn("other", F.explode("others")).select(*names, *[F.col(f"other.{c}").alias(f"_{c}") for c in names])
     return met.where(_EARLIER).where(near).select(*_PAIR).distinct()
 
 
-def _met_any(classes: DataFrame, matched: DataFrame, near: str) -> DataFrame:
+def _met_any(postings: DataFrame, matched: DataFrame, near: str) -> DataFrame:
     """Classes that are not matched yet, with every earlier class they could resemble."""
-    left = _posted(classes.join(matched, ["first_id", "first_line"], "left_anti"))
-    right = _posted(classes)
-    right = right.select(*[F.col(c).alias(f"_{c}") for c in right.columns])
+    left = postings.join(matched, _FIRST, "left_anti")
+    right = postings.select(*[F.col(c).alias(f"_{c}") for c in postings.columns])
     return left.join(right, F.expr(f"token = _token and {_EARLIER} and {near}")).select(*_PAIR).distinct()
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, numerator: int, denominator: int) -> DataFrame:
-    """(first_id, first_line): classes that the words of one of their pairs confirm. Words travel as one string."""
+    """The first lines of classes that the words of one of their pairs confirm. Words travel as one string."""
     pairs = scratch.save(pairs, f"{name}-pairs")
     release_shuffles(docs.sparkSession)
-    wanted = pairs.select("first_id", "first_line").union(pairs.select("_first_id", "_first_line")).distinct()
-    asked = scratch.save(wanted.groupBy(F.col("first_id").alias("_id")).agg(F.collect_list("first_line").alias("asked")), f"{name}-asked")
-    content = docs.hint("merge").join(asked, F.col("id") == F.col("_id")).select("id", F.split("text", "\n").alias("all"), F.explode("asked").alias("line"))
-    content = content.groupBy("id", "line").agg(F.first(F.array_join(F.array_distinct(_words(F.get("all", F.col("line")))), " ")).alias("words"))
+    wanted = pairs.select(*_FIRST).union(pairs.select(*[f"_{c}" for c in _FIRST])).distinct()
+    asked = scratch.save(wanted.groupBy(F.col("first_id").alias("_id"), F.col("first_part").alias("_part")).agg(F.collect_list("first_line").alias("asked")), f"{name}-asked")
+    content = docs.hint("merge").join(asked, (F.col("id") == F.col("_id")) & (F.col("part") == F.col("_part"))).select("id", "part", F.split("text", "\n").alias("all"), F.explode("asked").alias("line"))
+    content = content.select(*_PLACE, F.array_join(F.array_distinct(_words(F.get("all", F.col("line")))), " ").alias("words")).dropDuplicates(_PLACE)
     content = scratch.save(content, f"{name}-content")
-    left, right = (content.select(F.col("id").alias(f"{s}id"), F.col("line").alias(f"{s}line"), F.col("words").alias(f"{s}words")) for s in ("l", "r"))
-    met = pairs.join(left, (F.col("first_id") == F.col("lid")) & (F.col("first_line") == F.col("lline")))
-    met = met.join(right, (F.col("_first_id") == F.col("rid")) & (F.col("_first_line") == F.col("rline")))
-    met = met.select("first_id", "first_line", F.split("lwords", " ").alias("w1"), F.split("rwords", " ").alias("w2"))
+    release_shuffles(docs.sparkSession)
+    left, right = (content.select(*[F.col(c).alias(f"{s}{c}") for c in (*_PLACE, "words")]) for s in ("l", "r"))
+    same = lambda pair, side: F.expr(" and ".join(f"{pair}first_{c} = {side}{c}" for c in _PLACE))
+    met = pairs.join(left, same("", "l")).join(right, same("_", "r")).select(*_FIRST, F.split("lwords", " ").alias("w1"), F.split("rwords", " ").alias("w2"))
     shared = F.size(F.array_intersect("w1", "w2"))
     alike = met.where(shared * denominator >= (F.size("w1") + F.size("w2") - shared) * numerator)
-    out = scratch.save(alike.select("first_id", "first_line").distinct(), f"{name}-matched")
+    out = scratch.save(alike.select(*_FIRST).distinct(), f"{name}-matched")
     scratch.free(*[f"{name}-{part}" for part in ("pairs", "asked", "content")])
     return out
 
 
 def similar_lines(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
-    """(id, line) of each line to remove; ``docs`` has id and text.
+    """(id, part, line) of each line to remove; ``docs`` has id, part and text.
 
-    One earlier match is enough, so classes first meet the earliest holder of each of their prefix tokens, and only
+    One earlier match is enough, so classes first meet a few earlier holders of each of their prefix tokens, and only
     those that this leaves unmatched meet all others: families of many variants don't meet pair by pair.
     """
     spark = docs.sparkSession
     lines, classes = _classes(docs, scratch, min_words, numerator, denominator)
     release_shuffles(spark)
+    postings = _postings(classes, scratch)
+    firsts = scratch.save(classes.select("class", "class2", *_FIRST), "firsts")
+    scratch.free("classes")
+    release_shuffles(spark)
     near = _near(numerator, denominator)
-    matched = _confirmed(docs, _met_first(classes, near), scratch, "first", numerator, denominator)
+    matched = _confirmed(docs, _met_first(postings, near), scratch, "first", numerator, denominator)
     release_shuffles(spark)
-    more = _confirmed(docs, _met_any(classes, matched, near), scratch, "any", numerator, denominator)
+    more = _confirmed(docs, _met_any(postings, matched, near), scratch, "any", numerator, denominator)
+    scratch.free("postings")
     release_shuffles(spark)
-    later = matched.union(more).select(F.col("first_id").alias("_id"), F.col("first_line").alias("_line"), F.lit(True).alias("matched"))
-    firsts = classes.select("class", "first_id", "first_line").join(later, (F.col("first_id") == F.col("_id")) & (F.col("first_line") == F.col("_line")), "left")
-    firsts = scratch.save(firsts.select(F.col("class").alias("_class"), "first_id", "first_line", F.coalesce("matched", F.lit(False)).alias("matched")), "firsts")
-    scratch.free("classes")
-    gone = lines.join(firsts, F.col("class") == F.col("_class")).where(F.col("matched") | (F.col("id") > F.col("first_id")) | ((F.col("id") == F.col("first_id")) & (F.col("line") > F.col("first_line"))))
-    gone = scratch.save(gone.select("id", "line"), "gone-lines")
-    scratch.free("firsts", "line-classes", "first-matched", "any-matched")
+    later = matched.union(more).withColumn("matched", F.lit(True))
+    told = firsts.join(later, _FIRST, "left").select(F.col("class").alias("_class"), F.col("class2").alias("_class2"), "first_id", "first_line", F.coalesce("matched", F.lit(False)).alias("matched"))
+    told = scratch.save(told, "told")
+    gone = lines.join(told, (F.col("class") == F.col("_class")) & (F.col("class2") == F.col("_class2"))).where(F.col("matched") | (F.col("id") > F.col("first_id")) | ((F.col("id") == F.col("first_id")) & (F.col("line") > F.col("first_line"))))
+    gone = scratch.save(gone.select(*_PLACE), "gone-lines")
+    scratch.free("firsts", "told", "line-classes", "first-matched", "any-matched")
     return gone
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_lines, n_removed, kept): ``kept`` is the text without the removed lines. ``carry``: further columns to keep."""
     scratch = Scratch(docs.sparkSession, "lines")
-    slim = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    part = F.coalesce(F.hash(docs[text_col]), F.lit(0)).alias("part")
+    slim = docs.select(docs[id_col].cast("long").alias("id"), part, docs[text_col].alias("text"))
     gone = similar_lines(slim.where("id is not null"), scratch, min_words, numerator, denominator)
-    gone = scratch.save(gone.groupBy(F.col("id").alias("_id")).agg(F.collect_set("line").alias("gone")), "gone")
-    joined = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"_carried_{i}") for i, c in enumerate(carry)]).hint("merge").join(gone, F.col("id") == F.col("_id"), "left")
+    gone = scratch.save(gone.groupBy(F.col("id").alias("_id"), F.col("part").alias("_part")).agg(F.collect_set("line").alias("gone")), "gone")
+    joined = docs.select(docs[id_col].cast("long").alias("id"), part, docs[text_col].alias("text"), *[docs[c].alias(f"_carried_{i}") for i, c in enumerate(carry)]).hint("merge").join(gone, (F.col("id") == F.col("_id")) & (F.col("part") == F.col("_part")), "left")
     everything = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(F.filter(everything, lambda x, i: ~F.array_contains("gone", i)), "\n"))
     return joined.select(F.col("id").alias(id_col), F.size(everything).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"), *[F.col(f"_carried_{i}").alias(c) for i, c in enumerate(carry)])
