@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+Ring = list[tuple[float, float]]
+
 #: WGS 84 (fixed values).
 SEMI_MAJOR = 6_378_137.0
 FLATTENING = 1 / 298.257223563
@@ -65,17 +69,48 @@ def unproject(x: Column, y: Column, to: Polar, steps: int = 6) -> tuple[Column,
     return F.degrees(-phi if to.south else phi), longitude
 
 
-def in_polygon(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
-    """Even-odd rule over the ring's edges; a point without coordinates is outside. The ring is a driver-side shape."""
-    inside = F.lit(False)
-    for (xa, ya), (xb, yb) in zip(ring, [*ring[1:], ring[0]]):
-        if ya == yb:
-            continue
-        crosses = (F.lit(ya) > y) != (F.lit(yb) > y)
-        left_of = x < (y - ya) * ((xb - xa) / (yb - ya)) + xa
-        inside = inside != (crosses & left_of)
-    box = x.between(min(p[0] for p in ring), max(p[0] for p in ring)) & y.between(min(p[1] for p in ring), max(p[1] for p in ring))
-    return F.coalesce(box & inside, F.lit(False))
+def _edges(rings: Sequence[Ring]) -> list[list[dict[str, float]]]:
+    """Per ring, each edge that is not level: its lower end, its upper end's height and how far x moves per unit of y."""
+    out = []
+    for ring in rings:
+        pairs = [sorted((p, q), key=lambda point: point[1]) for p, q in zip(ring, [*ring[1:], ring[0]]) if p[1] != q[1]]
+        out.append([{"x": float(p[0]), "low": float(p[1]), "high": float(q[1]), "slope": (q[0] - p[0]) / (q[1] - p[1])} for p, q in pairs])
+    return out
+
+
+def _rings(shape: Ring | Sequence[Ring]) -> list[Ring]:
+    return [list(shape)] if shape and not isinstance(shape[0][0], Sequence) else [list(ring) for ring in shape]
+
+
+def in_polygon(x: Column, y: Column, shape: Ring | Sequence[Ring]) -> Column:
+    """Whether a point lies in a ring, or in any of several: an odd number of edges passes to its right.
+
+    The shape is one literal however many vertices it has. A point without coordinates is outside.
+    """
+    rings = _rings(shape)
+    corners = [p for ring in rings for p in ring]
+    if not corners:
+        return F.lit(False)
+    edges = F.from_json(F.lit(json.dumps(_edges(rings))), "array<array<struct<x:double,low:double,high:double,slope:double>>>")
+    passes = lambda e: (e["low"] <= y) & (y < e["high"]) & (e["x"] + (y - e["low"]) * e["slope"] > x)
+    inside = F.exists(edges, lambda ring: F.size(F.filter(ring, passes)) % 2 == 1)
+    box = x.between(min(p[0] for p in corners), max(p[0] for p in corners)) & y.between(min(p[1] for p in corners), max(p[1] for p in corners))
+    return F.coalesce(F.when(box, inside), F.lit(False))
+
+
+def box_meets(x_min: Column, y_min: Column, x_max: Column, y_max: Column, shape: Ring | Sequence[Ring]) -> Column:
+    """Whether a box and a polygon have a point in common: an edge touches the box, or the box lies inside."""
+    rings = _rings(shape)
+    halves = [{"x": (p[0] + q[0]) / 2, "y": (p[1] + q[1]) / 2, "dx": (q[0] - p[0]) / 2, "dy": (q[1] - p[1]) / 2} for ring in rings for p, q in zip(ring, [*ring[1:], ring[0]])]
+    edges = F.from_json(F.lit(json.dumps(halves)), "array<struct<x:double,y:double,dx:double,dy:double>>")
+    wide, tall = (x_max - x_min) / 2, (y_max - y_min) / 2
+
+    def touches(e: Column) -> Column:  # no axis separates the edge from the box
+        ox, oy = e["x"] - (x_min + x_max) / 2, e["y"] - (y_min + y_max) / 2
+        apart = (F.abs(ox) > wide + F.abs(e["dx"])) | (F.abs(oy) > tall + F.abs(e["dy"]))
+        return ~apart & (F.abs(e["dx"] * oy - e["dy"] * ox) <= wide * F.abs(e["dy"]) + tall * F.abs(e["dx"]))
+
+    return F.coalesce(F.exists(edges, touches), F.lit(False)) | in_polygon(x_min, y_min, rings)
 
 
 def in_view(latitude: Column, longitude: Column, south: float, west: float, north: float, east: float) -> Column:

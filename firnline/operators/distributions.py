@@ -1,7 +1,7 @@
 """Summaries of values: differences, percentiles, histograms, densities, correlations.
 
-Exact percentiles need their group's values together, so they are for reports over selected groups. Everything else is
-an aggregation with partial results.
+``percentile`` keeps a count per distinct value of its group, so it is for reports over selected groups. Ranks are
+found by ranges of values, and everything else is an aggregation with partial results.
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: The sketches that bracket a rank hold it within n / ACCURACY; ranges into which a column is dealt to be ranked.
+ACCURACY, RANGES = 10_000, 64
+
+
 def known(value: str) -> Column:
     return F.col(value).isNotNull() & ~F.isnan(value)
 
@@ -59,19 +63,52 @@ def missing_rates(rows: DataFrame, variables: Sequence[str], by: Sequence[str] =
     return long.groupBy(*by, "variable").agg(F.count("*").alias("n"), F.avg(F.col("x").isNull().cast("double")).alias("missing_rate"), F.min("x").alias("min"), F.expr("percentile(x, 0.5D)").alias("median"), F.max("x").alias("max"))
 
 
-def percentile_limits(value: str, low: float = 0.02, high: float = 0.98) -> list[Column]:
-    """Aggregates: interpolated percentiles."""
-    p = F.expr(f"percentile(cast({value} as double), array({low}D, {high}D))")
+def percentile_limits(value: str, low: float = 0.02, high: float = 0.98, include: Column | None = None) -> list[Column]:
+    """Aggregates: interpolated percentiles, of the rows that ``include`` holds for."""
+    chosen = F.col(value).cast("double") if include is None else F.when(include, F.col(value).cast("double"))
+    p = F.percentile(chosen, F.array(F.lit(low), F.lit(high)))
     return [p[0].alias("low"), p[1].alias("high")]
 
 
+def values_at_ranks(rows: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Per group, the values at rank floor(n p), without interpolation, for each named share p.
+
+    A sketch brackets each rank, and only the distinct values inside a bracket, about n * 4 / ACCURACY of them, are
+    ordered; the others are counted where they lie.
+    """
+    good = rows.where(known(value)).select(*by, F.col(value).cast("double").alias("v"))
+    slack = 2 / ACCURACY
+    ends = F.array(*[F.lit(min(1.0, max(0.0, p + d))) for p in shares.values() for d in (-slack, slack)])
+    bounds = good.groupBy(*by).agg(F.count("*").alias("n"), F.percentile_approx("v", ends, ACCURACY).alias("ends"))
+    bounds = bounds.select(*[F.col(c).alias(f"_{c}") for c in by], "n", *[e for i, k in enumerate(shares) for e in (F.col("ends")[2 * i].alias(f"from_{k}"), F.col("ends")[2 * i + 1].alias(f"to_{k}"))])
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    placed = good.join(bounds if by else F.broadcast(bounds), same)  # one row without groups
+    out = None
+    for k, p in shares.items():
+        near = placed.where(F.col("v") <= F.col(f"to_{k}")).select(*by, "n", F.when(F.col("v") >= F.col(f"from_{k}"), F.col("v")).alias("v"))
+        counted = near.groupBy(*by, "n", "v").agg(F.count("*").alias("c"))  # values before the bracket are one row
+        before = F.sum("c").over(Window.partitionBy(*by, "n").orderBy(F.asc_nulls_first("v")))
+        at = F.least(F.col("n") - 1, F.floor(F.col("n") * F.lit(p)))
+        found = counted.withColumn("_until", before).where(F.col("v").isNotNull() & (F.col("_until") > at)).groupBy(*by).agg(F.min("v").alias(k))
+        out = found if out is None else out.join(found.select(*[F.col(c).alias(f"_{c}") for c in by], k), same, "left").drop(*[f"_{c}" for c in by])
+    return out
+
+
 def floor_limits(rows: DataFrame, value: str, by: Sequence[str] = (), low: float = 0.02, high: float = 0.98) -> DataFrame:
     """The values at rank floor(n p), without interpolation; equal limits are widened by 1, no values give 0 to 1."""
-    ordered = F.array_sort(F.collect_list(F.when(known(value), F.col(value).cast("double"))))
-    out = rows.groupBy(*by).agg(ordered.alias("_v"))
-    at = lambda p: F.try_element_at("_v", F.least(F.size("_v"), F.floor(F.size("_v") * p).cast("int") + 1))
-    limits = out.withColumns({"low": F.coalesce(F.when(F.size("_v") > 0, at(low)), F.lit(0.0)), "high": F.coalesce(F.when(F.size("_v") > 0, at(high)), F.lit(1.0))})
-    return limits.withColumn("high", F.when(F.col("high") == F.col("low"), F.col("low") + 1).otherwise(F.col("high"))).drop("_v")
+    found = values_at_ranks(rows, value, {"low": low, "high": high}, by)
+    if by:
+        groups = rows.select(*by).distinct()
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        found = groups.join(found.select(*[F.col(c).alias(f"_{c}") for c in by], "low", "high"), same, "left").drop(*[f"_{c}" for c in by])
+    else:
+        found = found.agg(F.min("low").alias("low"), F.min("high").alias("high"))
+    limits = found.withColumns({"low": F.coalesce("low", F.lit(0.0)), "high": F.coalesce("high", F.lit(1.0))})
+    return limits.withColumn("high", F.when(F.col("high") == F.col("low"), F.col("low") + 1).otherwise(F.col("high")))
 
 
 def auto_bins(values: DataFrame, value: str) -> DataFrame:
@@ -142,18 +179,32 @@ def density(values: DataFrame, value: str, group: str | None = None, points: int
     return every.select("season", "x", (F.coalesce(F.try_divide("raw", "_area"), F.lit(0.0)) * weight).alias("density"))
 
 
-def average_rank(value: str, by: Sequence[str] = ()) -> Column:
-    """Ranks from 1; equal values share the mean of theirs."""
-    w = Window.partitionBy(*by).orderBy(value)
-    ties = F.count("*").over(Window.partitionBy(*by, value))
-    return F.rank().over(w) + (ties - 1) / 2
+def with_rank(rows: DataFrame, value: str, name: str, by: Sequence[str] = (), tie: str | None = None) -> DataFrame:
+    """``rows`` with ranks from 1 by rising value; equal values share the mean of theirs, or go by ``tie``.
+
+    Values are dealt into ranges of about equal numbers, ranges are ordered apart from each other, and each range's
+    first rank comes from the counts of those before it, so no task orders a whole group.
+    """
+    inner = [i / RANGES for i in range(1, RANGES)]
+    edges = rows.agg(F.percentile_approx(F.col(value).cast("double"), F.array(*map(F.lit, inner)))).first()[0] or []  # RANGES - 1 numbers
+    steps = F.array(*[F.lit(e) for e in sorted(set(edges))]) if edges else F.array().cast("array<double>")
+    dealt = rows.withColumn("_range", F.size(F.filter(steps, lambda e: e <= F.col(value).cast("double"))))
+    sizes = dealt.groupBy(*by, "_range").agg(F.count("*").alias("_size"))
+    first = F.sum("_size").over(Window.partitionBy(*by).orderBy("_range")) - F.col("_size")  # a row per group and range
+    firsts = sizes.select(*[F.col(c).alias(f"_of_{c}") for c in by], F.col("_range").alias("_of"), first.alias("_first"))
+    same = F.col("_range") == F.col("_of")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    own = Window.partitionBy(*by, "_range")
+    rank = F.row_number().over(own.orderBy(value, tie)) if tie else F.rank().over(own.orderBy(value)) + (F.count("*").over(Window.partitionBy(*by, "_range", value)) - 1) / 2
+    return dealt.join(firsts, same).withColumn(name, F.col("_first") + rank).drop("_range", "_of", "_first", *[f"_of_{c}" for c in by])
 
 
 def correlations(rows: DataFrame, x: str, y: str, by: Sequence[str] = (), least: int = 10) -> DataFrame:
     """n, Pearson's and Spearman's coefficient over rows where both are finite; groups under ``least`` have none."""
     finite = lambda c: known(c) & (F.abs(F.col(c)) != float("inf"))
     good = rows.where(finite(x) & finite(y)).select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    ranked = good.withColumns({"rx": average_rank("x", by), "ry": average_rank("y", by)})
+    ranked = with_rank(with_rank(good, "x", "rx", by), "y", "ry", by)
     out = ranked.groupBy(*by).agg(F.count("*").alias("n"), F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman"))
     return out.withColumns({c: F.when(F.col("n") >= least, F.col(c)) for c in ("pearson", "spearman")})
 
@@ -169,8 +220,8 @@ def label_above(value: str, threshold: float = 8.0) -> Column:
 
 def separation(rows: DataFrame, score: str, label: str) -> DataFrame:
     """AUC of a score for a 0/1 label, from average ranks, and the class sizes."""
-    ranked = rows.where(known(score) & F.col(label).isNotNull()).withColumn("_r", average_rank(score))
-    out = ranked.agg(F.sum(F.when(F.col(label) == 1, F.col("_r"))).alias("_s"), F.count_if(F.col(label) == 1).alias("n_positive"), F.count_if(F.col(label) == 0).alias("n_negative"))
+    ranked = rows.where(known(score) & F.col(label).isNotNull())
+    out = with_rank(ranked, score, "_r").agg(F.sum(F.when(F.col(label) == 1, F.col("_r"))).alias("_s"), F.count_if(F.col(label) == 1).alias("n_positive"), F.count_if(F.col(label) == 0).alias("n_negative"))
     auc = F.try_divide(F.col("_s") - F.col("n_positive") * (F.col("n_positive") + 1) / 2, F.col("n_positive") * F.col("n_negative"))
     return out.select("n_positive", "n_negative", auc.alias("auc"))
 
@@ -192,5 +243,56 @@ def cell_modes(rows: DataFrame, x: str, y: str, flag: Column, size: float = 5000
 def top_share(rows: DataFrame, group: str, flag: Column, part: float = 0.1) -> DataFrame:
     """Per group: rate of flagged rows, and whether the group is among the ``part`` with most of them."""
     counted = rows.groupBy(group).agg(F.count("*").alias("n"), F.count_if(flag).alias("n_flagged"))
-    place = F.percent_rank().over(Window.orderBy(F.desc("n_flagged"), group))
-    return counted.withColumns({"rate": F.col("n_flagged") / F.col("n"), "in_top": place < part})
+    counted = with_rank(counted.withColumn("_fewer", -F.col("n_flagged")), "_fewer", "_place", tie=group)
+    place = F.when(F.col("_groups") > 1, (F.col("_place") - 1) / (F.col("_groups") - 1)).otherwise(0.0)
+    total = counted.agg(F.count("*").alias("_groups"))
+    counted = counted.join(F.broadcast(total), F.lit(True)).withColumns({"rate": F.col("n_flagged") / F.col("n"), "in_top": place < part})  # one row
+    return counted.drop("_fewer", "_place", "_groups")
+
+
+def threshold_scores(rows: DataFrame, score: str, label: str, threshold: float) -> DataFrame:
+    """Precision and recall of calling rows whose score is over a threshold 1, and the counts behind them."""
+    called, true = F.col(score) > threshold, F.col(label) == 1
+    out = rows.where(known(score) & F.col(label).isNotNull()).agg(F.count_if(called & true).alias("n_hit"), F.count_if(called & ~true).alias("n_false"), F.count_if(~called & true).alias("n_missed"))
+    return out.withColumns({"precision": F.try_divide(F.col("n_hit"), F.col("n_hit") + F.col("n_false")), "recall": F.try_divide(F.col("n_hit"), F.col("n_hit") + F.col("n_missed"))})
+
+
+def binned_share(rows: DataFrame, by: str, edges: Sequence[float], flag: Column) -> DataFrame:
+    """n and the share of flagged rows per bin of a value."""
+    place = F.lit(0)
+    for edge in edges:
+        place = place + (F.col(by) >= edge).cast("int")
+    return rows.where(known(by)).groupBy(place.alias("bin")).agg(F.count("*").alias("n"), F.avg(flag.cast("double")).alias("flagged_share"))
+
+
+def density_grid(rows: DataFrame, x: str, y: str, box: tuple[float, float, float, float], points: int = 24, bandwidth: tuple[float, float] | None = None) -> DataFrame:
+    """(i, j, x, y, density) of a two-dimensional Gaussian kernel density on points * points places of a box.
+
+    Values are counted in the grid's own cells first, so the kernels meet at most points**2 weighted cells. The
+    bandwidth, if not given, is n**(-1/6) standard deviations on either axis; the densities' mean over the box is 1 / area.
+    """
+    x0, y0, x1, y1 = box
+    dx, dy = (x1 - x0) / points, (y1 - y0) / points
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    inside = rows.where(known(x) & known(y) & (px >= x0) & (px < x1) & (py >= y0) & (py < y1))
+    cells = inside.groupBy(F.floor((px - x0) / dx).cast("int").alias("ci"), F.floor((py - y0) / dy).cast("int").alias("cj")).agg(F.count("*").alias("w"))
+    spread = inside.agg(F.count("*").alias("n"), F.stddev_pop(px).alias("sx"), F.stddev_pop(py).alias("sy"))
+    scale = F.pow(F.col("n").cast("double"), F.lit(-1 / 6))
+    widths = spread.select((F.lit(bandwidth[0]) if bandwidth else F.col("sx") * scale).alias("hx"), (F.lit(bandwidth[1]) if bandwidth else F.col("sy") * scale).alias("hy"))
+    grid = rows.sparkSession.range(points * points).select((F.col("id") / points).cast("int").alias("i"), (F.col("id") % points).cast("int").alias("j"))
+    met = grid.join(cells.join(F.broadcast(widths), F.lit(True)), F.lit(True))  # both bounded by points ** 2, the widths one row
+    zx, zy = (F.col("i") - F.col("ci")) * dx / F.col("hx"), (F.col("j") - F.col("cj")) * dy / F.col("hy")
+    raw = met.groupBy("i", "j").agg(F.sum(F.col("w") * F.exp((zx * zx + zy * zy) * -0.5)).alias("raw"))
+    total = raw.agg(F.sum("raw").alias("_total"))
+    out = raw.join(F.broadcast(total), F.lit(True))  # one row
+    return out.select("i", "j", (F.lit(x0) + (F.col("i") + 0.5) * dx).alias("x"), (F.lit(y0) + (F.col("j") + 0.5) * dy).alias("y"), F.try_divide("raw", F.col("_total") * (dx * dy)).alias("density"))
+
+
+def floating_shares(rows: DataFrame, distance: str, value: str, by: Sequence[str]) -> DataFrame:
+    """Per source: the share of points beyond the grounding line (a negative distance), and the value's median and spread."""
+    good = rows.where(known(value))
+    return good.groupBy(*by).agg(F.count("*").alias("n"), F.avg((F.col(distance) < 0).cast("double")).alias("floating_share"), F.percentile(F.col(value).cast("double"), F.lit(0.5)).alias("median"), F.stddev_samp(value).alias("std"))
+
+
+def group_extents(rows: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    return rows.where(known(value)).groupBy(*by).agg(F.min(value).alias("lowest"), F.max(value).alias("highest"))
