@@ -75,6 +75,19 @@ def tail_median_db(data: Column, axis: Column, start: float, end: float) -> Colu
     return to_db(median(known(samples_between(data, axis, last - start, last - end))))
 
 
+def interpolated(axis: Column, values: Column, at: Column) -> Column:
+    """Values at each place of ``at``, linear between the ascending axis's neighbours; NULL outside the axis."""
+    n = F.size(axis)
+
+    def one(place: Column) -> Column:
+        i = F.least(F.size(F.filter(axis, lambda a: a <= place)), n - 1)  # the last place belongs to the last step
+        x0, x1, y0, y1 = F.try_element_at(axis, i), F.try_element_at(axis, i + 1), F.try_element_at(values, i), F.try_element_at(values, i + 1)
+        within = (place >= F.element_at(axis, 1)) & (place <= F.element_at(axis, -1))
+        return F.when(within & (n > 1), y0 + (y1 - y0) * (place - x0) / (x1 - x0)).when(within, F.element_at(values, 1))
+
+    return F.when(n > 0, F.transform(at, one))
+
+
 def transposed(matrix: Column) -> Column:
     """Rows of an array of arrays as columns, for frames stored with the other orientation."""
     width = F.size(F.element_at(matrix, 1))

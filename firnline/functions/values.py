@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 #: Microseconds of each unit in a duration such as "10s" (fixed values).
@@ -39,8 +40,10 @@ def instrument_of(flight: Column) -> Column:
     return F.when(flight.startswith("b"), "PASIN").otherwise("HiCARS")
 
 
-def radargram_folder(flight: Column) -> Column:
-    return F.when(flight.startswith("b"), "PASIN").when(flight.startswith("DRP"), "UTIG_D").otherwise(flight)
+def radargram_folder(flight: Column, present: Sequence[str] | None = None) -> Column:
+    """The folder of a flight's radargrams by its name's beginning; none if it is not among those present."""
+    folder = F.when(flight.startswith("b"), "PASIN").when(flight.startswith("DRP"), "UTIG_D").otherwise(flight)
+    return folder if present is None else F.when(folder.isin(list(present)), folder)
 
 
 def short_number(value: Column, scale: float = 1.0) -> Column:
@@ -60,5 +63,15 @@ def encoded_time(time: Column, unit: str, epoch_micros: int = 0) -> Column:
     return (micros(time) - epoch_micros) / UNITS[unit]
 
 
+def colour_index(name: str, palette: int) -> Column:
+    """A stable colour for each of a few distinct names: their order, round the palette. For tables of names."""
+    return ((F.dense_rank().over(Window.orderBy(name)) - 1) % palette).cast("int")
+
+
+def draw_order(is_censored: Column) -> Column:
+    """Censored points are drawn first, so that coloured ones lie above them."""
+    return F.when(is_censored, 0).otherwise(1)
+
+
 def looked_up(mapping: Column, key: Column, fallback: str = "unknown") -> Column:
     return F.coalesce(F.try_element_at(mapping, key), F.lit(fallback))

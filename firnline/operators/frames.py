@@ -45,6 +45,38 @@ def layer_by_priority(picks: DataFrame, by: Sequence[str], names: Sequence[str],
     return ranked.withColumn("_best", best).where("_rank = _best").drop("_rank", "_best")
 
 
+def rows_of_frame(traces: DataFrame, name: str, frame: str = "frame_id", order: str = "slow_time") -> DataFrame:
+    """One frame's rows in time order; an error if it has none."""
+    rows = traces.where(F.col(frame) == name)
+    if rows.isEmpty():
+        raise LookupError(f"no rows of frame {name!r}")
+    return rows.orderBy(order)
+
+
+def of_collections(traces: DataFrame, frames: DataFrame, names: Sequence[str], frame: str = "frame_id", collection: str = "collection") -> DataFrame:
+    """Traces whose frame belongs to one of the collections."""
+    return also_in(traces, frames.where(F.col(collection).isin(list(names))), frame)
+
+
+def listed(frames: DataFrame, *columns: str) -> DataFrame:
+    """Distinct names in order, for showing."""
+    return frames.select(*columns).distinct().orderBy(*columns)
+
+
+def catalogued(stored: DataFrame, catalogue: DataFrame, frame: str = "frame_id") -> tuple[DataFrame, DataFrame]:
+    """(stored frames with the catalogue's columns, stored frames that it lacks)."""
+    own = stored.select(frame).distinct()
+    return own.join(catalogue.dropDuplicates([frame]), frame), not_in(own, catalogue, frame)
+
+
+def find_regions(regions: DataFrame, **wanted: str | Sequence[str] | None) -> DataFrame:
+    """Regions by area, name, type, region or subregion: each a value or several; None asks for nothing."""
+    for column, values in wanted.items():
+        if values is not None:
+            regions = regions.where(F.col(column).isin([values] if isinstance(values, str) else list(values)))
+    return regions
+
+
 def with_any_pick(traces: DataFrame, picks: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Traces of segments with at least one known pick; decided before any sample is read."""
     return traces.join(picks.where(F.col(value).isNotNull()).select(*by).distinct(), list(by), "left_semi")

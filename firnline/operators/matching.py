@@ -19,12 +19,12 @@ def _cell(x: str, size: float) -> Column:
     return F.floor(F.col(x) / size)
 
 
-def candidates(left: DataFrame, right: DataFrame, threshold: float, left_xy: tuple[str, str], right_xy: tuple[str, str]) -> DataFrame:
-    """Pairs closer than ``threshold``, with distance_m. Column names of the two sides must differ."""
+def candidates(left: DataFrame, right: DataFrame, threshold: float, left_xy: tuple[str, str], right_xy: tuple[str, str], also: tuple[str, str] | None = None) -> DataFrame:
+    """Pairs closer than ``threshold``, with distance_m, whose columns ``also`` agree. Column names of the two sides must differ."""
     around = F.array(*[F.struct((_cell(right_xy[0], threshold) + i).alias("cx"), (_cell(right_xy[1], threshold) + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     spread = right.withColumn("_c", F.explode(around)).withColumns({"_rx": F.col("_c.cx"), "_ry": F.col("_c.cy")}).drop("_c")
     placed = left.withColumns({"_lx": _cell(left_xy[0], threshold), "_ly": _cell(left_xy[1], threshold)})
-    met = placed.join(spread, (F.col("_lx") == F.col("_rx")) & (F.col("_ly") == F.col("_ry")))
+    met = placed.join(spread, (F.col("_lx") == F.col("_rx")) & (F.col("_ly") == F.col("_ry")) & (F.col(also[0]) == F.col(also[1]) if also else F.lit(True)))
     d = distance(F.col(left_xy[0]), F.col(left_xy[1]), F.col(right_xy[0]), F.col(right_xy[1]))
     return met.withColumn("distance_m", d).where(F.col("distance_m") < threshold).drop("_lx", "_ly", "_rx", "_ry")
 

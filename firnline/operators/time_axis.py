@@ -81,9 +81,17 @@ def picked_span(picks: DataFrame, by: Sequence[str], time: str, value: str) -> D
     return picks.groupBy(*by).agg(F.min(F.when(known, F.col(time))).alias("first_pick"), F.max(F.when(known, F.col(time))).alias("last_pick"), F.avg(known.cast("double")).alias("pick_fraction"))
 
 
-def bearing(x: str, y: str, by: Sequence[str], order: Sequence[str]) -> Column:
-    """Degrees clockwise from the y axis between a trace's neighbours, itself standing in at the ends; 0 if alone."""
+def bearing(x: str, y: str, by: Sequence[str], order: Sequence[str], gate: float | None = None) -> Column:
+    """Degrees clockwise from the y axis between a trace's neighbours, itself standing in at the ends; 0 if alone.
+
+    Neighbours further than ``gate`` away belong to another flight line: the trace itself stands in for them.
+    """
     w = Window.partitionBy(*by).orderBy(*order)
+    if gate is not None:
+        step = lambda side: F.sqrt(F.pow(side(x).over(w) - F.col(x), F.lit(2.0)) + F.pow(side(y).over(w) - F.col(y), F.lit(2.0))) <= gate
+        near = lambda side, c: F.coalesce(F.when(step(side), side(c).over(w)), F.col(c))
+        alone = ~(F.coalesce(step(F.lead), F.lit(False)) | F.coalesce(step(F.lag), F.lit(False)))
+        return F.when(~alone, F.degrees(F.atan2(near(F.lead, x) - near(F.lag, x), near(F.lead, y) - near(F.lag, y))))
     dx = F.coalesce(F.lead(x).over(w), F.col(x)) - F.coalesce(F.lag(x).over(w), F.col(x))
     dy = F.coalesce(F.lead(y).over(w), F.col(y)) - F.coalesce(F.lag(y).over(w), F.col(y))
     return F.degrees(F.atan2(dx, dy))

@@ -85,6 +85,41 @@ def grounding_distance(points: DataFrame, boundary: DataFrame, inside: str, reac
     return out.withColumn("signed_distance_m", physics.signed_distance(F.col(inside), metres)).drop("_id", "_d")
 
 
+def beyond_grounding(rows: DataFrame, metres: float, distance_km: str = "gl_dist_km") -> DataFrame:
+    """Points at least so far on the grounded side of the grounding line."""
+    return rows.where(F.col(distance_km) >= metres / 1000)
+
+
+def display_clip(traces: DataFrame, by: Sequence[str], surface: str = "surface", bed: str = "bed", pad: float = 3.0) -> DataFrame:
+    """Traces whose ``data`` and ``twtt`` end ``pad`` before the frame's first surface and after its last bed."""
+    w = Window.partitionBy(*by)
+    low, high = F.min(surface).over(w) - pad, F.coalesce(F.max(bed).over(w), F.max(surface).over(w)) + pad
+    placed = traces.withColumns({"_low": low, "_high": high})
+    cut = lambda c: arrays.samples_between(F.col(c), F.col("twtt"), F.col("_low"), F.col("_high"))
+    return placed.select(*[c for c in traces.columns if c not in ("data", "twtt")], cut("data").alias("data"), cut("twtt").alias("twtt"))
+
+
+def tail_sensitivity(traces: DataFrame, by: Sequence[str], grid: Sequence[float], plateau: tuple[float, float], windows: dict[str, tuple[float, float]], drop_db: float = -1.0) -> DataFrame:
+    """Per group: the median profile by time before the record's end, interpolated onto a grid and relative to its
+    plateau's median; how far the levels under ``drop_db`` reach from the end; and each window's median, its bias.
+
+    The profile is as long as a record has samples, whatever the number of traces.
+    """
+    last = F.element_at("twtt", -1)
+    samples = traces.select(*by, F.posexplode("data").alias("i", "p"), "twtt", last.alias("last")).where("p > 0")
+    samples = samples.withColumn("before_end", F.round(F.col("last") - F.element_at("twtt", F.col("i") + 1), 9))
+    levels = samples.groupBy(*by, "before_end").agg((F.lit(10.0) * F.log10(F.expr("percentile(p, 0.5D)"))).alias("level"))
+    profile = levels.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("before_end", "level"))).alias("_profile"))
+    places = F.array(*[F.lit(float(g)) for g in grid])
+    profile = profile.withColumn("_levels", arrays.interpolated(F.col("_profile.before_end"), F.col("_profile.level"), places))
+    profile = profile.withColumn("_grid", F.arrays_zip(places.alias("at"), F.col("_levels").alias("level")))
+    inside = lambda ends: arrays.median(F.filter(F.transform(F.filter("_grid", lambda g: (g["at"] >= ends[0]) & (g["at"] <= ends[1])), lambda g: g["level"]), lambda v: v.isNotNull()))
+    profile = profile.withColumn("plateau_dB", inside(plateau))
+    low = F.filter("_grid", lambda g: (g["level"] - F.col("plateau_dB") >= drop_db) | g["level"].isNull())
+    reach = F.coalesce(F.array_min(F.transform(F.filter(low, lambda g: g["level"].isNotNull()), lambda g: g["at"])), F.lit(float(max(grid))))
+    return profile.select(*by, "plateau_dB", reach.alias("rolloff_until"), *[(inside(ends) - F.col("plateau_dB")).alias(f"bias_{name}") for name, ends in windows.items()])
+
+
 def rolloff_profile(traces: DataFrame, by: Sequence[str], step: float, plateau: tuple[float, float], drop_db: float = -1.0) -> DataFrame:
     """Per group: median level by time before the record's end, relative to a plateau's median, and how far the first
     run of levels under ``drop_db`` reaches from the end. Traces have ``data`` (linear) and ``twtt``."""
@@ -124,12 +159,26 @@ def differing_rows(a: DataFrame, b: DataFrame, keys: Sequence[str], variable: st
     return both.where(F.col("a").isNull() != F.col("b").isNull()).union(both.where(apart))
 
 
+def sounder_status(results: DataFrame, radargrams: DataFrame, reach: float = 500.0, margin_m: float = 50.0) -> DataFrame:
+    """Every sounder pick with what became of it: ``ok`` and its RSSNR, ``no value``, ``no radargram``, ``too far`` or
+    ``outside record``."""
+    done = sounder_rssnr(results, radargrams, reach, margin_m).select("flight", "point_id", "rssnr", F.lit(True).alias("_done"))
+    known = radargrams.select("flight").distinct().withColumn("_known", F.lit(True))
+    near = matching.candidates(results.select("flight", "point_id", "x", "y"), radargrams.select(F.col("flight").alias("_flight"), F.col("x").alias("_tx"), F.col("y").alias("_ty")), reach, ("x", "y"), ("_tx", "_ty"), ("flight", "_flight"))
+    near = near.select("flight", "point_id").distinct().withColumn("_near", F.lit(True))
+    rows = results.join(known, "flight", "left").join(near, ["flight", "point_id"], "left").join(done, ["flight", "point_id"], "left")
+    good = quality.finite("radar_height", "ice_thickness") & (F.col("radar_height") > 0) & (F.col("ice_thickness") > 0)
+    status = F.when(F.col("_done"), "ok").when(~good, "no value").when(F.col("_known").isNull(), "no radargram").when(F.col("_near").isNull(), "too far").otherwise("outside record")
+    return rows.select("flight", "point_id", status.alias("status"), "rssnr")
+
+
 def sounder_rssnr(results: DataFrame, radargrams: DataFrame, reach: float = 500.0, margin_m: float = 50.0) -> DataFrame:
     """RSSNR at sounder picks: results (flight, point_id, x, y, radar_height, ice_thickness) matched to the nearest trace
     (flight, trace_id, x, y, twtt, low_gain, high_gain) of their flight within ``reach``."""
     good = results.where(quality.finite("radar_height", "ice_thickness") & (F.col("radar_height") > 0) & (F.col("ice_thickness") > 0))
-    traces = radargrams.select("flight", "trace_id", F.col("x").alias("_tx"), F.col("y").alias("_ty"))
-    placed = matching.nearest_in_group(good, traces, "flight", "point_id", "trace_id", ("x", "y"), ("_tx", "_ty")).where(F.col("distance_m") < reach)
+    traces = radargrams.select(F.col("flight").alias("_flight"), "trace_id", F.col("x").alias("_tx"), F.col("y").alias("_ty"))
+    met = matching.candidates(good, traces, reach, ("x", "y"), ("_tx", "_ty"), ("flight", "_flight"))
+    placed = matching.closest_per_group(met, ["flight", "point_id"], ["trace_id"]).drop("_flight", "_tx", "_ty")
     rows = placed.join(radargrams.select("flight", "trace_id", "twtt", "low_gain", "high_gain"), ["flight", "trace_id"])
     t_s, t_b = physics.sounder_times(F.col("radar_height"), F.col("ice_thickness"))
     rows = rows.withColumns({"surface_time": t_s, "bed_time": t_b, "instrument": instrument_of(F.col("flight"))})

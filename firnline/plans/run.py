@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firnline.config import resolve
+from firnline.functions import geo
 from firnline.operators import frames as frame_ops
 from firnline.plans.extract import extract_metrics, frame_fractions
 from firnline.sources.snapshots import NothingWritten, SnapshotStore
 
 
-def select_frames(frames: DataFrame, query: dict[str, Any], box: tuple[float, float, float, float] | None = None) -> DataFrame:
-    """Catalogue query: collections, segments, bounding box and a limit; filters reach the scan."""
+def select_frames(frames: DataFrame, query: dict[str, Any], box: tuple[float, float, float, float] | None = None, shape: list | None = None, without: list | None = None) -> DataFrame:
+    """Catalogue query: collections, segments, bounding box, polygons to meet and not to meet, and a limit; filters on
+    columns reach the scan."""
     if query.get("collections"):
         frames = frames.where(F.col("collection").isin(list(query["collections"])))
     if query.get("segment_paths"):
@@ -22,6 +25,11 @@ def select_frames(frames: DataFrame, query: dict[str, Any], box: tuple[float, fl
     if box is not None:
         x0, y0, x1, y1 = box
         frames = frames.where((F.col("x_max") >= x0) & (F.col("x_min") <= x1) & (F.col("y_max") >= y0) & (F.col("y_min") <= y1))
+    corners = [F.col(c) for c in ("x_min", "y_min", "x_max", "y_max")] if shape or without else []
+    if shape:
+        frames = frames.where(geo.box_meets(*corners, shape))
+    if without:
+        frames = frames.where(~geo.box_meets(*corners, without))
     if query.get("max_items"):
         frames = frames.orderBy("collection", "frame_id").limit(int(query["max_items"]))
     return frames
@@ -56,12 +64,17 @@ def run(store: SnapshotStore, frames: DataFrame, raw: DataFrame, picks: DataFram
     if not total and not session.dirty:
         return None
     batches = max(1, -(-total // size)) if size else 1
-    placed = frame_ops.frame_index(todo, order=("collection",)).withColumn("_batch", (F.col("frame_index") % batches).cast("int")).cache()
+    placed = frame_ops.frame_index(todo, order=("collection",)).withColumn("_batch", (F.col("frame_index") % batches).cast("int")).select("frame_id", "_batch").cache()
+    parted = f"{store.root}/tmp/{uuid.uuid4().hex}"
+    if batches > 1:  # raw is read once, and each batch its own folder of it
+        raw.join(placed, "frame_id").write.partitionBy("_batch").parquet(parted)
     written, rows_written, last = 0, 0, None
     try:
         for batch in range(batches if total else 0):
             chosen = placed.where(F.col("_batch") == batch).select("frame_id")
             own = raw.join(chosen, "frame_id", "left_semi")
+            if batches > 1:
+                own = store.spark.read.schema(raw.schema.add("_batch", "int")).parquet(parted).where(F.col("_batch") == batch).select(*raw.columns)
             if reprocess and not whole_store:
                 session.remove(chosen)
             session.append(extract_metrics(own, picks, config))
@@ -78,6 +91,7 @@ def run(store: SnapshotStore, frames: DataFrame, raw: DataFrame, picks: DataFram
                 last = session.commit(f"[checkpoint] {written}/{total} frames ({rows_written} traces)")
     finally:
         placed.unpersist()
+        store.files.delete(f"tmp/{parted.rsplit('/', 1)[1]}")
     if not written and not session.dirty:
         return last
     if not written:

@@ -49,6 +49,16 @@ def read_netcdf(spark: SparkSession, paths: str) -> DataFrame:
     return files.mapInArrow(parse, NETCDF)
 
 
+def read_segments(spark: SparkSession, folder: str, flight: str) -> DataFrame:
+    """(variable, shape, data) of a flight's files ``{flight}_*.nc``, joined along the track in the order of their names."""
+    parts = read_netcdf(spark, f"{folder}/{flight}_*.nc")
+    ordered = F.array_sort(F.collect_list(F.struct("path", "shape", "data")))
+    joined = parts.groupBy("variable").agg(ordered.alias("_p"), F.first("dimensions").alias("dimensions"))
+    along = F.aggregate("_p.shape", F.lit(0).cast("long"), lambda n, s: n + F.coalesce(F.try_element_at(s, F.lit(1)), F.lit(1)))
+    rest = F.when(F.size(F.element_at("_p", 1)["shape"]) > 1, F.slice(F.element_at("_p", 1)["shape"], 2, 9)).otherwise(F.array().cast("array<bigint>"))
+    return joined.select("variable", "dimensions", F.concat(F.array(along), rest).alias("shape"), F.flatten("_p.data").alias("data"))
+
+
 #: Types of the classic format by number (fixed values).
 _TYPES = {1: ">i1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8"}
 

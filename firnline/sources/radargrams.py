@@ -12,12 +12,17 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from firnline.schema import RAW_TRACES
 
 
+#: Traces handed to Spark at a time.
+BATCH_TRACES = 512
+
+
 class _Frame(InputPartition):
     def __init__(self, path: str, collection: str):
         super().__init__(path)
@@ -50,7 +55,7 @@ class _Reader(DataSourceReader):
                 found += [_Frame(os.path.join(folder, f), collection) for f in sorted(os.listdir(folder)) if f.endswith(".npz") and (not wanted or f[:-4] in wanted)]
         return found
 
-    def read(self, partition) -> Iterator[tuple]:
+    def read(self, partition) -> Iterator[pa.RecordBatch]:
         frame_id = os.path.basename(partition.value)[:-4]
         with np.load(partition.value) as f:
             data, twtt, times = f["data"], f["twtt"].astype(float), f["slow_time"]
@@ -59,13 +64,21 @@ class _Reader(DataSourceReader):
             power = np.abs(data).astype(float)
             heading = f["heading"] if "heading" in f else np.full(len(times), np.nan)
             fields = [f[k].astype(float) for k in ("latitude", "longitude", "elevation")]
-            import datetime as dt
-
-            epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
             found = re.match(r"[^_]+_(\d+_\d+)", frame_id)
-            for i in np.argsort(times, kind="stable"):
-                time = epoch + dt.timedelta(microseconds=int(times[i]))
-                yield frame_id, found[1] if found else frame_id, partition.collection, time, *(float(v[i]) for v in fields), None if np.isnan(heading[i]) else float(heading[i]), power[i].tolist(), twtt.tolist()
+            names = frame_id, found[1] if found else frame_id, partition.collection
+            order = np.argsort(times, kind="stable")
+            for rows in np.split(order, range(BATCH_TRACES, len(order), BATCH_TRACES)):
+                yield _batch(names, times[rows], [v[rows] for v in fields], heading[rows], power[rows], twtt)
+
+
+def _batch(names, times, fields, heading, power, twtt) -> pa.RecordBatch:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    n, width = power.shape
+    schema = to_arrow_schema(RAW_TRACES)
+    lists = lambda flat: pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(flat))
+    columns = [*(pa.array([x] * n) for x in names), pa.array(times.astype(np.int64)), *(pa.array(v) for v in fields), pa.array(heading, from_pandas=True), lists(power.ravel()), lists(np.tile(twtt, n))]
+    return pa.RecordBatch.from_arrays([c.cast(pa.timestamp("us")).cast(f.type) if pa.types.is_timestamp(f.type) else c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def register(spark: SparkSession) -> None:

@@ -97,11 +97,11 @@ class SnapshotStore:
         return Snapshot(**json.loads(text))
 
     def read(self, version: str = "main", columns: list[str] | None = None) -> DataFrame:
-        """A snapshot's rows, by branch or id; an empty store has none."""
+        """A snapshot's rows, by branch or id; an empty store has none. Columns that the table lacks are NULL."""
         id_ = self.tip(version) or (version if version != "main" else None)
         folders = self.snapshot(id_).data if id_ else []
         rows = self.spark.read.schema(TRACES).parquet(*[f"{self.root}/{f}" for f in folders]) if folders else self.spark.createDataFrame([], TRACES)
-        return rows.select(*columns) if columns else rows
+        return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("double").alias(c) for c in columns]) if columns else rows
 
     def frame_dim(self, version: str = "main") -> DataFrame:
         id_ = self.tip(version) or (version if version != "main" else None)
@@ -236,6 +236,15 @@ def compact(store: SnapshotStore, files: int, dry_run: bool = False) -> str | No
     return session.commit(f"[maintenance] compacted {count} files")
 
 
+def number_frames(store: SnapshotStore, force: bool = False) -> str | None:
+    """Give an older store its frame table; nothing to do if it has one, unless forced."""
+    session = store.session()
+    if session.attributes and not force:
+        return None
+    session.update_frames()
+    return session.commit("[maintenance] frames numbered")
+
+
 def backfill(store: SnapshotStore, frames: DataFrame, dry_run: bool = False) -> str | None:
     """Fill the frames' collections from the catalogue; no commit if nothing changes."""
     session, old = store.session(), store.frame_dim()

@@ -1,7 +1,8 @@
 """Continuous ingestion: raw traces arrive as files, each micro-batch becomes one snapshot.
 
-The batch functions are the same as for a run. A batch that is replayed after a failure finds its frames in the store
-already and adds nothing, so every frame is in the table once.
+The batch functions are the same as for a run. Raw traces land in a folder per batch beside the snapshots. A frame whose
+files fall into several batches is extracted again from all of its traces, so decimation and gates see it whole, and a
+batch that is replayed after a failure gives the same rows again: every frame is in the table once.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from firnline.operators import frames as frame_ops
 from firnline.plans.extract import extract_metrics
@@ -18,12 +20,37 @@ from firnline.schema import RAW_TRACES
 from firnline.sources.snapshots import SnapshotStore
 
 
+def _landed(store: SnapshotStore) -> DataFrame:
+    """All raw traces that came in so far, a folder per micro-batch."""
+    try:
+        return store.spark.read.schema(RAW_TRACES).parquet(f"{store.root}/raw/batch=*")
+    except AnalysisException:  # nothing yet
+        return store.spark.createDataFrame([], RAW_TRACES)
+
+
+def landed(store: SnapshotStore, but: int | None = None) -> DataFrame:
+    """All raw traces that came in, a folder per micro-batch, without those of one batch."""
+    if not store.files.list("raw"):
+        return store.spark.createDataFrame([], RAW_TRACES)
+    rows = store.spark.read.schema(StructType([*RAW_TRACES, StructField("batch", IntegerType())])).parquet(f"{store.root}/raw")
+    return (rows if but is None else rows.where(F.col("batch") != but)).select(*RAW_TRACES.names)
+
+
 def ingest_batch(store: SnapshotStore, raw: DataFrame, picks: DataFrame, config: dict[str, Any] | None, batch: int) -> str | None:
-    fresh = frame_ops.not_in(raw, store.processed())
+    """Frames that the batch brings traces of are extracted from all their traces so far, and replace what was there."""
+    key = ["frame_id", "slow_time"]
+    before = landed(store, batch)
+    raw.dropDuplicates(key).join(before.select(*key), key, "left_anti").select(*RAW_TRACES.names).write.mode("overwrite").parquet(f"{store.root}/raw/batch={batch}")
+    fresh = store.spark.read.schema(RAW_TRACES).parquet(f"{store.root}/raw/batch={batch}")
+    touched = fresh.select("frame_id").distinct()
+    if touched.isEmpty():
+        return None
+    whole = fresh.union(frame_ops.also_in(before, touched))
     session = store.session()
-    session.append(extract_metrics(fresh, picks, config))
+    session.remove(touched)
+    session.append(extract_metrics(whole, picks, config))
     folder = session.data[-1]
-    if not store.spark.read.schema(session.rows().schema).parquet(f"{store.root}/{folder}").limit(1).count():
+    if store.spark.read.schema(session.rows().schema).parquet(f"{store.root}/{folder}").isEmpty() and len(session.data) == 1:
         return None
     session.update_frames()
     return session.commit(f"[checkpoint] batch {batch}")

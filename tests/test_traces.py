@@ -24,7 +24,7 @@ SETTINGS = {"processing": {"decimate_interval": None, "noise": {"post_bed": {"st
 
 def frame(frame_id="Data_20120101_01_001", segment="20120101_01", collection="2012_A", n=10, seed=42):
     rng = np.random.default_rng(seed)
-    data = rng.uniform(0.001, 0.01, (n, 100))
+    data = 10 ** rng.uniform(-3.5, -2.2, (n, 100))  # noise under two echoes
     data[:, 20], data[:, 70] = 10.0, 10**0.6
     return [(frame_id, segment, collection, START + dt.timedelta(seconds=10 * i), -75 + 0.01 * i, 160 + 0.01 * i, 2000.0, None, data[i].tolist(), TWTT.tolist()) for i in range(n)]
 
@@ -153,6 +153,22 @@ def test_streaming_adds_each_frame_once(spark, tmp_path):
     assert ingest.ingest_batch(store, raw, layers, SETTINGS, 9) is None
 
 
+def test_streaming_joins_split_frames(spark, tmp_path):
+    """A frame whose traces come in three micro-batches has the rows of one that comes whole."""
+    raw = spark.createDataFrame(frame(n=12) + frame("Data_20120101_01_002", n=3, seed=1), schema.RAW_TRACES)
+    layers = spark.createDataFrame(picks(n=12), schema.PICKS)
+    settings = SETTINGS | {"processing": SETTINGS["processing"] | {"decimate_interval": "25s"}, "qc": {"min_traces_after_qc": 3}}
+    whole = extract_metrics(raw, layers, settings)
+    store = SnapshotStore(spark, f"{tmp_path}/split")
+    seconds = (F.col("slow_time").cast("long") / 10).cast("long")
+    for part in range(3):
+        raw.where(seconds % 3 == part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/parts")
+    ingest.ingest(spark, f"{tmp_path}/parts", layers, store, f"{tmp_path}/mark", settings, files_per_batch=1).awaitTermination()
+    assert ingest.landed(store).count() == 15 and len(store.log()) >= 2
+    kept = ["frame_id", "slow_time", "surface_power_dB", "bed_power_dB"]
+    assert sorted(map(tuple, store.read().select(*kept).collect())) == sorted(map(tuple, whole.select(*kept).collect()))
+
+
 def test_crossovers_find_the_crossing(spark):
     rows = [("a", i, float(i * 100), 0.0, 1.0) for i in range(-20, 21)] + [("b", i, 30.0, float(i * 100), 3.0) for i in range(-20, 21)] + [("c", i, float(i * 100), 50.0, 9.0) for i in range(-20, 21)] + [("d", 0, 0.0, 0.0, 0.0)]
     traces = spark.createDataFrame(rows, "frame_id string, slow_time long, x double, y double, v double")
