@@ -18,21 +18,22 @@ from firnline.sources.snapshots import Conflict, SnapshotStore, compact
 from firnline.streaming import ingest
 
 START = dt.datetime(2012, 1, 1, tzinfo=dt.timezone.utc)
-TWTT = np.linspace(1e-6, 20e-6, 100)
+TWTT = np.linspace(0.5e-6, 22e-6, 110)
+TOP, BOTTOM = 23, 64
 SETTINGS = {"processing": {"decimate_interval": None, "noise": {"post_bed": {"start_offset_us": 1.0, "end_offset_us": 0.5}}}, "qc": {"min_traces_after_qc": 1}}
 
 
-def frame(frame_id="Data_20120101_01_001", segment="20120101_01", collection="2012_A", n=10, seed=42):
+def frame(frame_id="Data_20120101_01_001", segment="20120101_01", collection="2012_A", n=10, seed=17):
     rng = np.random.default_rng(seed)
-    data = 10 ** rng.uniform(-3.5, -2.2, (n, 100))  # noise under two echoes
-    data[:, 20], data[:, 70] = 10.0, 10**0.6
+    data = 10 ** rng.uniform(-3.5, -2.2, (n, len(TWTT)))  # noise under two echoes
+    data[:, TOP], data[:, BOTTOM] = 10 ** 1.4, 10 ** 0.9
     return [(frame_id, segment, collection, START + dt.timedelta(seconds=10 * i), -75 + 0.01 * i, 160 + 0.01 * i, 2000.0, None, data[i].tolist(), TWTT.tolist()) for i in range(n)]
 
 
 def picks(segment="20120101_01", missing=(), n=10, surface="standard:surface", bottom="standard:bottom"):
     times = [START + dt.timedelta(seconds=10 * i) for i in range(n)]
-    top = [(segment, surface, t, float(TWTT[20]), 2.0) for t in times]
-    return top + [(segment, bottom, t, float("nan") if i in missing else float(TWTT[70]), 2.0) for i, t in enumerate(times)]
+    top = [(segment, surface, t, float(TWTT[TOP]), 2.0) for t in times]
+    return top + [(segment, bottom, t, float("nan") if i in missing else float(TWTT[BOTTOM]), 2.0) for i, t in enumerate(times)]
 
 
 @pytest.fixture
@@ -51,17 +52,17 @@ def test_metrics(tables):
     out = extract(tables)
     assert len(out) == 10 and out[0].__fields__ == schema.TRACES.names
     for r, raw in zip(out, frame()):
-        assert r["surface_power_dB"] == pytest.approx(10.0) and r["bed_power_dB"] == pytest.approx(6.0)
-        assert r["surface_twtt"] == TWTT[20] and r["bed_twtt"] == TWTT[70]
+        assert r["surface_power_dB"] == pytest.approx(14.0) and r["bed_power_dB"] == pytest.approx(9.0)
+        assert r["surface_twtt"] == TWTT[TOP] and r["bed_twtt"] == TWTT[BOTTOM]
         v = physics.LIGHT / math.sqrt(3.17)
-        h = v / 2 * (TWTT[70] - TWTT[20])
-        rs = physics.LIGHT / 2 * TWTT[20]
+        h = v / 2 * (TWTT[BOTTOM] - TWTT[TOP])
+        rs = physics.LIGHT / 2 * TWTT[TOP]
         assert r["required_surface_snr_dB"] == pytest.approx(4 + 10 * math.log10(rs**2 / (rs + h / math.sqrt(3.17)) ** 2), rel=1e-9)
         assert r["bed_elevation"] == pytest.approx(2000 - rs - h)
         data = np.array(raw[8])
-        low, high = TWTT[0] + 1e-6, TWTT[20] - 1e-6
+        low, high = TWTT[0] + 1e-6, TWTT[TOP] - 1e-6
         assert r["pre_surface_noise_dB"] == pytest.approx(10 * math.log10(np.median(data[(TWTT >= low) & (TWTT <= high)])))
-        inside = data[(TWTT >= TWTT[70] + 1e-6) & (TWTT <= TWTT[-1] - 0.5e-6)]
+        inside = data[(TWTT >= TWTT[BOTTOM] + 1e-6) & (TWTT <= TWTT[-1] - 0.5e-6)]
         assert r["post_bed_noise_dB"] == r["post_bed_noise_interp_dB"] == pytest.approx(10 * math.log10(np.median(inside)))
         assert r["post_bed_std_interp_dB"] == pytest.approx(np.std(10 * np.log10(inside)))
         tail = data[(TWTT >= TWTT[-1] - 12e-6) & (TWTT <= TWTT[-1] - 7e-6)]
