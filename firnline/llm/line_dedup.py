@@ -30,8 +30,8 @@ STEPS = 6
 #: The similarity as a fraction, so that bounds are exact integers.
 NUMERATOR, DENOMINATOR = 4, 5
 MIN_WORDS = 5
-#: Holders of one token that meet in one task at first, and how many before it each of them meets.
-PART, LAGS = 20_000, 2
+#: How many holders of a token before it a class meets at first, beside the earliest.
+LAGS = 2
 
 
 def _spaced(text: Column, also: str = "") -> Column:
@@ -92,16 +92,10 @@ def _classes(docs: DataFrame, scratch: Scratch, min_words: int, numerator: int,
     return lines, classes
 
 
-def _postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """A flat row per class and prefix token that another class has too, the rows that later joins move.
-
-    Most words of a prefix are rare enough to stand in one class only; dropping these leaves a small table. ``salt``
-    cuts the holders of a frequent token into parts of about PART for the first meetings.
-    """
-    posted = classes.select(*_FIRST, "n", "parity", "parity2", F.posexplode("prefix").alias("pos", "token"))
-    held = posted.groupBy("token").count().where("count > 1").select(F.col("token").alias("_token"), F.ceil(F.col("count") / PART).cast("int").alias("parts"))
-    posted = posted.hint("merge").join(held, F.col("token") == F.col("_token"))
-    return scratch.save(posted.select(*_FIRST, "n", "parity", "parity2", "pos", "token", F.pmod(F.hash("first_id", "first_line"), "parts").alias("salt")), "postings")
+def _posted(classes: DataFrame, *also: str) -> DataFrame:
+    """A flat row per class and prefix token, the rows that joins move. 31 bits of the token are enough to meet by."""
+    flat = classes.select(*_FIRST, "n", "parity", "parity2", *also, F.posexplode("prefix").alias("pos", "token"))
+    return flat.withColumn("token", F.expr("int(token & 2147483647)"))
 
 
 def _near(numerator: int, denominator: int) -> str:
@@ -119,21 +113,29 @@ _PAIR = [*_FIRST, *[f"_{c}" for c in _FIRST]]
 _EARLIER = "(_first_id < first_id or (_first_id = first_id and _first_line < first_line))"
 
 
-def _met_first(postings: DataFrame, near: str) -> DataFrame:
-    """Each class with the earliest holder of each of its prefix tokens and with the LAGS ones just before it."""
-    by_age = Window.partitionBy("token", "salt").orderBy("first_id", "first_line", "first_part")
+def _met_first(classes: DataFrame, near: str) -> DataFrame:
+    """Each class with the earliest holder of each of its prefix tokens and with the LAGS ones just before it.
+
+    Holders of a token are told apart by length, in steps of a quarter, which cuts a frequent token's into parts.
+    """
+    by_age = Window.partitionBy("token", "step").orderBy("first_id", "first_line", "first_part")
     names = [*_FIRST, "n", "parity", "parity2", "pos"]
     one = F.struct(*names)
     others = F.array(F.first(one).over(by_age), *[F.lag(one, i).over(by_age) for i in range(1, LAGS + 1)])
-    met = postings.withColumn("others", others).withColumn("other", F.explode("others")).select(*names, *[F.col(f"other.{c}").alias(f"_{c}") for c in names])
+    posted = _posted(classes).withColumn("step", F.expr("int(log(n) / log(1.25D))"))
+    met = posted.withColumn("others", others).withColumn("other", F.explode("others")).select(*names, *[F.col(f"other.{c}").alias(f"_{c}") for c in names])
     return met.where(_EARLIER).where(near).select(*_PAIR).distinct()
 
 
-def _met_any(postings: DataFrame, matched: DataFrame, near: str) -> DataFrame:
-    """Classes that are not matched yet, with every earlier class they could resemble."""
-    left = postings.join(matched, _FIRST, "left_anti")
-    right = postings.select(*[F.col(c).alias(f"_{c}") for c in postings.columns])
-    return left.join(right, F.expr(f"token = _token and {_EARLIER} and {near}")).select(*_PAIR).distinct()
+def _met_any(classes: DataFrame, near: str) -> DataFrame:
+    """Classes that are still open, with every earlier class they could resemble.
+
+    Both sides of the join are the same rows, so one exchange serves them; that is why closed classes are told in the
+    join's condition, beside a column of the other side.
+    """
+    left = _posted(classes, "open", "always")
+    right = left.select(*[F.col(c).alias(f"_{c}") for c in left.columns])
+    return left.join(right, F.expr(f"token = _token and open = _always and {_EARLIER} and {near}")).select(*_PAIR).distinct()
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, numerator: int, denominator: int) -> DataFrame:
@@ -165,15 +167,16 @@ def similar_lines(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS,
     spark = docs.sparkSession
     lines, classes = _classes(docs, scratch, min_words, numerator, denominator)
     release_shuffles(spark)
-    postings = _postings(classes, scratch)
+    near = _near(numerator, denominator)
+    matched = _confirmed(docs, _met_first(classes, near), scratch, "first", numerator, denominator)
+    release_shuffles(spark)
     firsts = scratch.save(classes.select("class", "class2", *_FIRST), "firsts")
+    closed = classes.drop("class", "class2").join(matched.withColumn("_closed", F.lit(0)), _FIRST, "left")
+    marked = scratch.save(closed.withColumns({"open": F.coalesce("_closed", F.lit(1)), "always": F.lit(1)}).drop("_closed"), "marked")
     scratch.free("classes")
     release_shuffles(spark)
-    near = _near(numerator, denominator)
-    matched = _confirmed(docs, _met_first(postings, near), scratch, "first", numerator, denominator)
-    release_shuffles(spark)
-    more = _confirmed(docs, _met_any(postings, matched, near), scratch, "any", numerator, denominator)
-    scratch.free("postings")
+    more = _confirmed(docs, _met_any(marked, near), scratch, "any", numerator, denominator)
+    scratch.free("marked")
     release_shuffles(spark)
     later = matched.union(more).withColumn("matched", F.lit(True))
     told = firsts.join(later, _FIRST, "left").select(F.col("class").alias("_class"), F.col("class2").alias("_class2"), "first_id", "first_line", F.coalesce("matched", F.lit(False)).alias("matched"))
