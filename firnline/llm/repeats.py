@@ -10,8 +10,9 @@ level, and only what is still undecided goes down:
 3. window: what is left, windows of single regions, one representative for each repeated region.
 
 Levels 1 and 2 are aggregations with map-side partial results, so a passage found in a third of all documents is one
-row per task. Level 3 deals packed windows by their own name, so no group of documents meets in one task, and the
-number of shares follows the number of windows. Names are 64-bit fingerprints of the units.
+row per task; regions are told by 128 bits. Level 3 is each operator's own. The one here deals packed windows by their
+own name, a 64-bit fingerprint, so no group of documents meets in one task, and the number of shares follows the number
+of windows; ``substring_dedup`` grows suffix trees over the words themselves.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from firnline.llm.wordhash import mix, span_hash, window_sums
 SHARE_WINDOWS = 1_500_000
 SLICE_UNITS = 4_000_000
 SPILL_BYTES = 64 << 20
+_SECOND = np.uint64(0xA24BAED4963EE407)
 #: What stays of a window that repeats.
 NOTHING, DOCUMENT, OCCURRENCE = "nothing", "document", "occurrence"
 
@@ -63,7 +65,7 @@ def sample(codes: np.ndarray, first: np.ndarray, units: Units) -> dict[str, np.n
     """Samples of all texts: doc (text's number), low and high (first and last window it stands for), gram, region."""
     length, k = units.length, units.gram
     n = len(codes)
-    empty = {"doc": np.zeros(0, np.int64), "low": np.zeros(0, np.int64), "high": np.zeros(0, np.int64), "gram": np.zeros(0, np.int64), "region": np.zeros(0, np.int64)}
+    empty = {"doc": np.zeros(0, np.int64), "low": np.zeros(0, np.int64), "high": np.zeros(0, np.int64), "gram": np.zeros(0, np.int64), "region": np.zeros(0, np.int64), "region2": np.zeros(0, np.int64)}
     if n < length:
         return empty
     sums = window_sums(codes)
@@ -81,7 +83,8 @@ def sample(codes: np.ndarray, first: np.ndarray, units: Units) -> dict[str, np.n
     end = np.append(begin[1:], len(window)) - 1
     low, high, pick, doc = window[begin], window[end], chosen[begin], doc[begin]
     region = mix(span_hash(sums, low, high + length) + (pick - low).astype(np.uint64))
-    return {"doc": doc, "low": low - first[doc], "high": high - first[doc], "gram": grams[pick].view(np.int64), "region": region.view(np.int64)}
+    region2 = span_hash(window_sums(mix(codes ^ _SECOND)), low, high + length)
+    return {"doc": doc, "low": low - first[doc], "high": high - first[doc], "gram": grams[pick].view(np.int64), "region": region.view(np.int64), "region2": region2.view(np.int64)}
 
 
 def _bounded(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -165,18 +168,18 @@ def with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return docs.join(marks, (F.col("id") == F.col("_id")) & (F.col("part") == F.col("_part")), "left").drop("_id", "_part")
 
 
-def find_repeats(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> DataFrame:
+def find_repeats(docs: DataFrame, units: Units, stays: str, scratch: Scratch, judge: Callable | None = None) -> DataFrame:
     """(id, part, low array, high array): units from each low to its high + length - 1 repeat, per text with any.
 
     ``docs`` is ``keyed``. What ``stays`` says which windows repeat: NOTHING, those that start anywhere else too;
     DOCUMENT, those that a document with a smaller id has too; OCCURRENCE, those that start earlier too, by (id, part, start).
-    A later occurrence that overlaps the first one counts from the first one's end on, so the first stays whole.
+    A later occurrence that overlaps the first one counts from the first one's end on, so the first stays whole. ``judge`` replaces level 3.
     """
     spark = docs.sparkSession
     settled, asking, total = _undecided(docs, units, stays, scratch)
     release_shuffles(spark)
     shares = max(2 * default_partitions(spark), -(-total // SHARE_WINDOWS))
-    judged = _judged(docs, asking, units, stays, shares, scratch)
+    judged = (judge or _judged)(docs, asking, units, stays, shares, scratch)
     release_shuffles(spark)
     marks = settled.union(judged).groupBy("id", "part").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
     out = scratch.save(marks, "marks")
@@ -196,19 +199,19 @@ def _undecided(docs: DataFrame, units: Units, stays: str, scratch: Scratch) -> t
             found["part"], found["doc"] = part[a:b][found["doc"]], ids[a:b][found["doc"]]
             parts.append(found)
         out = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
-        return {"id": out["doc"], "part": out["part"], "low": out["low"].astype(np.int32), "high": out["high"].astype(np.int32), "gram": out["gram"], "region": out["region"]}
+        return {"id": out["doc"], "part": out["part"], "low": out["low"].astype(np.int32), "high": out["high"].astype(np.int32), "gram": out["gram"], "region": out["region"], "region2": out["region2"]}
 
-    sampled = scratch.save(map_rows(docs, samples, f"{_RANGES}, gram long, region long"), "samples")
-    same = F.min("region") == F.max("region")
+    sampled = scratch.save(map_rows(docs, samples, f"{_RANGES}, gram long, region long, region2 long"), "samples")
+    same = (F.min("region") == F.max("region")) & (F.min("region2") == F.max("region2"))
     repeated = F.min("id") < F.max("id") if stays == DOCUMENT else F.count("*") > 1
     single = F.struct("id", "part", "low")
     groups = scratch.save(sampled.groupBy("gram").agg(F.min(single).alias("least"), same.alias("uniform"), repeated.alias("repeated")).where("repeated").select(F.col("gram").alias("_gram"), "least", "uniform"), "groups")
     found = scratch.save(sampled.join(groups, F.col("gram") == F.col("_gram")).drop("_gram"), "found")
     scratch.free("samples", "groups")
 
-    regions = scratch.save(found.where("not uniform").groupBy("gram", "region").agg(F.count("*").alias("copies"), F.min(single).alias("first")).select(F.col("gram").alias("_gram"), F.col("region").alias("_region"), "copies", "first"), "regions")
+    regions = scratch.save(found.where("not uniform").groupBy("gram", "region", "region2").agg(F.count("*").alias("copies"), F.min(single).alias("first")).select(F.col("gram").alias("_gram"), F.col("region").alias("_region"), F.col("region2").alias("_region2"), "copies", "first"), "regions")
     hot = scratch.save(regions.groupBy(F.col("_gram").alias("_hot")).agg(F.ceil(F.count("*") / HOT_REGIONS).cast("int").alias("salts")).where("salts > 1"), "hot")
-    open_ = found.where("not uniform").join(regions, (F.col("gram") == F.col("_gram")) & (F.col("region") == F.col("_region")))
+    open_ = found.where("not uniform").join(regions, (F.col("gram") == F.col("_gram")) & (F.col("region") == F.col("_region")) & (F.col("region2") == F.col("_region2")))
     ahead = lambda first: F.when((F.col("id") == F.col(f"{first}.id")) & (F.col("part") == F.col(f"{first}.part")), F.greatest("low", F.col(f"{first}.low") + units.length)).otherwise(F.col("low"))
     begin = F.col("low")
     if stays == DOCUMENT:

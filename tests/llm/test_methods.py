@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from firnline.llm import line_dedup, near_dup, quality_classifier, quality_rules, substring_dedup, suffix_dedup
+from firnline.llm import line_dedup, near_dup, quality_classifier, quality_rules, repeats, substring_dedup, suffix_dedup
 from firnline.llm.text_stats import FIELDS, stats
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -101,3 +102,41 @@ def test_long_texts(spark):
 
 def rows_of(frame):
     return {r["doc_id"]: r for r in frame.collect()}
+
+
+def test_suffix_tree_leaves():
+    """Deep nodes against windows held as tuples, with few words so that many prefixes agree."""
+    rng = np.random.default_rng(3)
+    for window in (1, 2, 3, 7, 12):
+        codes = rng.integers(0, 2, 400)
+        node = substring_dedup.deep_nodes(codes, window)
+        names = [tuple(codes[i : i + window]) for i in range(400 - window + 1)]
+        assert len(node) == len(names) and len(set(zip(node.tolist(), names))) == len(set(node.tolist())) == len(set(names))
+        counts = rng.integers(1, 20, 9)
+        pieces = np.array([(d, 0, 100, n) for d, n in zip([3, 1, 2, 2, 5, 3, 9, 1, 4], counts)], substring_dedup._PIECE)
+        texts = [rng.integers(0, 2, n + window - 1) for n in counts]
+        found = set(zip(*map(np.ndarray.tolist, substring_dedup.repeated_leaves(pieces, [str(c).encode() for t in texts for c in t], window))))
+        least = {}
+        for p, t in zip(pieces, texts):
+            for i in range(p["count"]):
+                least[tuple(t[i : i + window])] = min(p["doc"], least.get(tuple(t[i : i + window]), 99))
+        assert found == {(k, 100 + i) for k, (p, t) in enumerate(zip(pieces, texts)) for i in range(p["count"]) if p["doc"] > least[tuple(t[i : i + window])]}
+
+
+def test_samples_that_collide_change_nothing(spark, monkeypatch):
+    """Fingerprints of three bits, in samples and in regions' first half: words decide all the same."""
+    weak = lambda sums, start, end: (span(sums, start, end) >> np.uint64(61)) << np.uint64(61)
+    span = repeats.span_hash
+    rng = random.Random(14)
+    vocabulary = [str(i) for i in range(60)]
+    passage = [rng.choice(vocabulary) for _ in range(70)]
+    texts = [[rng.choice(vocabulary) for _ in range(40)] + passage + [rng.choice(vocabulary) for _ in range(30)] for _ in range(5)] + [[rng.choice(vocabulary) for _ in range(150)] for _ in range(5)]
+    monkeypatch.setattr(repeats, "span_hash", weak)
+    codes, first = substring_dedup._cut([" ".join(t) for t in texts])
+    found = repeats.sample(codes, first, repeats.Units(substring_dedup._cut, 50, 8))
+    assert len(set(found["gram"].tolist())) <= 8
+    spans = [(d, lo, hi) for d, lo, hi in zip(found["doc"].tolist(), found["low"].tolist(), found["high"].tolist())]
+    pieces = np.array([(d, 0, lo, hi - lo + 1) for d, lo, hi in spans], substring_dedup._PIECE)
+    words = [w.encode() for d, lo, hi in spans for w in texts[d][lo : hi + 50]]
+    piece, start = substring_dedup.repeated_leaves(pieces, words, 50)
+    assert {(int(pieces["doc"][p]), int(s)) for p, s in zip(piece, start)} == {(d, s) for d in range(1, 5) for s in range(40, 61)}
