@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from firnline.llm import line_dedup, near_dup, quality_classifier, quality_rules, repeats, substring_dedup, suffix_dedup
+from firnline.llm import line_dedup, near_dup, quality_classifier, quality_rules, repeats, substring_dedup, suffix_dedup, topk
 from firnline.llm.text_stats import FIELDS, stats
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -140,3 +140,37 @@ def test_samples_that_collide_change_nothing(spark, monkeypatch):
     words = [w.encode() for d, lo, hi in spans for w in texts[d][lo : hi + 50]]
     piece, start = substring_dedup.repeated_leaves(pieces, words, 50)
     assert {(int(pieces["doc"][p]), int(s)) for p, s in zip(piece, start)} == {(d, s) for d in range(1, 5) for s in range(40, 61)}
+
+
+def test_lists_are_read_in_part():
+    """Sparse directions: bounds stop reading early, and a block that can't reach the best is left unread."""
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-3, 4, (4000, 12))
+    vectors[:40] += rng.integers(30, 60, (40, 12))
+    low = rng.integers(-3, 4, (4000, 12))
+    queries = rng.integers(1, 9, (20, 12))
+    ids, query_ids = np.arange(4000), np.arange(20) + 100_000
+    found, shares = topk.slab_top(query_ids, queries, [(ids, vectors), (ids + 4000, low)], 5)
+    for n, q in zip(query_ids, queries):
+        everything = np.concatenate([vectors, low]) @ q
+        order = np.lexsort((np.arange(8000), -everything))[:5]
+        assert [(v, s) for i, v, s in found if i == n] == [(int(o), int(everything[o])) for o in order]
+    assert 0 < shares[0] <= 0.1 and shares[1] == 0.0
+
+
+def test_top_k_against_all_products():
+    rng = np.random.default_rng(6)
+    for _ in range(6):
+        n, dims = int(rng.integers(3, 60)), int(rng.integers(1, 7))
+        vectors, queries = rng.integers(-4, 5, (n, dims)), rng.integers(-4, 5, (4, dims))
+        ids = rng.permutation(100)[:n]
+        cut = n // 2
+        found, _ = topk.slab_top(ids[:4], queries[: len(ids[:4])], [(ids[:cut], vectors[:cut]), (ids[cut:], vectors[cut:])], 5)
+        for i, q in zip(ids[:4], queries):
+            best = sorted((-int(v @ q), int(j)) for v, j in zip(vectors, ids) if j != i)[:5]
+            assert [(-s, v) for k, v, s in found if k == i] == best
+
+
+def test_components_without_bounds_take_no_part(spark):
+    table = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1e300, 0.0]), (2, [-1e17, 1.0]), (3, [0.5, 0.5])], "vec_id long, embedding array<double>")
+    assert {(r["query_id"], r["vec_id"]) for r in topk.top_k(table).collect()} == {(0, 3)}
