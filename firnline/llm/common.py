@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import shutil
 import tempfile
 import time
@@ -29,14 +30,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Scratch:
     """Tables written to the folder all executors share, each cutting the lineage before it.
 
-    The folder is the session's ``spark.checkpoint.dir``; a temporary one is made only where that is unset.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a temporary one serves a session on a
+    single machine, and a cluster's is an error: its executors would write where nobody else can read.
     ``free`` removes a table that no later plan reads; what is left goes when the Python driver ends.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if not base:
+        if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not base:  # one machine, as in tests
             base = tempfile.mkdtemp(prefix="firnline-")
             atexit.register(shutil.rmtree, base, True)
             base = f"file://{base}"

@@ -3,8 +3,8 @@
 A document's set is its distinct shingles of ``k`` words. Its sketch has REGISTERS buckets; each keeps, for the least
 hash that fell into it, the number of leading zeros and MANTISSA further bits. Empty buckets borrow from others (optimal
 densification), so short texts band as well as long ones. Bands of registers propose partners: documents that agree on
-a band belong to one candidate cluster. Inside clusters, sets larger than the sketch are first compared by the
-collision-corrected estimate, and every link is confirmed on the full sets.
+a band belong to one candidate cluster. Inside clusters, every pair is first compared by the
+collision-corrected estimate, and what that does not rule out is confirmed on the full sets of 56-bit shingle hashes.
 
 Equal sets are one class from the start, so copies never meet one another. Clusters beyond BLOCK classes are dealt as
 pairs of blocks; a task gives only links that join parts not yet joined, so output follows documents, not pairs.
@@ -31,8 +31,8 @@ REGISTERS, MANTISSA = 256, 10
 MISS = 1e-4
 #: Documents in a block; a task holds two blocks of sets.
 BLOCK = 256
-#: Estimates within this of the threshold are verified; five standard deviations and more at 256 registers.
-MARGIN = 0.15
+#: Estimates within so many standard deviations of the threshold are verified.
+DEVIATIONS = 6.0
 _HASH_BITS = 56
 _VALUE_BITS = 48
 _EMPTY = np.uint16(0xFFFF)
@@ -86,7 +86,9 @@ def _densified(table: np.ndarray) -> np.ndarray:
     todo_doc, todo_cell = np.nonzero(~filled & filled.any(1)[:, None])
     attempt = np.uint64(1)
     while len(todo_doc):
-        source = (mix(todo_cell.astype(np.uint64) * np.uint64(1_000_003) + attempt * np.uint64(0x5851F42D4C957F2D)) % np.uint64(REGISTERS)).astype(np.int64)
+        with np.errstate(over="ignore"):
+            step = attempt * np.uint64(0x5851F42D4C957F2D)
+        source = (mix(todo_cell.astype(np.uint64) * np.uint64(1_000_003) + step) % np.uint64(REGISTERS)).astype(np.int64)
         found = filled[todo_doc, source]
         out[todo_doc[found], todo_cell[found]] = table[todo_doc[found], source[found]]
         todo_doc, todo_cell = todo_doc[~found], todo_cell[~found]
@@ -112,11 +114,18 @@ def bands(table: np.ndarray, rows: int) -> np.ndarray:
 
 def estimate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Collision-corrected Jaccard estimates between all rows of two register tables."""
-    agree = np.stack([(right == row).mean(1) for row in left])
+    agree = np.stack([(right == row).mean(1, dtype=np.float32) for row in left])
     chance = 1 / (1 << MANTISSA) / 3  # two unrelated registers share exponent (about 1/3) and mantissa
     return (agree - chance) / (1 - chance)
 
 
+def margin(smaller: np.ndarray, threshold: float) -> np.ndarray:
+    """How far under the threshold an estimate may lie: DEVIATIONS of a mean over as many independent registers as the
+    smaller set fills, half of them at most, since empty registers borrow."""
+    filled = np.minimum(REGISTERS, smaller) / 2
+    return DEVIATIONS * np.sqrt(threshold * (1 - threshold) / np.maximum(filled, 1))
+
+
 def _clear(size_a, size_b, inter, numerator: int, denominator: int):
     return denominator * inter >= numerator * (size_a + size_b - inter)
 
@@ -129,11 +138,9 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], part: np.ndarray | None
     open_ = np.triu(denominator * small >= numerator * large, 1)
     if part is not None:
         open_ &= part[:, None] != part[None, :]
-    big = np.flatnonzero(sizes > 4 * REGISTERS)
-    if len(big) > 1:
-        table = registers([sets[i] for i in big])
-        unlikely = estimate(table, table) < numerator / denominator - MARGIN
-        open_[np.ix_(big, big)] &= ~unlikely
+    if open_.any():  # every candidate pair is estimated, and only what the estimate can't rule out is verified
+        table = registers(sets)
+        open_ &= estimate(table, table) >= numerator / denominator - margin(small, numerator / denominator)
     a, b = np.nonzero(open_)
     root = list(range(n))
 

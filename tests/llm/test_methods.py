@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from firnline.llm import line_dedup, near_dup, quality_classifier, quality_rules, repeats, substring_dedup, suffix_dedup, topk
+from firnline.llm import common, line_dedup, near_dup, quality_classifier, quality_rules, repeats, substring_dedup, suffix_dedup, topk
 from firnline.llm.text_stats import FIELDS, stats
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -174,3 +174,41 @@ def test_top_k_against_all_products():
 def test_components_without_bounds_take_no_part(spark):
     table = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1e300, 0.0]), (2, [-1e17, 1.0]), (3, [0.5, 0.5])], "vec_id long, embedding array<double>")
     assert {(r["query_id"], r["vec_id"]) for r in topk.top_k(table).collect()} == {(0, 3)}
+
+
+def test_estimates_never_rule_out_a_link():
+    """Sets of all sizes at and just above the threshold: the estimate stays within its margin."""
+    rng = np.random.default_rng(9)
+    for size in (3, 6, 10, 20, 40, 100, 400, 2000):
+        for threshold in (0.8, 0.85):
+            shared = int(np.ceil(2 * size * threshold / (1 + threshold)))
+            for _ in range(60):
+                values = rng.choice(1 << 55, 2 * size - shared, replace=False).astype(np.uint64)
+                a, b = np.sort(values[:size]), np.sort(np.concatenate([values[:shared], values[size:]]))
+                estimated = near_dup.estimate(near_dup.registers([a]), near_dup.registers([b]))[0, 0]
+                assert estimated >= threshold - near_dup.margin(np.array([size]), threshold)[0]
+
+
+def test_recall_at_the_threshold():
+    """Pairs at 0.85 share a band of eight registers, as the banding promises."""
+    rng = np.random.default_rng(10)
+    rows, missed = near_dup.rows_per_band(0.85), 0
+    for _ in range(400):
+        values = rng.choice(1 << 55, 1081, replace=False).astype(np.uint64)
+        table = near_dup.registers([np.sort(values[:1000]), np.sort(np.concatenate([values[:919], values[1000:]]))])
+        left, right = near_dup.bands(table, rows)
+        missed += not (left == right).any()
+    assert rows == 8 and missed == 0
+
+
+def test_clusters_need_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        common.Scratch(Session(), "x")
