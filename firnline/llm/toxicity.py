@@ -1,15 +1,18 @@
 """Toxicity by nearest labelled examples (operator 4).
 
 Labelled documents are the examples: at most REFERENCE_ROWS of either class, those with the smallest hash of the id
-(the documented bound on what is learned from). Texts are TF-IDF vectors over terms that tell the classes apart in the
-examples: words, and the first four and five letters of words, which also meet unseen endings. Document frequencies are
-counted over all documents. The K nearest examples by exact cosine come from an inverted index in blocks of BLOCK
-examples with each term's largest weight per block: blocks are taken by their upper bound until none left can reach the
-K-th best. Votes are weighted by squared cosine and by how many labelled documents an example stands for, and shrunk
-towards the share of toxic documents, so scores are probabilities; the nearest examples are given as evidence.
+(the documented bound on what is learned from). Texts are TF-IDF vectors over all terms of the examples: words, and the
+first five letters of words, which also meet unseen endings; document frequencies are counted over all documents. A
+term's weight is its IDF times (lift - EVEN) ** POWER, where the lift is the logarithm of how much likelier the term is
+in toxic examples, smoothed by PSEUDO examples; terms that are hardly likelier there weigh nothing, and no term is left
+out for being rare or for its rank. The K nearest examples by exact cosine come from an inverted index in blocks of
+BLOCK examples with each term's largest weight per block: blocks are taken by their upper bound until none left can
+reach the K-th best; equal cosines go to the example with the smaller id. Votes are weighted by squared cosine and by
+how many labelled documents an example stands for, and shrunk towards the share of toxic documents. A logistic curve
+fitted to each example's vote without itself makes them probabilities; the nearest examples are given as evidence.
 
 Labels, language, source and id are no inputs of a score. Defined cases: a null or empty text, or one without any term,
-gets the share of toxic examples among those without any; documents without a label row are scored like any other;
+gets the curve of the share of toxic documents; documents without a label row are scored like any other;
 null labels are none; repeated rows are each scored; without labels every score is PRIOR; further columns are ignored.
 """
 
@@ -18,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -27,13 +30,13 @@ from pyspark.sql import functions as F
 from firnline.llm.common import map_rows
 
 REFERENCE_ROWS = 3000
-TERMS = 2048
 K = 15
 BLOCK = 64
+#: Blocks that are scored first; then twice as many each time.
+FIRST_BLOCKS = 8
 SHRINK = 0.5
 PRIOR = 0.1
-#: A term must occur in so many toxic examples, and such a share of them, have this chi-square, and be this much likelier there.
-MIN_TOXIC, MIN_SHARE, MIN_CHI, MIN_LIFT = 8, 0.012, 25.0, 6.0
+EVEN, POWER, PSEUDO = 0.2, 3, 2.0
 EVIDENCE = 5
 MEMO_ENTRIES = 100_000
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -44,22 +47,26 @@ def words(text: str | None) -> list[str]:
 
 
 def terms_of(word: str) -> tuple[str, ...]:
-    return (word, "^" + word[:4], "^" + word[:5])
+    return (word, "^" + word[:5])
 
 
 @dataclass
 class Index:
-    """Examples in blocks: per term, postings (example, weight) by example, block offsets and block maxima."""
+    """Examples in blocks. Postings (example, value) lie by term and example; an entry is a term's postings in one block."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # the terms' weights
     example_ids: np.ndarray
     toxic: np.ndarray
     stands_for: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    block_max: np.ndarray
-    bare_score: float
     prior: float
+    curve: tuple[float, float] = (1.0, 0.0)
+    example: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    value: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    entry_first: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # an entry's first posting
+    entry_block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    entry_max: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    term_first: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # a term's first entry
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(sorted(counts), np.int64)
@@ -68,30 +75,68 @@ class Index:
         weight = (1 + np.log([counts[i] for i in ids.tolist()])) * self.idf[ids]
         return ids, weight / np.sqrt((weight**2).sum())
 
-    def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = K) -> list[tuple[float, int]]:
+    def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = K, without: int = -1) -> list[tuple[float, int]]:
         """(cosine, example) of the k best with a positive cosine, by falling cosine, then by example."""
-        bound = weights @ self.block_max[ids]
+        entries, of_term = _ranges(self.term_first[ids], self.term_first[ids + 1])
+        block, weight = self.entry_block[entries], weights[of_term]
+        bound = np.bincount(block, weight * self.entry_max[entries], -(-len(self.toxic) // BLOCK) + 1)
+        order = np.argsort(-bound, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
         best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or (len(best) == k and bound[block] < best[-1][0] - 1e-12):
-                break
-            score = np.zeros(BLOCK)
-            for i, w in zip(ids.tolist(), weights.tolist()):
-                example, value, offsets = self.postings[i]
-                a, b = offsets[block], offsets[block + 1]
-                score[example[a:b] - block * BLOCK] += w * value[a:b]
+        done, upto = 0, FIRST_BLOCKS
+        while done < len(order) and bound[order[done]] > 0 and not (len(best) == k and bound[order[done]] < best[-1][0] - 1e-11):
+            here = np.flatnonzero((place[block] >= done) & (place[block] < upto))
+            postings, of_entry = _ranges(self.entry_first[entries[here]], self.entry_first[entries[here] + 1])
+            score = np.bincount(self.example[postings], weight[here][of_entry] * self.value[postings], len(self.toxic))
+            if without >= 0:
+                score[without] = 0
             hit = np.flatnonzero(score > 0)
-            best = sorted(best + [(round(s, 12), block * BLOCK + e) for s, e in zip(score[hit].tolist(), hit.tolist())], key=lambda x: (-x[0], x[1]))[:k]
+            if len(hit) > 4 * k:  # ties with the k-th stay
+                hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[-k] - 1e-11]
+            best = sorted(best + [(round(s, 12), e) for s, e in zip(score[hit].tolist(), hit.tolist())], key=lambda x: (-x[0], x[1]))[:k]
+            done, upto = upto, 2 * upto
         return best
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        if not counts:
-            return self.bare_score, []
-        near = self.nearest(*self.vector(counts))
+    def votes(self, near: list[tuple[float, int]]) -> float:
         mass = sum(c * c * self.stands_for[e] for c, e in near)
-        votes = sum(c * c * self.stands_for[e] for c, e in near if self.toxic[e])
+        toxic = sum(c * c * self.stands_for[e] for c, e in near if self.toxic[e])
         shrink = SHRINK * float(self.stands_for.min(initial=1.0))
-        return (votes + shrink * self.prior) / (mass + shrink), near
+        return (toxic + shrink * self.prior) / (mass + shrink)
+
+    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
+        if not len(self.toxic):
+            return PRIOR, []
+        near = self.nearest(*self.vector(counts)) if counts else []
+        return _curved(self.votes(near), self.curve), near
+
+
+def _ranges(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each first to below its end, and which range each belongs to."""
+    count = end - first
+    owner = np.repeat(np.arange(len(count)), count)
+    return np.arange(len(owner)) + (first - np.cumsum(count) + count)[owner], owner
+
+
+def _logit(vote):
+    vote = np.clip(vote, 1e-4, 1 - 1e-4)
+    return np.log(vote / (1 - vote))
+
+
+def _curved(vote: float, curve: tuple[float, float]) -> float:
+    return float(1 / (1 + math.exp(-(curve[0] * float(_logit(vote)) + curve[1]))))
+
+
+def fitted_curve(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic curve from votes to labels, by Newton steps; a slight prior holds it near (1, 0)."""
+    x = np.stack([_logit(votes), np.ones(len(votes))], axis=1)
+    at, held = np.array([1.0, 0.0]), np.array([1.0, 0.0])
+    weight = weight / max(weight.sum(), 1e-9) * len(weight)
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        gradient = x.T @ (weight * (p - toxic)) + (at - held)
+        at = at - np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + np.eye(2), gradient)
+    return (float(at[0]), float(at[1])) if at[0] > 0 and np.isfinite(at).all() else (1.0, 0.0)
 
 
 def build_index(examples: list[tuple[int, bool, dict[int, int]]], terms: dict[str, int], idf: np.ndarray, population: tuple[int, int]) -> Index:
@@ -101,19 +146,21 @@ def build_index(examples: list[tuple[int, bool, dict[int, int]]], terms: dict[st
     drawn = (int((~toxic).sum()), int(toxic.sum()))
     stands_for = np.where(toxic, population[1] / max(1, drawn[1]), population[0] / max(1, drawn[0])) if len(examples) else np.zeros(0)
     prior = (population[1] + PRIOR) / (sum(population) + 1)
-    bare = np.array([not e[2] for e in examples], bool)
-    bare_score = float((stands_for[bare & toxic].sum() + prior * 0.5) / (stands_for[bare].sum() + 0.5)) if len(examples) else PRIOR
-    index = Index(terms, idf, np.array([e[0] for e in examples], np.int64), toxic, stands_for, [], np.zeros((len(terms), -(-len(examples) // BLOCK))), bare_score, prior)
-    lists: list[list[tuple[int, float]]] = [[] for _ in terms]
-    for n, (_, _, counts) in enumerate(examples):
-        for i, w in zip(*map(np.ndarray.tolist, index.vector(counts))):
-            lists[i].append((n, w))
-    edges = np.arange(index.block_max.shape[1] + 1) * BLOCK
-    for i, postings in enumerate(lists):
-        example = np.array([p[0] for p in postings], np.int64)
-        value = np.array([p[1] for p in postings])
-        index.postings.append((example, value, np.searchsorted(example, edges)))
-        np.maximum.at(index.block_max[i], example // BLOCK, value)
+    index = Index(terms, idf, np.array([e[0] for e in examples], np.int64), toxic, stands_for, prior)
+    vectors = [index.vector(e[2]) for e in examples]
+    term = np.concatenate([v[0] for v in vectors] or [np.zeros(0, np.int64)])
+    value = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
+    example = np.repeat(np.arange(len(examples)), [len(v[0]) for v in vectors])
+    order = np.argsort(term, kind="stable")
+    term, index.value, index.example = term[order], value[order], example[order].astype(np.int32)
+    block = index.example // BLOCK
+    first = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.zeros(0, np.int64)
+    index.entry_first, index.entry_block = np.append(first, len(term)), block[first]
+    index.entry_max = np.maximum.reduceat(index.value, first) if len(first) else np.zeros(0)
+    index.term_first = np.searchsorted(term[first], np.arange(len(terms) + 1))
+    if toxic.any() and not toxic.all():
+        votes = np.array([index.votes(index.nearest(*v, without=n) if len(v[0]) else []) for n, v in enumerate(vectors)])
+        index.curve = fitted_curve(votes, toxic.astype(float), stands_for)
     return index
 
 
@@ -160,9 +207,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     per_term = map_rows(texts.select("text", "label"), spread, "term string, label int").groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     n1, n0 = (min(reference_rows, counts.get(y, 0)) for y in (1, 0))
-    chi = F.expr(f"(cast(a as double) * {n0} - cast(b as double) * {n1}) * (cast(a as double) * {n0} - cast(b as double) * {n1}) * {n0 + n1} / greatest(1D, cast(a + b as double) * ({n0 + n1} - a - b) * {n0}D * {n1}D)")
-    strong = per_term.where(F.col("a") >= max(MIN_TOXIC, MIN_SHARE * n1)).where(F.expr(f"a * {max(1, n0)}D > {MIN_LIFT}D * b * {max(1, n1)}D")).withColumn("chi", chi).where(F.col("chi") >= MIN_CHI)
-    terms = {r["term"]: i for i, r in enumerate(strong.orderBy(F.desc("chi"), "term").limit(TERMS).collect())}
+    share = n1 / max(1, n0 + n1)
+    lift = F.log(((F.col("a") + PSEUDO * share) / max(1, n1)) / ((F.col("b") + PSEUDO * (1 - share)) / max(1, n0))) - EVEN
+    found = per_term.withColumn("weight", F.pow(F.greatest(lift, F.lit(0.0)), F.lit(float(POWER)))).where("weight > 0").toPandas().sort_values("term")
+    terms = {t: i for i, t in enumerate(found["term"].tolist())}  # those of at most twice reference_rows texts
+    weight = found["weight"].to_numpy(float)
 
     def examples_of(columns):
         memo = _TermIds(terms)
@@ -183,7 +232,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     tally = {r["term"]: r["docs"] for r in map_rows(docs.select(F.col(text_col).alias("text")), frequencies, "term int, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).collect()}
     everything = tally.get(-1, 0)
-    idf = np.array([math.log((1 + everything) / (1 + tally.get(i, 0))) + 1 for i in range(len(terms))])
+    idf = np.array([math.log((1 + everything) / (1 + tally.get(i, 0))) + 1 for i in range(len(terms))]) * weight
     return build_index(examples, terms, idf, (counts.get(0, 0), counts.get(1, 0)))
 
 
@@ -202,7 +251,7 @@ def _memo(terms: dict[str, int]) -> _TermIds:
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(id, score, evidence array of (doc_id, similarity, toxic))."""
     index = learn(docs, labels, id_col, text_col, label_col)
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by REFERENCE_ROWS and TERMS
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # as large as the texts of twice REFERENCE_ROWS documents
     kind = dict(docs.dtypes)[id_col]
 
     def score(columns):
