@@ -30,11 +30,18 @@ def main(argv: list[str] | None = None) -> None:
     add("compact", (("--files",), {"type": int, "default": 16}), (("--dry-run",), {"action": "store_true"}))
     add("backfill", (("--frames",), {"required": True}), (("--dry-run",), {"action": "store_true"}))
     add("limits", (("variable",), {}))
+    add("number-frames", (("--force",), {"action": "store_true"}))
+    add("frame", (("frame_id",), {}), (("--out",), {"required": True}))
+    add("margin-sweep", (("--raw",), {"required": True}), (("--margins",), {"default": "10,50,100,250"}), (("--out",), {"required": True}))
+    add("scatter", (("--out",), {"required": True}), (("--x",), {"default": "ice_thickness"}), (("--y",), {"default": "required_surface_snr_dB"}), (("--points",), {"type": int, "default": 32}))
+    add("noise", (("--out",), {"required": True}))
+    add("compare", (("--survey",), {"required": True}), (("--out",), {"required": True}), (("--threshold",), {"type": float, "default": 50.0}), (("--large",), {"type": float, "default": 8.0}), (("--north",), {"action": "store_true"}))
+    add("sounder", (("--picks",), {"required": True}), (("--radargrams",), {"required": True}), (("--out",), {"required": True}), (("--reach",), {"type": float, "default": 500.0}))
     args = parser.parse_args(argv)
 
     from firnline import config as configuration
     from firnline.functions import geo
-    from firnline.operators import distributions, frames
+    from firnline.operators import distributions, frames, quality
     from firnline.plans import analyses, run
     from firnline.schema import variable
     from firnline.sources import files, snapshots
@@ -69,6 +76,34 @@ def main(argv: list[str] | None = None) -> None:
         print(snapshots.compact(store, args.files, args.dry_run))
     elif args.command == "backfill":
         print(snapshots.backfill(store, spark.read.parquet(args.frames), args.dry_run))
+    elif args.command == "number-frames":
+        print(snapshots.number_frames(store, args.force))
+    elif args.command == "frame":
+        files.write_csv(frames.rows_of_frame(store.read(), args.frame_id), args.out)
+    elif args.command == "margin-sweep":
+        raw = spark.read.parquet(args.raw).join(store.read().select("frame_id", "slow_time", F.col("bed_twtt").alias("pick")), ["frame_id", "slow_time"])
+        swept = analyses.margin_sweep(raw.select("frame_id", "slow_time", "data", "twtt", "pick"), [float(m) for m in args.margins.split(",")])
+        files.write_csv(distributions.spread_statistics(swept, "peak_dB", ["margin_m"]), args.out)
+    elif args.command == "scatter":
+        rows = store.read().where("qc_pass").withColumn("ice_thickness", F.col("surface_elevation") - F.col("bed_elevation"))
+        ends = rows.agg(*[f(c) for c in (args.x, args.y) for f in (F.min, F.max)]).first()
+        if ends[0] is None or ends[2] is None:
+            raise SystemExit("no passing traces")
+        box = ends[0], ends[2], ends[1] + 1e-6 * abs(ends[1]) + 1e-9, ends[3] + 1e-6 * abs(ends[3]) + 1e-9
+        files.write_csv(distributions.density_grid(rows, args.x, args.y, box, args.points), f"{args.out}/density")
+        files.write_csv(distributions.correlations(rows, args.x, args.y), f"{args.out}/correlation")
+    elif args.command == "noise":
+        names = ["pre_surface_noise_dB", "post_bed_noise_dB", "record_tail_noise_dB"]
+        files.write_csv(distributions.missing_rates(store.read(), names, ["collection"]), args.out)
+    elif args.command == "compare":
+        own = analyses.projected(quality.passing(store.read()), geo.ARCTIC if args.north else geo.ANTARCTIC).withColumn("_own", F.monotonically_increasing_id())
+        pairs = analyses.dataset_comparison(own, files.read_survey(spark, args.survey), args.threshold, "_own", "row", "required_surface_snr_dB", "rssnr", one_to_one=False)
+        files.write_csv(distributions.spread_statistics(pairs, "diff"), f"{args.out}/summary")
+        files.write_csv(distributions.binned_share(pairs, "required_surface_snr_dB", [0.0, 10.0, 20.0, 30.0], F.abs("diff") > args.large), f"{args.out}/large")
+    elif args.command == "sounder":
+        done = analyses.sounder_status(spark.read.parquet(args.picks), spark.read.parquet(args.radargrams), args.reach)
+        done.write.mode("overwrite").parquet(args.out)
+        done.groupBy("status").count().orderBy("status").show()
     elif args.command == "limits":
         store.read().agg(*distributions.percentile_limits(variable(args.variable))).show()
 

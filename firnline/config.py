@@ -46,6 +46,14 @@ def check_limits(config: dict[str, Any]) -> dict[str, float]:
     return {check: config["qc"][key] for key, check in CHECK_OF.items() if config["qc"].get(key) is not None}
 
 
+def store_root(config: dict[str, Any]) -> str:
+    """Where the store is: a bucket's prefix, or a folder."""
+    store = config["store"]
+    if store.get("backend") == "s3":
+        return "s3a://" + "/".join(part.strip("/") for part in (store["bucket"], store.get("prefix") or "") if part)
+    return store["path"]
+
+
 def load(path: str | Path) -> dict[str, Any]:
     """A YAML or JSON file; FileNotFoundError if there is none."""
     text = Path(path).read_text(encoding="utf-8")

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from firnline import sql
 from firnline.functions import arrays, geo, physics, values
 from firnline.operators import distributions as dist
 from firnline.operators import frames as frame_ops
@@ -95,6 +96,14 @@ def display_clip(spark, sf_dir):
     return out.select("vec_id", F.size("data").cast("double").alias("n_shown"), _r(F.col("data")[0]).alias("first_shown"))
 
 
+@query(f"""WITH {RADAR} SELECT vec_id, CASE WHEN bi IS NOT NULL THEN round(10 * log10(list_max(p[bi - 1 : bi + 3])), 6) END AS peak_dB, CASE WHEN si - 2 > 2 THEN round(10 * log10(list_aggregate(p[3 : si - 1], 'median')), 6) END AS median_dB, CASE WHEN si - 2 > 2 THEN (si - 3)::DOUBLE ELSE 0.0 END AS n_samples FROM r""")
+def sql_window_functions(spark, sf_dir):
+    """Windows of a trace as SQL functions."""
+    sql.register(spark)
+    _radar(spark, sf_dir).createOrReplaceTempView("firnline_traces")
+    return spark.sql("SELECT vec_id, round(window_max_db(data, twtt, bed, 0.6D), 6) AS peak_dB, round(window_median_db(data, twtt, 1.5D, surface - 0.5D), 6) AS median_dB, window_count(data, twtt, 1.5D, surface - 0.5D) AS n_samples FROM firnline_traces")
+
+
 # ---- flags, filters, frames -----------------------------------------------------------------------------------------
 
 

@@ -27,7 +27,23 @@ def definitions() -> dict[str, str]:
     }
 
 
+def window_definitions() -> dict[str, str]:
+    """The same for functions of a trace's samples and their times."""
+    both, finite = "data ARRAY<DOUBLE>, twtt ARRAY<DOUBLE>", "p IS NOT NULL AND NOT isnan(p) AND abs(p) < double('infinity')"
+    inside = "slice(data, size(filter(twtt, t -> t < {0})) + 1, greatest(0, size(filter(twtt, t -> t <= {1})) - size(filter(twtt, t -> t < {0}))))"
+    around = inside.format("pick - margin", "pick + margin")
+    middle = f"sort_array(filter({inside.format('low', 'high')}, p -> {finite}))"
+    median = f"transform(array({middle}), m -> CASE WHEN size(m) > 0 THEN (m[(size(m) - 1) div 2] + m[size(m) div 2]) / 2 END)[0]"
+    db = "transform(array({0}), v -> CASE WHEN v > 0 THEN 10 * log10(v) END)[0]"
+    return {
+        f"window_max_db({both}, pick DOUBLE, margin DOUBLE)": db.format(f"array_max(filter({around}, p -> p IS NOT NULL AND NOT isnan(p)))"),
+        f"window_median_db({both}, low DOUBLE, high DOUBLE)": f"CASE WHEN high > low THEN {db.format(median)} END",
+        f"window_count({both}, low DOUBLE, high DOUBLE)": f"double(size({inside.format('low', 'high')}))",
+    }
+
+
 def register(spark: SparkSession) -> list[str]:
-    for head, body in definitions().items():
+    every = definitions() | window_definitions()
+    for head, body in every.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURNS DOUBLE RETURN {body}")
-    return [head.split("(")[0] for head in definitions()]
+    return [head.split("(")[0] for head in every]
