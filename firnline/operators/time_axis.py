@@ -37,8 +37,14 @@ def _sortable(frame: DataFrame, names: list[str]) -> list[str]:
     return found or names[:1]
 
 
-def nearest(traces: DataFrame, picks: DataFrame, by: Sequence[str], time: str, values: Sequence[str], tolerance: int, prefix: str = "near_") -> DataFrame:
-    """Each trace with the values of its track's nearest pick, if within ``tolerance`` (inclusive).
+def _backwards(by: Sequence[str], time: str):
+    """From the end of a track to the current row: a running frame, where one to the end would start again at each row."""
+    return Window.partitionBy(*by).orderBy(F.desc(time), "_trace").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def nearest(traces: DataFrame, picks: DataFrame, by: Sequence[str], time: str, values: Sequence[str], tolerance: int | dict[str, int], prefix: str = "near_") -> DataFrame:
+    """Each trace with the values of its track's nearest pick, if within ``tolerance`` (inclusive). Several tolerances,
+    by prefix, share one search.
 
     The nearest label counts, even where its value is missing; at equal distance the later one. Both sides meet in one
     sorted pass per track (union and window), never as pairs. ``picks`` hold each time once per track.
@@ -48,13 +54,14 @@ def nearest(traces: DataFrame, picks: DataFrame, by: Sequence[str], time: str, v
     right = picks.select(*by, time, label.alias("_label"), F.lit(False).alias("_trace"))
     order = Window.partitionBy(*by).orderBy(time, "_trace")
     before = F.last("_label", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.first("_label", ignorenulls=True).over(Window.partitionBy(*by).orderBy(F.col(time), F.desc("_trace")).rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    after = F.last("_label", ignorenulls=True).over(_backwards(by, time))
     both = left.unionByName(right, allowMissingColumns=True).withColumn("_before", before).withColumn("_after", after)
     gap_before, gap_after = F.col(time) - F.col("_before.t"), F.col("_after.t") - F.col(time)
     chosen = F.when(F.col("_after").isNull() | (gap_before < gap_after), F.col("_before")).otherwise(F.col("_after"))
     near = both.where("_trace").withColumn("_chosen", chosen)
-    within = F.abs(F.col(time) - F.col("_chosen.t")) <= tolerance
-    return near.select(*traces.columns, *[F.when(within, F.col(f"_chosen.{v}")).alias(f"{prefix}{v}") for v in values])
+    within = lambda most: F.abs(F.col(time) - F.col("_chosen.t")) <= most
+    asked = tolerance if isinstance(tolerance, dict) else {prefix: tolerance}
+    return near.select(*traces.columns, *[F.when(within(most), F.col(f"_chosen.{v}")).alias(f"{name}{v}") for name, most in asked.items() for v in values])
 
 
 def _type_of(frame: DataFrame):
@@ -68,7 +75,7 @@ def interpolate(traces: DataFrame, picks: DataFrame, by: Sequence[str], time: st
     left = traces.withColumn("_point", F.lit(None).cast("struct<t:bigint,v:double>")).withColumn("_trace", F.lit(True))
     right = known.select(*by, time, point.cast("struct<t:bigint,v:double>").alias("_point"), F.lit(False).alias("_trace"))
     before = F.last("_point", ignorenulls=True).over(Window.partitionBy(*by).orderBy(time, "_trace").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.first("_point", ignorenulls=True).over(Window.partitionBy(*by).orderBy(F.col(time), F.desc("_trace")).rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    after = F.last("_point", ignorenulls=True).over(_backwards(by, time))
     both = left.unionByName(right, allowMissingColumns=True).withColumn("_a", before).withColumn("_b", after).where("_trace")
     share = (F.col(time) - F.col("_a.t")) / (F.col("_b.t") - F.col("_a.t"))
     line = F.when(F.col("_a.t") == F.col("_b.t"), F.col("_a.v")).when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * share)

@@ -40,10 +40,9 @@ def extract_metrics(raw: DataFrame, picks: DataFrame, config: dict[str, Any] | N
     times = times.join(spans.select("segment_id"), "segment_id", "left_semi").join(surface.select("segment_id").distinct(), "segment_id", "left_semi")
     interval = settings["decimate_interval"]
     times = time_axis.decimate(times, ["segment_id", "frame_id"], "t", duration_micros(interval) if interval else None)
-    times = time_axis.nearest(times, surface, ["segment_id"], "t", ["surface"], near, "wide_")
-    times = time_axis.nearest(times, surface, ["segment_id"], "t", ["surface"], tight, "tight_")
-    times = time_axis.nearest(times, bed, ["segment_id"], "t", ["bed"], near, "wide_")
-    times = time_axis.nearest(times, bed, ["segment_id"], "t", ["bed", "quality"], tight, "tight_")
+    reach = {"wide_": near, "tight_": tight}
+    times = time_axis.nearest(times, surface, ["segment_id"], "t", ["surface"], reach)
+    times = time_axis.nearest(times, bed, ["segment_id"], "t", ["bed", "quality"], reach).drop("wide_quality")
     times = time_axis.interpolate(times, bed, ["segment_id"], "t", "bed", "between")
     times = times.join(spans, "segment_id")
 

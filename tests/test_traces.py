@@ -57,7 +57,7 @@ def test_metrics(tables):
         v = physics.LIGHT / math.sqrt(3.17)
         h = v / 2 * (TWTT[BOTTOM] - TWTT[TOP])
         rs = physics.LIGHT / 2 * TWTT[TOP]
-        assert r["required_surface_snr_dB"] == pytest.approx(4 + 10 * math.log10(rs**2 / (rs + h / math.sqrt(3.17)) ** 2), rel=1e-9)
+        assert r["required_surface_snr_dB"] == pytest.approx(5 + 10 * math.log10(rs**2 / (rs + h / math.sqrt(3.17)) ** 2), rel=1e-9)
         assert r["bed_elevation"] == pytest.approx(2000 - rs - h)
         data = np.array(raw[8])
         low, high = TWTT[0] + 1e-6, TWTT[TOP] - 1e-6
