@@ -225,7 +225,7 @@ def test_classic_netcdf(spark, tmp_path):
 def test_frame_files(spark, tmp_path):
     folder = tmp_path / "2012_A"
     folder.mkdir()
-    data = np.random.default_rng(0).uniform(size=(100, 4))
+    data = np.random.default_rng(0).uniform(size=(len(TWTT), 4))
     times = np.array([3, 1, 2, 0]) * 10_000_000
     np.savez(folder / "Data_20120101_01_001.npz", data=data, twtt=TWTT, slow_time=times, latitude=np.zeros(4), longitude=np.ones(4), elevation=np.full(4, 9.0))
     radargrams.register(spark)
