@@ -155,6 +155,13 @@ def catalogued_frames(spark, sf_dir):
     return found.select("o_custkey", "c_nationkey", F.lit(True).alias("found")).unionByName(lost.select("o_custkey", F.lit(None).cast("int").alias("c_nationkey"), F.lit(False).alias("found")))
 
 
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 100 IN (3, 33)")
+def mid_segment_frames(spark, sf_dir):
+    """Frames whose names end as those amid a segment do."""
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("f_0"), F.col("o_orderkey").cast("string")).alias("frame_id"))
+    return sampling.mid_segment(o, ["03", "33"]).select("o_orderkey")
+
+
 @query("SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE') AND n_regionkey = 2")
 def found_regions(spark, sf_dir):
     rows = _table(spark, sf_dir, "nation").join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,7 +50,7 @@ def every_kth(rows: DataFrame, by: list[str], order: list[str], step: int, most:
     return (kept if most is None else kept.where(F.col("_n") < step * most)).drop("_n")
 
 
-def mid_segment(frames: DataFrame, frame: str = "frame_id", endings: tuple[str, ...] = ("_008", "_010", "_012", "_015")) -> DataFrame:
+def mid_segment(frames: DataFrame, endings: Sequence[str], frame: str = "frame_id") -> DataFrame:
     """Frames in the middle of a segment, by the ends of their names; all of them if there are none."""
     middle = frames.where(F.col(frame).rlike("(" + "|".join(endings) + ")$"))
     return middle if middle.limit(1).count() else frames

@@ -456,9 +456,6 @@ def signed_distance(spark, sf_dir):
     return out.select(F.col("point_id").alias("o_orderkey"), _r("signed_distance_m", 5).alias("signed_distance_m"))
 
 
-_TRACKS = "SELECT l_suppkey AS frame_id, l_orderkey * 8 + l_linenumber AS k, ((l_suppkey * 977 % 5000) + (l_orderkey % 97) * 20 * (l_suppkey % 3 - 1))::DOUBLE AS x, ((l_suppkey * 733 % 5000) + (l_orderkey % 97) * 20 * (l_suppkey % 2))::DOUBLE AS y, l_quantity AS v FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 40 = 1"
-
-
 #: Side of the square that tracks begin in, and the distance of a track's traces.
 _SQUARE, _SPACING = 200_003, 100.0
 
@@ -466,17 +463,21 @@ _SQUARE, _SPACING = 200_003, 100.0
 def _tracks(spark, sf_dir):
     """Every line is a trace; a supplier's are a straight track, begun somewhere in the square."""
     s, o, n = F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber")
-    along = F.row_number().over(Window.partitionBy(s).orderBy(o, n)) * _SPACING
+    place = F.row_number().over(Window.partitionBy(s).orderBy(o, n, "l_quantity"))  # an order may have a line twice
+    along = place * _SPACING
     x = s * 48271 % _SQUARE + along * F.cos(F.radians(s * 37 % 360))
     y = s * 69621 % _SQUARE + along * F.sin(F.radians(s * 37 % 360))
-    return _table(spark, sf_dir, "lineitem").select(s.alias("frame_id"), (o * 8 + n).alias("slow_time"), x.alias("x"), y.alias("y"), F.col("l_quantity").alias("v"))
+    return _table(spark, sf_dir, "lineitem").select(s.alias("frame_id"), place.alias("slow_time"), x.alias("x"), y.alias("y"), F.col("l_quantity").alias("v"))
 
 
-@query()
+@query(f"""WITH t AS (SELECT l_suppkey AS f, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity) AS i, l_quantity AS v FROM lineitem),
+p AS (SELECT *, f * 48271 % {_SQUARE} + i * {_SPACING}::DOUBLE * cos(radians(f * 37 % 360)) AS x, f * 69621 % {_SQUARE} + i * {_SPACING}::DOUBLE * sin(radians(f * 37 % 360)) AS y FROM t), c AS (SELECT *, floor(x / 100)::BIGINT AS cx, floor(y / 100)::BIGINT AS cy FROM p),
+n AS (SELECT f, i, v, x, y, cx + dx AS cx, cy + dy AS cy FROM c, range(-1, 2) a(dx), range(-1, 2) b(dy)), m AS (SELECT a.f AS fa, b.f AS fb, a.i AS ia, b.i AS ib, a.x AS xa, b.x AS xb, a.y AS ya, b.y AS yb, a.v AS va, b.v AS vb, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d, abs(a.f * 37 % 360 - b.f * 37 % 360) % 180 AS g FROM c a JOIN n b USING (cx, cy) WHERE a.f < b.f)
+SELECT fa AS frame_a, fb AS frame_b, round(d, 6) AS distance_m, round(least(g, 180 - g)::DOUBLE, 4) AS angle_deg, round((xa + xb) / 2, 3) AS x_proj, round((ya + yb) / 2, 3) AS y_proj, va AS v_a, vb AS v_b, va - vb AS v_diff FROM m WHERE d <= 100 AND least(g, 180 - g) >= 20.5 QUALIFY row_number() OVER (PARTITION BY fa, fb ORDER BY d, ia, ib) = 1""")
 def crossovers(spark, sf_dir):
-    """Places where tracks meet, with differences; held against a brute-force version in the tests."""
-    out = cross.find_crossovers(_tracks(spark, sf_dir), 100.0, ["v"])
-    return out.select("frame_a", "frame_b", _r("distance_m").alias("distance_m"), _r("angle_deg", 4).alias("angle_deg"), "x_proj", "y_proj", "v_a", "v_b", "v_diff")
+    """Places where tracks meet, with differences. Directions are whole degrees, so the least angle lies between two."""
+    out = cross.find_crossovers(_tracks(spark, sf_dir), 100.0, ["v"], min_angle=20.5)
+    return out.select("frame_a", "frame_b", _r("distance_m").alias("distance_m"), _r("angle_deg", 4).alias("angle_deg"), _r("x_proj", 3).alias("x_proj"), _r("y_proj", 3).alias("y_proj"), "v_a", "v_b", "v_diff")
 
 
 @query("""WITH s AS (SELECT s_suppkey AS f, CASE WHEN s_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS c FROM supplier), p AS (SELECT DISTINCT a.l_suppkey AS fa, b.l_suppkey AS fb FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey)
