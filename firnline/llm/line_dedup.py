@@ -80,9 +80,9 @@ def _classes(docs: DataFrame, scratch: Scratch, min_words: int, numerator: int,
     tokens = tokens.select(*_PLACE, F.sort_array("tokens").alias("tokens"))
     n = "size(tokens)"
     prefix = F.expr(f"slice(tokens, 1, cast({n} - (({n} * {numerator} + {denominator} - 1) div {denominator}) + 1 as int))")
-    parity = F.expr("aggregate(tokens, 0L, (bits, t) -> bits ^ shiftleft(1L, cast(t & 63 as int)))")
-    # 31 bits: bit_count() takes an int for a long, so a sign bit would count 33 times
-    parity2 = F.expr("aggregate(tokens, 0, (bits, t) -> bits ^ shiftleft(1, cast(shiftright(t, 6) % 31 as int)))")
+    # each half of the tokens has its own 64 bits, so that long lines don't fill them
+    half = "aggregate(tokens, 0L, (bits, t) -> CASE WHEN (t & 64) = {} THEN bits ^ shiftleft(1L, cast(t & 63 as int)) ELSE bits END)"
+    parity, parity2 = F.expr(half.format(0)), F.expr(half.format(64))
     told = [F.xxhash64("tokens").alias("class"), F.xxhash64("tokens", F.lit(1)).alias("class2")]
     lines = scratch.save(tokens.select(*_PLACE, *told, F.size("tokens").alias("n"), parity.alias("parity"), parity2.alias("parity2"), prefix.alias("prefix")), "lines")
     grouped = lines.groupBy("class", "class2").agg(F.min(F.struct(*_PLACE)).alias("first"), *[F.first(c).alias(c) for c in ("n", "parity", "parity2", "prefix")])
@@ -103,7 +103,7 @@ def _near(numerator: int, denominator: int) -> str:
     overlap = f"(((n + _n) * {numerator} + {numerator + denominator} - 1) div {numerator + denominator})"
     return (
         f"least(n, _n) * {denominator} >= greatest(n, _n) * {numerator} and pos <= n - {overlap} and _pos <= _n - {overlap}"
-        f" and bit_count(parity ^ _parity) <= n + _n - 2 * {overlap} and bit_count(parity2 ^ _parity2) <= n + _n - 2 * {overlap}"
+        f" and bit_count(parity ^ _parity) + bit_count(parity2 ^ _parity2) <= n + _n - 2 * {overlap}"
     )
 
 
