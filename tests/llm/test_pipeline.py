@@ -61,3 +61,32 @@ def test_lines_of_few_words_are_compared(spark, pipeline):
     table = spark.createDataFrame([(i, t, "en", "s", -1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: r["text"] for r in pipeline.new_lines(spark, table, "").collect()}
     assert got == {0: texts[0], 1: "other text\n", 3: "one\ntwo", 5: texts[5]}
+
+
+def test_planted_passages_go(spark, pipeline):
+    """Passages of 51 to 60 words in 40 of 80 documents: first places stay whole, later ones go, other texts are untouched."""
+    import random
+
+    rng = random.Random(21)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passages = [some(51 + k % 10) for k in range(10)]
+    texts, planted = [], {}
+    for i in range(80):
+        before, after = some(40), some(40)
+        if i % 2:
+            planted[i] = passages[i // 2 % 10]
+            texts.append(f"{before} {planted[i]} {after}")
+        else:
+            texts.append(f"{before} {after}")
+    table = spark.createDataFrame([(i, t, "en", "s", -1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in pipeline.new_passages(spark, table, "").collect()}
+    assert len(got) == 80
+    seen = set()
+    for i, text in enumerate(texts):
+        if i not in planted or planted[i] not in seen:
+            assert got[i] == text
+            seen.add(planted.get(i))
+        else:
+            removed = len(text) - len(got[i])
+            assert len(planted[i]) <= removed <= len(planted[i]) + 6  # blanks and letters around may agree too
