@@ -174,15 +174,16 @@ class _TermIds(dict):
     def __missing__(self, word: str):
         if len(self) >= MEMO_ENTRIES:
             self.clear()
-        value = self[word] = tuple(sorted({self.terms[t] for t in terms_of(word) if t in self.terms}))
+        value = self[word] = tuple(i for i in map(self.terms.get, terms_of(word)) if i is not None)
         return value
 
 
 def count_terms(text: str | None, memo: _TermIds) -> dict[int, int]:
-    counts: Counter[int] = Counter()
-    for ids in filter(None, map(memo.__getitem__, words(text))):
-        counts.update(ids)
-    return dict(counts)
+    counts: dict[int, int] = {}
+    for word, times in Counter(words(text)).items():
+        for i in memo[word]:
+            counts[i] = counts.get(i, 0) + times
+    return counts
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -225,7 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         total = np.zeros(len(terms), np.int64)
         texts = columns["text"].to_pylist()
         for text in texts:
-            seen = set().union(*map(memo.__getitem__, words(text)))
+            seen = set().union(*map(memo.__getitem__, set(words(text))))
             total[list(seen)] += 1
         at = np.flatnonzero(total)
         return {"term": np.append(at, -1), "docs": np.append(total[at], len(texts))}
