@@ -2,7 +2,7 @@
 
 Labelled documents are the examples: at most REFERENCE_ROWS of either class, those with the smallest hash of the id
 (the documented bound on what is learned from). Texts are TF-IDF vectors over all terms of the examples: words, and the
-first five letters of words, which also meet unseen endings; document frequencies are counted over all documents. A
+first five bytes of words, which also meet unseen endings, by their 64-bit hashes; document frequencies are counted over all documents. A
 term's weight is its IDF times (lift - EVEN) ** POWER, where the lift is the logarithm of how much likelier the term is
 in toxic examples, smoothed by PSEUDO examples; terms that are hardly likelier there weigh nothing, and no term is left
 out for being rare or for its rank. The K nearest examples by exact cosine come from an inverted index in blocks of
@@ -19,8 +19,7 @@ null labels are none; repeated rows are each scored; without labels every score
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
+from collections.abc import Sized
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firnline.llm.common import map_rows
+from firnline.llm.repeats import _bounded
+from firnline.llm.wordhash import _CODE, join_texts, mix, span_hash, to_bytes, window_sums
 
 REFERENCE_ROWS = 3000
 K = 15
@@ -38,23 +39,45 @@ SHRINK = 0.5
 PRIOR = 0.1
 EVEN, POWER, PSEUDO = 0.2, 3, 2.0
 EVIDENCE = 5
-MEMO_ENTRIES = 100_000
-_WORDS = re.compile(r"[^\W\d_]+")
-
-
-def words(text: str | None) -> list[str]:
-    return _WORDS.findall((text or "").lower())
-
-
-def terms_of(word: str) -> tuple[str, ...]:
-    return (word, "^" + word[:5])
+#: Bytes of a word that make a term of their own.
+START = 5
+#: Letters of a word: a to z after lower-casing, and all bytes of other scripts' characters.
+_IS_LETTER = np.zeros(256, bool)
+_IS_LETTER[97:123] = True
+_IS_LETTER[128:] = True
+_OF_START = np.uint64(0x51ED270B0B6F8C1D)
+
+
+def term_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(text's number, term) of each word and of each word's first START bytes; a term is a 64-bit hash."""
+    data, offsets = join_texts([to_bytes((t or "").lower()) for t in texts])
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], _IS_LETTER[data], [False]]).view(np.int8)))
+    start, end = edge[::2].astype(np.int64), edge[1::2].astype(np.int64)
+    sums = window_sums(_CODE[data])
+    owner = np.searchsorted(offsets, start, "right") - 1
+    whole, first = span_hash(sums, start, end), span_hash(sums, start, np.minimum(end, start + START))
+    return np.concatenate([owner, owner]), np.concatenate([whole, mix(first ^ _OF_START)])
+
+
+def count_terms(texts: list[str | None], terms: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text the numbers of its ``terms`` (ascending hashes), in order, and how often each stands in it."""
+    out = []
+    for a, b in _bounded(texts):
+        owner, term = term_hashes(texts[a:b])
+        at = np.minimum(np.searchsorted(terms, term), max(0, len(terms) - 1))
+        known = terms[at] == term if len(terms) else np.zeros(len(term), bool)
+        key, times = np.unique(owner[known] * np.int64(len(terms) + 1) + at[known], return_counts=True)
+        edges = np.searchsorted(key, np.arange(b - a + 1) * np.int64(len(terms) + 1))
+        ids = key % (len(terms) + 1)
+        out += [(ids[i:j], times[i:j]) for i, j in zip(edges, edges[1:])]
+    return out
 
 
 @dataclass
 class Index:
     """Examples in blocks. Postings (example, value) lie by term and example; an entry is a term's postings in one block."""
 
-    terms: dict[str, int]
+    terms: Sized  # ascending hashes
     idf: np.ndarray  # the terms' weights
     example_ids: np.ndarray
     toxic: np.ndarray
@@ -70,9 +93,12 @@ class Index:
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(sorted(counts), np.int64)
+        return self.weighed(ids, np.array([counts[i] for i in ids.tolist()], np.int64))
+
+    def weighed(self, ids: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(ids):
             return ids, np.zeros(0)
-        weight = (1 + np.log([counts[i] for i in ids.tolist()])) * self.idf[ids]
+        weight = (1 + np.log(times)) * self.idf[ids]
         return ids, weight / np.sqrt((weight**2).sum())
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = K, without: int = -1) -> list[tuple[float, int]]:
@@ -104,10 +130,10 @@ class Index:
         shrink = SHRINK * float(self.stands_for.min(initial=1.0))
         return (toxic + shrink * self.prior) / (mass + shrink)
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
+    def score(self, ids: np.ndarray, times: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
         if not len(self.toxic):
             return PRIOR, []
-        near = self.nearest(*self.vector(counts)) if counts else []
+        near = self.nearest(*self.weighed(ids, times)) if len(ids) else []
         return _curved(self.votes(near), self.curve), near
 
 
@@ -139,7 +165,7 @@ def fitted_curve(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tu
     return (float(at[0]), float(at[1])) if at[0] > 0 and np.isfinite(at).all() else (1.0, 0.0)
 
 
-def build_index(examples: list[tuple[int, bool, dict[int, int]]], terms: dict[str, int], idf: np.ndarray, population: tuple[int, int]) -> Index:
+def build_index(examples: list[tuple[int, bool, dict[int, int]]], terms: Sized, idf: np.ndarray, population: tuple[int, int]) -> Index:
     """``population``: labelled documents by class (clean, toxic) that the examples were drawn from."""
     examples = sorted(examples, key=lambda e: e[0])
     toxic = np.array([e[1] for e in examples], bool)
@@ -164,28 +190,6 @@ def build_index(examples: list[tuple[int, bool, dict[int, int]]], terms: dict[st
     return index
 
 
-class _TermIds(dict):
-    """Word -> ids of its chosen terms; bounded."""
-
-    def __init__(self, terms: dict[str, int]):
-        super().__init__()
-        self.terms = terms
-
-    def __missing__(self, word: str):
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        value = self[word] = tuple(i for i in map(self.terms.get, terms_of(word)) if i is not None)
-        return value
-
-
-def count_terms(text: str | None, memo: _TermIds) -> dict[int, int]:
-    counts: dict[int, int] = {}
-    for word, times in Counter(words(text)).items():
-        for i in memo[word]:
-            counts[i] = counts.get(i, 0) + times
-    return counts
-
-
 def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
 
@@ -199,35 +203,27 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", "text", F.col("_label").cast("int").alias("label"))
 
     def spread(columns):
-        found, label = [], []
-        for text, y in zip(columns["text"].to_pylist(), columns["label"].to_pylist()):
-            own = {t for w in set(words(text)) for t in terms_of(w)}
-            found += own
-            label += [y] * len(own)
-        return {"term": found, "label": label}
-
-    per_term = map_rows(texts.select("text", "label"), spread, "term string, label int").groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+        found = [np.unique(term_hashes([text])[1]).view(np.int64) for text in columns["text"].to_pylist()]
+        return {"term": np.concatenate([np.zeros(0, np.int64), *found]), "label": np.repeat(np.array(columns["label"].to_pylist(), np.int32), [len(f) for f in found])}
+
+    per_term = map_rows(texts.select("text", "label"), spread, "term long, label int").groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     n1, n0 = (min(reference_rows, counts.get(y, 0)) for y in (1, 0))
     share = n1 / max(1, n0 + n1)
     lift = F.log(((F.col("a") + PSEUDO * share) / max(1, n1)) / ((F.col("b") + PSEUDO * (1 - share)) / max(1, n0))) - EVEN
-    found = per_term.withColumn("weight", F.pow(F.greatest(lift, F.lit(0.0)), F.lit(float(POWER)))).where("weight > 0").toPandas().sort_values("term")
-    terms = {t: i for i, t in enumerate(found["term"].tolist())}  # those of at most twice reference_rows texts
-    weight = found["weight"].to_numpy(float)
+    found = per_term.withColumn("weight", F.pow(F.greatest(lift, F.lit(0.0)), F.lit(float(POWER)))).where("weight > 0").toPandas()  # of at most twice reference_rows texts
+    terms = found["term"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(terms)
+    terms, weight = terms[order], found["weight"].to_numpy(float)[order]
 
     def examples_of(columns):
-        memo = _TermIds(terms)
-        made = [count_terms(t, memo) for t in columns["text"].to_pylist()]
-        return {"id": columns["id"], "label": columns["label"], "terms": [list(m) for m in made], "times": [list(m.values()) for m in made]}
+        made = count_terms(columns["text"].to_pylist(), terms)
+        return {"id": columns["id"], "label": columns["label"], "terms": [ids.tolist() for ids, _ in made], "times": [times.tolist() for _, times in made]}
 
     examples = [(r["id"], bool(r["label"]), dict(zip(r["terms"], r["times"]))) for r in map_rows(texts, examples_of, "id long, label int, terms array<int>, times array<int>").collect()]
 
     def frequencies(columns):
-        memo = _memo(terms)
-        total = np.zeros(len(terms), np.int64)
         texts = columns["text"].to_pylist()
-        for text in texts:
-            seen = set().union(*map(memo.__getitem__, set(words(text))))
-            total[list(seen)] += 1
+        total = np.bincount(np.concatenate([np.zeros(0, np.int64), *(ids for ids, _ in count_terms(texts, terms))]), minlength=len(terms))
         at = np.flatnonzero(total)
         return {"term": np.append(at, -1), "docs": np.append(total[at], len(texts))}
 
@@ -237,18 +233,6 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return build_index(examples, terms, idf, (counts.get(0, 0), counts.get(1, 0)))
 
 
-_MEMOS: dict[frozenset, _TermIds] = {}
-
-
-def _memo(terms: dict[str, int]) -> _TermIds:
-    """The worker's memo for these terms, kept across slices."""
-    key = frozenset(terms.items())
-    if key not in _MEMOS:
-        _MEMOS.clear()
-        _MEMOS[key] = _TermIds(terms)
-    return _MEMOS[key]
-
-
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(id, score, evidence array of (doc_id, similarity, toxic))."""
     index = learn(docs, labels, id_col, text_col, label_col)
@@ -257,13 +241,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     def score(columns):
         index = shared.value
-        memo = _memo(index.terms)
         scores, evidence, known = [], [], {}
-        for text in columns["text"].to_pylist():
-            counts = count_terms(text, memo)
-            key = tuple(sorted(counts.items()))
+        for ids, times in count_terms(columns["text"].to_pylist(), index.terms):
+            key = ids.tobytes(), times.tobytes()
             if key not in known:
-                known[key] = index.score(counts)
+                known[key] = index.score(ids, times)
             value, near = known[key]
             scores.append(float(min(1.0, max(0.0, value))))
             evidence.append([{"doc_id": int(index.example_ids[e]), "similarity": float(c), "toxic": bool(index.toxic[e])} for c, e in near[:EVIDENCE]])
