@@ -70,10 +70,10 @@ def release_shuffles(spark: SparkSession) -> None:
 
     It learns of them from the JVM's collector, in turns: a plan, its exchanges, their files.
     """
-    for _ in range(2):
+    for _ in range(4):
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+        time.sleep(0.4)
 
 
 def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
