@@ -1,8 +1,8 @@
 """Exact top-k inner products by threshold reading of sorted lists (operator 6).
 
 No-random-access aggregation: each component of the vectors of a block is a list sorted by value. For a query, the lists
-are read entry by entry from their favourable end, in growing depth (FIRST of a list, then twice as far each time), and
-what is read is added to its vector's score. An entry not read yet lies between its list's last read value and its far
+are read from their favourable end, in growing depth (FIRST of a list, then twice as far each time), and what is read
+counts towards its vector's score, for many queries at once as a product of matrices. An entry not read yet lies between its list's last read value and its far
 end, so every vector has a lower and an upper bound. Reading stops when at most FEW of the vectors have an upper bound
 that reaches the k-th best lower bound; the others cannot qualify, and only these few get final scores. The k-th best
 score of the blocks before holds for the next, and a block whose component extremes can't reach it is not read at all.
@@ -36,14 +36,11 @@ FIRST, FEW = 1 / 64, 0.05
 
 
 class Lists:
-    """A block's vectors and the order of each component's values."""
+    """A block's vectors and each component's values in order."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(vectors, self.order, axis=0)
-        self.place = np.empty_like(self.order)
-        np.put_along_axis(self.place, self.order, np.arange(len(ids))[:, None], axis=0)
+        self.sorted = np.sort(vectors, axis=0)
         self.low, self.high = self.sorted[0], self.sorted[-1]
 
 
@@ -56,30 +53,20 @@ def read_lists(query_ids: np.ndarray, queries: np.ndarray, block: Lists, k: int,
     of list entries that was read. All are whole numbers, and bounds are exact."""
     n, dims = block.vectors.shape
     reach = int(np.abs(queries).max(initial=0)) * max(abs(int(block.low.min())), abs(int(block.high.max()))) * dims
-    kind = np.float64 if reach < 1 << 53 else np.int64
+    kind = np.float32 if reach < 1 << 24 else np.float64 if reach < 1 << 53 else np.int64
     q = queries.astype(kind)
     up, down = np.maximum(q, 0), np.minimum(q, 0)  # read from the top where positive, from the bottom where negative
     own = query_ids[:, None] == block.ids[None, :]
-    rest_low = up @ block.low.astype(kind) + down @ block.high.astype(kind)
-    reachable = up @ block.high.astype(kind) + down @ block.low.astype(kind) >= floor
+    low, high, values = block.low.astype(kind), block.high.astype(kind), block.vectors.astype(kind)
+    reachable = up @ high + down @ low >= floor
     if not reachable.any():
         return [], 0.0
-    score = np.zeros((len(q), n), kind)
-    far = np.zeros((len(q), n), kind)  # what the entries read would have been at their lists' far ends
-    done, depth = 0, max(1, int(np.ceil(FIRST * n)))
-    while True:
-        for j in range(dims):
-            for weights, far_end, rows in ((up[:, j], block.low[j], block.order[n - depth : n - done, j]), (down[:, j], block.high[j], block.order[done:depth, j])):
-                asks = np.flatnonzero(weights)
-                if len(asks):
-                    at = np.ix_(asks, rows)
-                    score[at] += np.multiply.outer(weights[asks], block.vectors[rows, j].astype(kind))
-                    far[at] += (weights[asks] * kind(far_end))[:, None]
-        done = depth
+    depth = max(1, int(np.ceil(FIRST * n)))
+    while True:  # an entry beyond the depth counts as its list's last read value at most, and as its far end at least
         top, bottom = block.sorted[n - depth].astype(kind), block.sorted[depth - 1].astype(kind)
-        lower = score + rest_low[:, None] - far
-        upper = score + (up @ top + down @ bottom)[:, None] - (up * top) @ (block.place >= n - depth).T.astype(kind) - (down * bottom) @ (block.place < depth).T.astype(kind)
-        lower[own] = rest_low.min() - 1
+        upper = up @ np.maximum(values, top).T + down @ np.minimum(values, bottom).T
+        lower = up @ np.where(values >= top, values, low).T + down @ np.where(values <= bottom, values, high).T
+        lower[own] = -reach - 1
         kth = np.maximum(floor, np.partition(lower, n - k, axis=1)[:, -k]) if n > k else floor
         open_ = ~own & (upper >= kth[:, None]) & reachable[:, None]
         if depth == n or open_.mean() <= FEW:
@@ -90,7 +77,7 @@ def read_lists(query_ids: np.ndarray, queries: np.ndarray, block: Lists, k: int,
         left = np.flatnonzero(row)
         final = block.vectors[left].astype(np.int64) @ queries[r].astype(np.int64)
         found += [(r, int(block.ids[left[b]]), int(final[b])) for b in _best(block.ids[left], final, k)]
-    return found, done / n
+    return found, depth / n
 
 
 def slab_top(query_ids: np.ndarray, queries: np.ndarray, blocks: Iterable[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[list[tuple[int, int, int]], list[float]]:
