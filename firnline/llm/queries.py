@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm import bpe, line_dedup, near_dup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, topk, toxicity
+from firnline.llm import alignment, bpe, line_dedup, near_dup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, topk, toxicity
 from firnline.llm.common import read_table
 
 
@@ -17,6 +17,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def alignment_paths() -> tuple[str, str]:
+    """The byte-level vocabulary and the piece vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     out = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
@@ -65,6 +72,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.align(read_table(spark, sf_dir, "documents"), *alignment_paths())
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_group_links")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
@@ -76,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_array": op9_suffix_array,
     "op10_line_dedup": op10_line_dedup,
+    "op12_alignment": op12_alignment,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
