@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -153,9 +154,9 @@ class ByteTokenizer:
         self.whole.encode_special_tokens = True
         self._long = regex.compile(rf"\S{{{LONG_PIECE},}}|\s{{{LONG_PIECE},}}")
 
-    def encode(self, text: str) -> list[int]:
-        """``text`` begins with the space."""
-        if len(text) > LONG_PIECE and self._long.search(text):
+    def encode(self, text: str, longest: int = LONG_PIECE + 1) -> list[int]:
+        """``text`` begins with the space; its longest unit has ``longest`` bytes at most."""
+        if longest > LONG_PIECE and self._long.search(text):
             return self.whole.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -171,7 +172,7 @@ class PieceTokenizer:
         piece = self.model.id_to_piece
         self.spelling = _Spelling({i: bytes([int(piece(i)[3:5], 16)]) if self.model.is_byte(i) else piece(i).replace(SPACE_MARK, " ").encode() for i in ids})
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str, longest: int = 0) -> list[int]:
         return self.model.encode(text[1:])
 
 
@@ -180,10 +181,13 @@ def _tokenizers(byte_path: str, piece_path: str) -> tuple[ByteTokenizer, PieceTo
     return ByteTokenizer(byte_path), PieceTokenizer(piece_path)
 
 
+_BLANK_SPACE = re.compile(f"[\\s\x1c-\x1f\x85{SPACE_MARK}](?: |$)")
+
+
 def units_of(text: str) -> list[str]:
     """The text with a space before it, cut before each space that follows neither a blank nor a space mark."""
     parts = (" " + text).split(" ")[1:]
-    if "" not in parts and text.isascii() and not any(map(_ends_blank, parts)):
+    if not _BLANK_SPACE.search(text) and text[:1] != " ":
         return parts
     out, open_ = [], False
     for part in parts:
@@ -203,12 +207,12 @@ def _ends_blank(part: str) -> bool:
 
 def _encoded(units: list[bytes], offsets: np.ndarray, data: np.ndarray, tokenizer) -> _Side:
     """Tokens of each unit. Units are encoded many at a time, and cut at their ends; where that fails, one by one."""
-    parts, low = [], 0
+    parts, low, longest = [], 0, np.diff(offsets)
     good = np.ones(len(units), bool)
     while low < len(units):
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + ENCODE_BYTES, "right")) - 1)
         high = min(high, len(units))
-        ids = np.array(tokenizer.encode(b"".join(units[low:high]).decode()), np.int64)
+        ids = np.array(tokenizer.encode(b"".join(units[low:high]).decode(), int(longest[low:high].max())), np.int64)
         ends = np.cumsum(tokenizer.spelling.length[ids])
         want = offsets[low + 1 : high + 1] - offsets[low]
         cut = np.searchsorted(ends, want)
