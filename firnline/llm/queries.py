@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm import alignment, bpe, line_dedup, near_dup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, topk, toxicity
+from firnline.llm import alignment, bpe, conversations, line_dedup, near_dup, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, topk, toxicity, url_filter
 from firnline.llm.common import read_table
 
 
@@ -72,11 +72,37 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations")
+    repair = conversations.Repair(conversations.damaged(given))
+    digest = repair.repaired_digest()
+    out = given.select(F.col("conv_id").alias("_id")).distinct()
+    for part in (repair.summary(), digest):
+        out = out.join(part, F.col("_id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    zeros = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("_id").alias("conv_id"), *zeros, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = alignment.align(read_table(spark, sf_dir, "documents"), *alignment_paths())
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_group_links")
 
 
+#: The rules that the query is stated with.
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES, url_filter.page_labels(pages, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
@@ -88,7 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_array": op9_suffix_array,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversations": op11_conversations,
     "op12_alignment": op12_alignment,
+    "op13_url_filter": op13_url_filter,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
