@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 from firnline.config import resolve
 from firnline.functions import geo
 from firnline.operators import frames as frame_ops
+from firnline.operators import spatial
 from firnline.plans.extract import extract_metrics, frame_fractions
 from firnline.sources.snapshots import NothingWritten, SnapshotStore
 
 
-def select_frames(frames: DataFrame, query: dict[str, Any], box: tuple[float, float, float, float] | None = None, shape: list | None = None, without: list | None = None) -> DataFrame:
+def select_frames(
+    frames: DataFrame, query: dict[str, Any], box: tuple[float, float, float, float] | None = None, shape: list | None = None, without: list | None = None,
+    tracks: DataFrame | None = None, shapes: DataFrame | None = None, side: float = 5_000.0,
+) -> DataFrame:
     """Catalogue query: collections, segments, bounding box, polygons to meet and not to meet, and a limit; filters on
-    columns reach the scan."""
+    columns reach the scan. ``shape`` and ``without`` are polygons that a frame's box is held against; with ``shapes``,
+    a table of them (shape_id, parts), and ``tracks`` (frame_id, slow_time, x, y), the frames stay whose line meets one."""
     if query.get("collections"):
         frames = frames.where(F.col("collection").isin(list(query["collections"])))
     if query.get("segment_paths"):
@@ -30,6 +35,9 @@ def select_frames(frames: DataFrame, query: dict[str, Any], box: tuple[float, fl
         frames = frames.where(geo.box_meets(*corners, shape))
     if without:
         frames = frames.where(~geo.box_meets(*corners, without))
+    if shapes is not None:
+        lines = tracks.join(frames.select("frame_id").distinct(), "frame_id", "left_semi")
+        frames = frame_ops.also_in(frames, spatial.lines_meeting(lines, shapes, side))
     if query.get("max_items"):
         frames = frames.orderBy("collection", "frame_id").limit(int(query["max_items"]))
     return frames
