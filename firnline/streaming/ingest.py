@@ -20,14 +20,6 @@ from firnline.schema import RAW_TRACES
 from firnline.sources.snapshots import SnapshotStore
 
 
-def _landed(store: SnapshotStore) -> DataFrame:
-    """All raw traces that came in so far, a folder per micro-batch."""
-    try:
-        return store.spark.read.schema(RAW_TRACES).parquet(f"{store.root}/raw/batch=*")
-    except AnalysisException:  # nothing yet
-        return store.spark.createDataFrame([], RAW_TRACES)
-
-
 def landed(store: SnapshotStore, but: int | None = None) -> DataFrame:
     """All raw traces that came in, a folder per micro-batch, without those of one batch."""
     if not store.files.list("raw"):
