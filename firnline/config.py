@@ -11,7 +11,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     "opr": {},
     "region": {},
     "query": {},
-    "processing": {"data_product": "CSARP_standard", "decimate_interval": "10s", "layer_margin_m": 50, "ice_permittivity": 3.17, "max_workers": 4, "checkpoint_every": 1000},
+    "processing": {"data_product": "CSARP_standard", "decimate_interval": "10s", "layer_margin_m": 50, "ice_permittivity": 3.17, "max_workers": 4, "checkpoint_every": 1000, "retry_after": "1h", "retry_most": "7D"},
     "qc": {"max_heading_change_deg_per_km": None, "min_ice_thickness_m": None, "min_agl_m": None, "min_bed_snr_db": None, "min_traces_after_qc": 10},
     "store": {"backend": "local", "path": "outputs/trace_store", "remove_out_of_scope": False},
 }

@@ -100,3 +100,14 @@ def collection_status(frames: DataFrame, processed: DataFrame, seen: DataFrame,
     done = processed.select(frame).distinct().withColumn("_done", F.lit(True))
     joined = frames.select(frame, collection).distinct().join(done, frame, "left").join(seen.select(frame, "first_written_at"), frame, "left")
     return joined.groupBy(collection).agg(F.count("*").alias("n_frames"), F.count_if(F.col("_done")).alias("n_processed"), F.max(F.when(F.col("_done"), F.col("first_written_at"))).alias("last_processed"))
+
+
+def due(frames: DataFrame, attempts: DataFrame, now: Column, wait: int, most: int, frame: str = "frame_id") -> DataFrame:
+    """Frames to try: those without a failure since their last rows, and those whose last try is ``wait`` seconds back,
+    twice that after each further failure, ``most`` at most."""
+    at, ok = F.col("attempted_at"), F.col("outcome") == "rows"
+    tried = attempts.groupBy(frame).agg(F.max(at).alias("_last"), F.max(F.when(ok, at)).alias("_ok"), F.collect_list(F.when(~ok, at)).alias("_bad"))
+    failures = F.size(F.filter("_bad", lambda t: F.col("_ok").isNull() | (t > F.col("_ok"))))
+    pause = F.least(F.lit(float(most)), wait * F.pow(F.lit(2.0), F.least(failures, F.lit(60)) - 1))
+    resting = tried.where((failures > 0) & (F.unix_micros(now) < F.unix_micros("_last") + pause * 1e6))
+    return not_in(frames, resting, frame)

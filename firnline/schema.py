@@ -29,6 +29,9 @@ TRACES = table(
 )
 FRAME_DIM = table("frame_id string, frame_index int, collection string, frame_bed_pick_fraction double, segment_bed_pick_fraction double")
 
+#: What became of each try of a frame: rows, none (nothing passed) or failed (it couldn't be read).
+ATTEMPTS = table("frame_id string, attempted_at timestamp, outcome string, error string")
+
 #: Variable: label, unit, display scale (fixed values). ``rssnr`` is an alias.
 VARIABLES = {
     "required_surface_snr_dB": ("Required surface SNR", "dB", 1.0),

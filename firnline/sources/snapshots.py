@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firnline.operators import frames as frame_ops
-from firnline.schema import FRAME_DIM, TRACES, conform
+from firnline.schema import ATTEMPTS, FRAME_DIM, TRACES, conform
 
 #: Rows per file.
 FILE_ROWS = 1_000_000
@@ -142,6 +142,13 @@ class SnapshotStore:
                 out = out.union(ids.select(F.lit(n), F.lit(s.written_at), "frame_id"))
         return out
 
+    def attempts(self) -> DataFrame:
+        """Every try of a frame, with its outcome; kept beside the snapshots, since most of them leave no rows."""
+        return self.spark.read.schema(ATTEMPTS).parquet(f"{self.root}/attempts") if self.files.list("attempts") else self.spark.createDataFrame([], ATTEMPTS)
+
+    def record_attempts(self, tries: DataFrame) -> None:
+        tries.select(*ATTEMPTS.names).coalesce(1).write.mode("append").parquet(f"{self.root}/attempts")
+
     def session(self, branch: str = "main") -> Session:
         return Session(self, branch)
 
@@ -186,13 +193,18 @@ class Session:
 
     def remove(self, frames: DataFrame) -> int:
         """Drop all rows of the given frames; only folders that hold some are rewritten. Returns the number of rows."""
-        spark, removed, kept = self.store.spark, 0, []
-        for folder in self.data:
-            rows = spark.read.schema(TRACES).parquet(f"{self.store.root}/{folder}")
-            n = frame_ops.also_in(rows, frames).count()
-            removed += n
-            kept.append(self._write(frame_ops.not_in(rows, frames).select(*TRACES.names)) if n else folder)
-        self.data, self.dirty = kept, self.dirty or removed > 0
+        spark, root = self.store.spark, self.store.root
+        if not self.data:
+            return 0
+        folder = F.regexp_extract(F.input_file_name(), r"(data/[0-9a-f]+)/[^/]*$", 1)
+        held = frame_ops.also_in(self.rows().select("frame_id", folder.alias("_folder")), frames).groupBy("_folder").count()
+        counts = {r["_folder"]: r["count"] for r in held.collect()}  # a row per data folder that holds some
+        for n, name in enumerate(self.data):
+            if name in counts:
+                rows = spark.read.schema(TRACES).parquet(f"{root}/{name}")
+                self.data[n] = self._write(frame_ops.not_in(rows, frames).select(*TRACES.names))
+        removed = sum(counts.values())
+        self.dirty = self.dirty or removed > 0
         return removed
 
     def clear(self) -> None:
