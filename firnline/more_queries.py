@@ -60,14 +60,16 @@ def looked_up_names(spark, sf_dir):
     return own.select("s_suppkey", values.looked_up(known, F.col("s_nationkey").cast("string")).alias("place"), "colour")
 
 
-@query(f"""WITH {RADAR} SELECT vec_id, round(sqrt(p[1] * p[1] + p[2] * p[2]), 6) AS magnitude, round(10 * log10(p[3]) - 10 * log10(p[4]), 6) AS snr, round((2000 - 149896229.0::DOUBLE * 1e-6 * (1 + 0.25 * si)) - (1800 - bi), 5) AS thickness, CASE WHEN vec_id * 97 >= 100000 THEN 1000.0::DOUBLE WHEN vec_id * 97 >= 10000 THEN 100.0 ELSE 0.0 END AS tolerance FROM r""")
+@query(f"""WITH {RADAR} SELECT vec_id, k::INT AS k, round(sqrt(p[2 * k + 1] * p[2 * k + 1] + p[2 * k + 2] * p[2 * k + 2]), 6) AS magnitude, CASE WHEN p[2 * k + 1] > 0 AND p[2 * k + 2] > 0 THEN round(10 * log10(p[2 * k + 1]) - 10 * log10(p[2 * k + 2]), 6) END AS snr, round((2000 - 149896229.0::DOUBLE * 1e-6 * (1 + 0.25 * si)) - (1800 - bi), 5) AS thickness, CASE WHEN vec_id * 97 >= 100000 THEN 1000.0::DOUBLE WHEN vec_id * 97 >= 10000 THEN 100.0 ELSE 0.0 END AS tolerance FROM r, range(32) t(k)""")
 def trace_physics(spark, sf_dir):
-    """Magnitude of a complex sample, signal over noise, thickness from elevations, tolerance by area."""
+    """Magnitudes of complex samples, signal over noise, thickness from elevations, tolerance by area."""
     rows = _radar(spark, sf_dir)
-    d = F.col("data")
     surface = physics.surface_elevation(F.lit(2000.0), F.col("surface") * 1e-6)
     bed = F.lit(1800.0) - F.round((F.col("bed") - 1.0) / 0.25)
-    return rows.select("vec_id", _r(physics.magnitude(d[0], d[1])).alias("magnitude"), _r(physics.bed_snr_db(physics.to_db(d[2]), physics.to_db(d[3]))).alias("snr"), _r(physics.thickness_between(surface, bed), 5).alias("thickness"), physics.simplify_tolerance(F.col("vec_id") * 97).alias("tolerance"))
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.struct(F.get("data", 2 * k).alias("re"), F.get("data", 2 * k + 1).alias("im")))
+    rows = rows.select("vec_id", physics.thickness_between(surface, bed).alias("thickness"), physics.simplify_tolerance(F.col("vec_id") * 97).alias("tolerance"), F.posexplode(pairs).alias("k", "s"))
+    re, im = F.col("s.re"), F.col("s.im")
+    return rows.select("vec_id", "k", _r(physics.magnitude(re, im)).alias("magnitude"), _r(physics.bed_snr_db(physics.to_db(re), physics.to_db(im))).alias("snr"), _r("thickness", 5).alias("thickness"), "tolerance")
 
 
 @query(f"""WITH {RADAR}, x AS (SELECT vec_id, p, unnest(generate_series(0, 9)) AS k FROM r), y AS (SELECT vec_id, k, 0.9::DOUBLE + k * 1.9::DOUBLE AS g, p FROM x), z AS (SELECT vec_id, k, g, p, least(63, floor((g - 1) / 0.25)::INT + 1) AS i FROM y)
@@ -79,12 +81,12 @@ def interpolated_samples(spark, sf_dir):
     return rows.select("vec_id", "k", _r("v").alias("v"))
 
 
-@query(f"""WITH {RADAR} SELECT vec_id, p[1] AS a, p[4] AS b, p[3] AS c FROM r""")
+@query(f"""WITH {RADAR} SELECT vec_id, k::INT AS k, p[1 + k % 8 * 8 + k // 8] AS v FROM r, range(64) t(k)""")
 def transposed_frame(spark, sf_dir):
-    """A frame stored with the other orientation."""
-    d = F.col("data")
-    rows = _radar(spark, sf_dir).withColumn("m", arrays.transposed(F.array(F.slice(d, 1, 2), F.slice(d, 3, 2))))
-    return rows.select("vec_id", F.expr("m[0][0]").alias("a"), F.expr("m[1][1]").alias("b"), F.expr("m[0][1]").alias("c"))
+    """A frame stored with the other orientation: its samples as a square, rows as columns."""
+    square = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice(F.col("data"), i * 8 + 1, 8))
+    rows = _radar(spark, sf_dir).withColumn("m", square)
+    return rows.select("vec_id", F.posexplode(F.flatten(arrays.transposed(F.col("m")))).alias("k", "v"))
 
 
 @query(f"""WITH {RADAR}, w AS (SELECT vec_id, p, min(1 + 0.25 * si) OVER f - 3 AS lo, coalesce(max(1 + 0.25 * bi) OVER f, max(1 + 0.25 * si) OVER f) + 3 AS hi FROM r WINDOW f AS (PARTITION BY label, vec_id // 100))
@@ -335,11 +337,11 @@ def _store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.concat(F.lit("f"), F.col("o_custkey").cast("string")).alias("frame_id"), (F.col("o_custkey") % 3).cast("string").alias("collection"), F.timestamp_seconds(F.col("o_orderkey")).alias("slow_time"), F.col("o_totalprice").cast("double").alias("surface_power_dB"))
 
 
-@query("""WITH o AS (SELECT *, o_custkey % 3 AS c FROM orders), v AS (SELECT 0 AS sequence, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_frames FROM o WHERE c = 0 UNION ALL SELECT 1, count(*), count(DISTINCT o_custkey) FROM o WHERE c <= 1 UNION ALL SELECT 2, count(*), count(DISTINCT o_custkey) FROM o WHERE c <= 1 AND o_custkey % 2 = 0) SELECT sequence::INT AS sequence, n_rows, n_frames FROM v""")
+@query("""WITH o AS (SELECT *, o_custkey % 3 AS c FROM orders) SELECT sequence::INT AS sequence, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_frames FROM o, range(4) t(sequence) WHERE c <= sequence AND (sequence < 3 OR o_custkey % 2 = 0) GROUP BY sequence""")
 def store_versions(spark, sf_dir):
-    """Two appends and a removal of frames: rows and frames of each snapshot."""
+    """Appends of all collections and a removal of frames: rows and frames of each snapshot."""
     store, rows = SnapshotStore(spark, _scratch_root(spark)), _store_rows(spark, sf_dir)
-    for part in ("0", "1"):
+    for part in ("0", "1", "2"):
         session = store.session()
         session.append(rows.where(F.col("collection") == part))
         session.update_frames()
@@ -370,12 +372,33 @@ def store_frames(spark, sf_dir):
     return store.frame_dim().select("frame_id", "frame_index", "collection").join(absent, "frame_id")
 
 
-@query("SELECT 'f' || o_custkey AS frame_id, min(CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE 1 END)::INT AS first_sequence FROM orders WHERE o_custkey % 3 < 2 GROUP BY 1")
-def store_first_seen(spark, sf_dir):
-    """The snapshot in which each frame was first."""
-    store, rows = SnapshotStore(spark, _scratch_root(spark)), _store_rows(spark, sf_dir)
-    for part in ("0", "1"):
+#: Commits without new rows between those with some, so that a history is longer than any log shows.
+_IDLE = 110
+
+
+def _long_history(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, list[str]]:
+    store, rows, ids = SnapshotStore(spark, _scratch_root(spark)), _store_rows(spark, sf_dir), []
+    for part in ("0", "1", "2"):
         session = store.session()
         session.append(rows.where(F.col("collection") == part))
-        session.commit(part)
-    return frame_ops.first_seen(store.frame_history()).select("frame_id", "first_sequence")
+        ids.append(session.commit(part))
+        for n in range(_IDLE if part == "0" else 0):
+            store.session().commit(f"note {n}")
+    return store, ids
+
+
+@query(f"SELECT 'f' || o_custkey AS frame_id, min(CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE {_IDLE} + o_custkey % 3 END)::INT AS first_sequence FROM orders GROUP BY 1")
+def store_first_seen(spark, sf_dir):
+    """The snapshot in which each frame was first, over a long history."""
+    return frame_ops.first_seen(_long_history(spark, sf_dir)[0].frame_history()).select("frame_id", "first_sequence")
+
+
+@query("""SELECT CASE WHEN o_custkey % 3 = 0 THEN 'delete' ELSE 'insert' END AS change, 'f' || o_custkey AS frame_id, count(*) AS n, round(sum(o_totalprice), 2) AS power FROM orders WHERE (o_custkey % 3 = 0) = (o_custkey % 2 = 1) GROUP BY ALL""")
+def store_changes(spark, sf_dir):
+    """What came and went between the first snapshot and the last: rows that were only written anew are neither."""
+    store, ids = _long_history(spark, sf_dir)
+    session = store.session()
+    session.remove(_store_rows(spark, sf_dir).where(F.substring("frame_id", 2, 20).cast("long") % 2 == 1).select("frame_id").distinct())
+    session.commit("odd frames removed")
+    out = store.changes(ids[0]).groupBy("change", "frame_id").agg(F.count("*").alias("n"), F.sum("surface_power_dB").alias("power"))
+    return out.select("change", "frame_id", "n", _r("power", 2).alias("power"))

@@ -43,6 +43,11 @@ class Snapshot:
     processed: list[str] = field(default_factory=list)  # folders of processed frame ids
 
 
+def _folder():
+    """The data folder that a row was read from."""
+    return F.regexp_extract(F.input_file_name(), r"(data/[0-9a-f]+)/[^/]*$", 1)
+
+
 class _Files:
     def __init__(self, spark: SparkSession, root: str):
         self.jvm, self.root = spark.sparkContext._jvm, root.rstrip("/")
@@ -112,12 +117,10 @@ class SnapshotStore:
         """Distinct ids of frames that were processed."""
         return self.read(version, ["frame_id"]).distinct()
 
-    def log(self, most: int = 100, branch: str = "main", checkpoints: bool = True) -> list[Snapshot]:
-        """Newest first, at most ``most`` back, ending at the first that can't be read."""
+    def log(self, most: int | None = 100, branch: str = "main", checkpoints: bool = True) -> list[Snapshot]:
+        """Newest first, at most ``most`` back (None: all), ending at the first that can't be read."""
         out, id_ = [], self.tip(branch)
-        for _ in range(most):
-            if id_ is None:
-                break
+        while id_ is not None and (most is None or len(out) < most):
             try:
                 out.append(self.snapshot(id_))
             except (KeyError, ValueError):
@@ -130,17 +133,34 @@ class SnapshotStore:
         rows = [(n, s.id, s.parent, s.written_at, s.message) for n, s in enumerate(reversed(self.log(most)))]
         return self.spark.createDataFrame(rows, "sequence int, id string, parent string, written_at string, message string")
 
-    def frame_history(self, most: int = 100) -> DataFrame:
-        """(sequence, written_at, frame_id): the frames of each append's first snapshot; unchanged folders are not read again."""
-        seen: set[str] = set()
-        out = self.spark.createDataFrame([], "sequence int, written_at string, frame_id string")
-        for n, s in enumerate(reversed(self.log(most))):
-            fresh = [f for f in s.data if f not in seen]
-            seen |= set(fresh)
-            if fresh:
-                ids = self.spark.read.schema(TRACES).parquet(*[f"{self.root}/{f}" for f in fresh]).select("frame_id").distinct()
-                out = out.union(ids.select(F.lit(n), F.lit(s.written_at), "frame_id"))
-        return out
+    def frame_history(self) -> DataFrame:
+        """(sequence, written_at, frame_id): the frames of each data folder with the first snapshot of all that lists it.
+
+        One scan of all folders, whatever the number of snapshots; the manifests say which came when."""
+        first: dict[str, tuple[str, int, str]] = {}
+        for n, s in enumerate(reversed(self.log(None))):
+            for f in s.data:
+                first.setdefault(f, (f, n, s.written_at))
+        if not first:
+            return self.spark.createDataFrame([], "sequence int, written_at string, frame_id string")
+        when = self.spark.createDataFrame(list(first.values()), "folder string, sequence int, written_at string")
+        rows = self.spark.read.schema(TRACES).parquet(*[f"{self.root}/{f}" for f in first])
+        return rows.select("frame_id", _folder().alias("folder")).distinct().join(when, "folder").select("sequence", "written_at", "frame_id")
+
+    def changes(self, old: str | None, new: str = "main") -> DataFrame:
+        """Rows that one snapshot has and another lacks: ``change`` (insert or delete) and the table's columns.
+
+        Only folders that one of the two lists and the other doesn't are read; rows that were merely written anew,
+        because others of their folder went, cancel out. Equal rows count as often as they occur."""
+        lists = [set(self.snapshot(self.tip(v) or v).data) if v else set() for v in (old, new)]
+        sides = []
+        for mine, other, sign in ((lists[1], lists[0], 1), (lists[0], lists[1], -1)):
+            folders = sorted(mine - other)
+            rows = self.spark.read.schema(TRACES).parquet(*[f"{self.root}/{f}" for f in folders]) if folders else self.spark.createDataFrame([], TRACES)
+            sides.append(rows.withColumn("_n", F.lit(sign)))
+        net = sides[0].union(sides[1]).groupBy(*TRACES.names).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+        times = F.explode(F.array_repeat(F.when(F.col("_n") > 0, "insert").otherwise("delete"), F.abs("_n").cast("int"))).alias("change")
+        return net.select(times, *TRACES.names)
 
     def attempts(self) -> DataFrame:
         """Every try of a frame, with its outcome; kept beside the snapshots, since most of them leave no rows."""
@@ -176,6 +196,10 @@ class Session:
         self.data: list[str] = list(at.data) if at else []
         self.attributes: str | None = at.attributes if at else None
         self.dirty = False
+        self.origin: dict[str, str | None] = {f: f for f in self.data}  # the base's folder that each one stands for
+        self.removed: list[DataFrame] = []
+        self.cleared = False
+        self.given: list[DataFrame | None] = []  # what the frame table was rebuilt with
 
     def rows(self) -> DataFrame:
         spark = self.store.spark
@@ -184,6 +208,7 @@ class Session:
     def append(self, rows: DataFrame) -> None:
         """Add rows; columns that the table doesn't have are an error, missing ones NULL."""
         self.data.append(self._write(conform(rows)))
+        self.origin[self.data[-1]] = None
         self.dirty = True
 
     def _write(self, rows: DataFrame) -> str:
@@ -196,19 +221,20 @@ class Session:
         spark, root = self.store.spark, self.store.root
         if not self.data:
             return 0
-        folder = F.regexp_extract(F.input_file_name(), r"(data/[0-9a-f]+)/[^/]*$", 1)
-        held = frame_ops.also_in(self.rows().select("frame_id", folder.alias("_folder")), frames).groupBy("_folder").count()
+        held = frame_ops.also_in(self.rows().select("frame_id", _folder().alias("_folder")), frames).groupBy("_folder").count()
         counts = {r["_folder"]: r["count"] for r in held.collect()}  # a row per data folder that holds some
         for n, name in enumerate(self.data):
             if name in counts:
                 rows = spark.read.schema(TRACES).parquet(f"{root}/{name}")
                 self.data[n] = self._write(frame_ops.not_in(rows, frames).select(*TRACES.names))
+                self.origin[self.data[n]] = self.origin[name]
+        self.removed.append(frames.select("frame_id").distinct())
         removed = sum(counts.values())
         self.dirty = self.dirty or removed > 0
         return removed
 
     def clear(self) -> None:
-        self.data, self.attributes, self.dirty = [], None, True
+        self.data, self.attributes, self.dirty, self.cleared = [], None, True, True
 
     def update_frames(self, attributes: DataFrame | None = None) -> None:
         """Rebuild the frame dimension: dense indexes, and each attribute from ``attributes``, else as it was."""
@@ -226,8 +252,44 @@ class Session:
         out = index.join(merged, "frame_id").select(*[F.col(f.name).cast(f.dataType) for f in FRAME_DIM])
         out.write.parquet(f"{self.store.root}/{folder}")
         self.attributes, self.dirty = folder, True
-
-    def commit(self, message: str) -> str:
+        self.given.append(attributes)
+
+    def _rebase(self) -> None:
+        """Put this session's changes on the branch's new tip, unless the other writers touched the same frames.
+
+        Theirs are the frames in folders that the tip has and the base hasn't; ours, those appended and removed. A folder
+        that both wrote anew, or a session that cleared the table, can't be put on another tip."""
+        store, spark = self.store, self.store.spark
+        tip = store.tip(self.branch)
+        at, before = store.snapshot(tip), store.snapshot(self.base).data if self.base else []
+        replaced = {self.origin[f]: f for f in self.data if self.origin[f] and self.origin[f] != f}
+        if self.cleared or set(replaced) - set(at.data) or set(before) - {self.origin[f] for f in self.data}:
+            raise Conflict(f"{self.branch} was moved by a writer of the same rows")
+        own = [f for f in self.data if self.origin[f] is None]
+        read = lambda folders: spark.read.schema(TRACES).parquet(*[f"{store.root}/{f}" for f in folders]).select("frame_id").distinct()
+        theirs = [f for f in at.data if f not in before]
+        ours = [*([read(own)] if own else []), *self.removed]
+        if theirs and any(not frame_ops.also_in(read(theirs), frames).isEmpty() for frames in ours):
+            raise Conflict(f"{self.branch} was moved by a writer of the same frames")
+        self.base, self.data = tip, [replaced.get(f, f) for f in at.data] + own
+        self.origin = {replaced.get(f, f): f for f in at.data} | {f: None for f in own}
+        self.attributes, given, self.given = at.attributes, self.given, []
+        for attributes in given[-1:]:
+            self.update_frames(attributes)
+
+    def commit(self, message: str, retries: int = 8) -> str:
+        """Write a snapshot and move the branch to it. If another writer moved the branch meanwhile, the changes are put
+        on its new tip, unless both touched the same frames."""
+        for left in range(retries, -1, -1):
+            try:
+                return self._commit(message)
+            except Conflict:
+                if not left or self.store.tip(self.branch) == self.base:
+                    raise
+                self._rebase()
+        raise AssertionError
+
+    def _commit(self, message: str) -> str:
         id_ = uuid.uuid4().hex
         body: dict[str, Any] = {"id": id_, "parent": self.base, "written_at": datetime.now(timezone.utc).isoformat(), "message": message, "data": self.data, "attributes": self.attributes}
         self.store.files.create(f"snapshots/{id_}.json", json.dumps(body))
@@ -237,14 +299,17 @@ class Session:
 
 
 def compact(store: SnapshotStore, files: int, dry_run: bool = False) -> str | None:
-    """Rewrite the tip's rows into about ``files`` files; nothing to do if one folder with at most so many holds them."""
+    """Rewrite the tip's rows into about ``files`` files; nothing to do if one folder with at most so many holds them. A
+    dry run says what would be done."""
     session = store.session()
     count = len(session.rows().inputFiles())
-    if len(session.data) <= 1 and count <= files or dry_run:
+    if len(session.data) <= 1 and count <= files:
         return None
+    if dry_run:
+        return f"{count} files in {len(session.data)} folders would become about {files} in one"
     folder = f"data/{uuid.uuid4().hex}"
     session.rows().repartitionByRange(files, "collection", "frame_id", "slow_time").write.parquet(f"{store.root}/{folder}")
-    session.data = [folder]
+    session.data, session.origin = [folder], {folder: None}
     return session.commit(f"[maintenance] compacted {count} files")
 
 
