@@ -70,17 +70,29 @@ def percentile_limits(value: str, low: float = 0.02, high: float = 0.98, include
     return [p[0].alias("low"), p[1].alias("high")]
 
 
-def values_at_ranks(rows: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """Per group, the values at rank floor(n p), without interpolation, for each named share p.
-
-    A sketch brackets each rank, and only the distinct values inside a bracket, about n * 4 / ACCURACY of them, are
-    ordered; the others are counted where they lie.
+def interpolated_ranks(rows: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Per group, interpolated percentiles, as Spark's ``percentile`` gives them, but in memory that doesn't grow with
+    a group's distinct values."""
+    ends = {f"{k}{side}": (p, side) for k, p in shares.items() for side in ("_low", "_up")}
+    at = {k: (lambda n, p=p, up=side == "_up": F.floor(F.lit(p) * (n - 1)) + (F.lit(1) if up else F.lit(0))) for k, (p, side) in ends.items()}
+    found = values_at_ranks(rows, value, {k: p for k, (p, _) in ends.items()}, by, at)
+    part = lambda p: F.lit(p) * (F.col("n") - 1) - F.floor(F.lit(p) * (F.col("n") - 1))
+    line = lambda k, p: F.when(part(p) == 0, F.col(f"{k}_low")).otherwise(F.col(f"{k}_low") + (F.col(f"{k}_up") - F.col(f"{k}_low")) * part(p))
+    return found.select(*by, "n", *[line(k, p).alias(k) for k, p in shares.items()])
+
+
+def values_at_ranks(rows: DataFrame, value: str, shares: dict[str, float], by: Sequence[str] = (), ranks: dict | None = None) -> DataFrame:
+    """Per group, the values at rank floor(n p), without interpolation, for each named share p; or at a rank that
+    ``ranks`` tells from n, within a few of that. With ``n``.
+
+    A sketch brackets each rank of groups of more than ACCURACY values, and only the distinct values inside a bracket,
+    about n * 4 / ACCURACY of them, are ordered; the others are counted where they lie.
     """
     good = rows.where(known(value)).select(*by, F.col(value).cast("double").alias("v"))
     slack = 2 / ACCURACY
     ends = F.array(*[F.lit(min(1.0, max(0.0, p + d))) for p in shares.values() for d in (-slack, slack)])
     bounds = good.groupBy(*by).agg(F.count("*").alias("n"), F.percentile_approx("v", ends, ACCURACY).alias("ends"))
-    bounds = bounds.select(*[F.col(c).alias(f"_{c}") for c in by], "n", *[e for i, k in enumerate(shares) for e in (F.col("ends")[2 * i].alias(f"from_{k}"), F.col("ends")[2 * i + 1].alias(f"to_{k}"))])
+    bounds = bounds.select(*[F.col(c).alias(f"_{c}") for c in by], "n", *[F.when(F.col("n") > ACCURACY, F.col("ends")[2 * i + up]).otherwise(F.lit(math.inf if up else -math.inf)).alias(f"{'to' if up else 'from'}_{k}") for i, k in enumerate(shares) for up in (0, 1)])
     same = F.lit(True)
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
@@ -90,8 +102,8 @@ def values_at_ranks(rows: DataFrame, value: str, shares: dict[str, float], by: S
         near = placed.where(F.col("v") <= F.col(f"to_{k}")).select(*by, "n", F.when(F.col("v") >= F.col(f"from_{k}"), F.col("v")).alias("v"))
         counted = near.groupBy(*by, "n", "v").agg(F.count("*").alias("c"))  # values before the bracket are one row
         before = F.sum("c").over(Window.partitionBy(*by, "n").orderBy(F.asc_nulls_first("v")))
-        at = F.least(F.col("n") - 1, F.floor(F.col("n") * F.lit(p)))
-        found = counted.withColumn("_until", before).where(F.col("v").isNotNull() & (F.col("_until") > at)).groupBy(*by).agg(F.min("v").alias(k))
+        at = F.least(F.col("n") - 1, ranks[k](F.col("n")) if ranks else F.floor(F.col("n") * F.lit(p)))
+        found = counted.withColumn("_until", before).where(F.col("v").isNotNull() & (F.col("_until") > at)).groupBy(*by, *(["n"] if out is None else [])).agg(F.min("v").alias(k))
         out = found if out is None else out.join(found.select(*[F.col(c).alias(f"_{c}") for c in by], k), same, "left").drop(*[f"_{c}" for c in by])
     return out
 
@@ -148,12 +160,35 @@ def auto_histogram(values: DataFrame, value: str) -> DataFrame:
     return histogram(values, value, bins["low"], bins["high"], bins["n_bins"])
 
 
+def _kernel_sums(low: float, step: float, points: int):
+    """(season, i, raw): sums of a task's kernels at each grid point, from columns season, v and bw."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        x, sums = low + np.arange(points) * step, {}
+        for batch in batches:
+            seasons = batch.column(0).dictionary_encode()
+            code, value, width = seasons.indices.to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for k, season in enumerate(seasons.dictionary.to_pylist()):
+                own = np.flatnonzero(code == k)
+                total = sums.setdefault(season, np.zeros(points))
+                for at in np.split(own, range(2048, len(own), 2048)):
+                    z = (x[None, :] - value[at, None]) / width[at, None]
+                    total += np.exp(z * z * -0.5).sum(0)
+        for season, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([season] * points), pa.array(np.arange(points, dtype=np.int32)), pa.array(total)], names=["season", "i", "raw"])
+
+    return run
+
+
 def density(values: DataFrame, value: str, group: str | None = None, points: int = 256, per_group: bool = False, pooled: str = "All") -> DataFrame:
     """Gaussian kernel density on ``points`` from the 2nd to the 98th percentile (by rank) of all values.
 
     (season, x, density): each group's curve, scaled by its share of the values unless ``per_group``, and the pooled
     one. The bandwidth is 1.06 sigma n**-0.2; fewer than two values or no spread give zeros; curves have unit area on
-    the grid. Kernels are summed by an aggregation over (group, grid point), so values never gather.
+    the grid. Each task sums the kernels of its values, and passes on one number per group and grid point.
     """
     good = values.where(known(value)).select((F.col(group).cast("string") if group else F.lit(pooled)).alias("season"), F.col(value).cast("double").alias("v"))
     limits = floor_limits(good, "v").first()  # one row
@@ -163,11 +198,11 @@ def density(values: DataFrame, value: str, group: str | None = None, points: int
     rows = good.union(good.select(F.lit(pooled), "v")) if group else good
     stats = rows.groupBy("season").agg(F.count("*").alias("n"), F.stddev_samp("v").alias("sigma"))
     stats = stats.withColumn("bw", F.lit(1.06) * F.col("sigma") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    grid = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.struct(i.alias("i"), (F.lit(low) + i * ((high - low) / (points - 1))).alias("x")))
+    step = (high - low) / (points - 1)
+    grid = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.struct(i.alias("i"), (F.lit(low) + i * step).alias("x")))
     widths = stats.where("n > 1 and sigma > 0").select(F.col("season").alias("_s"), "bw")
-    kernels = rows.join(widths, F.col("season") == F.col("_s")).select("season", "v", "bw", F.explode(grid).alias("g"))
-    z = (F.col("g.x") - F.col("v")) / F.col("bw")
-    sums = kernels.groupBy("season", F.col("g.i").alias("i")).agg(F.sum(F.exp(z * z * -0.5)).alias("raw"))
+    kernels = rows.join(widths, F.col("season") == F.col("_s")).select("season", "v", "bw")
+    sums = kernels.mapInArrow(_kernel_sums(low, step, points), "season string, i int, raw double").groupBy("season", "i").agg(F.sum("raw").alias("raw"))
     every = stats.select("season", "n", "bw", F.explode(grid).alias("g")).select("season", "n", "bw", "g.i", "g.x").join(sums, ["season", "i"], "left")
     every = every.withColumn("raw", F.coalesce(F.try_divide("raw", F.col("n") * F.col("bw") * math.sqrt(2 * math.pi)), F.lit(0.0)))
     w = Window.partitionBy("season").orderBy("i")
@@ -179,32 +214,45 @@ def density(values: DataFrame, value: str, group: str | None = None, points: int
     return every.select("season", "x", (F.coalesce(F.try_divide("raw", "_area"), F.lit(0.0)) * weight).alias("density"))
 
 
-def with_rank(rows: DataFrame, value: str, name: str, by: Sequence[str] = (), tie: str | None = None) -> DataFrame:
-    """``rows`` with ranks from 1 by rising value; equal values share the mean of theirs, or go by ``tie``.
+def running_counts(counted: DataFrame, value: str, n: str, name: str, by: Sequence[str] = (), tie: str | None = None) -> DataFrame:
+    """``counted`` with the sum of ``n`` over all rows of the group that come before, by rising value (then ``tie``).
 
-    Values are dealt into ranges of about equal numbers, ranges are ordered apart from each other, and each range's
-    first rank comes from the counts of those before it, so no task orders a whole group.
+    Rows are dealt into RANGES of values by a sketch, ranges are ordered apart from each other, and each one begins
+    with the sum of those before it, so no task orders a whole group.
     """
-    inner = [i / RANGES for i in range(1, RANGES)]
-    edges = rows.agg(F.percentile_approx(F.col(value).cast("double"), F.array(*map(F.lit, inner)))).first()[0] or []  # RANGES - 1 numbers
-    steps = F.array(*[F.lit(e) for e in sorted(set(edges))]) if edges else F.array().cast("array<double>")
-    dealt = rows.withColumn("_range", F.size(F.filter(steps, lambda e: e <= F.col(value).cast("double"))))
-    sizes = dealt.groupBy(*by, "_range").agg(F.count("*").alias("_size"))
+    v = F.col(value).cast("double")
+    edges = counted.agg(F.percentile_approx(v, F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])).alias("_edges"))
+    place = F.size(F.filter(F.coalesce("_edges", F.array().cast("array<double>")), lambda e: e <= v))
+    dealt = counted.join(F.broadcast(edges), F.lit(True)).withColumn("_range", place).drop("_edges")  # one row of RANGES - 1 numbers
+    sizes = dealt.groupBy(*by, "_range").agg(F.sum(n).alias("_size"))
     first = F.sum("_size").over(Window.partitionBy(*by).orderBy("_range")) - F.col("_size")  # a row per group and range
     firsts = sizes.select(*[F.col(c).alias(f"_of_{c}") for c in by], F.col("_range").alias("_of"), first.alias("_first"))
     same = F.col("_range") == F.col("_of")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    own = Window.partitionBy(*by, "_range")
-    rank = F.row_number().over(own.orderBy(value, tie)) if tie else F.rank().over(own.orderBy(value)) + (F.count("*").over(Window.partitionBy(*by, "_range", value)) - 1) / 2
-    return dealt.join(firsts, same).withColumn(name, F.col("_first") + rank).drop("_range", "_of", "_first", *[f"_of_{c}" for c in by])
+    own = Window.partitionBy(*by, "_range").orderBy(*[value, *([tie] if tie else [])]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = F.sum(n).over(own) - F.col(n)
+    return dealt.withColumn("_within", within).join(firsts, same).withColumn(name, F.col("_first") + F.col("_within")).drop("_range", "_of", "_first", "_within", *[f"_of_{c}" for c in by])
+
+
+def ranks_of_values(rows: DataFrame, value: str, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, value, name): each distinct value's rank from 1, the mean of the ranks of its rows. A value is one row,
+    however many rows have it."""
+    counted = rows.groupBy(*by, value).agg(F.count("*").alias("_c"))
+    return running_counts(counted, value, "_c", "_before", by).select(*by, value, (F.col("_before") + (F.col("_c") + 1) / 2).alias(name))
 
 
 def correlations(rows: DataFrame, x: str, y: str, by: Sequence[str] = (), least: int = 10) -> DataFrame:
     """n, Pearson's and Spearman's coefficient over rows where both are finite; groups under ``least`` have none."""
     finite = lambda c: known(c) & (F.abs(F.col(c)) != float("inf"))
-    good = rows.where(finite(x) & finite(y)).select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    ranked = with_rank(with_rank(good, "x", "rx", by), "y", "ry", by)
+    ranked = rows.where(finite(x) & finite(y)).select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    good = ranked
+    for c in ("x", "y"):
+        ranks = ranks_of_values(good, c, f"r{c}", by).select(*[F.col(k).alias(f"_{k}") for k in by], F.col(c).alias("_v"), f"r{c}")
+        same = F.col(c) == F.col("_v")
+        for k in by:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        ranked = ranked.join(ranks, same).drop("_v", *[f"_{k}" for k in by])
     out = ranked.groupBy(*by).agg(F.count("*").alias("n"), F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman"))
     return out.withColumns({c: F.when(F.col("n") >= least, F.col(c)) for c in ("pearson", "spearman")})
 
@@ -219,11 +267,13 @@ def label_above(value: str, threshold: float = 8.0) -> Column:
 
 
 def separation(rows: DataFrame, score: str, label: str) -> DataFrame:
-    """AUC of a score for a 0/1 label, from average ranks, and the class sizes."""
-    ranked = rows.where(known(score) & F.col(label).isNotNull())
-    out = with_rank(ranked, score, "_r").agg(F.sum(F.when(F.col(label) == 1, F.col("_r"))).alias("_s"), F.count_if(F.col(label) == 1).alias("n_positive"), F.count_if(F.col(label) == 0).alias("n_negative"))
-    auc = F.try_divide(F.col("_s") - F.col("n_positive") * (F.col("n_positive") + 1) / 2, F.col("n_positive") * F.col("n_negative"))
-    return out.select("n_positive", "n_negative", auc.alias("auc"))
+    """AUC of a score for a 0/1 label, and the class sizes: of all pairs of one of either class, the share in which the
+    1 has the higher score, ties half. Told from the classes' counts per distinct score."""
+    counted = rows.where(known(score) & F.col(label).isNotNull()).groupBy(score).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_q"))
+    below = running_counts(counted, score, "_q", "_below")
+    won = F.sum(F.col("_p") * (F.col("_below") + F.col("_q") / 2))
+    out = below.agg(F.coalesce(F.sum("_p"), F.lit(0)).alias("n_positive"), F.coalesce(F.sum("_q"), F.lit(0)).alias("n_negative"), won.alias("_won"))
+    return out.select("n_positive", "n_negative", F.try_divide("_won", F.col("n_positive") * F.col("n_negative")).alias("auc"))
 
 
 def binned(rows: DataFrame, by: str, edges: Sequence[float], value: str) -> DataFrame:
@@ -243,11 +293,11 @@ def cell_modes(rows: DataFrame, x: str, y: str, flag: Column, size: float = 5000
 def top_share(rows: DataFrame, group: str, flag: Column, part: float = 0.1) -> DataFrame:
     """Per group: rate of flagged rows, and whether the group is among the ``part`` with most of them."""
     counted = rows.groupBy(group).agg(F.count("*").alias("n"), F.count_if(flag).alias("n_flagged"))
-    counted = with_rank(counted.withColumn("_fewer", -F.col("n_flagged")), "_fewer", "_place", tie=group)
-    place = F.when(F.col("_groups") > 1, (F.col("_place") - 1) / (F.col("_groups") - 1)).otherwise(0.0)
+    counted = running_counts(counted.withColumns({"_fewer": -F.col("n_flagged"), "_one": F.lit(1)}), "_fewer", "_one", "_place", tie=group)
+    place = F.when(F.col("_groups") > 1, F.col("_place") / (F.col("_groups") - 1)).otherwise(0.0)
     total = counted.agg(F.count("*").alias("_groups"))
     counted = counted.join(F.broadcast(total), F.lit(True)).withColumns({"rate": F.col("n_flagged") / F.col("n"), "in_top": place < part})  # one row
-    return counted.drop("_fewer", "_place", "_groups")
+    return counted.drop("_fewer", "_one", "_place", "_groups")
 
 
 def threshold_scores(rows: DataFrame, score: str, label: str, threshold: float) -> DataFrame:
@@ -268,8 +318,8 @@ def binned_share(rows: DataFrame, by: str, edges: Sequence[float], flag: Column)
 def density_grid(rows: DataFrame, x: str, y: str, box: tuple[float, float, float, float], points: int = 24, bandwidth: tuple[float, float] | None = None) -> DataFrame:
     """(i, j, x, y, density) of a two-dimensional Gaussian kernel density on points * points places of a box.
 
-    Values are counted in the grid's own cells first, so the kernels meet at most points**2 weighted cells. The
-    bandwidth, if not given, is n**(-1/6) standard deviations on either axis; the densities' mean over the box is 1 / area.
+    Values are counted in the grid's own cells first, and the kernel is summed along one axis, then along the other: at
+    most 2 * points**3 terms, whatever the number of values. The bandwidth, if not given, is n**(-1/6) standard deviations on either axis; the densities' mean over the box is 1 / area.
     """
     x0, y0, x1, y1 = box
     dx, dy = (x1 - x0) / points, (y1 - y0) / points
@@ -279,10 +329,11 @@ def density_grid(rows: DataFrame, x: str, y: str, box: tuple[float, float, float
     spread = inside.agg(F.count("*").alias("n"), F.stddev_pop(px).alias("sx"), F.stddev_pop(py).alias("sy"))
     scale = F.pow(F.col("n").cast("double"), F.lit(-1 / 6))
     widths = spread.select((F.lit(bandwidth[0]) if bandwidth else F.col("sx") * scale).alias("hx"), (F.lit(bandwidth[1]) if bandwidth else F.col("sy") * scale).alias("hy"))
-    grid = rows.sparkSession.range(points * points).select((F.col("id") / points).cast("int").alias("i"), (F.col("id") % points).cast("int").alias("j"))
-    met = grid.join(cells.join(F.broadcast(widths), F.lit(True)), F.lit(True))  # both bounded by points ** 2, the widths one row
+    places = F.sequence(F.lit(0), F.lit(points - 1))
     zx, zy = (F.col("i") - F.col("ci")) * dx / F.col("hx"), (F.col("j") - F.col("cj")) * dy / F.col("hy")
-    raw = met.groupBy("i", "j").agg(F.sum(F.col("w") * F.exp((zx * zx + zy * zy) * -0.5)).alias("raw"))
+    along = cells.join(F.broadcast(widths), F.lit(True)).withColumn("j", F.explode(places))  # the widths are one row
+    along = along.groupBy("ci", "j", "hx").agg(F.sum(F.col("w") * F.exp(zy * zy * -0.5)).alias("w"))
+    raw = along.withColumn("i", F.explode(places)).groupBy("i", "j").agg(F.sum(F.col("w") * F.exp(zx * zx * -0.5)).alias("raw"))
     total = raw.agg(F.sum("raw").alias("_total"))
     out = raw.join(F.broadcast(total), F.lit(True))  # one row
     return out.select("i", "j", (F.lit(x0) + (F.col("i") + 0.5) * dx).alias("x"), (F.lit(y0) + (F.col("j") + 0.5) * dy).alias("y"), F.try_divide("raw", F.col("_total") * (dx * dy)).alias("density"))

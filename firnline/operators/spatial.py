@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 #: Cells are widened by this share of their side when they are walked, so that rounding leaves none out.
 SLACK = 1e-6
 PARTS = "array<array<array<struct<x:double,y:double>>>>"
-_ROW = 1 << 32
+#: What a cell's number grows by from one column to the next; from one row to the next it is 1.
+COLUMN = 1 << 32
 
 
 def cell_of(x: Column, y: Column, side: float) -> Column:
@@ -32,7 +33,7 @@ def cell_of(x: Column, y: Column, side: float) -> Column:
 
 
 def _number(i: Column, j: Column) -> Column:
-    return i * F.lit(_ROW) + j
+    return i * F.lit(COLUMN) + j
 
 
 def _span(low: Column, high: Column, side: float) -> Column:
@@ -87,8 +88,8 @@ def shape_cells(shapes: DataFrame, side: float) -> DataFrame:
     filled = spans.withColumns({"_a": first, "_b": last}).where("_a <= _b").select("shape_id", "part", F.explode(F.transform(F.sequence("_a", "_b"), lambda i: _number(i, F.col("row")))).alias("cell"))
     inner = filled.join(border.select("shape_id", "part", "cell"), ["shape_id", "part", "cell"], "left_anti")
 
-    left = F.shiftright(F.col("cell") + (_ROW >> 1), 32)
-    placed = border.withColumn("row", F.col("cell") - left * F.lit(_ROW)).withColumn("_left", left * side)
+    left = F.shiftright(F.col("cell") + (COLUMN >> 1), 32)
+    placed = border.withColumn("row", F.col("cell") - left * F.lit(COLUMN)).withColumn("_left", left * side)
     beside = F.filter(F.coalesce("edges", F.array().cast(rows.schema["edges"].dataType)), lambda e: e["right"] >= F.col("_left"))
     placed = placed.join(rows, ["shape_id", "part", "row"], "left").select("shape_id", "cell", F.lit(False).alias("inner"), "crossing", beside.alias("beside"))
     none = [F.lit(None).cast(placed.schema[c].dataType).alias(c) for c in ("crossing", "beside")]

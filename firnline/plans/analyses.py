@@ -11,7 +11,7 @@ from firnline.functions import arrays, geo, physics
 from firnline.functions.values import instrument_of
 from firnline.operators import crossovers as cross
 from firnline.operators import distributions as dist
-from firnline.operators import matching, quality
+from firnline.operators import matching, quality, spatial
 
 
 def projected(rows: DataFrame, to: geo.Polar, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
@@ -72,14 +72,15 @@ def extent(rows: DataFrame, x: str = "longitude", y: str = "latitude", padding:
 def grounding_distance(points: DataFrame, boundary: DataFrame, inside: str, reach: float, point_id: str = "point_id") -> DataFrame:
     """Each point's signed distance to the nearest boundary segment (x0, y0, x1, y1) within ``reach``, else NULL.
 
-    Segments meet points through cells as wide as ``reach``, so long boundaries need no broadcast.
+    Segments meet points through cells as wide as ``reach``: those that a segment runs through, walked along it, and
+    their neighbours. So long boundaries need no broadcast.
     """
-    cell = lambda v: F.floor(v / reach)
-    spread = lambda a, b: F.sequence(cell(F.least(a, b)) - 1, cell(F.greatest(a, b)) + 1)
-    segments = boundary.withColumn("_cx", F.explode(spread(F.col("x0"), F.col("x1")))).withColumn("_cy", F.explode(spread(F.col("y0"), F.col("y1"))))
-    placed = points.withColumns({"_px": cell(F.col("x")), "_py": cell(F.col("y"))})
+    along = spatial.cells_along(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), reach)
+    around = F.flatten(F.transform(along, lambda c: F.array(*[c + i * spatial.COLUMN + j for i in (-1, 0, 1) for j in (-1, 0, 1)])))
+    segments = boundary.withColumn("_of", F.explode(F.array_distinct(around)))
+    placed = points.withColumn("_cell", spatial.cell_of(F.col("x"), F.col("y"), reach))
     d = geo.segment_distance(F.col("x"), F.col("y"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-    near = placed.join(segments, (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy"))).groupBy(F.col(point_id).alias("_id")).agg(F.min(d).alias("_d"))
+    near = placed.join(segments, F.col("_cell") == F.col("_of")).groupBy(F.col(point_id).alias("_id")).agg(F.min(d).alias("_d"))
     out = points.join(near, F.col(point_id) == F.col("_id"), "left")
     metres = F.when(F.col("_d") <= reach, F.col("_d"))
     return out.withColumn("signed_distance_m", physics.signed_distance(F.col(inside), metres)).drop("_id", "_d")
@@ -92,9 +93,11 @@ def beyond_grounding(rows: DataFrame, metres: float, distance_km: str = "gl_dist
 
 def display_clip(traces: DataFrame, by: Sequence[str], surface: str = "surface", bed: str = "bed", pad: float = 3.0) -> DataFrame:
     """Traces whose ``data`` and ``twtt`` end ``pad`` before the frame's first surface and after its last bed."""
-    w = Window.partitionBy(*by)
-    low, high = F.min(surface).over(w) - pad, F.coalesce(F.max(bed).over(w), F.max(surface).over(w)) + pad
-    placed = traces.withColumns({"_low": low, "_high": high})
+    ends = traces.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg((F.min(surface) - pad).alias("_low"), (F.coalesce(F.max(bed), F.max(surface)) + pad).alias("_high"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    placed = traces.join(ends, same)  # picks are gathered per frame, samples are not
     cut = lambda c: arrays.samples_between(F.col(c), F.col("twtt"), F.col("_low"), F.col("_high"))
     return placed.select(*[c for c in traces.columns if c not in ("data", "twtt")], cut("data").alias("data"), cut("twtt").alias("twtt"))
 
@@ -108,7 +111,8 @@ def tail_sensitivity(traces: DataFrame, by: Sequence[str], grid: Sequence[float]
     last = F.element_at("twtt", -1)
     samples = traces.select(*by, F.posexplode("data").alias("i", "p"), "twtt", last.alias("last")).where("p > 0")
     samples = samples.withColumn("before_end", F.round(F.col("last") - F.element_at("twtt", F.col("i") + 1), 9))
-    levels = samples.groupBy(*by, "before_end").agg((F.lit(10.0) * F.log10(F.expr("percentile(p, 0.5D)"))).alias("level"))
+    medians = dist.interpolated_ranks(samples, "p", {"median": 0.5}, [*by, "before_end"])
+    levels = medians.select(*by, "before_end", (F.lit(10.0) * F.log10("median")).alias("level"))
     profile = levels.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("before_end", "level"))).alias("_profile"))
     places = F.array(*[F.lit(float(g)) for g in grid])
     profile = profile.withColumn("_levels", arrays.interpolated(F.col("_profile.before_end"), F.col("_profile.level"), places))
@@ -127,7 +131,8 @@ def rolloff_profile(traces: DataFrame, by: Sequence[str], step: float, plateau:
     samples = traces.select(*by, F.posexplode("data").alias("i", "p"), "twtt", last.alias("last"))
     samples = samples.withColumn("before_end", F.col("last") - F.element_at("twtt", F.col("i") + 1)).where("p > 0")
     placed = samples.withColumn("bin", F.round(F.col("before_end") / step).cast("int"))
-    profile = placed.groupBy(*by, "bin").agg((F.lit(10.0) * F.log10(F.expr("percentile(p, 0.5D)"))).alias("level_dB"))
+    medians = dist.interpolated_ranks(placed, "p", {"median": 0.5}, [*by, "bin"])
+    profile = medians.select(*by, "bin", (F.lit(10.0) * F.log10("median")).alias("level_dB"))
     low, high = (int(round(p / step)) for p in plateau)
     base = profile.where(F.col("bin").between(low, high)).groupBy(*by).agg(F.expr("percentile(level_dB, 0.5D)").alias("base_dB"))
     relative = profile.join(base, list(by)).withColumn("relative_dB", F.col("level_dB") - F.col("base_dB"))
