@@ -7,6 +7,7 @@ beyond are discarded anyway, which makes the result exact.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,12 +50,86 @@ def closest_per_group(pairs: DataFrame, by: Sequence[str], tie: Sequence[str]) -
     return _first(pairs, by, ["distance_m", *tie])
 
 
+def _spread(points: DataFrame, xy: tuple[str, str], side: float, by: Sequence[str]) -> DataFrame:
+    """Points that have coordinates, with the level-0 cell (_i, _j) and the groups as _g0, _g1, ..."""
+    x, y = (F.col(c).cast("double") for c in xy)
+    groups = {f"_g{n}": F.col(c) for n, c in enumerate(by)}
+    return points.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)).withColumns(groups | {"_i": F.floor(x / side), "_j": F.floor(y / side)})
+
+
+def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id: str, left_xy: tuple[str, str], right_xy: tuple[str, str], by: tuple[Sequence[str], Sequence[str]] = ((), ())) -> DataFrame:
+    """Each left point with its ``k`` nearest right points (all, if fewer), however far: both sides' columns,
+    distance_m and rank from 1. Equal distances go to the smaller id. Only points whose columns ``by`` agree (the left
+    names, the right names) meet. Column names of the two sides must differ; points without coordinates take no part.
+
+    Right points are counted in square cells, and cells in ever larger ones. Around each left cell, the smallest level is
+    taken at which nine cells hold ``k`` points: the k nearest lie within three cells of that level. From there the
+    search goes down two levels at a time: among the cells left, those that surely hold ``k`` points bound the
+    distance, and cells that lie beyond it go. So a cell keeps few cells, whether its surroundings are empty or dense,
+    and only points of cells that are left meet.
+    """
+    groups = [f"_g{n}" for n in range(len(by[0]))]
+    ends = lambda df, xy: df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(xy) for n, f in (("low", F.min), ("high", F.max))], F.count("*").alias("n"))
+    a, b = ends(left, left_xy).first(), ends(right, right_xy).first()  # one row each
+    wide = lambda *rows: max((max(r[f"high{i}"] for r in rows) - min(r[f"low{i}"] for r in rows)) for i in (0, 1))
+    if a["low0"] is None or b["low0"] is None:
+        a = b = {f"{n}{i}": 0.0 for n in ("low", "high") for i in (0, 1)} | {"n": 0}
+    across = [b[f"high{i}"] - b[f"low{i}"] for i in (0, 1)]
+    side = max(math.sqrt(across[0] * across[1] * k / max(1, b["n"])), max(across) * k / max(1, b["n"]) / 64) / 2 or 1.0
+    top = max(0, math.ceil(math.log2(max(wide(a, b) / side, 1.0)))) + 1
+
+    places, targets = _spread(left, left_xy, side, by[0]), _spread(right, right_xy, side, by[1])
+    # of points at one place, only the k with the smallest ids can be among the nearest
+    same = Window.partitionBy(*groups, *right_xy).orderBy(right_id)
+    targets = targets.withColumn("_same", F.row_number().over(same)).where(F.col("_same") <= k).drop("_same")
+    levels = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_l")
+    counts = targets.groupBy(*groups, "_i", "_j").agg(F.count("*").alias("_n")).select(*groups, "_i", "_j", "_n", levels)
+    counts = counts.groupBy(*groups, "_l", F.expr("shiftright(_i, _l)").alias("_u"), F.expr("shiftright(_j, _l)").alias("_v")).agg(F.sum("_n").alias("_n"))
+
+    def around(reach: int) -> Column:
+        steps = [F.struct(F.lit(i).alias("di"), F.lit(j).alias("dj")) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1)]
+        return F.explode(F.array(*steps)).alias("_d")
+
+    own = ["_ci", "_cj"]
+    cells = places.select(*groups, F.col("_i").alias("_ci"), F.col("_j").alias("_cj")).distinct()
+    blocks = cells.select(*groups, *own, levels).select(*groups, *own, "_l", around(1))
+    blocks = blocks.select(*groups, *own, "_l", F.expr("shiftright(_ci, _l) + _d.di").alias("_u"), F.expr("shiftright(_cj, _l) + _d.dj").alias("_v"))
+    held = blocks.join(counts, [*groups, "_l", "_u", "_v"]).groupBy(*groups, *own, "_l").agg(F.sum("_n").alias("_n"))
+    first = held.groupBy(*groups, *own).agg(F.coalesce(F.min(F.when(F.col("_n") >= k, F.col("_l"))), F.lit(top)).alias("_l"))
+    found = first.select(*groups, *own, "_l", around(3)).select(*groups, *own, "_l", F.expr("shiftright(_ci, _l) + _d.di").alias("_u"), F.expr("shiftright(_cj, _l) + _d.dj").alias("_v"))
+
+    down = F.least("_l", F.lit(2))
+    inner = F.expr("transform(sequence(0, cast(pow(4, _s) as int) - 1), c -> struct(_u * cast(pow(2, _s) as bigint) + c % cast(pow(2, _s) as int) as u, _v * cast(pow(2, _s) as bigint) + c div cast(pow(2, _s) as int) as v))")
+    size = F.pow(F.lit(2.0), F.col("_l"))
+    least, most = [], []
+    for mine, theirs in (("_ci", "_u"), ("_cj", "_v")):
+        low, high = F.col(theirs) * size, (F.col(theirs) + 1) * size
+        least.append(F.greatest(F.lit(0.0), low - F.col(mine) - 1, F.col(mine) - high))
+        most.append(F.greatest(high - F.col(mine), F.col(mine) + 1 - low))
+    nearest, farthest = (F.sqrt(p[0] * p[0] + p[1] * p[1]) for p in (least, most))
+    running = Window.partitionBy(*groups, *own).orderBy("_most").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for _ in range(-(-top // 2)):
+        found = found.withColumn("_s", down).select(*groups, *own, (F.col("_l") - F.col("_s")).cast("int").alias("_l"), F.explode(inner).alias("_c"))
+        found = found.select(*groups, *own, "_l", F.col("_c.u").alias("_u"), F.col("_c.v").alias("_v")).join(counts, [*groups, "_l", "_u", "_v"])
+        found = found.withColumns({"_least": nearest, "_most": farthest})
+        found = found.withColumn("_until", F.sum("_n").over(running))
+        bound = F.min(F.when(F.col("_until") >= k, F.col("_most"))).over(Window.partitionBy(*groups, *own))
+        found = found.withColumn("_bound", bound).where(F.col("_bound").isNull() | (F.col("_least") <= F.col("_bound") * (1 + 1e-9))).select(*groups, *own, "_l", "_u", "_v")
+
+    named = lambda df, names: df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
+    meeting = found.select(*[F.col(g).alias(f"{g}m") for g in groups], *own, "_u", "_v")
+    met = named(places, {"_i": "_ci", "_j": "_cj"}).join(named(meeting, {f"{g}m": g for g in groups}), [*groups, *own]).drop(*own)
+    met = met.join(named(targets, {"_i": "_u", "_j": "_v"}), [*groups, "_u", "_v"]).drop(*groups, "_u", "_v")
+    met = met.withColumn("distance_m", distance(*[F.col(c).cast("double") for c in (*left_xy, *right_xy)]))
+    order = Window.partitionBy(left_id).orderBy("distance_m", right_id)
+    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def nearest_in_group(points: DataFrame, traces: DataFrame, group: str, point_id: str, trace_id: str, point_xy: tuple[str, str], trace_xy: tuple[str, str]) -> DataFrame:
     """Each point's nearest trace of its own frame, however far."""
-    trace_columns = [c for c in traces.columns if c != group]
-    best = F.min_by(F.struct(*trace_columns, "distance_m"), F.struct("distance_m", trace_id)).alias("_best")
-    d = distance(F.col(point_xy[0]), F.col(point_xy[1]), F.col(trace_xy[0]), F.col(trace_xy[1]))
-    return points.join(traces, group).withColumn("distance_m", d).groupBy(*points.columns).agg(best).select(*points.columns, "_best.*")
+    other = traces.withColumnRenamed(group, "_group")
+    near = nearest_k(points, other, 1, point_id, trace_id, point_xy, trace_xy, ([group], ["_group"]))
+    return near.select(*points.columns, *[c for c in traces.columns if c != group], "distance_m")
 
 
 def nearest_to(points: DataFrame, x: float, y: float, xy: tuple[str, str], tie: str, reach: float | None = None) -> DataFrame:

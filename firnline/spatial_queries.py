@@ -7,8 +7,8 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from firnline.operators import spatial
-from firnline.queries import _SPACING, _SQUARE, _table, _tracks, query
+from firnline.operators import matching, spatial
+from firnline.queries import PLANE, _SPACING, _SQUARE, _other, _plane, _r, _table, _tracks, query
 
 SIDE = 2_500.0
 
@@ -48,3 +48,11 @@ SELECT f AS frame_id, n::BIGINT AS shape_id, count(*)::BIGINT AS n_steps FROM (S
 def lines_in_regions(spark, sf_dir):
     """Frames as lines: the polygons that each one meets."""
     return spatial.lines_meeting(_tracks(spark, sf_dir), _shapes(spark, sf_dir), SIDE).select("frame_id", "shape_id", "n_steps")
+
+
+@query(f"""WITH {PLANE}, o AS (SELECT p_partkey, (p_partkey * 6151 % 20011)::DOUBLE AS px, (p_partkey * 50053 % 20021)::DOUBLE AS py FROM part), d AS (SELECT o_orderkey, p_partkey, sqrt((x - px) * (x - px) + (y - py) * (y - py)) AS d FROM g, o)
+SELECT o_orderkey, p_partkey, round(d, 6) AS distance_m, rank FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY d, p_partkey)::INT AS rank FROM d) WHERE rank <= 3""")
+def nearest_three(spark, sf_dir):
+    """Each point's three nearest partners, however far."""
+    out = matching.nearest_k(_plane(spark, sf_dir).select("o_orderkey", "x", "y"), _other(spark, sf_dir), 3, "o_orderkey", "p_partkey", ("x", "y"), ("px", "py"))
+    return out.select("o_orderkey", "p_partkey", _r("distance_m").alias("distance_m"), "rank")
