@@ -29,7 +29,7 @@ BUCKETS = 1 << 18
 STEPS = 6
 #: The similarity as a fraction, so that bounds are exact integers.
 NUMERATOR, DENOMINATOR = 4, 5
-MIN_WORDS = 5
+MIN_WORDS = 1
 #: How many holders of a token before it a class meets at first, beside the earliest.
 LAGS = 2
 

@@ -135,7 +135,7 @@ SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_
 s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(generate_series(1, len(a.e)), lambda i: a.e[i] * b.e[i]))::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0)
 SELECT query_id, rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s) WHERE rank <= 5""",
     "op10_line_dedup": f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), l AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line, unnest(ls) AS t FROM d),
-k AS (SELECT doc_id, line, list_sort(list_distinct(regexp_extract_all(t, '{_WORD}'))) AS w FROM l), c AS (SELECT w, len(w) AS n, min({{'d': doc_id, 'l': line}}) AS first, row_number() OVER () AS id FROM k WHERE len(w) >= 5 GROUP BY w),
+k AS (SELECT doc_id, line, list_sort(list_distinct(regexp_extract_all(t, '{_WORD}'))) AS w FROM l), c AS (SELECT w, len(w) AS n, min({{'d': doc_id, 'l': line}}) AS first, row_number() OVER () AS id FROM k WHERE len(w) >= 1 GROUP BY w),
 t AS (SELECT id, n, unnest(w) AS x FROM c), f AS (SELECT x, count(*) AS f FROM t GROUP BY x), p AS (SELECT * FROM (SELECT id, n, t.x, row_number() OVER (PARTITION BY id ORDER BY f, t.x) AS i FROM t JOIN f USING (x)) WHERE i <= n - (n * 4 + 4) // 5 + 1),
 q AS (SELECT DISTINCT a.id AS a, b.id AS b FROM p a JOIN p b ON a.x = b.x AND a.id <> b.id WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)), o AS (SELECT a.id, len(list_intersect(a.w, b.w)) AS s, a.n + b.n AS m FROM q JOIN c a ON a.id = q.a JOIN c b ON b.id = q.b WHERE b.first < a.first),
 m AS (SELECT DISTINCT id FROM o WHERE 5 * s >= 4 * (m - s)), r AS (SELECT k.doc_id, list(line) AS gone FROM k JOIN c USING (w) WHERE c.id IN (SELECT id FROM m) OR {{'d': k.doc_id, 'l': k.line}} > c.first GROUP BY k.doc_id)
