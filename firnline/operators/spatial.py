@@ -17,6 +17,8 @@ with ``n / k`` edges each, and ``k ** 2`` inner cells at most.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,3 +158,68 @@ def lines_meeting_shapes(steps: DataFrame, cells: DataFrame, side: float, line:
 def lines_meeting(traces: DataFrame, shapes: DataFrame, side: float, line: str = "frame_id", order: str = "slow_time", xy: tuple[str, str] = ("x", "y")) -> DataFrame:
     """(line, shape_id, n_steps) from traces and shapes."""
     return lines_meeting_shapes(steps_of(traces, line, order, xy), shape_cells(shapes, side), side, line)
+
+
+# Shapes made simpler and wider
+
+
+def shape_area(parts: Column) -> Column:
+    """Area of all parts, each as its largest ring less the others (holes)."""
+    cross = lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]
+
+    def ring_area(ring: Column) -> Column:
+        turned = F.concat(F.slice(ring, F.lit(2), F.greatest(F.lit(0), F.size(ring) - 1)), F.slice(ring, 1, 1))
+        return F.abs(F.aggregate(F.zip_with(ring, turned, cross), F.lit(0.0), lambda a, b: a + b)) / 2
+
+    def part_area(part: Column) -> Column:
+        areas = F.transform(F.filter(part, lambda r: F.size(r) > 0), ring_area)
+        return F.coalesce(2 * F.array_max(areas) - F.aggregate(areas, F.lit(0.0), lambda a, b: a + b), F.lit(0.0))
+
+    return F.aggregate(F.transform(parts, part_area), F.lit(0.0), lambda a, b: a + b)
+
+
+def simplified(shapes: DataFrame, tolerance: Column | float) -> DataFrame:
+    """(shape_id, parts) with fewer corners (Douglas and Peucker): every corner that is left out lies within
+    ``tolerance`` of the line that replaces it. Rings keep three corners at least; a tolerance of 0 or null keeps all.
+
+    A shape is one row; its rings are worked on in Arrow batches, a ring at a time.
+    """
+    from firnline.functions.rings import simplify_batches
+
+    given = tolerance if isinstance(tolerance, Column) else F.lit(float(tolerance))
+    kind = shapes.schema["shape_id"].dataType.simpleString()
+    slim = shapes.select("shape_id", F.col("parts").cast(PARTS).alias("parts"), F.coalesce(given.cast("double"), F.lit(0.0)).alias("_tolerance"))
+    return slim.mapInArrow(simplify_batches, f"shape_id {kind}, parts {PARTS}")
+
+
+def buffered(shapes: DataFrame, reach: Column | float, arc: int = 8) -> DataFrame:
+    """(shape_id, parts) widened by ``reach``: each edge adds a part, the points around it. Round ends are drawn with
+    ``arc`` chords a half-turn, outside of the circle, so a shape reaches ``reach`` everywhere and at most
+    reach / cos(pi / (2 arc)). A reach of 0 or null changes nothing."""
+    given = F.coalesce((reach if isinstance(reach, Column) else F.lit(float(reach))).cast("double"), F.lit(0.0))
+    wide = given / math.cos(math.pi / (2 * arc))
+
+    def around(p: Column, q: Column) -> Column:
+        turn = F.atan2(q["y"] - p["y"], q["x"] - p["x"])
+        corner = lambda c, k: F.struct((c["x"] + wide * F.cos(turn + k * (math.pi / arc) - math.pi / 2)).alias("x"), (c["y"] + wide * F.sin(turn + k * (math.pi / arc) - math.pi / 2)).alias("y"))
+        ends = [(q, k) for k in range(arc + 1)] + [(p, k + arc) for k in range(arc + 1)]
+        return F.array(F.array(*[corner(c, F.lit(float(k))) for c, k in ends]))
+
+    def of_ring(ring: Column) -> Column:
+        turned = F.concat(F.slice(ring, F.lit(2), F.greatest(F.lit(0), F.size(ring) - 1)), F.slice(ring, 1, 1))
+        return F.zip_with(ring, turned, around)
+
+    rings = F.filter(F.flatten(F.col("parts")), lambda r: F.size(r) > 0)
+    more = F.flatten(F.transform(rings, of_ring)).cast(PARTS)
+    return shapes.select("shape_id", F.when(given > 0, F.concat(F.col("parts").cast(PARTS), more)).otherwise(F.col("parts").cast(PARTS)).alias("parts"))
+
+
+def covering(shapes: DataFrame) -> DataFrame:
+    """Shapes with fewer corners that hold the whole of the given ones: simplified, then widened by the same tolerance,
+    which follows from the shape's area (in square metres)."""
+    from firnline.functions.physics import simplify_tolerance
+
+    tolerance = simplify_tolerance(shape_area(F.col("parts")) / 1e6)
+    kept = shapes.select("shape_id", "parts", tolerance.alias("_t"))
+    slim = simplified(kept, F.col("_t")).join(kept.select(F.col("shape_id").alias("_s"), "_t"), F.col("shape_id") == F.col("_s"))
+    return buffered(slim, F.col("_t"))

@@ -88,3 +88,59 @@ def test_frames_are_chosen_by_their_line_not_their_box(spark):
     tracks = spark.createDataFrame([("A", 0, 0.0, 0.0), ("A", 1, 100.0, 100.0), ("B", 0, 0.0, 100.0), ("B", 1, 0.0, 0.0), ("B", 2, 100.0, 0.0), ("other", 0, 50.0, 50.0)], "frame_id string, slow_time long, x double, y double")
     shapes = table(spark, {1: [[[(40.0, 40.0), (60.0, 40.0), (60.0, 60.0), (40.0, 60.0)]]]})
     assert [r.frame_id for r in run.select_frames(frames, {}, tracks=tracks, shapes=shapes, side=10.0).collect()] == ["A"]
+
+
+def gap(p, a, b):
+    line = (b[0] - a[0], b[1] - a[1])
+    length = line[0] ** 2 + line[1] ** 2
+    t = max(0.0, min(1.0, ((p[0] - a[0]) * line[0] + (p[1] - a[1]) * line[1]) / length)) if length else 0.0
+    return math.hypot(p[0] - a[0] - t * line[0], p[1] - a[1] - t * line[1])
+
+
+def to_boundary(parts, p):
+    return min(gap(p, a, b) for part in parts for ring in part for a, b in zip(ring, [*ring[1:], ring[0]]))
+
+
+def read_shapes(frame):
+    return {r.shape_id: [[[(c.x, c.y) for c in ring] for ring in part] for part in r.parts] for r in frame.collect()}
+
+
+def test_simplified_shapes_stay_within_the_tolerance(spark):
+    rng = random.Random(6)
+    shapes = {1: [[star(rng, 0, 0, 200, 40, 50)], [star(rng, 300, 0, 80, 10, 90)]], 2: [[[(0.0, 0.0), (50.0, 0.0), (50.0, 0.01), (0.0, 0.01)]]], 3: [[[(0.0, 0.0), (9.0, 0.0), (0.0, 9.0)]]]}
+    out = read_shapes(spatial.simplified(table(spark, shapes), 4.0))
+    assert set(out) == {1, 2, 3, 98, 99} and out[3] == shapes[3] and len(out[2][0][0]) == 3 and out[98] == []
+    for part, slim in zip(shapes[1], out[1]):
+        ring, few = part[0], slim[0]
+        assert len(few) < len(ring) and [c for c in ring if c in set(few)] == few
+        assert max(to_boundary([[few]], p) for p in ring) <= 4.0 + 1e-9
+    assert read_shapes(spatial.simplified(table(spark, shapes), F.when(F.col("shape_id") == 1, 0.0)))[1] == shapes[1]
+
+
+def test_widened_shapes_hold_all_that_is_near(spark):
+    rng = random.Random(8)
+    shapes = {1: [[star(rng, 0, 0, 12, 10, 40)]], 2: [[[(60.0, 0.0), (90.0, 0.0), (90.0, 30.0), (60.0, 30.0)], [(65.0, 5.0), (85.0, 5.0), (85.0, 25.0), (65.0, 25.0)]]]}
+    points = [(n, rng.uniform(-60, 110), rng.uniform(-60, 60)) for n in range(600)]
+    frame = spark.createDataFrame(points, "p long, x double, y double")
+    wide = spatial.buffered(table(spark, shapes), 5.0)
+    held = {(r.p, r.shape_id) for r in spatial.points_in_shapes(frame, spatial.shape_cells(wide, 10.0), 10.0).collect()}
+    for p, x, y in points:
+        for k, parts in shapes.items():
+            inside, away = any(odd(part, x, y) for part in parts), to_boundary(parts, (x, y))
+            if inside or away <= 5.0:
+                assert (p, k) in held
+            elif away > 5.0 / math.cos(math.pi / 16):
+                assert (p, k) not in held
+
+
+def test_covering_shapes_hold_the_given_ones(spark):
+    rng = random.Random(9)
+    shapes = {1: [[star(rng, 0, 0, 300, 60_000, 61_000)]], 2: [[star(rng, 0, 0, 20, 100, 200)]]}
+    assert abs(table(spark, {5: [[[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)], [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0)]]]}).where("shape_id = 5").select(spatial.shape_area(F.col("parts"))).first()[0] - 15.0) < 1e-9
+    out = spatial.covering(table(spark, shapes).where("shape_id < 90"))
+    assert {r.shape_id: r.n for r in out.select("shape_id", F.size("parts").alias("n")).collect()}[2] == 1  # small shapes stay as they are
+    points = [(n, r * math.cos(a), r * math.sin(a)) for n in range(400) for a in [rng.uniform(0, 7)] for r in [rng.uniform(59_000, 62_000)]]
+    frame = spark.createDataFrame(points, "p long, x double, y double")
+    held = {r.p for r in spatial.points_in_shapes(frame, spatial.shape_cells(out.where("shape_id = 1"), 5_000.0), 5_000.0).collect()}
+    own = {p for p, x, y in points if odd(shapes[1][0], x, y)}
+    assert own <= held and len(held) < len(points)
