@@ -35,8 +35,8 @@ def main(argv: list[str] | None = None) -> None:
     add("margin-sweep", (("--raw",), {"required": True}), (("--margins",), {"default": "10,50,100,250"}), (("--out",), {"required": True}))
     add("scatter", (("--out",), {"required": True}), (("--x",), {"default": "ice_thickness"}), (("--y",), {"default": "required_surface_snr_dB"}), (("--points",), {"type": int, "default": 32}))
     add("noise", (("--out",), {"required": True}))
-    add("compare", (("--survey",), {"required": True}), (("--out",), {"required": True}), (("--threshold",), {"type": float, "default": 50.0}), (("--large",), {"type": float, "default": 8.0}), (("--north",), {"action": "store_true"}))
-    add("sounder", (("--picks",), {"required": True}), (("--radargrams",), {"required": True}), (("--out",), {"required": True}), (("--reach",), {"type": float, "default": 500.0}))
+    add("compare", (("--survey",), {"required": True}), (("--out",), {"required": True}), (("--threshold",), {"type": float, "default": 50.0}), (("--one-to-one",), {"action": "store_true"}), (("--north",), {"action": "store_true"}))
+    add("sounder", (("--picks",), {"required": True}), (("--radargrams",), {"required": True}), (("--out",), {"required": True}), (("--reach",), {"type": float, "default": 500.0}), (("--threshold",), {"type": float, "default": 1000.0}), (("--north",), {"action": "store_true"}))
     args = parser.parse_args(argv)
 
     from firnline import config as configuration
@@ -69,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
             found, summary = analyses.crossover_report(traces, args.threshold, names, to)
         else:
             found, summary = analyses.season_crossover_report(traces, store.frame_dim(), args.threshold, names, args.collection, to)
-        files.write_csv(found, f"{args.out}/crossovers")
+        files.write_csv(found, f"{args.out}/crossovers", parts=True)
         files.write_csv(summary, f"{args.out}/summary")
         summary.show(100, False)
     elif args.command == "compact":
@@ -79,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "number-frames":
         print(snapshots.number_frames(store, args.force))
     elif args.command == "frame":
-        files.write_csv(frames.rows_of_frame(store.read(), args.frame_id), args.out)
+        files.write_csv(frames.rows_of_frame(store.read(), args.frame_id), args.out, parts=True)
     elif args.command == "margin-sweep":
         raw = spark.read.parquet(args.raw).join(store.read().select("frame_id", "slow_time", F.col("bed_twtt").alias("pick")), ["frame_id", "slow_time"])
         swept = analyses.margin_sweep(raw.select("frame_id", "slow_time", "data", "twtt", "pick"), [float(m) for m in args.margins.split(",")])
@@ -97,13 +97,22 @@ def main(argv: list[str] | None = None) -> None:
         files.write_csv(distributions.missing_rates(store.read(), names, ["collection"]), args.out)
     elif args.command == "compare":
         own = analyses.projected(quality.passing(store.read()), geo.ARCTIC if args.north else geo.ANTARCTIC).withColumn("_own", F.monotonically_increasing_id())
-        pairs = analyses.dataset_comparison(own, files.read_survey(spark, args.survey), args.threshold, "_own", "row", "required_surface_snr_dB", "rssnr", one_to_one=False)
-        files.write_csv(distributions.spread_statistics(pairs, "diff"), f"{args.out}/summary")
-        files.write_csv(distributions.binned_share(pairs, "required_surface_snr_dB", [0.0, 10.0, 20.0, 30.0], F.abs("diff") > args.large), f"{args.out}/large")
+        survey = files.read_survey(spark, args.survey)
+        pairs = analyses.dataset_comparison(own, survey, args.threshold, "_own", "row", "required_surface_snr_dB", "rssnr", args.one_to_one)
+        files.write_csv(pairs.select("frame_id", "x", "y", "distance_m", F.col("_value").alias("rssnr_survey"), "required_surface_snr_dB", "diff"), f"{args.out}/pairs", parts=True)
+        for name, rows in analyses.comparison_tables(own, survey, pairs, "_own", "row", "required_surface_snr_dB").items():
+            files.write_csv(rows, f"{args.out}/{name}")
     elif args.command == "sounder":
-        done = analyses.sounder_status(spark.read.parquet(args.picks), spark.read.parquet(args.radargrams), args.reach)
-        done.write.mode("overwrite").parquet(args.out)
+        picks, radargrams = spark.read.parquet(args.picks), spark.read.parquet(args.radargrams)
+        done = analyses.sounder_status(picks, radargrams, args.reach)
+        done.write.mode("overwrite").parquet(f"{args.out}/status")
         done.groupBy("status").count().orderBy("status").show()
+        values = analyses.sounder_rssnr(picks, radargrams, args.reach).join(picks.select("flight", "point_id", "x", "y"), ["flight", "point_id"])
+        own = quality.passing(store.read()).withColumn("thickness", F.col("surface_elevation") - F.col("bed_elevation"))
+        pairs, summary = analyses.sounder_comparison(values, analyses.projected(own, geo.ARCTIC if args.north else geo.ANTARCTIC), args.threshold)
+        files.write_csv(values, f"{args.out}/values", parts=True)
+        files.write_csv(pairs, f"{args.out}/pairs", parts=True)
+        files.write_csv(summary, f"{args.out}/summary")
     elif args.command == "limits":
         store.read().agg(*distributions.percentile_limits(variable(args.variable))).show()
 

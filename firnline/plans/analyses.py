@@ -14,6 +14,10 @@ from firnline.operators import distributions as dist
 from firnline.operators import matching, quality, spatial
 
 
+#: Differences over this count as large.
+LARGE_DB = 8.0
+
+
 def projected(rows: DataFrame, to: geo.Polar, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
     x, y = geo.project(F.col(latitude), F.col(longitude), to)
     return rows.withColumns({"x": x, "y": y})
@@ -39,6 +43,30 @@ def dataset_comparison(own: DataFrame, other: DataFrame, threshold: float, own_i
     return pairs.withColumn("diff", F.col(own_value) - F.col("_value"))
 
 
+def comparison_tables(own: DataFrame, other: DataFrame, pairs: DataFrame, own_id: str, other_id: str, own_value: str, frame: str = "frame_id") -> dict[str, DataFrame]:
+    """Reports on matched pairs: ``summary`` of the differences, ``frames`` with one of each frame, ``large`` shares of
+    large differences by value, and ``coverage``: how many rows of either side found a partner."""
+    sides = (("own", own, own_id, own_id), ("other", other, other_id, "_other"))
+    counts = [rows.agg(F.lit(name).alias("side"), F.count("*").alias("n")).join(F.broadcast(pairs.agg(F.count_distinct(key).alias("n_matched"))), F.lit(True)) for name, rows, _, key in sides]  # one row each
+    coverage = counts[0].union(counts[1]).withColumn("share", F.try_divide("n_matched", "n"))
+    return {"summary": dist.spread_statistics(pairs, "diff"), "frames": dist.spread_statistics(pairs, "diff", [frame]), "large": dist.binned_share(pairs, own_value, [0.0, 10.0, 20.0, 30.0], F.abs("diff") > LARGE_DB), "coverage": coverage}
+
+
+def sounder_comparison(sounder: DataFrame, own: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Sounder values (flight, point_id, instrument, x, y, ice_thickness, rssnr) against the store's traces (frame_id,
+    collection, x, y, thickness, required_surface_snr_dB): (pairs, summary). Each point has the nearest trace within
+    ``threshold``, each trace its closest point only; the summary gives both differences per instrument and over all."""
+    left = own.select(F.monotonically_increasing_id().alias("_own"), F.col("frame_id").alias("own_frame"), F.col("collection").alias("own_collection"), F.col("x").alias("own_x"), F.col("y").alias("own_y"), F.col("thickness").alias("thickness_own"), F.col("required_surface_snr_dB").alias("rssnr_own"))
+    right = sounder.withColumn("_point", F.concat_ws(":", "flight", F.col("point_id").cast("string")))
+    pairs = matching.one_to_one(right, left, threshold, "_point", "_own", ("x", "y"), ("own_x", "own_y"))
+    pairs = pairs.select("flight", "point_id", "instrument", "own_frame", "own_collection", "distance_m", "x", "y", F.col("ice_thickness").alias("thickness_sounder"), "thickness_own", F.col("rssnr").alias("rssnr_sounder"), "rssnr_own").withColumns({"thickness_diff": F.col("thickness_own") - F.col("thickness_sounder"), "rssnr_diff": F.col("rssnr_own") - F.col("rssnr_sounder")})
+    summary = None
+    for v in ("rssnr", "thickness"):
+        one = dist.summary_with_total(pairs, "instrument", f"{v}_diff").select(F.lit(v).alias("variable"), "*")
+        summary = one if summary is None else summary.unionByName(one)
+    return pairs, summary
+
+
 def margin_sweep(traces: DataFrame, margins_m: Sequence[float], permittivity: float = physics.ICE_PERMITTIVITY) -> DataFrame:
     """Peak around ``pick`` for each trace and margin; traces have ``data`` and ``twtt``. The margins are an array column,
     so samples are read once."""

@@ -26,9 +26,9 @@ def read_survey(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("rssnr", -F.col("snr")).drop("snr")
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
-    """One file with a header, for reports."""
-    rows.coalesce(1).write.mode("overwrite").csv(path, header=True)
+def write_csv(rows: DataFrame, path: str, parts: bool = False) -> None:
+    """One file with a header, for reports; or one per task, for tables that grow with the traces."""
+    (rows if parts else rows.coalesce(1)).write.mode("overwrite").csv(path, header=True)
 
 
 def read_netcdf(spark: SparkSession, paths: str) -> DataFrame:

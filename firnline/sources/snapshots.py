@@ -323,10 +323,13 @@ def number_frames(store: SnapshotStore, force: bool = False) -> str | None:
 
 
 def backfill(store: SnapshotStore, frames: DataFrame, dry_run: bool = False) -> str | None:
-    """Fill the frames' collections from the catalogue; no commit if nothing changes."""
+    """Fill the frames' collections from the catalogue; no commit if nothing changes. A dry run says how many would."""
     session, old = store.session(), store.frame_dim()
     session.update_frames(frames.select("frame_id", "collection").dropDuplicates(["frame_id"]))
     new = store.spark.read.schema(FRAME_DIM).parquet(f"{store.root}/{session.attributes}")
-    if dry_run or new.exceptAll(old).limit(1).count() + old.exceptAll(new).limit(1).count() == 0:
+    changed = new.exceptAll(old).count()
+    if not changed and old.exceptAll(new).isEmpty():
         return None
+    if dry_run:
+        return f"{changed} frames would change"
     return session.commit("[maintenance] collections filled in")

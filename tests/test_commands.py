@@ -70,6 +70,35 @@ def test_survey_comparison(spark, filled):
     assert files.read_survey(spark, f"{filled}/survey.csv").count() == len(own)
     main.main(["compare", "--store", f"{filled}/store", "--survey", f"{filled}/survey.csv", "--out", f"{filled}/compared"])
     assert int(read(f"{filled}/compared/summary")[0]["n"]) == 20
+    main.main(["compare", "--store", f"{filled}/store", "--survey", f"{filled}/survey.csv", "--out", f"{filled}/matched", "--one-to-one"])
+    pairs = read(f"{filled}/matched/pairs")
+    assert len(pairs) == int(read(f"{filled}/matched/summary")[0]["n"]) <= 20 and all(float(p["distance_m"]) < 50 for p in pairs)
+    assert {r["frame_id"] for r in read(f"{filled}/matched/frames")} == {p["frame_id"] for p in pairs}
+    assert {(r["side"], int(r["n"]), int(r["n_matched"])) for r in read(f"{filled}/matched/coverage")} == {("own", 20, len(pairs)), ("other", 20, len(pairs))}
+
+
+def test_sounder_against_the_store(spark, filled):
+    """Picks beside a radargram and beside the store's traces: status, values, pairs and their summary."""
+    from firnline.functions import geo
+    from firnline.plans import analyses
+
+    store = SnapshotStore(spark, f"{filled}/store")
+    own = analyses.projected(store.read().where("frame_id = 'Data_20120101_01_001'"), geo.ANTARCTIC).select("x", "y").collect()
+    axis = np.linspace(0, 4e-5, 400).tolist()
+    rng = np.random.default_rng(5)
+    tracks = [("DRP01", n, r["x"], r["y"], axis, rng.uniform(1, 2, 400).tolist(), rng.uniform(1, 2, 400).tolist()) for n, r in enumerate(own)]
+    spark.createDataFrame(tracks, "flight string, trace_id long, x double, y double, twtt array<double>, low_gain array<double>, high_gain array<double>").write.parquet(f"{filled}/tracks")
+    points = [("DRP01", n, r["x"] + 3, r["y"], 700.0, 1500.0) for n, r in enumerate(own)] + [("DRP01", 90, own[0]["x"] + 9e5, 0.0, 700.0, 1500.0), ("DRP01", 91, own[0]["x"], own[0]["y"], None, 1500.0), ("DRP02", 1, own[0]["x"], own[0]["y"], 700.0, 1500.0)]
+    spark.createDataFrame(points, "flight string, point_id long, x double, y double, radar_height double, ice_thickness double").write.parquet(f"{filled}/points")
+    main.main(["sounder", "--store", f"{filled}/store", "--picks", f"{filled}/points", "--radargrams", f"{filled}/tracks", "--out", f"{filled}/sounder", "--threshold", "40"])
+    status = {r["status"]: r["count"] for r in spark.read.parquet(f"{filled}/sounder/status").groupBy("status").count().collect()}
+    assert status == {"ok": 10, "too far": 1, "no value": 1, "no radargram": 1}
+    values, pairs = read(f"{filled}/sounder/values"), read(f"{filled}/sounder/pairs")
+    assert len(values) == 10 and 0 < len(pairs) <= 10
+    for p in pairs:
+        assert float(p["rssnr_diff"]) == pytest.approx(float(p["rssnr_own"]) - float(p["rssnr_sounder"])) and float(p["thickness_sounder"]) == 1500.0
+    summary = {(r["variable"], r["group"]): int(r["n"]) for r in read(f"{filled}/sounder/summary")}
+    assert summary["rssnr", "all"] == summary["thickness", "all"] == len(pairs)
 
 
 def test_segments_of_a_flight(spark, tmp_path):
