@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     add("frame", (("frame_id",), {}), (("--out",), {"required": True}))
     add("margin-sweep", (("--raw",), {"required": True}), (("--margins",), {"default": "10,50,100,250"}), (("--out",), {"required": True}))
     add("scatter", (("--out",), {"required": True}), (("--x",), {"default": "ice_thickness"}), (("--y",), {"default": "required_surface_snr_dB"}), (("--points",), {"type": int, "default": 32}))
-    add("noise", (("--out",), {"required": True}))
+    add("noise", (("--out",), {"required": True}), (("--raw",), {}), (("--frames",), {"help": "ids of frames whose samples are looked at, separated by commas"}))
     add("compare", (("--survey",), {"required": True}), (("--out",), {"required": True}), (("--threshold",), {"type": float, "default": 50.0}), (("--one-to-one",), {"action": "store_true"}), (("--north",), {"action": "store_true"}))
     add("sounder", (("--picks",), {"required": True}), (("--radargrams",), {"required": True}), (("--out",), {"required": True}), (("--reach",), {"type": float, "default": 500.0}), (("--threshold",), {"type": float, "default": 1000.0}), (("--north",), {"action": "store_true"}))
     args = parser.parse_args(argv)
@@ -95,6 +95,13 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "noise":
         names = ["pre_surface_noise_dB", "post_bed_noise_dB", "record_tail_noise_dB"]
         files.write_csv(distributions.missing_rates(store.read(), names, ["collection"]), args.out)
+        if args.raw:
+            picked = store.read().select("frame_id", "slow_time", F.col("surface_twtt").alias("surface"), F.col("bed_twtt").alias("bed"))
+            raw = spark.read.parquet(args.raw)
+            raw = raw.where(F.col("frame_id").isin(args.frames.split(","))) if args.frames else raw
+            windows = [tuple(configuration.NOISE[w][k] * 1e-6 for k in ("start_offset_us", "end_offset_us")) for w in ("pre_surface", "post_bed")]
+            found = analyses.noise_populations(raw.join(picked, ["frame_id", "slow_time"]), ["frame_id"], *windows)
+            files.write_csv(found, f"{args.out}/samples")
     elif args.command == "compare":
         own = analyses.projected(quality.passing(store.read()), geo.ARCTIC if args.north else geo.ANTARCTIC).withColumn("_own", F.monotonically_increasing_id())
         survey = files.read_survey(spark, args.survey)

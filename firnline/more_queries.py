@@ -324,6 +324,15 @@ def tail_sensitivity(spark, sf_dir):
     return out.select("label", _r("plateau_dB").alias("plateau_dB"), _r("rolloff_until").alias("rolloff_until"), _r("bias_end").alias("bias_end"))
 
 
+@query(f"""WITH {RADAR}, s AS (SELECT label, 1 + 0.25::DOUBLE * i AS t, 1 + 0.25::DOUBLE * si AS a, 1 + 0.25::DOUBLE * bi AS b, p[i + 1] AS v FROM r, range(64) u(i) WHERE bi IS NOT NULL), w AS (SELECT label, CASE WHEN t >= 1.25 AND t <= a - 0.5 THEN 'pre' WHEN t >= b + 0.75 AND t <= 16.75 - 1 THEN 'post' END AS z, v FROM s),
+d AS (SELECT *, 10 * log10(greatest(v, 1e-40)) AS d FROM w WHERE z IS NOT NULL)
+SELECT label, z AS "window", count(*) AS n, count(DISTINCT v) AS n_unique, count(*) FILTER (v = 0) AS n_zero, round(min(v), 6) AS "min", round(median(v), 6) AS median, round(max(v), 6) AS "max", round(quantile_cont(d, 0.01), 6) AS p1, round(quantile_cont(d, 0.99), 6) AS p99, round(quantile_cont(d, 0.99) - quantile_cont(d, 0.01), 6) AS spread, round(stddev_pop(d), 6) AS std FROM d GROUP BY label, z""")
+def noise_populations(spark, sf_dir):
+    """Samples of the windows before the surface and behind the bed."""
+    out = analyses.noise_populations(_radar(spark, sf_dir), ["label"], (0.25, 0.5), (0.75, 1.0))
+    return out.select("label", "window", "n", "n_unique", "n_zero", *[_r(c).alias(c) for c in ("min", "median", "max", "p1", "p99", "spread", "std")])
+
+
 # ---- the store ------------------------------------------------------------------------------------------------------
 
 

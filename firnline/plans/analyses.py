@@ -75,6 +75,28 @@ def margin_sweep(traces: DataFrame, margins_m: Sequence[float], permittivity: fl
     return traces.select(*rest, F.explode(tried).alias("_m")).select(*rest, "_m.margin_m", F.col("_m.peak.twtt").alias("peak_twtt"), F.col("_m.peak.power_dB").alias("peak_dB"))
 
 
+def noise_populations(traces: DataFrame, by: Sequence[str], pre: tuple[float, float], post: tuple[float, float]) -> DataFrame:
+    """What the samples of both noise windows look like, per group and ``window`` (pre, post): how many, how many
+    differ or are zero, the linear least, median and most, and in decibels p1, p99, their spread and the deviation.
+
+    ``traces`` have data, twtt and the picks ``surface`` and ``bed``; those that lack one are left out. Windows end the
+    offsets (from the record's and the pick's ends, in the unit of twtt) before and behind the picks.
+    """
+    t, first, last = F.col("s.t"), F.element_at("twtt", 1), F.element_at("twtt", -1)
+    window = F.when((t >= F.col("first") + pre[0]) & (t <= F.col("surface") - pre[1]), "pre").when((t >= F.col("bed") + post[0]) & (t <= F.col("last") - post[1]), "post")
+    known = traces.where(quality.finite("surface", "bed"))
+    samples = known.select(*by, "surface", "bed", first.alias("first"), last.alias("last"), F.explode(F.arrays_zip(F.col("data").alias("p"), F.col("twtt").alias("t"))).alias("s"))
+    rows = samples.select(*by, window.alias("window"), F.col("s.p").cast("double").alias("power")).where("window is not null")
+    rows = rows.withColumn("power_dB", 10 * F.log10(F.greatest(F.col("power"), F.lit(1e-40))))
+    keys = [*by, "window"]
+    linear = dist.population_diagnostics(rows, "power", keys).select(*keys, "n", "n_unique", "n_zero", "min", "median", "max")
+    levels = dist.population_diagnostics(rows, "power_dB", keys).select(*[F.col(k).alias(f"_{k}") for k in keys], "p1", "p99", "spread", "std")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return linear.join(levels, same).drop(*[f"_{k}" for k in keys])
+
+
 def region_distribution(traces: DataFrame, ring: list[tuple[float, float]], variable: str, seasons: Sequence[str] | None = None, per_season: bool = False, points: int = 256) -> DataFrame:
     """(season, x, density) of a variable over passing traces inside a polygon; traces have x, y and collection."""
     flag = quality.mask_of(variable)

@@ -49,6 +49,9 @@ def test_run_and_reports(spark, filled, capsys):
     assert {float(r["margin_m"]): float(r["median"]) for r in read(f"{filled}/margins")} == {10.0: pytest.approx(9.0), 100.0: pytest.approx(9.0)}
     call("noise", "--out", f"{filled}/noise")
     assert {r["collection"] for r in read(f"{filled}/noise")} == {"2012_A", "2012_B"}
+    call("noise", "--out", f"{filled}/samples", "--raw", f"{filled}/raw", "--frames", "Data_20120101_01_001")
+    found = read(f"{filled}/samples/samples")
+    assert {(r["frame_id"], r["window"]) for r in found} == {("Data_20120101_01_001", "pre")} and all(int(r["n"]) == int(r["n_unique"]) and float(r["p1"]) < float(r["p99"]) for r in found)
     call("scatter", "--out", f"{filled}/scatter", "--x", "latitude", "--y", "longitude", "--points", "4")
     assert len(read(f"{filled}/scatter/density")) == 16
     call("crossovers", "--out", f"{filled}/cross", "--threshold", "50")
