@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from firnline import more_queries, queries  # noqa: F401  the first adds to the second's tables
+from firnline import more_queries, queries, spatial_queries  # noqa: F401  the others add to its tables
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the driver's tables are not here")
