@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firnline.functions.physics import acute_angle, distance, midpoint
+from firnline.operators import spatial
 from firnline.operators.time_axis import bearing
 
 MIN_ANGLE = 20.0
@@ -53,18 +54,21 @@ def find_crossovers(traces: DataFrame, threshold: float, variables: Sequence[str
 
     def walked(grow: int) -> Column:
         def near(k: Column) -> Column:
-            at = lambda low, high: F.floor((F.col(low) + (F.col(high) - F.col(low)) * k / pieces) / (1.5 * threshold))
-            around = [F.struct((at(x, "_nx") + i).alias("i"), (at(y, "_ny") + j).alias("j")) for i in range(-grow, grow + 1) for j in range(-grow, grow + 1)]
-            return F.array(*around)
+            along = lambda low, high: F.col(low) + (F.col(high) - F.col(low)) * k / pieces
+            return spatial.cell_of(along(x, "_nx"), along(y, "_ny"), 1.5 * threshold)
 
-        return F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), pieces), near))))
+        cells = F.array_distinct(F.transform(F.sequence(F.lit(0), pieces), near))
+        if grow:
+            steps = [i * spatial.COLUMN + j for i in range(-grow, grow + 1) for j in range(-grow, grow + 1)]
+            cells = F.array_distinct(F.flatten(F.transform(cells, lambda c: F.array(*[c + n for n in steps]))))
+        return F.explode(cells)
 
     steps = steps.withColumns({"_mx": midpoint(F.col(x), F.col("_nx")), "_my": midpoint(F.col(y), F.col("_ny")), "_half": distance(F.col(x), F.col(y), F.col("_nx"), F.col("_ny")) / 2})
     a = steps.select(F.col(frame).alias("frame_a"), F.col("_i").alias("ia"), F.col(x).alias("ax0"), F.col(y).alias("ay0"), F.col("_nx").alias("ax1"), F.col("_ny").alias("ay1"), F.col("_mx").alias("amx"), F.col("_my").alias("amy"), F.col("_half").alias("ahalf"), walked(0).alias("cell"))
     b = steps.select(F.col(frame).alias("frame_b"), F.col("_i").alias("ib"), F.col(x).alias("bx0"), F.col(y).alias("by0"), F.col("_nx").alias("bx1"), F.col("_ny").alias("by1"), F.col("_mx").alias("bmx"), F.col("_my").alias("bmy"), F.col("_half").alias("bhalf"), walked(1).alias("_cell"))
     # steps whose middles are too far apart are told before the full distance, which is the dearest of the conditions
     close = F.expr(f"(amx - bmx) * (amx - bmx) + (amy - bmy) * (amy - bmy) <= 1.000001D * (ahalf + bhalf + {threshold}D) * (ahalf + bhalf + {threshold}D)")
-    met = a.join(b, (F.col("cell.i") == F.col("_cell.i")) & (F.col("cell.j") == F.col("_cell.j")) & (F.col("frame_a") < F.col("frame_b")) & close & (_step_distance() <= threshold))
+    met = a.join(b, (F.col("cell") == F.col("_cell")) & (F.col("frame_a") < F.col("frame_b")) & close & (_step_distance() <= threshold))
     # traces within the threshold end steps that meet, so a place's nearest traces are ends of its own steps
     ends = [F.struct(distance(*[F.col(f"{s}{c}{e}") for s, e in (("a", i), ("b", j)) for c in "xy"]).alias("distance_m"), (F.col("ia") + i).alias("ia"), (F.col("ib") + j).alias("ib")) for i in (0, 1) for j in (0, 1)]
     met = met.select("frame_a", "frame_b", "ia", "ib", F.least(*ends).alias("nearest")).distinct()

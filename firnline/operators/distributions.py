@@ -1,7 +1,8 @@
 """Summaries of values: differences, percentiles, histograms, densities, correlations.
 
-``percentile`` keeps a count per distinct value of its group, so it is for reports over selected groups. Ranks are
-found by ranges of values, and everything else is an aggregation with partial results.
+Percentiles of whole collections are bracketed by sketches; ``percentile``, which keeps a count per distinct value of its
+group, is for reports over selected groups. Ranks are found by ranges of values, and everything else is an aggregation
+with partial results.
 """
 
 from __future__ import annotations
@@ -21,32 +22,44 @@ def known(value: str) -> Column:
     return F.col(value).isNotNull() & ~F.isnan(value)
 
 
+def _with_percentiles(stats: DataFrame, rows: DataFrame, value: str, shares: dict[str, float], by: Sequence[str]) -> DataFrame:
+    """``stats`` (one row per group) with interpolated percentiles of the group's values."""
+    found = interpolated_ranks(rows, value, shares, by).drop("n")
+    if not by:
+        return stats.join(F.broadcast(found), F.lit(True), "left")  # one row each
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return stats.join(found.select(*[F.col(c).alias(f"_{c}") for c in by], *shares), same, "left").drop(*[f"_{c}" for c in by])
+
+
 def difference_summary(pairs: DataFrame, variables: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Per variable: N, mean, population std, RMS and median absolute difference, over rows with both sides known."""
     named = F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"{v}_a").cast("double").alias("a"), F.col(f"{v}_b").cast("double").alias("b"), F.col(f"{v}_diff").cast("double").alias("d")) for v in variables]))
     long = pairs.select(*by, named.alias("v")).select(*by, "v.*").where(known("a") & known("b") & known("d"))
-    return long.groupBy(*by, "variable").agg(*_difference_statistics("d"))
+    keys = [*by, "variable"]
+    out = long.groupBy(*keys).agg(*_difference_statistics("d"))
+    return _with_percentiles(out, long.select(*keys, F.abs("d").alias("_m")), "_m", {"median_abs_diff": 0.5}, keys)
 
 
 def _difference_statistics(d: str) -> list[Column]:
-    return [F.count("*").alias("n"), F.avg(d).alias("mean_diff"), F.stddev_pop(d).alias("std_diff"), F.sqrt(F.avg(F.col(d) * F.col(d))).alias("rms_diff"), F.expr(f"percentile(abs({d}), 0.5D)").alias("median_abs_diff")]
+    return [F.count("*").alias("n"), F.avg(d).alias("mean_diff"), F.stddev_pop(d).alias("std_diff"), F.sqrt(F.avg(F.col(d) * F.col(d))).alias("rms_diff")]
 
 
 def summary_with_total(pairs: DataFrame, group: str, difference: str, total: str = "all") -> DataFrame:
     """The same per group and over all of them; rows without a group count in the total only."""
     rows = pairs.where(known(difference)).select(F.col(group).alias("group"), F.col(difference).cast("double").alias("d"))
-    rolled = rows.rollup("group").agg(F.grouping("group").alias("_all"), *_difference_statistics("d"))
-    return rolled.where("_all = 1 or group is not null").withColumn("group", F.when(F.col("_all") == 1, total).otherwise(F.col("group"))).drop("_all")
+    rows = rows.select(F.explode(F.array(F.struct(F.lit(0).alias("_all"), "group"), F.struct(F.lit(1).alias("_all"), F.lit(None).cast("string").alias("group")))).alias("_g"), "d").select("_g.*", "d")
+    rows = rows.where("_all = 1 or group is not null")
+    rolled = _with_percentiles(rows.groupBy("_all", "group").agg(*_difference_statistics("d")), rows.select("_all", "group", F.abs("d").alias("_m")), "_m", {"median_abs_diff": 0.5}, ["_all", "group"])
+    return rolled.withColumn("group", F.when(F.col("_all") == 1, total).otherwise(F.col("group"))).drop("_all")
 
 
 def spread_statistics(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """mean, std (population and sample), rms, median, p5, p95, min and max of the known values."""
     good = rows.where(known(value))
-    percentiles = F.expr(f"percentile(cast({value} as double), array(0.05D, 0.5D, 0.95D))")
-    out = good.groupBy(*by).agg(
-        F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std_pop"), F.stddev_samp(value).alias("std_samp"), F.sqrt(F.avg(F.col(value) * F.col(value))).alias("rms"), percentiles.alias("_p"), F.min(value).alias("min"), F.max(value).alias("max")
-    )
-    return out.withColumns({"p5": F.col("_p")[0], "median": F.col("_p")[1], "p95": F.col("_p")[2]}).drop("_p")
+    out = good.groupBy(*by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std_pop"), F.stddev_samp(value).alias("std_samp"), F.sqrt(F.avg(F.col(value) * F.col(value))).alias("rms"), F.min(value).alias("min"), F.max(value).alias("max"))
+    return _with_percentiles(out, good, value, {"p5": 0.05, "median": 0.5, "p95": 0.95}, by)
 
 
 def population_diagnostics(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

@@ -203,7 +203,10 @@ def product_comparison(a: DataFrame, b: DataFrame, keys: Sequence[str], variable
     """Two data products of the same traces: medians, standard deviations and the median's difference."""
     sides = a.select(*keys, *[F.col(v).alias(f"{v}_a") for v in variables]).join(b.select(*keys, *[F.col(v).alias(f"{v}_b") for v in variables]), list(keys))
     long = sides.select(F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"{v}_a").alias("a"), F.col(f"{v}_b").alias("b")) for v in variables])).alias("v")).select("v.*")
-    out = long.where("a is not null and b is not null").groupBy("variable").agg(F.count("*").alias("n"), *[F.expr(f"percentile({s}, 0.5D)").alias(f"median_{s}") for s in "ab"], *[F.stddev_pop(s).alias(f"std_{s}") for s in "ab"])
+    long = long.where("a is not null and b is not null")
+    out = long.groupBy("variable").agg(F.count("*").alias("n"), *[F.stddev_pop(s).alias(f"std_{s}") for s in "ab"])
+    for s in "ab":
+        out = out.join(dist.interpolated_ranks(long, s, {f"median_{s}": 0.5}, ["variable"]).drop("n"), "variable")
     return out.withColumn("median_difference", F.col("median_a") - F.col("median_b"))
 
 
