@@ -12,7 +12,7 @@ from firnline.functions import arrays, geo, physics, values
 from firnline.operators import distributions as dist
 from firnline.operators import frames as frame_ops
 from firnline.operators import matching, quality, sampling, time_axis
-from firnline.plans import analyses, run
+from firnline.plans import analyses, run, sounder
 from firnline.queries import EVENTS, PLANE, POINTS, RADAR, RING, _INSIDE, _differences, _picks, _plane, _points, _r, _radar, _table, _traces, query
 from firnline.sources.snapshots import SnapshotStore
 
@@ -259,6 +259,15 @@ def sounder_status(spark, sf_dir):
     return analyses.sounder_status(*_sounder(spark, sf_dir)).select("point_id", "status")
 
 
+@query(f"""WITH {_SOUNDER}, w AS (SELECT a.k, EXISTS (SELECT 1 FROM e b WHERE b.flight = a.flight AND b.label <> 7 AND abs(a.x + (a.k % 13) * 60.0::DOUBLE - b.x) < 500) AS near, a.label, a.h FROM e a)
+SELECT w.k AS point_id, CASE WHEN q.k IS NOT NULL THEN 'ok' WHEN h IS NULL THEN 'no value' WHEN label = 7 THEN 'no radargram' WHEN NOT near THEN 'too far' ELSE 'outside record' END AS status, round(ps - pb + 20 * log10(q.ts / (q.ts + (q.tb - q.ts) / (1.78::DOUBLE * 1.78::DOUBLE))), 4) AS rssnr FROM w LEFT JOIN q ON q.k = w.k""")
+def sounder_table_function(spark, sf_dir):
+    """Values and status of all sounder picks, by a table function in SQL."""
+    sounder.register(spark)
+    sounder.matched_picks(*_sounder(spark, sf_dir)).createOrReplaceTempView("firnline_matched_picks")
+    return spark.sql("SELECT point_id, status, round(rssnr, 4) AS rssnr FROM sounder_values(TABLE(SELECT * FROM firnline_matched_picks))")
+
+
 @query(f"""WITH {PLANE}, s AS (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny, lag(x) OVER w AS lx, lag(y) OVER w AS ly FROM g WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
 t AS (SELECT *, coalesce(sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y)) <= 9000, false) AS n, coalesce(sqrt((lx - x) * (lx - x) + (ly - y) * (ly - y)) <= 9000, false) AS l FROM s)
 SELECT o_orderkey, CASE WHEN n OR l THEN round(degrees(atan2(CASE WHEN n THEN nx ELSE x END - CASE WHEN l THEN lx ELSE x END, CASE WHEN n THEN ny ELSE y END - CASE WHEN l THEN ly ELSE y END)), 6) END AS bearing FROM t""")
