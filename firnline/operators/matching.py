@@ -2,7 +2,8 @@
 
 Points meet through square cells as wide as the search distance: a point's partners lie in its own or the eight
 neighbouring cells, so the join is an equi-join on cells and never compares all pairs. Matches at the distance or
-beyond are discarded anyway, which makes the result exact.
+beyond are discarded anyway, which makes the result exact. Nearest points are looked for in cells as small as the points
+are dense first, and in larger ones only for points that have none so near.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firnline.functions.physics import distance
+from firnline.operators.quality import finite
 
 
 def _cell(x: str, size: float) -> Column:
@@ -25,7 +27,8 @@ def candidates(left: DataFrame, right: DataFrame, threshold: float, left_xy: tup
     around = F.array(*[F.struct((_cell(right_xy[0], threshold) + i).alias("cx"), (_cell(right_xy[1], threshold) + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     spread = right.withColumn("_c", F.explode(around)).withColumns({"_rx": F.col("_c.cx"), "_ry": F.col("_c.cy")}).drop("_c")
     placed = left.withColumns({"_lx": _cell(left_xy[0], threshold), "_ly": _cell(left_xy[1], threshold)})
-    met = placed.join(spread, (F.col("_lx") == F.col("_rx")) & (F.col("_ly") == F.col("_ry")) & (F.col(also[0]) == F.col(also[1]) if also else F.lit(True)))
+    # nine times the points: no broadcast, however small the table they come from
+    met = placed.join(spread.hint("merge"), (F.col("_lx") == F.col("_rx")) & (F.col("_ly") == F.col("_ry")) & (F.col(also[0]) == F.col(also[1]) if also else F.lit(True)))
     d = distance(F.col(left_xy[0]), F.col(left_xy[1]), F.col(right_xy[0]), F.col(right_xy[1]))
     return met.withColumn("distance_m", d).where(F.col("distance_m") < threshold).drop("_lx", "_ly", "_rx", "_ry")
 
@@ -35,9 +38,42 @@ def _first(pairs: DataFrame, by: Sequence[str], order: Sequence) -> DataFrame:
     return pairs.withColumn("_n", n).where("_n = 1").drop("_n")
 
 
-def nearest_within(left: DataFrame, right: DataFrame, threshold: float, left_id: str, right_id: str, left_xy: tuple[str, str], right_xy: tuple[str, str]) -> DataFrame:
-    """Each left point's nearest right point, if closer than ``threshold``; equals go to the smaller id."""
-    return _first(candidates(left, right, threshold, left_xy, right_xy), [left_id], ["distance_m", right_id])
+def _sides(targets: DataFrame, side: float, k: int, xy: tuple[str, str], by: Sequence[str]) -> list[float]:
+    """Sides of cells from small to ``side``, each twice the last; a point's smallest cell holds from 4 k to 16 k points
+    on average, if ``side`` is as long as that."""
+    cells = targets.groupBy(*by, _cell(xy[0], side).alias("_cx"), _cell(xy[1], side).alias("_cy")).agg(F.count("*").cast("double").alias("_n"))
+    crowd = cells.agg((F.sum(F.col("_n") * F.col("_n")) / F.sum("_n")).alias("crowd")).first()["crowd"] or 1.0  # one row
+    return [side / 2**n for n in range(math.floor(math.log(max(crowd / (4 * k), 1.0), 4)), -1, -1)]
+
+
+def _distinct_places(targets: DataFrame, k: int, target_id: str, xy: tuple[str, str], by: Sequence[str]) -> DataFrame:
+    """Of points at one place, the ``k`` with the smallest ids: only they can be among the nearest."""
+    same = Window.partitionBy(*by, *xy).orderBy(target_id)
+    return targets.where(finite(*xy)).withColumn("_same", F.row_number().over(same)).where(F.col("_same") <= k).drop("_same")
+
+
+def _without(rows: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_done_{c}"))
+    return rows.join(done.select(*[F.col(c).alias(f"_done_{c}") for c in keys]).hint("merge"), same, "left_anti")
+
+
+def nearest_within(left: DataFrame, right: DataFrame, threshold: float, left_id: str, right_id: str, left_xy: tuple[str, str], right_xy: tuple[str, str], also: tuple[str, str] | None = None) -> DataFrame:
+    """Each left point's nearest right point, if closer than ``threshold``, whose columns ``also`` agree; equals go to
+    the smaller id."""
+    keys = [also[0], left_id] if also else [left_id]
+    by = [also[1]] if also else []
+    targets = _distinct_places(right, 1, right_id, right_xy, by)
+    rest, found = left.where(finite(*left_xy)), None
+    for side in _sides(targets, threshold, 1, right_xy, by):
+        near = candidates(rest, targets, side, left_xy, right_xy, also)
+        if side < threshold:
+            near = near.where(F.col("distance_m") <= side * (1 - 1e-9))
+        near = _first(near, keys, ["distance_m", right_id])
+        found = near if found is None else found.union(near)
+        rest = _without(rest, near, keys)
+    return found
 
 
 def one_to_one(left: DataFrame, right: DataFrame, threshold: float, left_id: str, right_id: str, left_xy: tuple[str, str], right_xy: tuple[str, str]) -> DataFrame:
@@ -142,4 +178,4 @@ def nearest_to(points: DataFrame, x: float, y: float, xy: tuple[str, str], tie:
 def matched_flags(points: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     """Points with ``matched``: whether they are in a pair."""
     used = pairs.select(F.col(key).alias("_used")).distinct()
-    return points.join(used, F.col(key) == F.col("_used"), "left").withColumn("matched", F.col("_used").isNotNull()).drop("_used")
+    return points.join(used.hint("merge"), F.col(key) == F.col("_used"), "left").withColumn("matched", F.col("_used").isNotNull()).drop("_used")

@@ -40,3 +40,22 @@ def test_clusters_and_far_points(spark, k):
 def test_few_places(spark, right):
     left = [(1, "a", 0.5, 0.0), (2, "a", 40.2, 3.0), (3, "b", 0.0, 0.0)]
     assert found(spark, left, right, 2) == plain(left, right, 2)
+
+
+def test_dense_points_within_a_reach(spark):
+    """Many points to a cell of the reach, many at one place, groups: fine cells first; never a broadcast of cells."""
+    rng = random.Random(7)
+    right = [(n, rng.choice("ab"), float(rng.randint(0, 300)), float(rng.randint(0, 300))) for n in range(3000)]
+    right += [(5000 - n, "a", 900.0, 900.0) for n in range(50)] + [(6000, "a", math.nan, 1.0), (6001, "b", None, 1.0)]
+    left = [(n, rng.choice("abc"), float(rng.randint(-90, 390)), float(rng.randint(-90, 390))) for n in range(300)] + [(400, "a", 890.0, 900.0), (401, "a", math.nan, 5.0), (402, "b", None, 5.0)]
+    a, b = spark.createDataFrame(left, "i long, g string, x double, y double"), spark.createDataFrame(right, "j long, h string, u double, v double")
+    out = matching.nearest_within(a, b, 100.0, "i", "j", ("x", "y"), ("u", "v"), ("g", "h"))
+    want = {}
+    for i, g, x, y in left:
+        near = [(math.sqrt((x - u) ** 2 + (y - v) ** 2), j) for j, h, u, v in right if h == g and None not in (x, u)]
+        near = [p for p in near if p[0] < 100.0]
+        if near:
+            want[i] = min(near)[1]
+    assert len(matching._sides(b, 100.0, 1, ("u", "v"), ["h"])) > 2
+    assert {r.i: r.j for r in out.collect()} == want
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
