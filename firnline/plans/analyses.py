@@ -222,7 +222,8 @@ def sounder_status(results: DataFrame, radargrams: DataFrame, reach: float = 500
     ``outside record``."""
     done = sounder_rssnr(results, radargrams, reach, margin_m).select("flight", "point_id", "rssnr", F.lit(True).alias("_done"))
     known = radargrams.select("flight").distinct().withColumn("_known", F.lit(True))
-    near = matching.candidates(results.select("flight", "point_id", "x", "y"), radargrams.select(F.col("flight").alias("_flight"), F.col("x").alias("_tx"), F.col("y").alias("_ty")), reach, ("x", "y"), ("_tx", "_ty"), ("flight", "_flight"))
+    traces = radargrams.select(F.col("flight").alias("_flight"), "trace_id", F.col("x").alias("_tx"), F.col("y").alias("_ty"))
+    near = matching.nearest_within(results.select("flight", "point_id", "x", "y"), traces, reach, "point_id", "trace_id", ("x", "y"), ("_tx", "_ty"), ("flight", "_flight"))
     near = near.select("flight", "point_id").distinct().withColumn("_near", F.lit(True))
     rows = results.join(known, "flight", "left").join(near, ["flight", "point_id"], "left").join(done, ["flight", "point_id"], "left")
     good = quality.finite("radar_height", "ice_thickness") & (F.col("radar_height") > 0) & (F.col("ice_thickness") > 0)
@@ -235,8 +236,7 @@ def sounder_rssnr(results: DataFrame, radargrams: DataFrame, reach: float = 500.
     (flight, trace_id, x, y, twtt, low_gain, high_gain) of their flight within ``reach``."""
     good = results.where(quality.finite("radar_height", "ice_thickness") & (F.col("radar_height") > 0) & (F.col("ice_thickness") > 0))
     traces = radargrams.select(F.col("flight").alias("_flight"), "trace_id", F.col("x").alias("_tx"), F.col("y").alias("_ty"))
-    met = matching.candidates(good, traces, reach, ("x", "y"), ("_tx", "_ty"), ("flight", "_flight"))
-    placed = matching.closest_per_group(met, ["flight", "point_id"], ["trace_id"]).drop("_flight", "_tx", "_ty")
+    placed = matching.nearest_within(good, traces, reach, "point_id", "trace_id", ("x", "y"), ("_tx", "_ty"), ("flight", "_flight")).drop("_flight", "_tx", "_ty")
     rows = placed.join(radargrams.select("flight", "trace_id", "twtt", "low_gain", "high_gain"), ["flight", "trace_id"])
     t_s, t_b = physics.sounder_times(F.col("radar_height"), F.col("ice_thickness"))
     rows = rows.withColumns({"surface_time": t_s, "bed_time": t_b, "instrument": instrument_of(F.col("flight"))})

@@ -26,8 +26,8 @@ def matched_picks(results: DataFrame, radargrams: DataFrame, reach: float = 500.
     Picks meet places only; samples join the pairs that are left."""
     good = results.where(quality.finite("radar_height", "ice_thickness") & (F.col("radar_height") > 0) & (F.col("ice_thickness") > 0))
     places = radargrams.select(F.col("flight").alias("_flight"), "trace_id", F.col("x").alias("_tx"), F.col("y").alias("_ty"))
-    met = matching.candidates(good.select("flight", "point_id", "x", "y"), places, reach, ("x", "y"), ("_tx", "_ty"), ("flight", "_flight"))
-    nearest = matching.closest_per_group(met, ["flight", "point_id"], ["trace_id"]).select("flight", "point_id", "trace_id")
+    met = matching.nearest_within(good.select("flight", "point_id", "x", "y"), places, reach, "point_id", "trace_id", ("x", "y"), ("_tx", "_ty"), ("flight", "_flight"))
+    nearest = met.select("flight", "point_id", "trace_id")
     pairs = nearest.join(radargrams.select("flight", "trace_id", "twtt", "low_gain", "high_gain"), ["flight", "trace_id"])
     known = radargrams.select("flight").distinct().withColumn("known", F.lit(True))
     rows = results.select("flight", "point_id", F.col("radar_height").cast("double").alias("radar_height"), F.col("ice_thickness").cast("double").alias("ice_thickness"), (instrument_of(F.col("flight")) == "HiCARS").alias("two_channel"))

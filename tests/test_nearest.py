@@ -59,3 +59,17 @@ def test_dense_points_within_a_reach(spark):
     assert len(matching._sides(b, 100.0, 1, ("u", "v"), ["h"])) > 2
     assert {r.i: r.j for r in out.collect()} == want
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_sounder_picks_meet_few_places(spark):
+    """Traces at one place are one place to picks, and the smallest id stands for them."""
+    from pyspark.sql import functions as F
+
+    from firnline.plans import sounder
+
+    n = F.col("id")
+    grams = spark.range(400).select(F.lit("b1").alias("flight"), n.alias("trace_id"), (n % 4 * 10.0).alias("x"), F.lit(0.0).alias("y"), F.array(F.lit(0.0), F.lit(1.0)).alias("twtt"), F.array(n * 1.0).alias("low_gain"), F.array(n * 1.0).alias("high_gain"))
+    picks = spark.range(40).select(F.lit("b1").alias("flight"), n.alias("point_id"), (n % 5 * 10.0).alias("x"), F.lit(0.0).alias("y"), F.lit(500.0).alias("radar_height"), F.lit(900.0).alias("ice_thickness"))
+    out = sounder.matched_picks(picks, grams)
+    assert {(r.point_id, r.trace_id) for r in out.collect()} == {(i, min(i % 5, 3)) for i in range(40)}
+    assert "_same" in out._jdf.queryExecution().optimizedPlan().toString()
