@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: The sketches that bracket a rank hold it within n / ACCURACY; ranges into which a column is dealt to be ranked.
 ACCURACY, RANGES = 10_000, 64
+#: Parts that a group's values are dealt into where they meet the group's bounds.
+PARTS = 16
 
 
 def known(value: str) -> Column:
@@ -109,7 +111,12 @@ def values_at_ranks(rows: DataFrame, value: str, shares: dict[str, float], by: S
     same = F.lit(True)
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    placed = good.join(bounds if by else F.broadcast(bounds), same)  # one row without groups
+    if by:  # equal values stay together; few groups would else be few tasks
+        good = good.withColumn("_part", F.pmod(F.hash("v"), F.lit(PARTS)))
+        bounds = bounds.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        placed = good.join(bounds, same & (F.col("_part") == F.col("_of")))
+    else:
+        placed = good.join(F.broadcast(bounds), same)  # one row
     out = None
     for k, p in shares.items():
         near = placed.where(F.col("v") <= F.col(f"to_{k}")).select(*by, "n", F.when(F.col("v") >= F.col(f"from_{k}"), F.col("v")).alias("v"))
@@ -294,7 +301,8 @@ def binned(rows: DataFrame, by: str, edges: Sequence[float], value: str) -> Data
     place = F.lit(0)
     for edge in edges:
         place = place + (F.col(by) >= edge).cast("int")
-    return rows.where(known(by) & known(value)).groupBy(place.alias("bin")).agg(F.count("*").alias("n"), F.expr(f"percentile(cast({value} as double), 0.5D)").alias("median"))
+    placed = rows.where(known(by) & known(value)).select(place.alias("bin"), F.col(value).cast("double").alias("_v"))
+    return interpolated_ranks(placed, "_v", {"median": 0.5}, ["bin"])
 
 
 def cell_modes(rows: DataFrame, x: str, y: str, flag: Column, size: float = 5000.0, share: float = 0.8) -> DataFrame:

@@ -88,3 +88,18 @@ def test_table_function_of_sounder_picks(spark):
     deep = 10 * np.log10(high[(axis >= bed - margin) & (axis <= bed + margin)].max()) - 39
     assert out[1].trace_id == 5 and out[1].rssnr == pytest.approx(top - deep + 20 * np.log10(surface / (surface + (bed - surface) / 1.78**2)))
     assert out[2].rssnr is None
+
+
+def test_ranks_of_one_group_are_dealt_over_parts(spark):
+    """Values of one group meet its bounds in parts, and percentiles stay exact, in bins too."""
+    from pyspark.sql import functions as F
+
+    from firnline.operators import distributions as dist
+
+    rows = spark.range(50_001).select(F.lit("v").alias("g"), (F.col("id") * 7919 % 50_001).cast("double").alias("x"))
+    out = dist.interpolated_ranks(rows, "x", {"median": 0.5, "p90": 0.9}, ["g"])
+    assert [tuple(r) for r in out.collect()] == [("v", 50_001, 25_000.0, 45_000.0)]
+    assert "_part" in out._jdf.queryExecution().optimizedPlan().toString()
+    bins = dist.binned(rows, "x", [10_000.0, 30_000.0], "x")
+    assert "percentile(" not in bins._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["bin"]: (r["n"], r["median"]) for r in bins.collect()} == {0: (10_000, 4999.5), 1: (20_000, 19_999.5), 2: (20_001, 40_000.0)}
