@@ -105,7 +105,7 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
     and only points of cells that are left meet.
     """
     groups = [f"_g{n}" for n in range(len(by[0]))]
-    ends = lambda df, xy: df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(xy) for n, f in (("low", F.min), ("high", F.max))], F.count("*").alias("n"))
+    ends = lambda df, xy: df.where(finite(*xy)).agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(xy) for n, f in (("low", F.min), ("high", F.max))], F.count("*").alias("n"))
     a, b = ends(left, left_xy).first(), ends(right, right_xy).first()  # one row each
     wide = lambda *rows: max((max(r[f"high{i}"] for r in rows) - min(r[f"low{i}"] for r in rows)) for i in (0, 1))
     if a["low0"] is None or b["low0"] is None:
@@ -161,11 +161,27 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+#: Groups of at most this many points meet all traces of their group; larger ones look for them by cells.
+FEW = 64
+
+
 def nearest_in_group(points: DataFrame, traces: DataFrame, group: str, point_id: str, trace_id: str, point_xy: tuple[str, str], trace_xy: tuple[str, str]) -> DataFrame:
     """Each point's nearest trace of its own frame, however far."""
     other = traces.withColumnRenamed(group, "_group")
-    near = nearest_k(points, other, 1, point_id, trace_id, point_xy, trace_xy, ([group], ["_group"]))
-    return near.select(*points.columns, *[c for c in traces.columns if c != group], "distance_m")
+    columns = [*points.columns, *[c for c in traces.columns if c != group], "distance_m"]
+    sizes = points.groupBy(F.col(group).alias("_large")).agg(F.count("*").alias("_n")).where((F.col("_n") > FEW) & F.col("_large").isNotNull()).select("_large")
+    few, large = points, None
+    if sizes.limit(1).count():
+        large = points.join(sizes.hint("merge"), F.col(group) == F.col("_large"), "left_semi")
+        few = points.join(sizes.hint("merge"), F.col(group) == F.col("_large"), "left_anti")
+    placed = lambda rows, xy: rows.where(" and ".join(f"`{c}` is not null and not isnan(`{c}`)" for c in xy))
+    # traces stream past the few points of their group
+    met = placed(other, trace_xy).join(placed(few, point_xy).hint("merge"), F.col("_group") == F.col(group))
+    met = met.withColumn("distance_m", distance(*[F.col(c).cast("double") for c in (*point_xy, *trace_xy)]))
+    near = _first(met, [point_id], ["distance_m", trace_id]).select(*columns)
+    if large is None:
+        return near
+    return near.union(nearest_k(large, other, 1, point_id, trace_id, point_xy, trace_xy, ([group], ["_group"])).select(*columns))
 
 
 def nearest_to(points: DataFrame, x: float, y: float, xy: tuple[str, str], tie: str, reach: float | None = None) -> DataFrame:

@@ -73,3 +73,17 @@ def test_sounder_picks_meet_few_places(spark):
     out = sounder.matched_picks(picks, grams)
     assert {(r.point_id, r.trace_id) for r in out.collect()} == {(i, min(i % 5, 3)) for i in range(40)}
     assert "_same" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nearest_of_the_own_frame(spark):
+    """Frames of few points meet their traces at once, without a broadcast; one of many points by cells."""
+    rng = random.Random(11)
+    place = lambda: (float(rng.randint(0, 50)), float(rng.randint(0, 50)))
+    points = [(n, "a" if n < 70 else rng.choice("bcd"), *place()) for n in range(90)] + [(200, "b", None, 1.0), (201, None, 1.0, 1.0)]
+    traces = [(n, rng.choice("abc"), *place()) for n in range(200)] + [(300, "c", math.nan, 1.0), (301, None, 1.0, 1.0)]
+    a, b = spark.createDataFrame(points, "i long, f string, x double, y double"), spark.createDataFrame(traces, "j long, f string, u double, v double")
+    known = [(n, f, x, y) for n, f, x, y in traces if f and not math.isnan(x)]
+    want = {(i, j) for i, j, _ in plain([p for p in points if p[1]], known, 1)}
+    assert {(r.i, r.j) for r in matching.nearest_in_group(a, b, "f", "i", "j", ("x", "y"), ("u", "v")).collect()} == want
+    small = matching.nearest_in_group(a.where("f <> 'a'"), b, "f", "i", "j", ("x", "y"), ("u", "v"))
+    assert "Broadcast" not in small._jdf.queryExecution().executedPlan().toString()
