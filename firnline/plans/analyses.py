@@ -154,7 +154,8 @@ def display_clip(traces: DataFrame, by: Sequence[str], surface: str = "surface",
 
 def tail_sensitivity(traces: DataFrame, by: Sequence[str], grid: Sequence[float], plateau: tuple[float, float], windows: dict[str, tuple[float, float]], drop_db: float = -1.0) -> DataFrame:
     """Per group: the median profile by time before the record's end, interpolated onto a grid and relative to its
-    plateau's median; how far the levels under ``drop_db`` reach from the end; and each window's median, its bias.
+    plateau's median; how far the levels under ``drop_db`` reach from the end, NULL
+    if none rises to it; and each window's median, its bias.
 
     The profile is as long as a record has samples, whatever the number of traces.
     """
@@ -170,7 +171,7 @@ def tail_sensitivity(traces: DataFrame, by: Sequence[str], grid: Sequence[float]
     inside = lambda ends: arrays.median(F.filter(F.transform(F.filter("_grid", lambda g: (g["at"] >= ends[0]) & (g["at"] <= ends[1])), lambda g: g["level"]), lambda v: v.isNotNull()))
     profile = profile.withColumn("plateau_dB", inside(plateau))
     low = F.filter("_grid", lambda g: (g["level"] - F.col("plateau_dB") >= drop_db) | g["level"].isNull())
-    reach = F.coalesce(F.array_min(F.transform(F.filter(low, lambda g: g["level"].isNotNull()), lambda g: g["at"])), F.lit(float(max(grid))))
+    reach = F.array_min(F.transform(F.filter(low, lambda g: g["level"].isNotNull()), lambda g: g["at"]))
     return profile.select(*by, "plateau_dB", reach.alias("rolloff_until"), *[(inside(ends) - F.col("plateau_dB")).alias(f"bias_{name}") for name, ends in windows.items()])
 
 
