@@ -17,6 +17,7 @@ from firnline.operators import crossovers as cross
 from firnline.operators import distributions as dist
 from firnline.operators import frames as frame_ops
 from firnline.operators import matching, quality, sampling, time_axis
+from firnline.operators.parts import parts_of
 from firnline.plans import analyses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -485,8 +486,10 @@ SELECT fa AS frame_a, fb AS frame_b, x.c AS collection_a, y.c AS collection_b FR
 def across_seasons(spark, sf_dir):
     """Pairs of frames with exactly one side in a season."""
     li = _table(spark, sf_dir, "lineitem")
-    a, b = li.select("l_orderkey", F.col("l_suppkey").alias("frame_a")), li.select("l_orderkey", F.col("l_suppkey").alias("frame_b"))
-    pairs = a.join(b, "l_orderkey").where("frame_a < frame_b").select("frame_a", "frame_b").distinct()
+    n = parts_of(li)
+    a, b = (li.select("l_orderkey", F.col("l_suppkey").alias(c)).repartition(n, "l_orderkey") for c in ("frame_a", "frame_b"))
+    # pairs are dealt before they are told apart: nearly all of them differ, so there is little to do ahead of it
+    pairs = a.join(b.hint("merge"), "l_orderkey").where("frame_a < frame_b").select("frame_a", "frame_b").repartition(2 * n, "frame_a", "frame_b").distinct()
     frames = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("frame_id"), F.when(F.col("s_nationkey") % 2 == 0, "even").otherwise("odd").alias("collection"))
     return cross.across_seasons(cross.with_collections(pairs, frames), "even")
 
