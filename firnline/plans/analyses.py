@@ -12,6 +12,7 @@ from firnline.functions.values import instrument_of
 from firnline.operators import crossovers as cross
 from firnline.operators import distributions as dist
 from firnline.operators import matching, quality, spatial
+from firnline.operators.parts import parts_of
 
 
 #: Differences over this count as large.
@@ -213,9 +214,11 @@ def product_comparison(a: DataFrame, b: DataFrame, keys: Sequence[str], variable
 
 def differing_rows(a: DataFrame, b: DataFrame, keys: Sequence[str], variable: str, tolerance: float) -> DataFrame:
     """Shared rows whose values differ by more than a relative tolerance, or of which one is missing."""
-    both = a.select(*keys, F.col(variable).alias("a")).join(b.select(*keys, F.col(variable).alias("b")), list(keys))
+    n = parts_of(a, b)
+    left, right = (t.select(*keys, F.col(variable).alias(c)).repartition(n, *keys) for t, c in ((a, "a"), (b, "b")))
+    both = left.join(right.hint("merge"), list(keys))
     apart = F.abs(F.col("a") - F.col("b")) > F.abs(F.col("b")) * tolerance
-    return both.where(F.col("a").isNull() != F.col("b").isNull()).union(both.where(apart))
+    return both.where((F.col("a").isNull() != F.col("b").isNull()) | F.coalesce(apart, F.lit(False)))
 
 
 def sounder_status(results: DataFrame, radargrams: DataFrame, reach: float = 500.0, margin_m: float = 50.0) -> DataFrame:
