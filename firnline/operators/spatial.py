@@ -5,28 +5,34 @@ in one of its parts, that is, if an odd number of the part's edges passes to its
 hole). Rings are closed without repeating their first point.
 
 Shapes are laid out on square cells. The cells that an edge runs through are walked column by column, as many as the
-edge is long; each of these border cells keeps the edges in it, and the edges of its row that decide about points. All
-other cells lie wholly inside or outside; those inside are the stretches between crossings of the row's middle. Points
-and the steps of lines meet shapes in an equi-join on cells: inner cells need no test, border cells test the few edges
-they hold. So no shape is a literal of the plan, no side is compared with all of the other, and the shapes' cells are
-broadcast only where Spark finds them small.
-
-The side of the cells is the caller's: a part of ``n`` edges and about ``k`` cells across has about ``k`` border cells
-with ``n / k`` edges each, and ``k ** 2`` inner cells at most.
+edge is long; each of these border cells keeps the edges in it, and whether the edges elsewhere put the middle of its
+right side inside. From there the few edges of the cell tell about each of its points. All other cells lie wholly inside
+or outside; those inside are the stretches between border cells of a row. Points and the steps of lines meet shapes in
+an equi-join on cells: inner cells need no test, border cells test the few edges they hold. So no shape is a literal of
+the plan, no side is compared with all of the other, and the shapes' cells are broadcast only where Spark finds them
+small.
+
+The side of the cells is the caller's at most: a part of ``n`` edges and about ``k`` cells across has about ``k`` border
+cells with ``n / k`` edges each, and ``k ** 2`` inner cells at most. Where border cells hold many edges, the side is
+halved until the edges of a cell grow with the root of the edges only: rows of cells grow by as much as tests get fewer.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from firnline.operators.parts import ROWS
+
 #: Cells are widened by this share of their side when they are walked, so that rounding leaves none out.
 SLACK = 1e-6
 PARTS = "array<array<array<struct<x:double,y:double>>>>"
 #: What a cell's number grows by from one column to the next; from one row to the next it is 1.
 COLUMN = 1 << 32
+#: Edges that a border cell may hold, times the root of what it holds at the caller's side.
+MOST = 1
 
 
 def cell_of(x: Column, y: Column, side: float) -> Column:
@@ -69,61 +75,106 @@ def edges(shapes: DataFrame) -> DataFrame:
     return pairs.select("shape_id", "part", F.col("e.a.x").alias("x0"), F.col("e.a.y").alias("y0"), F.col("e.b.x").alias("x1"), F.col("e.b.y").alias("y1")).where("x0 + y0 + x1 + y1 is not null")
 
 
-def shape_cells(shapes: DataFrame, side: float) -> DataFrame:
-    """(shape_id, cell, inner, crossing, beside): for border cells, the edges in the cell, and those that may pass to
-    the right of a point in it."""
-    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
-    sides = edges(shapes)
-    border = sides.withColumn("cell", F.explode(cells_along(x0, y0, x1, y1, side)))
-    border = border.groupBy("shape_id", "part", "cell").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("crossing"))
-    lower = [F.when(y0 < y1, a).otherwise(b) for a, b in ((x0, x1), (y0, y1), (y1, y0))]
-    slanted = sides.where("y0 <> y1").select("shape_id", "part", lower[0].alias("x"), lower[1].alias("low"), lower[2].alias("high"), ((x1 - x0) / (y1 - y0)).alias("slope"), F.greatest("x0", "x1").alias("right"))
-    rows = slanted.withColumn("row", F.explode(_span(F.col("low"), F.col("high"), side)))
-    rows = rows.groupBy("shape_id", "part", "row").agg(F.collect_list(F.struct("part", "x", "low", "high", "slope", "right")).alias("edges"))
-
-    # between two crossings of the row's middle, cells without an edge lie inside
-    middle = (F.col("row") + 0.5) * side
-    over = F.filter("edges", lambda e: (e["low"] <= middle) & (middle < e["high"]))
-    places = F.array_sort(F.transform(over, lambda e: e["x"] + (middle - e["low"]) * e["slope"]))
-    spans = _stretches(rows, places)
-    first, last = F.ceil(F.col("low") / side), F.floor(F.col("high") / side) - 1
-    filled = spans.withColumns({"_a": first, "_b": last}).where("_a <= _b").select("shape_id", "part", F.explode(F.transform(F.sequence("_a", "_b"), lambda i: _number(i, F.col("row")))).alias("cell"))
-    inner = filled.join(border.select("shape_id", "part", "cell"), ["shape_id", "part", "cell"], "left_anti")
+def _cells_of_rows(sides: DataFrame, side: float) -> DataFrame:
+    """(shape_id, part, row, i, x0, y0, x1, y1, cell): a row per edge and cell that it runs through."""
+    cells = F.explode(cells_along(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), side)).alias("cell")
+    column = F.shiftright(F.col("cell") + (COLUMN >> 1), 32)
+    placed = sides.select("*", cells).withColumn("i", column)
+    return placed.withColumn("row", F.col("cell") - F.col("i") * F.lit(COLUMN))
+
+
+def _finer(sides: DataFrame, side: float) -> tuple[float, int]:
+    """The side halved until a border cell, weighted by its edges, holds about MOST times the root of what it held; and
+    parts for the rows of edges and cells, which grow by as much at most."""
+    held = _cells_of_rows(sides, side).groupBy("shape_id", "part", "cell").agg(F.count("*").cast("double").alias("n"))
+    row = held.agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("crowd")).first()  # one row
+    crowd = row["crowd"] or 1.0
+    finer = 2 ** max(0, math.floor(math.log2(math.sqrt(crowd) / MOST)))
+    return side / finer, max(1, math.ceil((row["n"] or 0.0) * finer / ROWS))
 
-    left = F.shiftright(F.col("cell") + (COLUMN >> 1), 32)
-    placed = border.withColumn("row", F.col("cell") - left * F.lit(COLUMN)).withColumn("_left", left * side)
-    beside = F.filter(F.coalesce("edges", F.array().cast(rows.schema["edges"].dataType)), lambda e: e["right"] >= F.col("_left"))
-    placed = placed.join(rows, ["shape_id", "part", "row"], "left").select("shape_id", "cell", F.lit(False).alias("inner"), "crossing", beside.alias("beside"))
-    none = [F.lit(None).cast(placed.schema[c].dataType).alias(c) for c in ("crossing", "beside")]
-    both = placed.unionByName(inner.select("shape_id", "cell", F.lit(True).alias("inner"), *none))
-    return both.groupBy("shape_id", "cell").agg(F.max("inner").alias("inner"), F.flatten(F.collect_list("crossing")).alias("crossing"), F.flatten(F.collect_list("beside")).alias("beside"))
 
+def shape_cells(shapes: DataFrame, side: float) -> DataFrame:
+    """(shape_id, cell, inner, borders): cells of a shape, wholly inside or with, for each part whose border runs through
+    the cell, the edges in the cell and whether an odd number of the part's other edges passes to the right of the
+    middle of the cell's right side.
 
-def _stretches(rows: DataFrame, places: Column) -> DataFrame:
-    """Every second stretch between sorted crossings; there is an even number of them."""
-    at = rows.select("shape_id", "part", "row", F.posexplode(places).alias("n", "low"), places.alias("_at"))
-    return at.where("n % 2 = 0 and n + 1 < size(_at)").select("shape_id", "part", "row", "low", F.expr("_at[n + 1]").alias("high"))
+    Where shapes have many corners, cells are finer than ``side``, by a power of two that the column ``cell`` tells
+    (``side_of``).
+    """
+    sides = edges(shapes)
+    side, parts = _finer(sides, side)
+    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
+    middle = (F.col("row") + 0.5) * side
+    # an edge's crossing of its row's middle lies in one of its cells: the last one whose left side is less
+    at = F.when((y0 <= middle) != (y1 <= middle), _crossing(F.struct("x0", "y0", "x1", "y1"), middle))
+    left, right = F.col("i") * side, (F.col("i") + 1) * side
+    held = _cells_of_rows(sides.repartition(parts), side).withColumn("_at", at).repartition(parts, "shape_id", "part", "row")
+    border = held.groupBy("shape_id", "part", "row", "i", "cell").agg(
+        F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("edges"),
+        F.count_if((F.col("_at") > left) & (F.col("_at") <= right)).alias("_here"),
+        F.count_if(F.col("_at") > right).alias("_right"),
+    )
+    ahead = Window.partitionBy("shape_id", "part", "row").orderBy(F.desc("i"))
+    border = border.withColumns({"_beyond": F.sum("_here").over(ahead) - F.col("_here"), "_next": F.lag("i").over(ahead)})
+    odd = ((F.col("_beyond") - F.col("_right")) % 2 != 0).alias("odd")
+    border = border.withColumn("border", F.struct(odd, "edges"))
+    # between two border cells of a row, all cells lie on the same side of the part
+    gap = F.when((F.col("_beyond") % 2 == 1) & (F.col("_next") > F.col("i") + 1), F.sequence(F.col("i") + 1, F.col("_next") - 1)).otherwise(F.array().cast("array<bigint>"))
+    none = F.lit(None).cast(border.schema["border"].dataType)
+    filled = F.transform(gap, lambda i: F.struct(_number(i, F.col("row")).alias("cell"), none.alias("border")))
+    placed = border.select("shape_id", F.explode(F.concat(F.array(F.struct("cell", "border")), filled)).alias("c")).select("shape_id", "c.*")
+    # by cell alone, as points meet them
+    if parts > 1:
+        placed = placed.repartition(max(parts, int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "cell")
+    placed = placed.groupBy("shape_id", "cell")
+    out = placed.agg(F.max(F.col("border").isNull()).alias("inner"), F.collect_list("border").alias("borders"))
+    return out.withColumn("cell", F.col("cell").alias("cell", metadata={"side": side, "parts": parts}))
+
+
+def side_of(cells: DataFrame, side: float) -> float:
+    """The side that ``shape_cells`` laid its cells out with."""
+    return cells.schema["cell"].metadata.get("side", side)
+
+
+def _dealt(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows dealt by ``_cell`` as the cells are, where these take more than one part."""
+    parts = cells.schema["cell"].metadata.get("parts", 1)
+    return rows if parts == 1 else rows.repartition(max(parts, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "_cell")
+
+
+def _crossing(e: Column, y: Column) -> Column:
+    """Where an edge that isn't level has height ``y``."""
+    return (e["x1"] - e["x0"]) * (y - e["y0"]) / (e["y1"] - e["y0"]) + e["x0"]
+
+
+def _holds(x: Column, y: Column, side: float) -> Column:
+    """Whether an odd number of one part's edges passes to the right of a point, told from the edges of its cell.
+
+    From the middle of the cell's right side to the point, only the cell's own edges change the number: those that pass
+    to the right of the point do; and of an edge that leaves to the right, its end is passed on the way as well.
+    """
+    right, middle = (F.floor(x / side) + 1) * side, (F.floor(y / side) + 0.5) * side
+    passed = lambda ex, ey: ((ex > right) & ((ey <= y) != (ey <= middle))).cast("int")
 
+    def flips(e: Column) -> Column:
+        beside = F.when((e["y0"] <= y) != (e["y1"] <= y), (x < _crossing(e, y)).cast("int")).otherwise(0)
+        return beside + passed(e["x0"], e["y0"]) + passed(e["x1"], e["y1"])
 
-def _holds(x: Column, y: Column) -> Column:
-    """Whether an odd number of one part's edges passes to the right of a point."""
-    passing = F.transform(F.filter("beside", lambda e: (e["low"] <= y) & (y < e["high"]) & (e["x"] + (y - e["low"]) * e["slope"] > x)), lambda e: e["part"])
-    return F.exists(F.array_distinct(passing), lambda p: F.size(F.filter(passing, lambda q: q == p)) % 2 == 1)
+    return F.exists("borders", lambda b: F.aggregate(b["edges"], b["odd"].cast("int"), lambda n, e: n + flips(e)) % 2 == 1)
 
 
 def points_in_shapes(points: DataFrame, cells: DataFrame, side: float, xy: tuple[str, str] = ("x", "y")) -> DataFrame:
     """Each point with each shape it lies in: the points' columns and shape_id. ``cells`` are those of ``shape_cells``
     with the same side. Points without coordinates lie in none; a point outside all shapes gives no row."""
     x, y = (F.col(c) for c in xy)
+    side = side_of(cells, side)
     placed = points.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)).withColumn("_cell", cell_of(x, y, side))
-    met = placed.join(cells.withColumnRenamed("cell", "_of"), F.col("_cell") == F.col("_of"))
-    return met.where(F.col("inner") | _holds(x, y)).select(*points.columns, "shape_id")
+    met = _dealt(placed, cells).join(cells.withColumnRenamed("cell", "_of"), F.col("_cell") == F.col("_of"))
+    return met.where(F.col("inner") | _holds(x, y, side)).select(*points.columns, "shape_id")
 
 
 def steps_of(traces: DataFrame, line: str, order: str, xy: tuple[str, str] = ("x", "y")) -> DataFrame:
     """(line, x0, y0, x1, y1): lines between consecutive traces; a line of one trace is a step of no length."""
-    from pyspark.sql import Window
-
     x, y = (F.col(c) for c in xy)
     w = Window.partitionBy(line).orderBy(order)
     known = traces.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y))
@@ -148,10 +199,11 @@ def lines_meeting_shapes(steps: DataFrame, cells: DataFrame, side: float, line:
     A step that begins inside a shape is told in the cell it begins in; one that only passes through meets an edge, in
     the cell where it does, or an inner cell."""
     x0, y0 = F.col("x0"), F.col("y0")
+    side = side_of(cells, side)
     walked = steps.withColumn("_step", F.struct("x0", "y0", "x1", "y1")).withColumn("_cell", F.explode(F.array_distinct(cells_along(x0, y0, F.col("x1"), F.col("y1"), side))))
-    met = walked.join(cells.withColumnRenamed("cell", "_of"), F.col("_cell") == F.col("_of"))
-    begins = (F.col("_cell") == cell_of(x0, y0, side)) & _holds(x0, y0)
-    found = met.where(F.col("inner") | F.exists("crossing", _meets) | begins)
+    met = _dealt(walked, cells).join(cells.withColumnRenamed("cell", "_of"), F.col("_cell") == F.col("_of"))
+    begins = (F.col("_cell") == cell_of(x0, y0, side)) & _holds(x0, y0, side)
+    found = met.where(F.col("inner") | F.exists("borders", lambda b: F.exists(b["edges"], _meets)) | begins)
     return found.select(line, "shape_id", "_step").distinct().groupBy(line, "shape_id").agg(F.count("*").alias("n_steps"))
 
 

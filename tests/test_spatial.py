@@ -144,3 +144,16 @@ def test_covering_shapes_hold_the_given_ones(spark):
     held = {r.p for r in spatial.points_in_shapes(frame, spatial.shape_cells(out.where("shape_id = 1"), 5_000.0), 5_000.0).collect()}
     own = {p for p, x, y in points if odd(shapes[1][0], x, y)}
     assert own <= held and len(held) < len(points)
+
+
+def test_cells_of_many_corners_are_finer(spark):
+    """A star of 3,000 spikes: a cell holds few of its edges, and the points in it are told as by all edges."""
+    rng = random.Random(12)
+    shapes = {1: [[star(rng, 0, 0, 3000, 5, 90)], [star(rng, 30, 10, 500, 5, 90)]], 2: [[[(0.0, 0.0), (50.0, 0.0), (50.0, 50.0), (0.0, 50.0)]]]}
+    cells = spatial.shape_cells(table(spark, shapes), 40.0)
+    side = spatial.side_of(cells, 40.0)
+    assert side < 40.0 and cells.select(F.max(F.aggregate("borders", F.lit(0), lambda n, b: n + F.size(b["edges"])))).first()[0] < 1500
+    points = [(n, rng.uniform(-100, 130), rng.uniform(-100, 110)) for n in range(200)] + [(1000 + n, side * rng.randrange(-9, 9), side * (rng.randrange(-9, 9) + 0.5)) for n in range(40)]
+    frame = spark.createDataFrame(points, "p long, x double, y double")
+    got = {(r.p, r.shape_id) for r in spatial.points_in_shapes(frame, cells, 40.0).collect()}
+    assert got == {(p, k) for p, x, y in points for k, parts in shapes.items() if any(odd(part, x, y) for part in parts)}
