@@ -118,6 +118,7 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
     # of points at one place, only the k with the smallest ids can be among the nearest
     same = Window.partitionBy(*groups, *right_xy).orderBy(right_id)
     targets = targets.withColumn("_same", F.row_number().over(same)).where(F.col("_same") <= k).drop("_same")
+    # counts and cells are as many as the points: no broadcast, however small Spark takes them to be
     levels = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_l")
     counts = targets.groupBy(*groups, "_i", "_j").agg(F.count("*").alias("_n")).select(*groups, "_i", "_j", "_n", levels)
     counts = counts.groupBy(*groups, "_l", F.expr("shiftright(_i, _l)").alias("_u"), F.expr("shiftright(_j, _l)").alias("_v")).agg(F.sum("_n").alias("_n"))
@@ -130,7 +131,7 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
     cells = places.select(*groups, F.col("_i").alias("_ci"), F.col("_j").alias("_cj")).distinct()
     blocks = cells.select(*groups, *own, levels).select(*groups, *own, "_l", around(1))
     blocks = blocks.select(*groups, *own, "_l", F.expr("shiftright(_ci, _l) + _d.di").alias("_u"), F.expr("shiftright(_cj, _l) + _d.dj").alias("_v"))
-    held = blocks.join(counts, [*groups, "_l", "_u", "_v"]).groupBy(*groups, *own, "_l").agg(F.sum("_n").alias("_n"))
+    held = blocks.join(counts.hint("merge"), [*groups, "_l", "_u", "_v"]).groupBy(*groups, *own, "_l").agg(F.sum("_n").alias("_n"))
     first = held.groupBy(*groups, *own).agg(F.coalesce(F.min(F.when(F.col("_n") >= k, F.col("_l"))), F.lit(top)).alias("_l"))
     found = first.select(*groups, *own, "_l", around(3)).select(*groups, *own, "_l", F.expr("shiftright(_ci, _l) + _d.di").alias("_u"), F.expr("shiftright(_cj, _l) + _d.dj").alias("_v"))
 
@@ -146,7 +147,7 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
     running = Window.partitionBy(*groups, *own).orderBy("_most").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for _ in range(-(-top // 2)):
         found = found.withColumn("_s", down).select(*groups, *own, (F.col("_l") - F.col("_s")).cast("int").alias("_l"), F.explode(inner).alias("_c"))
-        found = found.select(*groups, *own, "_l", F.col("_c.u").alias("_u"), F.col("_c.v").alias("_v")).join(counts, [*groups, "_l", "_u", "_v"])
+        found = found.select(*groups, *own, "_l", F.col("_c.u").alias("_u"), F.col("_c.v").alias("_v")).join(counts.hint("merge"), [*groups, "_l", "_u", "_v"])
         found = found.withColumns({"_least": nearest, "_most": farthest})
         found = found.withColumn("_until", F.sum("_n").over(running))
         bound = F.min(F.when(F.col("_until") >= k, F.col("_most"))).over(Window.partitionBy(*groups, *own))
@@ -154,8 +155,8 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
 
     named = lambda df, names: df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
     meeting = found.select(*[F.col(g).alias(f"{g}m") for g in groups], *own, "_u", "_v")
-    met = named(places, {"_i": "_ci", "_j": "_cj"}).join(named(meeting, {f"{g}m": g for g in groups}), [*groups, *own]).drop(*own)
-    met = met.join(named(targets, {"_i": "_u", "_j": "_v"}), [*groups, "_u", "_v"]).drop(*groups, "_u", "_v")
+    met = named(places, {"_i": "_ci", "_j": "_cj"}).join(named(meeting, {f"{g}m": g for g in groups}).hint("merge"), [*groups, *own]).drop(*own)
+    met = met.join(named(targets, {"_i": "_u", "_j": "_v"}).hint("merge"), [*groups, "_u", "_v"]).drop(*groups, "_u", "_v")
     met = met.withColumn("distance_m", distance(*[F.col(c).cast("double") for c in (*left_xy, *right_xy)]))
     order = Window.partitionBy(left_id).orderBy("distance_m", right_id)
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

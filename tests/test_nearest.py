@@ -87,3 +87,10 @@ def test_nearest_of_the_own_frame(spark):
     assert {(r.i, r.j) for r in matching.nearest_in_group(a, b, "f", "i", "j", ("x", "y"), ("u", "v")).collect()} == want
     small = matching.nearest_in_group(a.where("f <> 'a'"), b, "f", "i", "j", ("x", "y"), ("u", "v"))
     assert "Broadcast" not in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_k_nearest_broadcast_no_cells(spark):
+    left = spark.createDataFrame([(n, float(n), 0.0) for n in range(50)], "i long, x double, y double")
+    right = spark.createDataFrame([(n, float(n * n), 1.0) for n in range(50)], "j long, u double, v double")
+    out = matching.nearest_k(left, right, 3, "i", "j", ("x", "y"), ("u", "v"))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
