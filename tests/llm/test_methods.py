@@ -212,3 +212,34 @@ def test_clusters_need_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         common.Scratch(Session(), "x")
+
+
+def test_postings_of_similar_lines_move_once(spark, tmp_path):
+    """Each pass holds its own tokens, all passes all of them, and one exchange serves both sides of a pass's join."""
+    rows = [(i, 0, 0, 9, i % 3, 0, [i, i + 1, i + 7], 1) for i in range(40)]
+    spark.createDataFrame(rows, "first_id long, first_part int, first_line int, n int, parity long, parity2 long, prefix array<int>, open int").write.parquet(f"{tmp_path}/c")
+    classes = spark.read.parquet(f"{tmp_path}/c")
+    dealt = [line_dedup._posted(classes, turn) for turn in range(line_dedup.PASSES)]
+    assert sorted(r["token"] for part in dealt for r in part.collect()) == sorted(t for r in rows for t in r[6])
+    met = line_dedup._met_any(classes, 0, line_dedup.NUMERATOR, line_dedup.DENOMINATOR)
+    assert met.count() and met.collect()
+    assert "ReusedExchange" in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_similar_lines_of_every_length(spark):
+    """Lines about the threshold, on either side of the length from which they have a second parity, by brute force."""
+    rng = random.Random(12)
+    rows = []
+    for family in range(60):
+        n = rng.choice([1, 4, 5, 9, 10, 45, 60, 64, 65, 70, 81, 140])
+        base = [f"w{family}x{i}" for i in range(n)]
+        for _ in range(4):
+            gone = set(rng.sample(range(n), rng.randint(0, max(0, n // 8))))
+            line = [w for i, w in enumerate(base) if i not in gone] + [f"n{rng.random()}" for _ in range(rng.randint(0, n // 8))]
+            rows.append((len(rows), " ".join(line), "en", "s"))
+    rng.shuffle(rows)
+    sets = {i: set(t.split()) for i, t, *_ in rows}
+    near = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    expected = {i for i in sets if any(j < i and near(sets[i], sets[j]) for j in sets)}
+    found = {r["doc_id"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect() if r["n_removed"]}
+    assert found == expected and 40 < len(expected) < 200
