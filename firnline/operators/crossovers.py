@@ -20,6 +20,8 @@ from firnline.operators.time_axis import bearing
 MIN_ANGLE = 20.0
 #: A frame's place along its track is cut here when steps that meet are further apart than this many traces.
 GAP = 5
+#: Width of a cell in thresholds, and how far a step's points reach: twice the reach is less than a cell.
+WIDTH, REACH = 6.0, 1.6
 
 
 def _step_distance() -> Column:
@@ -49,29 +51,29 @@ def find_crossovers(traces: DataFrame, threshold: float, variables: Sequence[str
     track = traces.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns({"_i": F.row_number().over(w), "_bearing": bearing(x, y, [frame], [order]), "_nx": F.lead(x).over(w), "_ny": F.lead(y).over(w)})
     steps = track.where(F.col("_nx").isNotNull())
     # Points along a step, half a threshold apart at most, stand for it: where two steps come within the threshold, two
-    # of their points lie within 1.5 of it, so in the same cell of that width or in neighbouring ones.
+    # of their points lie within 1.5 of it. One side takes the cells of its points, the other those that the squares
+    # around its points touch. Cells are wider than squares, so these are the corners' and most steps have one or two.
     pieces = F.greatest(F.lit(1), F.ceil(distance(F.col(x), F.col(y), F.col("_nx"), F.col("_ny")) / (threshold / 2)).cast("int"))
 
-    def walked(grow: int) -> Column:
-        def near(k: Column) -> Column:
+    def walked(reach: float) -> Column:
+        def near(k: Column, i: float, j: float) -> Column:
             along = lambda low, high: F.col(low) + (F.col(high) - F.col(low)) * k / pieces
-            return spatial.cell_of(along(x, "_nx"), along(y, "_ny"), 1.5 * threshold)
+            return spatial.cell_of(along(x, "_nx") + F.lit(i), along(y, "_ny") + F.lit(j), WIDTH * threshold)
 
-        cells = F.array_distinct(F.transform(F.sequence(F.lit(0), pieces), near))
-        if grow:
-            steps = [i * spatial.COLUMN + j for i in range(-grow, grow + 1) for j in range(-grow, grow + 1)]
-            cells = F.array_distinct(F.flatten(F.transform(cells, lambda c: F.array(*[c + n for n in steps]))))
-        return F.explode(cells)
+        sides = (-reach, reach) if reach else (0.0,)
+        cells = F.transform(F.sequence(F.lit(0), pieces), lambda k: F.array(*[near(k, i, j) for i in sides for j in sides]))
+        return F.explode(F.array_distinct(F.flatten(cells)))
 
     steps = steps.withColumns({"_mx": midpoint(F.col(x), F.col("_nx")), "_my": midpoint(F.col(y), F.col("_ny")), "_half": distance(F.col(x), F.col(y), F.col("_nx"), F.col("_ny")) / 2})
-    a = steps.select(F.col(frame).alias("frame_a"), F.col("_i").alias("ia"), F.col(x).alias("ax0"), F.col(y).alias("ay0"), F.col("_nx").alias("ax1"), F.col("_ny").alias("ay1"), F.col("_mx").alias("amx"), F.col("_my").alias("amy"), F.col("_half").alias("ahalf"), walked(0).alias("cell"))
-    b = steps.select(F.col(frame).alias("frame_b"), F.col("_i").alias("ib"), F.col(x).alias("bx0"), F.col(y).alias("by0"), F.col("_nx").alias("bx1"), F.col("_ny").alias("by1"), F.col("_mx").alias("bmx"), F.col("_my").alias("bmy"), F.col("_half").alias("bhalf"), walked(1).alias("_cell"))
+    a = steps.select(F.col(frame).alias("frame_a"), F.col("_i").alias("ia"), F.col(x).alias("ax0"), F.col(y).alias("ay0"), F.col("_nx").alias("ax1"), F.col("_ny").alias("ay1"), F.col("_mx").alias("amx"), F.col("_my").alias("amy"), F.col("_half").alias("ahalf"), walked(0.0).alias("cell"))
+    b = steps.select(F.col(frame).alias("frame_b"), F.col("_i").alias("ib"), F.col(x).alias("bx0"), F.col(y).alias("by0"), F.col("_nx").alias("bx1"), F.col("_ny").alias("by1"), F.col("_mx").alias("bmx"), F.col("_my").alias("bmy"), F.col("_half").alias("bhalf"), walked(REACH * threshold).alias("_cell"))
     # steps whose middles are too far apart are told before the full distance, which is the dearest of the conditions
     close = F.expr(f"(amx - bmx) * (amx - bmx) + (amy - bmy) * (amy - bmy) <= 1.000001D * (ahalf + bhalf + {threshold}D) * (ahalf + bhalf + {threshold}D)")
     met = a.join(b, (F.col("cell") == F.col("_cell")) & (F.col("frame_a") < F.col("frame_b")) & close & (_step_distance() <= threshold))
     # traces within the threshold end steps that meet, so a place's nearest traces are ends of its own steps
     ends = [F.struct(distance(*[F.col(f"{s}{c}{e}") for s, e in (("a", i), ("b", j)) for c in "xy"]).alias("distance_m"), (F.col("ia") + i).alias("ia"), (F.col("ib") + j).alias("ib")) for i in (0, 1) for j in (0, 1)]
-    met = met.select("frame_a", "frame_b", "ia", "ib", F.least(*ends).alias("nearest")).distinct()
+    met = met.select("frame_a", "frame_b", "ia", "ib", F.least(*ends).alias("nearest"))
+    met = met.repartition("frame_a", "frame_b").distinct()  # all that follows keeps to this deal
 
     # a new place where either track jumps by more than GAP steps
     by_a = Window.partitionBy("frame_a", "frame_b").orderBy("ia", "ib")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import numpy as np
 import pytest
@@ -250,3 +251,17 @@ def test_region_distribution_has_unit_area(spark):
     out = analyses.region_distribution(table, [(0, 0), (8, 0), (8, 8), (0, 8)], "surface_power_dB", points=64).toPandas()
     whole = out[out.season == "All"].sort_values("x")
     assert np.trapezoid(whole.density, whole.x) == pytest.approx(1.0)
+
+
+def test_crossovers_deal_pairs_of_frames_once(spark):
+    """Steps that meet are moved once; crossings are found wherever cells' edges lie, negative places included."""
+    rows = []
+    for k in range(12):  # a pair of lines each, its crossing beside an edge of the cells (600 wide) or on it
+        x0 = 600.0 * (k - 6) + (k % 3 - 1) * 1e-6
+        rows += [(f"{k:02d}a", float(i), x0 - 55.0 + 10 * i, 30_000.0 * k, 1.0) for i in range(12)]
+        rows += [(f"{k:02d}b", float(i), x0, 30_000.0 * k - 55.0 + 10 * i, 2.0) for i in range(12)]
+    traces = spark.createDataFrame(rows, "frame_id string, slow_time double, x double, y double, v double")
+    found = cross.find_crossovers(traces, 100.0, ["v"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert sum("frame_a#" in keys and "frame_b#" in keys for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan)) == 1
+    assert sorted((r["frame_a"], r["frame_b"]) for r in found.collect()) == [(f"{k:02d}a", f"{k:02d}b") for k in range(12)]
