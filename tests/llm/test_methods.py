@@ -243,3 +243,19 @@ def test_similar_lines_of_every_length(spark):
     expected = {i for i in sets if any(j < i and near(sets[i], sets[j]) for j in sets)}
     found = {r["doc_id"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect() if r["n_removed"]}
     assert found == expected and 40 < len(expected) < 200
+
+
+def test_long_and_short_lines_meet_at_few_lengths(spark, tmp_path):
+    """Only holders of a token whose lengths allow it are paired, and the exchange by token serves the join by token and length."""
+    rows = [(n, 0, 0, n, 0, 0, [7], 1) for n in (10, 12, 13, 40, 49, 51, 400)]
+    spark.createDataFrame(rows, "first_id long, first_part int, first_line int, n int, parity long, parity2 long, prefix array<int>, open int").write.parquet(f"{tmp_path}/c")
+    classes = spark.read.parquet(f"{tmp_path}/c")
+    spark.conf.set(line_dedup._ALL_KEYS, "false")
+    try:
+        met = line_dedup._met_any(classes, 7 % line_dedup.PASSES, line_dedup.NUMERATOR, line_dedup.DENOMINATOR)
+        assert sorted((r["first_id"], r["_first_id"]) for r in met.collect()) == [(12, 10), (13, 12), (49, 40), (51, 49)]
+        plan = met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(line_dedup._ALL_KEYS)
+    join = next(x for x in plan.splitlines() if "Join" in x)
+    assert "token" in join and "step" in join and "hashpartitioning(token" in plan and ", step" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
