@@ -98,6 +98,59 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
     distance_m and rank from 1. Equal distances go to the smaller id. Only points whose columns ``by`` agree (the left
     names, the right names) meet. Column names of the two sides must differ; points without coordinates take no part.
 
+    Without ``by``, points look at the nine cells around them first, as one array that each cell holds once: neither cells nor
+    candidates are multiplied by the left points. Those whose k nearest may lie further away, or whose cells are crowded, are searched level by level.
+    """
+    across = _extents(right, right_xy)
+    left = left.where(finite(*left_xy))
+    n, wide = across["n"], [across[f"high{i}"] - across[f"low{i}"] for i in (0, 1)]
+    if by[0] or not n or not min(wide):
+        return _nearest_by_levels(left, right, k, left_id, right_id, left_xy, right_xy, by)
+    targets, found, rest = _distinct_places(right, k, right_id, right_xy, ()), None, left
+    side = math.sqrt(wide[0] * wide[1] * k / n)
+    for side in [*_sides(targets, side, k, right_xy, ()), 2 * side]:
+        met = _nearest_in_blocks(rest, targets, k, side, right_id, left_xy, right_xy)
+        near = met.where("rank is not null")
+        found = near if found is None else found.union(near)
+        rest = met.where("rank is null").select(*left.columns).localCheckpoint()  # usually few; read several times
+        if rest.isEmpty():
+            return found
+    return found.union(_nearest_by_levels(rest, right, k, left_id, right_id, left_xy, right_xy).select(*found.columns))
+
+
+def _extents(points: DataFrame, xy: tuple[str, str]) -> dict:
+    """One row: low0, high0, low1, high1 and n; zeros if there are none."""
+    out = points.where(finite(*xy)).agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(xy) for n, f in (("low", F.min), ("high", F.max))], F.count("*").alias("n")).first().asDict()
+    return out if out["n"] else dict.fromkeys(out, 0.0) | {"n": 0}
+
+
+#: Right points of a cell beyond which its surroundings are searched level by level.
+CROWD = 100
+
+
+def _nearest_in_blocks(left: DataFrame, targets: DataFrame, k: int, side: float, right_id: str, left_xy: tuple[str, str], right_xy: tuple[str, str]) -> DataFrame:
+    """Each left point with its ``k`` nearest targets where nine cells surely hold them, else once with nulls."""
+    cell = lambda c: F.floor(F.col(c).cast("double") / side)
+    own = F.row_number().over(Window.partitionBy("_u", "_v").orderBy(right_id))
+    cells = targets.withColumns({"_u": cell(right_xy[0]), "_v": cell(right_xy[1])}).withColumn("_own", own).where(F.col("_own") <= CROWD + 1)
+    cells = cells.groupBy("_u", "_v").agg(F.collect_list(F.struct(*targets.columns)).alias("_c"))
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("di"), F.lit(j).alias("dj")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("_d")
+    blocks = cells.select("_u", "_v", "_c", steps).select((F.col("_u") + F.col("_d.di")).alias("_ci"), (F.col("_v") + F.col("_d.dj")).alias("_cj"), "_c")
+    blocks = blocks.groupBy("_ci", "_cj").agg(F.flatten(F.collect_list("_c")).alias("_c"), F.max(F.size("_c")).alias("_crowd")).where(F.col("_crowd") <= CROWD).drop("_crowd")
+    met = left.withColumns({"_i": cell(left_xy[0]), "_j": cell(left_xy[1])}).join(blocks.hint("merge"), (F.col("_i") == F.col("_ci")) & (F.col("_j") == F.col("_cj")), "left")
+    x, y = (F.col(c).cast("double") for c in left_xy)
+    away = lambda c: F.struct(distance(x, y, *[c[n].cast("double") for n in right_xy]).alias("distance_m"), c[right_id].alias("id"), c.alias("right"))
+    met = met.withColumn("_best", F.slice(F.sort_array(F.transform("_c", away)), 1, k))
+    # beyond the block's nearest edge lie points that it doesn't hold
+    edge = F.least(*[e for v, c in ((x, "_i"), (y, "_j")) for e in (v - (F.col(c) - 1) * side, (F.col(c) + 2) * side - v)]) * (1 - 1e-9) - (F.abs(x) + F.abs(y)) * 1e-12
+    sure = (F.size("_best") == k) & (F.element_at("_best", -1)["distance_m"] < edge)
+    met = met.select(*left.columns, F.posexplode_outer(F.when(sure, F.col("_best"))).alias("_rank", "_b"))
+    return met.select(*left.columns, *[F.col("_b.right")[c].alias(c) for c in targets.columns], F.col("_b.distance_m").alias("distance_m"), (F.col("_rank") + 1).alias("rank"))
+
+
+def _nearest_by_levels(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id: str, left_xy: tuple[str, str], right_xy: tuple[str, str], by: tuple[Sequence[str], Sequence[str]] = ((), ())) -> DataFrame:
+    """The same, level by level.
+
     Right points are counted in square cells, and cells in ever larger ones. Around each left cell, the smallest level is
     taken at which nine cells hold ``k`` points: the k nearest lie within three cells of that level. From there the
     search goes down two levels at a time: among the cells left, those that surely hold ``k`` points bound the
@@ -105,11 +158,10 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
     and only points of cells that are left meet.
     """
     groups = [f"_g{n}" for n in range(len(by[0]))]
-    ends = lambda df, xy: df.where(finite(*xy)).agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(xy) for n, f in (("low", F.min), ("high", F.max))], F.count("*").alias("n"))
-    a, b = ends(left, left_xy).first(), ends(right, right_xy).first()  # one row each
+    a, b = _extents(left, left_xy), _extents(right, right_xy)
     wide = lambda *rows: max((max(r[f"high{i}"] for r in rows) - min(r[f"low{i}"] for r in rows)) for i in (0, 1))
-    if a["low0"] is None or b["low0"] is None:
-        a = b = {f"{n}{i}": 0.0 for n in ("low", "high") for i in (0, 1)} | {"n": 0}
+    if not a["n"] or not b["n"]:
+        a = b = dict.fromkeys(a, 0.0) | {"n": 0}
     across = [b[f"high{i}"] - b[f"low{i}"] for i in (0, 1)]
     side = max(math.sqrt(across[0] * across[1] * k / max(1, b["n"])), max(across) * k / max(1, b["n"]) / 64) / 2 or 1.0
     top = max(0, math.ceil(math.log2(max(wide(a, b) / side, 1.0)))) + 1

@@ -94,3 +94,30 @@ def test_k_nearest_broadcast_no_cells(spark):
     right = spark.createDataFrame([(n, float(n * n), 1.0) for n in range(50)], "j long, u double, v double")
     out = matching.nearest_k(left, right, 3, "i", "j", ("x", "y"), ("u", "v"))
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("crowd", [100, 2])
+def test_nearest_in_blocks_of_cells(spark, monkeypatch, crowd):
+    """Ties on a grid, a cluster, a gap, places far away, crowded cells; candidates are never dealt by left point."""
+    monkeypatch.setattr(matching, "CROWD", crowd)
+    rng = random.Random(3)
+    right = [(n, "a", float(rng.randint(0, 60)), float(rng.randint(0, 60))) for n in range(500)] + [(1000 + n, "a", 5.0, 5.0) for n in range(9)]
+    right += [(2000 + n, "a", 30 + rng.gauss(0, 0.2), 30 + rng.gauss(0, 0.2)) for n in range(300)] + [(3000, "a", 300.0, 300.0), (3001, "a", None, 1.0), (3002, "a", 1.0, math.nan)]
+    left = [(n, "a", float(rng.randint(-9, 70)), float(rng.randint(-9, 70))) for n in range(300)] + [(400 + n, "a", 30 + rng.gauss(0, 0.3), 30 + rng.gauss(0, 0.3)) for n in range(60)]
+    left += [(500, "a", 200.0, 250.0), (501, "a", -4000.0, 9.0), (502, "a", None, 1.0), (503, "a", math.nan, 1.0), (504, "a", 5.0, 5.0)]
+    a, b = spark.createDataFrame(left, "i long, g string, x double, y double"), spark.createDataFrame(right, "j long, h string, u double, v double")
+    out = matching.nearest_k(a, b, 3, "i", "j", ("x", "y"), ("u", "v"))
+    assert out.columns == ["i", "g", "x", "y", "j", "h", "u", "v", "distance_m", "rank"]
+    bad = lambda p: None in p or math.isnan(p[2]) or math.isnan(p[3])
+    want = plain([p for p in left if not bad(p)], [p for p in right if not bad(p)], 3)
+    rows = [(r.i, r.j, r["rank"]) for r in out.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+
+
+def test_candidates_stay_with_their_cell(spark):
+    """Where nine cells hold the nearest, no candidate is moved or ordered by left point."""
+    left = spark.range(400).selectExpr("id as i", "cast(id % 20 + 5 as double) as x", "cast(id div 20 + 5 as double) as y")
+    right = spark.range(900).selectExpr("id as j", "cast(id % 30 as double) as u", "cast(id div 30 as double) as v")
+    out = matching.nearest_k(left, right, 3, "i", "j", ("x", "y"), ("u", "v"))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(i#" not in plan and out.count() == 1200
