@@ -259,3 +259,27 @@ def test_long_and_short_lines_meet_at_few_lengths(spark, tmp_path):
         spark.conf.unset(line_dedup._ALL_KEYS)
     join = next(x for x in plan.splitlines() if "Join" in x)
     assert "token" in join and "step" in join and "hashpartitioning(token" in plan and ", step" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_nothing_stays_without_a_least_struct(spark, monkeypatch):
+    """Where no occurrence stays, grams are counted without a minimum of structs, which Spark finds by sorting."""
+    from firnline.llm import common
+
+    plans, save = {}, common.Scratch.save
+
+    def kept(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return save(self, df, name)
+
+    monkeypatch.setattr(common.Scratch, "save", kept)
+    text = "".join(chr(97 + (i * i * 7 + i) % 23) for i in range(900))
+    docs = spark.createDataFrame([(1, text), (2, "x" * 100 + text[:600]), (3, "y" * 700), (4, "short")], "doc_id long, text string")
+    out = {r.doc_id: (r.n_removed, len(r.spans)) for r in suffix_dedup.remove_repeats(docs, 400).collect()}
+    raw = {1: text.encode(), 2: ("x" * 100 + text[:600]).encode(), 3: b"y" * 700, 4: b"short"}
+    seen = {}
+    for i, t in raw.items():
+        for a in range(len(t) - 399):
+            seen.setdefault(t[a : a + 400], []).append((i, a))
+    gone = {i: {p for places in seen.values() if len(places) > 1 for j, a in places if i == j for p in range(a, a + 400)} for i in raw}
+    assert {i: n for i, (n, _) in out.items()} == {i: len(g) for i, g in gone.items()}
+    assert "SortAggregate" not in plans["groups"] and "HashAggregate" in plans["groups"]
